@@ -24,7 +24,7 @@ def sql_round(x: str, digits: int) -> str:
 
 def sql_sum(x: str) -> str:
     """SQL for the order-independent total."""
-    return f"cast(sum(cast({x} as decimal(28,6))) as double)"
+    return f"(cast(sum(cast(round_even(({x})*1e6, 0) as bigint)) as double)/1e6)"
 
 
 def sql_mean(x: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import events as ev
 from ..functions.numbers import exact_mean, iso
 from ..operators import norms
+from ..session import cut
 from .common import day_text, sql_mean, sql_round, table
 
 EVENTS = {"1-URGENT": "100m", "2-HIGH": "800m", "3-MEDIUM": "Long Jump", "4-NOT SPECIFIED":
@@ -34,7 +35,10 @@ NAMES = dict(athlete="o_custkey", event="event", date="o_orderdate", value="o_to
 
 
 def norm_table(spark, d) -> DataFrame:
-    """Norms by event, implement and age bin: worst, quarter points around the mean, best."""
+    """Norms by event, implement and age bin: worst, quarter points around the mean, best.
+
+    A reference table: a few rows per event, kept as a table of its own so that the rules applied
+    to its rows are not pushed down to the results it was made from."""
     aged = norms.aged_results(results(spark, d), date="o_orderdate", value="o_totalprice",
                               dob="dob")
     centre = ev.age_band_centre(F.col("_age"))
@@ -46,8 +50,8 @@ def norm_table(spark, d) -> DataFrame:
     worst, best = (F.when(F.col("low"), F.col(x)).otherwise(F.col(y))
                    for x, y in (("b", "a"), ("a", "b")))
     m = F.col("m")
-    return g.select("event", "age_bin", worst.alias("p0"), ((worst + m) / 2).alias("p25"),
-                    m.alias("p50"), ((m + best) / 2).alias("p75"), best.alias("p100"))
+    return cut(g.select("event", "age_bin", worst.alias("p0"), ((worst + m) / 2).alias("p25"),
+                    m.alias("p50"), ((m + best) / 2).alias("p75"), best.alias("p100")))
 
 
 def standards(spark, d) -> DataFrame:

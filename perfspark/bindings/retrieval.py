@@ -48,10 +48,11 @@ def hybrid_rrf(spark, d):
 
 
 def multi_query(spark, d):
-    """Each text and its first sentence as two wordings of one query."""
+    """Each text in full and by its longer words as two wordings of one query."""
     q = _queries(spark, d)
-    first = q.withColumn("text", F.substring_index("text", ".", 1))
-    both = q.withColumn("variant", F.lit(0)).unionByName(first.withColumn("variant", F.lit(1)))
+    longer = F.filter(retrieval.tokens("text"), lambda t: F.length(t) >= 6)
+    short = q.withColumn("text", F.array_join(longer, " "))
+    both = q.withColumn("variant", F.lit(0)).unionByName(short.withColumn("variant", F.lit(1)))
     worded = both.withColumn("wording", F.col("query_id") * 10 + F.col("variant"))
     ranked = retrieval.bm25_topk(worded.select("wording", "text"), table(spark, d, "documents"),
                                  k=K, query="wording")
@@ -130,10 +131,10 @@ def _bm25(queries: str, key: str, docs: str = "documents") -> str:
                                              from ({queries}))),
     freq as (select term, count(*) as df from post where term in (select term from qt)
              group by term),
-    scored as (select {key}, doc_id, cast(round(sum(cast(
-                 ln(1e0 + (n - df + 0.5e0)/(df + 0.5e0))*(tf*2.2e0)
-                   /(tf + 1.2e0*(0.25e0 + 0.75e0*n_tokens/avg_tokens)) as decimal(28,9))), 6)
-                 as double) as score
+    scored as (select {key}, doc_id, floor((sum(cast(round_even(1e9*
+                 (ln(1e0 + (n - df + 0.5e0)/(df + 0.5e0))*(tf*2.2e0)
+                   /(tf + 1.2e0*(0.25e0 + 0.75e0*n_tokens/avg_tokens))), 0) as bigint)) + 500)
+                 /1000e0)/1e6 as score
                from post join qt using (term) join freq using (term), size
                group by {key}, doc_id),
     words as (select * from (select *, row_number() over (partition by {key}
@@ -198,7 +199,8 @@ SQL = {
                 'select query_id, vec_id, rank from near')}""",
     "multi_query": f"""
         with w as (select item_id*10 as wording, text from benchmark
-                   union all select item_id*10 + 1, split_part(text, '.', 1) from benchmark),
+                   union all select item_id*10 + 1, array_to_string(list_filter(
+                     {_tokens('text')}, lambda t: length(t) >= 6), ' ') from benchmark),
         {_bm25('select * from w', 'wording')}
         {_fused('select wording//10 as query_id, doc_id, rank from words')}""",
     "corpus_stats": """

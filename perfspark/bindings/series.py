@@ -217,8 +217,8 @@ def _rolled(keys: str) -> str:
                 f"range between interval {days - 1} day preceding and current row)")
 
     def mean(days: int) -> str:
-        return (f"cast(sum(cast(dailymean as decimal(28,6))) {frame(days)} as double)"
-                f"/count(dailymean) {frame(days)}")
+        return (f"cast(sum(cast(round_even(dailymean*1e6, 0) as bigint)) {frame(days)} as double)"
+                f"/1e6/count(dailymean) {frame(days)}")
 
     return f"""
         select {keys}, date, dailymean, {mean(7)} as acute, {mean(28)} as chronic

@@ -1,7 +1,7 @@
 """Anthropometric derivations as column expressions.
 
-Sites live in a ``map<string,string>``: each value is either a plain number or a JSON object
-with up to three trials ``m1``, ``m2``, ``m3``.
+A site's value is either a plain number or a JSON object with up to three trials ``m1``, ``m2``,
+``m3``.
 """
 
 from __future__ import annotations
@@ -35,16 +35,21 @@ def trial_result(m1: Column, m2: Column, m3: Column) -> Column:
             .otherwise(m1))
 
 
-def site_results(sites: Column) -> Column:
-    """``map<site, result>``: each cell of the measurement map is read once, whether it holds a
-    plain number or trials."""
-    def result(_: Column, cell: Column) -> Column:
-        texts = once(F.from_json(cell, "m1 string, m2 string, m3 string"),
-                     lambda t: F.array(t["m1"], t["m2"], t["m3"]))
-        trials = once(F.transform(texts, lambda m: to_num(m)), lambda v: trial_result(v[0], v[1], v[2]))
-        return F.when(cell.rlike(r"^\s*\{"), trials).otherwise(to_num(cell))
+def typed_sites(measurements: Column, sites: list[str], cell: str) -> Column:
+    """The named sites of the measurement JSON as a struct; a cell that is not of the type asked
+    for is NULL."""
+    return F.from_json(measurements, ", ".join(f"{s} {cell}" for s in sites))
 
-    return F.transform_values(sites, result)
+
+TRIALS = "struct<m1: string, m2: string, m3: string>"
+
+
+def cell_result(trials: Column, plain: Column) -> Column:
+    """Final result of a site that holds either trials or a plain number."""
+    numbers = F.transform(F.array(trials["m1"], trials["m2"], trials["m3"]), lambda m: to_num(m))
+    # A plain number is its own only trial.
+    cells = F.when(trials.isNotNull(), numbers).otherwise(F.array(to_num(plain)))
+    return once(cells, lambda v: trial_result(v[0], F.get(v, F.lit(1)), F.get(v, F.lit(2))))
 
 
 def body_mass_index(mass: Column, stature: Column) -> Column:
@@ -53,14 +58,14 @@ def body_mass_index(mass: Column, stature: Column) -> Column:
     return F.when(ok, round_py(mass / (metres * metres), 1))
 
 
-def skinfold_sum(values: list[Column]) -> Column:
-    """One-decimal sum; NULL when a site is missing. Added in fixed point: Spark may share a
+def skinfold_total(values: list[Column]) -> Column:
+    """Sum of the sites; NULL when one is missing. Added in fixed point: Spark may share a
     prefix of two sums, which for doubles would make the last digit depend on the plan."""
-    return round_py(reduce(add, [v.cast("decimal(18,6)") for v in values]).cast("double"), 1)
+    return reduce(add, [v.cast("decimal(18,6)") for v in values]).cast("double")
 
 
 def body_density(sum4: Column, age: Column) -> Column:
-    """Durnin-Womersley density, four decimals; needs a positive sum and an age."""
+    """Durnin-Womersley density; needs a positive sum and an age."""
     log_sum = F.when(sum4 > 0, F.log10(sum4))
     out = None
     for below, intercept, slope in DENSITY_BANDS:
@@ -69,7 +74,7 @@ def body_density(sum4: Column, age: Column) -> Column:
             out = out.otherwise(value)
         else:
             out = F.when(age < below, value) if out is None else out.when(age < below, value)
-    return F.when(age.isNotNull(), round_py(out, 4))
+    return F.when(age.isNotNull(), out)
 
 
 def percent_fat(density: Column) -> Column:

@@ -12,9 +12,10 @@ NUMBER_TEXT = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 INTEGER_TEXT = r"^\s*[-+]?[0-9]+\s*$"
 DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
-#: Totals are added as fixed-point numbers with six decimals: the result does not depend on
-#: the order in which partitions arrive, so a retried task cannot change a last digit.
-EXACT = "decimal(28,6)"
+#: Totals are added as whole millionths: the result does not depend on the order in which
+#: partitions arrive, so a retried task cannot change a last digit.
+UNIT = 1_000_000
+_LOW_BITS = 20
 
 
 def _col(c: Column | str) -> Column:
@@ -87,15 +88,27 @@ def present(c: Column | str) -> Column:
     return F.when(s.cast("string") != "", s)
 
 
+def millionths(c: Column | str) -> Column:
+    """A double as a whole number of millionths (up to nine trillion in size)."""
+    return F.rint(_col(c).cast("double") * F.lit(float(UNIT))).cast("long")
+
+
 def exact_sum(c: Column | str) -> Column:
-    """Order-independent total of a double column, as double."""
-    return F.sum(_col(c).cast(EXACT)).cast("double")
+    """Order-independent total of a double column, as double.
+
+    High and low parts are added apart as longs, so that neither overflows over any number of
+    rows a group can have, and are put together once per group."""
+    units = millionths(c)
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    total = high * F.lit(1 << _LOW_BITS).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+    return total.cast("double") / F.lit(float(UNIT))
 
 
 def exact_mean(c: Column | str) -> Column:
     """Order-independent mean over the non-null values; NULL when there are none."""
     col = _col(c)
-    return F.sum(col.cast(EXACT)).cast("double") / F.nullif(F.count(col), F.lit(0))
+    return exact_sum(col) / F.nullif(F.count(col), F.lit(0))
 
 
 def round_py(c: Column | str, digits: int) -> Column:

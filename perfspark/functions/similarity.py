@@ -57,14 +57,14 @@ def lcs_pairs(xs: list[str], ys: list[str], left: np.ndarray, right: np.ndarray)
         for j, ch in enumerate(x):
             masks[i, alphabet[ch]] |= np.uint64(1 << j)
     ylen = np.array([len(y) for y in ys])
+    flat, letters = masks.ravel(), np.ascontiguousarray(ycodes.T)
     for start in range(0, len(short), _CHUNK):
         pick = short[start:start + _CHUNK]
         li, ri = left[pick], right[pick]
         row = np.full(len(pick), np.iinfo(np.uint64).max, dtype=np.uint64)
-        table, codes = masks[li], ycodes[ri]
-        at = np.arange(len(pick))
+        base = li * masks.shape[1]
         for j in range(int(ylen[ri].max(initial=0))):
-            hit = row & table[at, codes[:, j]]
+            hit = row & flat[base + letters[j][ri]]
             row = (row + hit) | (row - hit)
         width = xlen[li].astype(np.uint64)
         used = np.where(width == 64, np.iinfo(np.uint64).max,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import body
-from ..functions.numbers import age_at, day_of, present
+from ..functions.numbers import age_at, day_of, present, round_py
 from ..functions.text import parse_map
 from ..plans.shapes import latest
 
@@ -23,10 +23,12 @@ def body_composition(df: DataFrame, sites: dict[str, Column], age: Column) -> Da
     mass, stature = v["bodyMass"], v["stature"]
     rows = rows.withColumns({
         "bmi": body.body_mass_index(mass, stature),
-        "sum8": body.skinfold_sum([v[s] for s in body.SKINFOLDS_8]),
-        "sum4": body.skinfold_sum([v[s] for s in body.SKINFOLDS_4]),
+        "_sum8": body.skinfold_total([v[s] for s in body.SKINFOLDS_8]),
+        "_sum4": body.skinfold_total([v[s] for s in body.SKINFOLDS_4]),
         "_soma": body.somatotype(v)})
-    rows = rows.withColumn("body_density", body.body_density(F.col("sum4"), F.col("age")))
+    rows = rows.withColumns({"sum8": round_py("_sum8", 1), "sum4": round_py("_sum4", 1)})
+    rows = rows.withColumn("_density", body.body_density(F.col("sum4"), F.col("age")))
+    rows = rows.withColumn("body_density", round_py("_density", 4))
     rows = rows.withColumn("percent_bf", body.percent_fat(F.col("body_density")))
     return rows.withColumns({
         "ffm": body.fat_free_mass(mass, F.col("percent_bf")),
@@ -37,11 +39,13 @@ def body_composition(df: DataFrame, sites: dict[str, Column], age: Column) -> Da
 def anthro_sessions(records: DataFrame, *, dob: str = "date_of_birth",
                     date: str = "date_of_measure") -> DataFrame:
     """One derived row per measurement session; measurement JSON is parsed once."""
-    rows = records.withColumns({"_sites": body.site_results(parse_map("measurements")),
+    wanted = list(dict.fromkeys([*body.SOMATOTYPE_SITES, *body.SKINFOLDS_8,
+                                 "sittingHeight", "armSpan"]))
+    text = F.col("measurements")
+    rows = records.withColumns({"_trials": body.typed_sites(text, wanted, body.TRIALS),
+                                "_plain": body.typed_sites(text, wanted, "string"),
                                 "date": day_of(records, date)})
-    wanted = dict.fromkeys([*body.SOMATOTYPE_SITES, *body.SKINFOLDS_8,
-                            "sittingHeight", "armSpan"])
-    sites = {s: F.try_element_at(F.col("_sites"), F.lit(s)) for s in wanted}
+    sites = {s: body.cell_result(F.col("_trials")[s], F.col("_plain")[s]) for s in wanted}
     age = age_at(day_of(records, dob), F.col("date"))
     out = body_composition(rows, sites, age)
     maturation = F.lit(None).cast("string")

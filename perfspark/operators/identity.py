@@ -42,9 +42,10 @@ def _letter_bound(left: list[str], right: list[str]) -> np.ndarray:
     return np.divide(200.0 * common, total, out=np.zeros(common.shape), where=total > 0)
 
 
-def _block_scores(lnames: list[str], rnames: list[str], floor: float):
-    """All pairs of a block that reach the floor. Pairs that cannot reach it by their letters are
-    never compared; pairs that share a token always are."""
+def _block_scores(lnames: list[str], rnames: list[str], floor: float, k: int | None = None):
+    """Pairs of a block that reach the floor; with ``k``, of each left name those no worse than
+    its ``k`` best. Pairs that cannot reach the floor by their letters are never compared; pairs
+    that share a token always are."""
     ltok, rtok = [set(n.split()) for n in lnames], [set(n.split()) for n in rnames]
     ljoin, rjoin = [" ".join(sorted(t)) for t in ltok], [" ".join(sorted(t)) for t in rtok]
     maybe = _letter_bound(ljoin, rjoin) >= floor
@@ -63,6 +64,11 @@ def _block_scores(lnames: list[str], rnames: list[str], floor: float):
     shared = token_set_scores([lnames[i] for i in si], [rnames[j] for j in sj])
     li, ri = np.concatenate([li, si]), np.concatenate([ri, sj])
     scores = np.concatenate([scores, shared])
+    if k is not None and len(rnames) > k:
+        grid = np.full(maybe.shape, -1.0)
+        grid[li, ri] = scores
+        least = np.partition(grid, len(rnames) - k, axis=1)[:, len(rnames) - k]
+        floor = np.maximum(floor, least)[li]
     keep = scores >= floor
     return li[keep], ri[keep], scores[keep]
 
@@ -78,7 +84,7 @@ def similar_names(names: DataFrame, roster: DataFrame, *, name: str = "name",
     def scorer(lpdf: pd.DataFrame, rpdf: pd.DataFrame):
         # Roster entries of one name score alike; compare each distinct name once.
         codes, distinct = pd.factorize(rpdf["_full"])
-        li, di, sc = _block_scores(lpdf["_name"].tolist(), list(distinct), floor)
+        li, di, sc = _block_scores(lpdf["_name"].tolist(), list(distinct), floor, k)
         order = np.argsort(codes, kind="stable")
         starts = np.searchsorted(codes[order], np.arange(len(distinct) + 1))
         ids = rpdf["player_id"].to_numpy()

@@ -48,7 +48,7 @@ def range_examples(df: DataFrame, rules: Rules, *, order: list[str], n: int = 5)
                                 F.struct(F.lit(c).alias("column"), v.alias("example"))))
     bad = F.filter(F.array(*found), lambda x: x.isNotNull())
     rows = df.select(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                     F.explode(bad).alias("_b"))
+                     F.explode_outer(bad).alias("_b")).where(F.col("_b").isNotNull())
     rows = rows.select("*", "_b.column", "_b.example")
     keys = [F.col(f"_o{i}") for i in range(len(order))]
     return top_rows(rows, ["column"], [*keys, F.col("example")], n).select(

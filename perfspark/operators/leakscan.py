@@ -26,12 +26,13 @@ def scan(docs: DataFrame, *, doc: str = "doc_id", text: str = "text",
          patterns: list[tuple[str, str]] | None = None) -> DataFrame:
     """``(doc, line_no, label, found)`` of every pattern match.
 
-    No detector spans lines. A single alternation decides per document, then per line, whether
+    No detector spans lines (``explode_outer`` stands where Spark would otherwise split each text
+    again to test for emptiness). A single alternation decides per document, then per line, whether
     the detectors run at all."""
     rules = PATTERNS if patterns is None else patterns
     any_rule = "|".join(f"(?:{p})" for _, p in rules)
     lines = (docs.where(F.col(text).rlike(any_rule))
-             .select(doc, F.posexplode(F.split(text, "\n")).alias("_pos", "_line"))
+             .select(doc, F.posexplode_outer(F.split(text, "\n")).alias("_pos", "_line"))
              .where(F.col("_line").rlike(any_rule)))
     found = F.array(*[F.struct(F.lit(label).alias("label"),
                                F.regexp_extract_all("_line", F.lit(rule), F.lit(0)).alias("m"))
@@ -52,7 +53,9 @@ def deny_scan(docs: DataFrame, values: list[str], *, doc: str = "doc_id",
         return F.instr(F.col(text), v)
 
     hits = F.array(*[F.struct(F.lit(v).alias("value"), first(v).alias("at")) for v in values])
-    present = docs.select(doc, text, F.explode(F.filter(hits, lambda h: h["at"] > 0)).alias("_h"))
+    found = F.filter(hits, lambda h: h["at"] > 0)
+    present = docs.select(doc, text, F.explode_outer(found).alias("_h")).where(
+        F.col("_h").isNotNull())
     before = F.substr(F.col(text), F.lit(1), F.col("_h")["at"] - 1)
     line = F.regexp_count(before, F.lit("\n")) + 1
     return present.select(doc, line.alias("line_no"), F.col("_h")["value"].alias("value"))

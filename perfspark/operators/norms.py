@@ -116,30 +116,33 @@ def norm_families(norms: DataFrame) -> DataFrame:
         F.collect_list(F.struct("event", "age_centre", "curve", "n_points")).alias("bands"))
 
 
-def read_curve(curve: Column, n_points: Column, mark: Column) -> Column:
-    """Percentile of a mark on a curve: linear between points, the end value beyond the ends.
-
-    Needs two points. Points with one common mark read as the lowest percentile."""
-    size = F.size(curve)
-    below = F.size(F.filter(curve, lambda x: x["mark"] < mark))
-    lo, hi = F.get(curve, below - 1), F.get(curve, below)
-    first, last = F.get(curve, F.lit(0))["p"], F.get(curve, size - 1)["p"]
-    between = lo["p"] + (hi["p"] - lo["p"]) * (mark - lo["mark"]) / (hi["mark"] - lo["mark"])
-    return (F.when((n_points < 2) | mark.isNull(), F.lit(None))
-            .when((size < 2) | (below == 0), round_py(first, 1))
-            .when(below >= size, round_py(last, 1))
-            .otherwise(round_py(between, 1)))
-
-
-def nearest_band(bands: Column, base: Column, age: Column) -> Column:
+def read_curve(rows: DataFrame, band: str, mark: str, out: str) -> DataFrame:
+    """Adds the percentile of ``mark`` on the curve of the struct column ``band``: linear between
+    points, the end value beyond the ends.
+
+    Needs two points. Points with one common mark read as the lowest percentile. Each step is a
+    column of its own, so that no step is repeated inside the next."""
+    curve, m = F.col(band)["curve"], F.col(mark)
+    rows = rows.withColumn("_below", F.size(F.filter(curve, lambda x: x["mark"] < F.col(mark))))
+    below, size = F.col("_below"), F.size(curve)
+    rows = rows.withColumns({"_lo": F.get(curve, below - 1), "_hi": F.get(curve, below)})
+    lo, hi = F.col("_lo"), F.col("_hi")
+    between = lo["p"] + (hi["p"] - lo["p"]) * (m - lo["mark"]) / (hi["mark"] - lo["mark"])
+    value = (F.when((F.col(band)["n_points"] < 2) | m.isNull(), F.lit(None))
+             .when((size < 2) | (below == 0), F.get(curve, F.lit(0))["p"])
+             .when(below >= size, lo["p"]).otherwise(between))
+    rows = rows.withColumn("_raw", value)
+    return rows.withColumn(out, round_py("_raw", 1)).drop("_below", "_lo", "_hi", "_raw")
+
+
+def nearest_band(bands: Column, variant: Column, age: Column) -> Column:
     """The band of the age-correct implement nearest in age (lower centre on a tie); a band of
     another implement only when that implement has none. Without an age, the only band."""
-    variant = events.norm_variant(base, age)
-    ranked = F.transform(bands, lambda b: F.struct(
-        (F.when(b["event"] == variant, 0).otherwise(1)).alias("other"),
-        F.abs(b["age_centre"] - age).alias("d"), b["age_centre"].alias("age_centre"),
-        b["event"].alias("event"), b["curve"].alias("curve"), b["n_points"].alias("n_points")))
-    return F.when(age.isNotNull() | (F.size(bands) == 1), F.array_min(ranked))
+    ranked = F.transform(bands, lambda b, i: F.struct(
+        (b["event"] != variant).alias("other"), F.abs(b["age_centre"] - age).alias("d"),
+        b["age_centre"].alias("centre"), i.alias("at")))
+    at = F.when(age.isNotNull(), F.array_min(ranked)["at"]).when(F.size(bands) == 1, F.lit(0))
+    return F.get(bands, at)
 
 
 def percentile_of_mark(results: DataFrame, norms: DataFrame, *, event: str = "Event_standard",
@@ -150,14 +153,15 @@ def percentile_of_mark(results: DataFrame, norms: DataFrame, *, event: str = "Ev
     NULL when the event has no norm, the mark does not parse, or the age is missing and the event
     has more than one band."""
     families = norm_families(norms)
-    based = results.withColumn("_base", events.norm_base(F.col(event)))
+    # Inside a lambda an expression is computed per band; what depends on the row alone is
+    # therefore made a column first.
+    based = results.withColumns({"_base": events.norm_base(F.col(event)),
+                                 "_pmark": num_of(results, mark), "_page": num_of(results, age)})
+    based = based.withColumn("_variant", events.norm_variant(F.col("_base"), F.col("_page")))
     joined = based.join(families, based["_base"] == families["family"], "left")
-    joined = joined.withColumn("_band", nearest_band(
-        F.col("bands"), F.col("_base"), num_of(results, age)))
-    band = F.col("_band")
-    return (joined.withColumn(out, read_curve(band["curve"], band["n_points"],
-                                              num_of(results, mark)))
-            .select(*results.columns, out))
+    band = nearest_band(F.col("bands"), F.col("_variant"), F.col("_page"))
+    joined = joined.withColumn("_band", band)
+    return read_curve(joined, "_band", "_pmark", out).select(*results.columns, out)
 
 
 def norm_bands(norms: DataFrame, *, event_names: list[str] | None = None,

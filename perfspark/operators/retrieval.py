@@ -29,8 +29,10 @@ def tokens(text: Column | str) -> Column:
 def term_index(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc, n_tokens, term, tf)``. Write it once and search it often."""
     words = docs.select(doc, tokens(text).alias("_tokens"))
+    # The outer form keeps Spark from testing the token array in a filter of its own, which would
+    # split every text again.
     flat = words.select(doc, F.size("_tokens").alias("n_tokens"),
-                        F.explode("_tokens").alias("term"))
+                        F.explode_outer("_tokens").alias("term")).where(F.col("term").isNotNull())
     return flat.groupBy(doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -52,7 +54,9 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, *, k: int = 5, query: str = "
     wanted = asked.select("term").distinct()
     postings = (index if index is not None else term_index(docs, doc=doc, text=text)).join(
         wanted, "term", "left_semi")
-    freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Counting through ``tf`` keeps this branch identical up to the shuffle, which is then reused
+    # and the texts are read once for both.
+    freq = postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     stats = size if size is not None else corpus_size(docs, text=text)
     n_docs = stats.select(F.col("n_docs").cast("double")).scalar()
     avg = stats.select("avg_tokens").scalar()
@@ -61,8 +65,11 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, *, k: int = 5, query: str = "
     damp = K1 * (F.lit(1.0 - B) + F.lit(B) * F.col("n_tokens") / avg)
     part = F.col("idf") * (F.col("tf") * (K1 + 1.0)) / (F.col("tf") + damp)
     scored = (postings.join(weights, "term")
-              .groupBy(query, doc).agg(F.sum(part.cast("decimal(28,9)")).alias("_score")))
-    scored = scored.select(query, doc, F.round("_score", 6).cast("double").alias("score"))
+              .groupBy(query, doc)
+              .agg(F.sum(F.rint(part * 1e9).cast("long")).alias("_score")))
+    # Added as whole billionths (the order of rows cannot matter), shown to six decimals.
+    scored = scored.select(query, doc, (F.floor((F.col("_score") + 500) / F.lit(1000)) / 1e6)
+                           .alias("score"))
     return top_rows(scored, [query], [F.desc("score"), F.asc(doc)], k)
 
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import events
-from ..functions.numbers import (EXACT, day_of, exact_mean, exact_sum, num_of, round_py)
+from ..functions.numbers import (UNIT, day_of, exact_mean, exact_sum, millionths, num_of,
+                                 round_py)
 from ..functions.text import clock_slot
 from ..functions.zones import acwr_zone
 from ..plans.shapes import top_rows
@@ -83,7 +84,7 @@ def acute_chronic(df: DataFrame, *, keys: list[str], day: str = "day", value: st
 
     def trailing(days: int) -> Column:
         frame = order.rangeBetween(-(days - 1), 0)
-        total = F.sum(F.col("dailymean").cast(EXACT)).over(frame).cast("double")
+        total = F.sum(millionths("dailymean")).over(frame).cast("double") / F.lit(float(UNIT))
         return total / F.count("dailymean").over(frame)
 
     rolled = daily.withColumns({"acute": trailing(acute_days), "chronic": trailing(chronic_days)})
@@ -182,29 +183,29 @@ def load_block(sessions: DataFrame, as_of: Column, *, keys: list[str], days: int
                     num_of(sessions, "acwr").alias("_acwr"),
                     F.col("startTime").cast("string").alias("_start")))
 
-    def block(since: int) -> Column:
+    spans = {"last7": 7, "last28": days}
+    columns = ("minutes", "kcal", "load")
+    raw = []
+    for name, since in spans.items():
         inside = F.col("_day") >= F.date_sub(as_of, since)
-
-        def total(c: str) -> Column:
-            summed = F.coalesce(exact_sum(F.when(inside, F.col(c))), F.lit(0.0))
-            return round_py(summed, 0).cast("long")
-
-        return F.struct(F.count(F.when(inside, 1)).alias("n"),
-                        total("_minutes").alias("minutes"), total("_kcal").alias("kcal"),
-                        total("_load").alias("load"),
-                        round_py(exact_mean(F.when(inside, F.col("_effect"))), 1)
-                        .alias("intensity"))
-
-    def on_day(back: int) -> Column:
-        here = F.when(F.col("_day") == F.date_sub(as_of, back), F.col("_load"))
-        return round_py(F.coalesce(exact_sum(here), F.lit(0.0)), 0).cast("long")
-
+        raw.append(F.count(F.when(inside, 1)).alias(f"{name}_n"))
+        raw += [exact_sum(F.when(inside, F.col(f"_{c}"))).alias(f"{name}_{c}") for c in columns]
+        raw.append(exact_mean(F.when(inside, F.col("_effect"))).alias(f"{name}_effect"))
+    raw += [exact_sum(F.when(F.col("_day") == F.date_sub(as_of, b), F.col("_load"))).alias(f"_s{b}")
+            for b in range(14)]
     newest = F.when(F.col("_acwr").isNotNull(), F.struct("_day", "_start", "_acwr"))
-    return rows.groupBy(*keys).agg(
-        block(7).alias("last7"), block(days).alias("last28"),
-        F.max_by("_acwr", newest).alias("acwr"),
-        F.array(*[on_day(b) for b in range(13, -1, -1)]).alias("load_series"),
-        F.max("_day").alias("latest_date"))
+    sums = rows.groupBy(*keys).agg(*raw, F.max_by("_acwr", newest).alias("acwr"),
+                                   F.max("_day").alias("latest_date"))
+
+    def whole(c: str) -> Column:
+        return round_py(F.coalesce(F.col(c), F.lit(0.0)), 0).cast("long")
+
+    blocks = [F.struct(F.col(f"{name}_n").alias("n"),
+                       *[whole(f"{name}_{c}").alias(c) for c in columns],
+                       round_py(f"{name}_effect", 1).alias("intensity")).alias(name)
+              for name in spans]
+    series = F.array(*[whole(f"_s{b}") for b in range(13, -1, -1)]).alias("load_series")
+    return sums.select(*keys, *blocks, "acwr", series, "latest_date")
 
 
 def daily_load(df: DataFrame, *, keys: list[str], day: str = "day",

@@ -10,10 +10,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from ..functions.numbers import EXACT, exact_sum, num_of, to_int
+from ..functions.numbers import exact_sum, num_of, to_int
 from ..functions.text import product_label
 from ..session import cut
 
+#: Quantities are compared and subtracted in fixed point.
+EXACT = "decimal(28,6)"
+
 
 def active_products(products: DataFrame) -> DataFrame:
     """Products whose ``active`` is 1, missing or unreadable."""

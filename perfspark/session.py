@@ -23,7 +23,10 @@ def local_session(cpus: int | str = "*", app: str = "perfspark", **extra: str) -
     """A local session for tests and the bench. On a cluster, use its own session."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     partitions = "8" if cpus == "*" else str(cpus)
+    # One shuffle partition per core is already coarse: coalescing would only idle cores.
     conf = {**DEFAULTS, "spark.sql.shuffle.partitions": partitions,
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": "8g", **extra}
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -23,8 +23,10 @@ def unwrap(df: DataFrame, schema: T.StructType | str, *, body: str = "body",
     ``outer`` keeps responses without records as a row of NULLs."""
     kind = schema.simpleString() if isinstance(schema, T.StructType) else f"struct<{schema}>"
     rows = F.from_json(rows_json(F.col(body)), f"array<{kind}>")
-    boom = F.inline_outer if outer else F.inline
-    return df.select(*(keep or []), boom(rows))
+    found = df.select(*(keep or []), F.explode_outer(rows).alias("_r"))
+    if not outer:
+        found = found.where(F.col("_r").isNotNull())
+    return found.select(*(keep or []), "_r.*")
 
 
 def split_failures(df: DataFrame, *, body: str = "body",

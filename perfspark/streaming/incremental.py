@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.ids import uuid5
-from ..functions.numbers import EXACT, num_of
+from ..functions.numbers import exact_sum, num_of
 from ..operators.ingest import Rules, null_out_of_range
 from ..plans.shapes import latest
 from ..sources.keyed import KeyedTable, merge_latest
@@ -66,7 +66,7 @@ def daily_stream(source: DataFrame, *, keys: list[str], ts: str, value: str,
                          num_of(source, value).alias("_value")).where(F.col("_value").isNotNull())
     return (rows.withWatermark("_ts", late).groupBy(F.window("_ts", "1 day"), *keys)
             .agg(F.max("_value").alias("best"),
-                 F.sum(F.col("_value").cast(EXACT)).cast("double").alias("load"),
+                 exact_sum("_value").alias("load"),
                  F.count(F.lit(1)).alias("n"))
             .select(*keys, F.to_date("window.start").alias("date"), "best", "load", "n"))
 
