@@ -68,14 +68,12 @@ _FOLD = T.StructType([T.StructField("request_id", T.LongType()),
 
 
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Greedy acceptance over rows sorted by product and order; only the running product and its
-    remaining stock are held."""
-    product, left = None, 0
+    """Greedy acceptance over rows numbered along each product; only the remaining stock is held."""
+    left = 0
     for pdf in batches:
         verdicts = []
-        for pid, stock, qty in zip(pdf["_pid"], pdf["_left"], pdf["_qty"], strict=True):
-            if pid != product:
-                product, left = pid, stock
+        for number, stock, qty in zip(pdf["_number"], pdf["_left"], pdf["_qty"], strict=True):
+            left = stock if number == 1 else left
             ok = qty <= left
             left = left - qty if ok else left
             verdicts.append(ok)
@@ -113,8 +111,11 @@ def issue(requests: DataFrame, stock: DataFrame, *, order: str = "requested_at",
     for _ in range(rounds):
         accepted, pending = _narrow(cut(pending))
         yes.append(accepted)
-    walked = (pending.repartition("_pid").sortWithinPartitions("_pid", "_at", "_rid")
-              .select("_pid", "_rid", "_left", "_qty").mapInPandas(_fold, _FOLD)
+    # The window numbers the rows and, unlike a plain repartition, obliges Spark to bring a product
+    # together and in order whatever adaptive execution makes of the joins below.
+    along = W.partitionBy("_pid").orderBy("_at", "_rid")
+    walked = (pending.withColumn("_number", F.row_number().over(along))
+              .select("_number", "_rid", "_left", "_qty").mapInPandas(_fold, _FOLD)
               .where("accepted").select(F.col("request_id").alias("_ok")))
     for accepted in yes:
         walked = walked.unionByName(accepted.select(F.col("_rid").alias("_ok")))
