@@ -28,11 +28,13 @@ def tokens(text: Column | str) -> Column:
 
 def term_index(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc, n_tokens, term, tf)``. Write it once and search it often."""
-    words = docs.select(doc, tokens(text).alias("_tokens"))
+    # The length is taken before the explosion, or every token's row would carry the whole array.
+    words = docs.select(doc, tokens(text).alias("_tokens")).withColumn("n_tokens",
+                                                                       F.size("_tokens"))
     # The outer form keeps Spark from testing the token array in a filter of its own, which would
     # split every text again.
-    flat = words.select(doc, F.size("_tokens").alias("n_tokens"),
-                        F.explode_outer("_tokens").alias("term")).where(F.col("term").isNotNull())
+    flat = words.select(doc, "n_tokens", F.explode_outer("_tokens").alias("term")).where(
+        F.col("term").isNotNull())
     return flat.groupBy(doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
