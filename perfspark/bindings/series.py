@@ -62,6 +62,12 @@ def squad_metric(spark, d):
     return _iso(series.squad_metric(ids, rows, athlete="user_id", day="ts"), "session_date")
 
 
+def squad_heatmap(spark, d):
+    ids = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+    out = series.squad_heatmap(ids, events(spark, d), athlete="user_id", day="ts")
+    return _iso(out, "session_date")
+
+
 def _sessions(spark, d) -> DataFrame:
     """Load sessions out of events."""
     effect = F.when(F.col("value") >= 20, F.col("value") / 100)
@@ -204,7 +210,8 @@ def load_summary(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    session_best, rebound_best, acute_chronic, squad_load, asymmetry, squad_metric, load_block,
+    session_best, rebound_best, acute_chronic, squad_load, asymmetry, squad_metric, squad_heatmap,
+    load_block,
     dense_series, daily_load, energy_by_slot, energy_calendar, recent_rows_avg, latest_non_null,
     last_n_series, session_counts, jump_summary, recovery_summary, load_summary)}
 
@@ -427,3 +434,10 @@ SQL = {
                l.* exclude (athlete_id)
         from customer left join ({_load_sql()}) as l on athlete_id = nullif(c_custkey, 0)""",
 }
+
+SQL["squad_heatmap"] = f"""
+    select c_custkey as user_id, s.date as session_date, value, n, acwr, zone
+    from customer left join ({SQL['squad_load']}) as s on s.user_id = c_custkey
+    left join (select user_id, {day_text('cast(ts as date)')} as date, max(value) as value,
+                      count(*) as n from events group by user_id, cast(ts as date)) as b
+      on b.user_id = s.user_id and b.date = s.date"""

@@ -26,16 +26,21 @@ def tokens(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
 
 
-def term_index(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, n_tokens, term, tf)``. Write it once and search it often."""
+def _occurrences(docs: DataFrame, doc: str, text: str) -> DataFrame:
+    """``(doc, n_tokens, term)``, one row per token."""
     # The length is taken before the explosion, or every token's row would carry the whole array.
     words = docs.select(doc, tokens(text).alias("_tokens")).withColumn("n_tokens",
                                                                        F.size("_tokens"))
     # The outer form keeps Spark from testing the token array in a filter of its own, which would
     # split every text again.
-    flat = words.select(doc, "n_tokens", F.explode_outer("_tokens").alias("term")).where(
+    return words.select(doc, "n_tokens", F.explode_outer("_tokens").alias("term")).where(
         F.col("term").isNotNull())
-    return flat.groupBy(doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def term_index(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc, n_tokens, term, tf)``. Write it once and search it often."""
+    return _occurrences(docs, doc, text).groupBy(doc, "n_tokens", "term").agg(
+        F.count(F.lit(1)).alias("tf"))
 
 
 def corpus_size(docs: DataFrame, *, text: str = "text") -> DataFrame:
@@ -54,8 +59,13 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, *, k: int = 5, query: str = "
     asked = queries.select(F.col(query).alias(query),
                            F.explode(F.array_distinct(tokens(query_text))).alias("term"))
     wanted = asked.select("term").distinct()
-    postings = (index if index is not None else term_index(docs, doc=doc, text=text)).join(
-        wanted, "term", "left_semi")
+    # Placed by document once, what is left of the index is counted and later summed per query and
+    # document without moving again. A document is one input row, so no place gets too much.
+    if index is None:
+        kept = _occurrences(docs, doc, text).join(wanted, "term", "left_semi").repartition(doc)
+        postings = kept.groupBy(doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
+    else:
+        postings = index.join(wanted, "term", "left_semi").repartition(doc)
     # Counting through ``tf`` keeps this branch identical up to the shuffle, which is then reused
     # and the texts are read once for both.
     freq = postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))

@@ -131,6 +131,20 @@ def squad_load(df: DataFrame, *, keys: list[str], day: str = "day",
     return out.withColumn("zone", acwr_zone(F.col("acwr")))
 
 
+def squad_heatmap(ids: DataFrame, results: DataFrame, *, athlete: str = "vald_id",
+                  day: str = "recorded_date", value: str = "value") -> DataFrame:
+    """Session best next to load ratio and zone for each athlete of a squad and each of their
+    days; athletes without results keep one row."""
+    best = squad_metric(ids, results, athlete=athlete, day=day, value=value)
+    # The load is computed for the squad's athletes only and shares their key's shuffle.
+    keyed = results.withColumn("_id", F.upper(F.col(athlete).cast("string")))
+    squad = ids.select(F.upper(F.col(athlete).cast("string")).alias("_id")).distinct()
+    load = squad_load(keyed.join(squad, "_id", "left_semi"), keys=["_id"], day=day, value=value)
+    load = load.select("_id", F.col("date").alias("session_date"), "acwr", "zone")
+    left = best.withColumn("_id", F.upper(F.col(athlete).cast("string")))
+    return left.join(load, ["_id", "session_date"], "left").drop("_id")
+
+
 def latest_non_null(df: DataFrame, *, keys: list[str], order: list[Column],
                     values: list[str]) -> DataFrame:
     """Per key the newest non-null value of each column."""
