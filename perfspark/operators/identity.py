@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import linkage
 from ..functions.numbers import iso, present, round_py, to_day
-from ..functions.similarity import lcs_pairs, token_set_ratio, token_set_scores
+from ..functions.similarity import lcs_pairs, token_set_scores
 from ..plans.blocks import block_best, block_best_within
 from ..plans.shapes import latest
 
@@ -104,53 +104,78 @@ def _dated(df: DataFrame, out: str) -> DataFrame:
     return df.withColumn(out, iso(to_day("dob"))).where(F.col(out).isNotNull())
 
 
-def born_together(inputs: DataFrame, roster: DataFrame) -> DataFrame:
+def born_together(inputs: DataFrame, roster: DataFrame,
+                  given: DataFrame | None = None) -> DataFrame:
     """Roster entries with an input's exact, trusted birth date that can be its best candidate:
     ``(key, player_id, score)``.
 
     Among equal birth dates only the sport (agreeing or in conflict), a shared distinctive token
     and the name score decide, and within each of the four classes a higher score is never worse.
-    One entry per class and block is therefore enough, however many share the date."""
+    One entry per class and block is therefore enough, however many share the date. Name pairs in
+    ``given`` (``name``, ``full_name``) are left out: their score comes from elsewhere."""
     def described(df: DataFrame, name: str) -> list[Column]:
         return [linkage.distinctive(linkage.name_tokens(F.col(name))).alias("_tokens"),
                 linkage.normal_sport(F.col("sport")).alias("_sport"), F.col(name).alias("_n")]
 
-    left = _dated(inputs, "_dob").where(~linkage.is_placeholder(F.col("_dob"))).select(
-        "_dob", "key", *described(inputs, "name"))
+    dated = _dated(inputs, "_dob").where(~linkage.is_placeholder(F.col("_dob")))
+    left = dated.select("_dob", "key", *described(inputs, "name"),
+                        F.lit(None).cast("string").alias("_skip"))
+    if given is not None:
+        # Pairs to leave out travel with their input into its blocks.
+        left = left.unionByName(
+            dated.join(given.select("name", F.col("full_name").alias("_skip")), "name")
+            .select("_dob", "key", "_skip"), allowMissingColumns=True)
     right = _dated(roster, "_dob").select("_dob", "player_id", *described(roster, "full_name"))
 
     def scorer(lpdf: pd.DataFrame, rpdf: pd.DataFrame):
-        li, ri, score = _block_scores(lpdf["_n"].tolist(), rpdf["_n"].tolist(), 0.0)
-        lt, rt = [set(t) for t in lpdf["_tokens"]], [set(t) for t in rpdf["_tokens"]]
+        at = np.flatnonzero(lpdf["_skip"].isna().to_numpy())
+        people = lpdf.iloc[at]
+        skips = defaultdict(set)
+        for key, name in zip(lpdf["key"], lpdf["_skip"], strict=True):
+            if isinstance(name, str):
+                skips[key].add(name)
+        li, ri, score = _block_scores(people["_n"].tolist(), rpdf["_n"].tolist(), 0.0)
+        keys, rnames = people["key"].tolist(), rpdf["_n"].tolist()
+        if skips:
+            kept = np.array([rnames[j] not in skips.get(keys[i], ())
+                             for i, j in zip(li, ri, strict=True)], dtype=bool)
+            li, ri, score = li[kept], ri[kept], score[kept]
+        lt, rt = [set(t) for t in people["_tokens"]], [set(t) for t in rpdf["_tokens"]]
         token = np.array([not lt[i].isdisjoint(rt[j]) for i, j in zip(li, ri, strict=True)],
                          dtype=int)
-        ls, rs = lpdf["_sport"].to_numpy(object)[li], rpdf["_sport"].to_numpy(object)[ri]
+        ls, rs = people["_sport"].to_numpy(object)[li], rpdf["_sport"].to_numpy(object)[ri]
         clash = np.array([isinstance(a, str) and isinstance(b, str) and a != b
                           for a, b in zip(ls, rs, strict=True)], dtype=int)
         # Scores count as whole numbers; ties within one go to the smaller id.
-        return li, ri, np.floor(score), 2 * clash + token
+        return at[li], ri, np.floor(score), 2 * clash + token
 
     return block_best_within(left, right, on="_dob", left_id="key", right_id="player_id",
                              scorer=scorer)
 
 
-def candidate_pool(inputs: DataFrame, roster: DataFrame, *, every_dob: bool = False) -> DataFrame:
-    """``(key, player_id, local_score)``: similar names united with equal, trusted birth dates.
+def _given_dobs(inputs: DataFrame, roster: DataFrame, given: DataFrame) -> DataFrame:
+    """``(key, player_id)`` of equal, trusted birth dates among the name pairs scored elsewhere.
+    Of entries alike in name, birth date and sport the smallest id stands for all."""
+    dated = _dated(inputs, "_dob").where(~linkage.is_placeholder(F.col("_dob")))
+    entries = _dated(roster, "_dob").groupBy("full_name", "_dob", "sport").agg(
+        F.min("player_id").alias("player_id"))
+    return (dated.select("key", "name", "_dob").join(given.select("name", "full_name"), "name")
+            .join(entries, ["full_name", "_dob"]).select("key", "player_id"))
+
 
-    ``every_dob`` lists all entries of a birth date, without a score, for scoring from outside."""
-    named = similar_names(inputs, roster)
-    by_name = inputs.join(named, "name").select(
+def candidate_pool(inputs: DataFrame, roster: DataFrame,
+                   given: DataFrame | None = None) -> DataFrame:
+    """``(key, player_id, local_score)``: similar names united with equal, trusted birth dates.
+    Pairs known only through ``given`` have no local score."""
+    by_name = inputs.join(similar_names(inputs, roster), "name").select(
         "key", "player_id", F.floor("score").cast("int").alias("local_score"))
-    if every_dob:
-        trusted = _dated(inputs, "_dob").where(~linkage.is_placeholder(F.col("_dob")))
-        born = _dated(roster, "_rdob")
-        by_dob = trusted.join(born, F.col("_dob") == F.col("_rdob")).select(
-            "key", "player_id", F.lit(None).cast("int").alias("local_score"))
-    else:
-        by_dob = born_together(inputs, roster).select(
-            "key", "player_id", F.col("score").cast("int").alias("local_score"))
-    return by_name.unionByName(by_dob).groupBy("key", "player_id").agg(
-        F.max("local_score").alias("local_score"))
+    by_dob = born_together(inputs, roster, given).select(
+        "key", "player_id", F.col("score").cast("int").alias("local_score"))
+    pool = by_name.unionByName(by_dob)
+    if given is not None:
+        pool = pool.unionByName(_given_dobs(inputs, roster, given).withColumn(
+            "local_score", F.lit(None).cast("int")))
+    return pool.groupBy("key", "player_id").agg(F.max("local_score").alias("local_score"))
 
 
 def judge(pairs: DataFrame, score: Column) -> DataFrame:
@@ -203,16 +228,16 @@ def resolve_entities(inputs: DataFrame, roster: DataFrame,
         F.col("sport").alias("sams_sport"), F.col("full_name").alias("sams_name"),
         *[(F.col(c) if c in roster.columns else F.lit(None).cast("string")).alias(c)
           for c in ("mrn", "photo_url")])
-    pool = candidate_pool(inputs, roster, every_dob=scores is not None)
-    pairs = pool.join(inputs.select("key", "name", "dob", "sport"), "key").join(people, "player_id")
-    known = F.col("local_score")
+    given = None
     if scores is not None:
         given = scores.groupBy(F.col("name_a").alias("name"), F.col("name_b").alias("full_name")) \
             .agg(F.max("score").cast("int").alias("_given"))
+    pool = candidate_pool(inputs, roster, given)
+    pairs = pool.join(inputs.select("key", "name", "dob", "sport"), "key").join(people, "player_id")
+    known = F.col("local_score")
+    if given is not None:
         pairs = pairs.join(given, ["name", "full_name"], "left")
         known = F.coalesce("_given", known)
-        pairs = _fill_scores(pairs, known)
-        known = F.col("_score")
     judged = judge(pairs, known)
     best = best_candidates(judged)
     out = inputs.select("key", "name").join(
@@ -224,16 +249,6 @@ def resolve_entities(inputs: DataFrame, roster: DataFrame,
         "confidence": F.coalesce("confidence", F.lit(0))})
 
 
-def _fill_scores(pairs: DataFrame, known: Column) -> DataFrame:
-    """Similarity of the pairs that have no score yet. Pairs that have one go to the scorer as
-    blanks, which cost nothing there."""
-    rows = pairs.withColumn("_known", known)
-    blank = F.col("_known").isNotNull()
-    local = token_set_ratio(F.when(blank, F.lit("")).otherwise(F.col("name")),
-                            F.when(blank, F.lit("")).otherwise(F.col("full_name")))
-    return rows.withColumn("_score", F.coalesce("_known", F.floor(local).cast("int")))
-
-
 # --- the ladder ------------------------------------------------------------------------------
 
 LADDER_FIELDS = ["sams_id", "sams_name", "verdict", "confidence", "best_candidate",

@@ -41,7 +41,7 @@ def marks_from_results(results: DataFrame, *, athlete: str = "athlete_id",
                        value: str = "Result_numerical", dob: str = "date_of_birth",
                        seq: str | None = None, lower: str | bool | None = None,
                        age_range: tuple[float, float] = AGE_RANGE,
-                       chunk: str = "month") -> DataFrame:
+                       chunk: str = "day") -> DataFrame:
     """Age, mark and personal-best flag of every result.
 
     A mark is a personal best when it is strictly better than all earlier ones of the athlete in
@@ -227,7 +227,7 @@ def benchmark_inputs(results: DataFrame, standards: DataFrame, norms: DataFrame,
                      dob: str = "date_of_birth", sex: str = "sex", seq: str | None = None,
                      extra_refs: DataFrame | None = None,
                      pct: tuple[int, ...] = BAND_PERCENTILES,
-                     chunk: str = "month") -> BenchmarkInputs:
+                     chunk: str = "day") -> BenchmarkInputs:
     """Marks with direction and format, reference lines and norm bands.
 
     The standard of the athlete's sex decides the direction and format of an event; without one

@@ -95,8 +95,8 @@ def _brute(inputs, people):
     return pools
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_resolver_against_brute_force(spark, seed, monkeypatch):
+@pytest.mark.parametrize(("seed", "outside"), [(1, False), (2, False), (3, True), (4, True)])
+def test_resolver_against_brute_force(spark, seed, outside, monkeypatch):
     """Small blocks, many equal names and one birth date held by a third of the roster."""
     rng = random.Random(seed)
     words = ["ali", "omar", "noufal", "Saad", "Khalifa", "Samba", "fadeel", "Al-Sadi", "Zed", "Qi"]
@@ -115,13 +115,21 @@ def test_resolver_against_brute_force(spark, seed, monkeypatch):
         spark.createDataFrame([(k, p) for k, pool in pools.items() for p in pool], "key string, player_id int"),
         "key").join(roster.select("player_id", "full_name", F.col("dob").alias("sams_dob"),
                                   F.col("sport").alias("sams_sport")), "player_id")
-    judged = identity.judge(pairs, F.floor(token_set_ratio("name", "full_name")))
+    score, given = F.floor(token_set_ratio("name", "full_name")), None
+    if outside:
+        names = sorted({(a, n) for _, a, *_ in inputs for _, n, *_ in people})
+        given = spark.createDataFrame([(a, n, rng.randint(0, 100)) for a, n in names if rng.random() < 0.4],
+                                      "name_a string, name_b string, score int")
+        told = given.select(F.col("name_a").alias("name"), F.col("name_b").alias("full_name"), "score")
+        pairs = pairs.join(told, ["name", "full_name"], "left")
+        score = F.coalesce("score", score)
+    judged = identity.judge(pairs, score)
     want = {r.key: tuple(r[1:]) for r in identity.best_candidates(
         judged, fields=["player_id", "verdict", "confidence", "name_score"]).collect()}
     from perfspark.plans import blocks
     monkeypatch.setattr(blocks, "_blocks", lambda rows, size: max(1, rows // 17))
     got = {r.key: (r.candidate_player_id, r.verdict, r.confidence, r.name_score)
-           for r in identity.resolve_entities(full_inputs.repartition(3), roster.repartition(5)).collect()
+           for r in identity.resolve_entities(full_inputs.repartition(3), roster.repartition(5), given).collect()
            if r.verdict != "no_match"}
     assert got == want
 
