@@ -16,7 +16,7 @@ def dob_relation(spark, d):
     """Order and ship dates as two records of one birth date."""
     rows = table(spark, d, "lineitem").join(
         table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    rel = linkage.dob_relation(iso("o_orderdate"), iso("l_shipdate"))
+    rel = linkage.dob_relation(F.to_date("o_orderdate"), F.to_date("l_shipdate"))
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", rel.alias("r")).select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("r.rel").alias("rel"),
         round_py("r.gap", 2).alias("gap"))

@@ -34,11 +34,8 @@ NAMES = dict(athlete="o_custkey", event="event", date="o_orderdate", value="o_to
              dob="dob")
 
 
-def norm_table(spark, d) -> DataFrame:
-    """Norms by event, implement and age bin: worst, quarter points around the mean, best.
-
-    A reference table: a few rows per event, kept as a table of its own so that the rules applied
-    to its rows are not pushed down to the results it was made from."""
+def norm_rows(spark, d) -> DataFrame:
+    """Norms by event, implement and age bin: worst, quarter points around the mean, best."""
     aged = norms.aged_results(results(spark, d), date="o_orderdate", value="o_totalprice",
                               dob="dob")
     centre = ev.age_band_centre(F.col("_age"))
@@ -50,8 +47,14 @@ def norm_table(spark, d) -> DataFrame:
     worst, best = (F.when(F.col("low"), F.col(x)).otherwise(F.col(y))
                    for x, y in (("b", "a"), ("a", "b")))
     m = F.col("m")
-    return cut(g.select("event", "age_bin", worst.alias("p0"), ((worst + m) / 2).alias("p25"),
-                    m.alias("p50"), ((m + best) / 2).alias("p75"), best.alias("p100")))
+    return g.select("event", "age_bin", worst.alias("p0"), ((worst + m) / 2).alias("p25"),
+                    m.alias("p50"), ((m + best) / 2).alias("p75"), best.alias("p100"))
+
+
+def norm_table(spark, d) -> DataFrame:
+    """The norms as a reference table of their own (a few rows per event), so that the rules
+    applied to its rows are not pushed down to the results it was made from."""
+    return cut(norm_rows(spark, d))
 
 
 def standards(spark, d) -> DataFrame:
@@ -104,7 +107,7 @@ def standard_lines(spark, d):
 
 
 def benchmark_inputs(spark, d):
-    made = norms.benchmark_inputs(results(spark, d), standards(spark, d), norm_table(spark, d),
+    made = norms.benchmark_inputs(results(spark, d), standards(spark, d), norm_rows(spark, d),
                                   seq="o_orderkey", sex="sex", **NAMES)
     return made.marks.withColumn("date", iso("date"))
 
@@ -114,7 +117,7 @@ def reference_lines(spark, d):
     r = results(spark, d)
     best = r.groupBy("event").agg(F.max("o_totalprice").alias("y")).select(
         "event", F.lit("M").alias("sex"), "y", F.lit("Best").alias("label"))
-    made = norms.benchmark_inputs(r, standards(spark, d), norm_table(spark, d), sex="sex",
+    made = norms.benchmark_inputs(r, standards(spark, d), norm_rows(spark, d), sex="sex",
                                   extra_refs=best, **NAMES)
     return made.reference_lines
 

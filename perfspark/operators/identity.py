@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import linkage
-from ..functions.numbers import iso, present, round_py, to_day
+from ..functions.numbers import present, round_py, to_day
 from ..functions.similarity import lcs_pairs, token_set_scores
 from ..plans.blocks import block_best, block_best_within
 from ..plans.shapes import latest
@@ -101,7 +101,7 @@ def similar_names(names: DataFrame, roster: DataFrame, *, name: str = "name",
 
 
 def _dated(df: DataFrame, out: str) -> DataFrame:
-    return df.withColumn(out, iso(to_day("dob"))).where(F.col(out).isNotNull())
+    return df.withColumn(out, to_day("dob")).where(F.col(out).isNotNull())
 
 
 def born_together(inputs: DataFrame, roster: DataFrame,
@@ -181,21 +181,25 @@ def candidate_pool(inputs: DataFrame, roster: DataFrame,
 def judge(pairs: DataFrame, score: Column) -> DataFrame:
     """Adds relation, tokens, verdict and confidence to rows with both sides' name, birth date and
     sport (``name``/``dob``/``sport`` against ``full_name``/``sams_dob``/``sams_sport``)."""
-    rel = linkage.dob_relation(F.col("dob"), F.col("sams_dob"))
+    # Each step is a column of its own: dates are parsed and tokens compared once per pair.
     rows = pairs.withColumns({
-        "name_score": score.cast("int"), "_dob": rel,
+        "name_score": score.cast("int"), "_a": to_day("dob"), "_b": to_day("sams_dob"),
         "_shared": F.array_intersect(linkage.name_tokens(F.col("name")),
                                      linkage.name_tokens(F.col("full_name"))),
-        "sport_ok": linkage.sport_agrees(F.col("sport"), F.col("sams_sport"))})
-    n = F.size(linkage.distinctive(F.col("_shared")))
-    r, gap = F.col("_dob")["rel"], F.col("_dob")["gap"]
+        "_s": linkage.normal_sport(F.col("sport")), "_t": linkage.normal_sport(F.col("sams_sport"))})
+    rows = rows.withColumns({
+        "_dob": linkage.dob_relation(F.col("_a"), F.col("_b")),
+        "_n": F.size(linkage.distinctive(F.col("_shared"))),
+        "sport_ok": F.col("_s") == F.col("_t")})
+    r, gap, n = F.col("_dob")["rel"], F.col("_dob")["gap"], F.col("_n")
     return rows.withColumns({
         "verdict": linkage.verdict(F.col("name_score"), r, gap, n, F.col("sport_ok")),
         "confidence": linkage.confidence(F.col("name_score"), r, n).cast("int"),
         "dob_exact": F.coalesce(r == "exact", F.lit(False)),
         "dob_swapped": F.coalesce(r == "swapped", F.lit(False)),
         "dob_gap": round_py(gap, 2),
-        "shared_tokens": F.array_join(F.array_sort("_shared"), " ")}).drop("_dob", "_shared")
+        "shared_tokens": F.array_join(F.array_sort("_shared"), " ")}).drop(
+        "_dob", "_shared", "_a", "_b", "_n", "_s", "_t")
 
 
 CANDIDATE_FIELDS = ["player_id", "sams_name", "sams_dob", "sams_sport", "name_score", "dob_exact",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from perfspark.functions import linkage
 from perfspark.functions.ids import sanitize_columns, split_bad_ids, uuid5
+from perfspark.functions.numbers import to_day
 from perfspark.functions.similarity import token_set_ratio, token_set_scores
 from perfspark.operators import identity
 
@@ -60,7 +61,7 @@ def test_relations_tokens_sports(spark):
     pairs = [("2004-06-15", "2004-06-15"), ("2010-03-07", "2010-07-03"),
              ("2004-06-15", "2004-11-29"), ("2007-01-01", "2007-01-01"), (None, "2004-06-15")]
     df = spark.createDataFrame(pairs, "a string, b string")
-    got = [r[0] for r in df.select(linkage.dob_relation(F.col("a"), F.col("b"))).collect()]
+    got = [r[0] for r in df.select(linkage.dob_relation(to_day("a"), to_day("b"))).collect()]
     assert [g.rel for g in got] == ["exact", "swapped", None, None, None]
     assert got[0].gap == 0.0 and 0.4 < got[2].gap < 0.5 and got[4].gap is None
     names = spark.createDataFrame([("Al-Sahoti Bin Saleh",)], "n string")
