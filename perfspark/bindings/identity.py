@@ -78,6 +78,15 @@ def name_tokens(spark, d):
         F.size(linkage.distinctive(F.col("t"))).alias("n_distinctive"))
 
 
+def similar_names(spark, d):
+    """The four parts most similar in name to each part name."""
+    p = table(spark, d, "part")
+    names = p.select(F.col("p_name").alias("name"))
+    people = p.select(F.col("p_partkey").alias("player_id"), F.col("p_name").alias("full_name"))
+    out = identity.similar_names(names, people)
+    return out.select("name", "player_id", round_py("score", 6).alias("score"))
+
+
 def resolve_entities(spark, d):
     """Suppliers linked to customers by name and a birth date that some of them share."""
     def born(balance: str) -> Column:
@@ -226,7 +235,8 @@ def athletes_by_mrn(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    dob_relation, verdict, best_candidate, token_set, name_tokens, resolve_entities, ladder,
+    dob_relation, verdict, best_candidate, token_set, similar_names, name_tokens,
+    resolve_entities, ladder,
     row_uid, resolve_ids, mrn_lookup, current_enrollment, athlete_cards, sport_roster,
     search_players, lookup_either, athletes_by_mrn)}
 
@@ -263,9 +273,9 @@ JUDGED = f"""
 def _lcs(x: str, y: str) -> str:
     """Longest common subsequence by a fold over the letters of ``x`` whose accumulator is the
     running row of best lengths over the letters of ``y``."""
-    cell = (f"list_append(r, greatest(r[len(r)], prev[len(r) + 1], "
-            f"prev[len(r)] + case when {y}[len(r)] = ch then 1 else 0 end))")
-    row = f"list_reduce(range(0, length({y})), lambda r, j: {cell}, [0])"
+    cell = ("list_append(r, greatest(r[len(r)], prev[len(r) + 1], "
+            "prev[len(r)] + case when c = ch then 1 else 0 end))")
+    row = f"list_reduce(string_split({y}, ''), lambda r, c: {cell}, [0])"
     return (f"list_last(list_reduce(string_split({x}, ''), lambda prev, ch: {row}, "
             f"list_transform(range(0, length({y}) + 1), lambda z: 0)))")
 
@@ -401,3 +411,56 @@ SQL["token_set"] = f"""
                from lens)
     select p_partkey, {sql_round('s1', 6)} as near, {sql_round('s2', 6)} as far
     from part join scores on p_name = a and lower(p_type) = t and p_brand = b"""
+
+SQL["similar_names"] = f"""
+    with names as (select distinct p_name as n, split_part(p_name, ' ', 1) as w1,
+                          split_part(p_name, ' ', 2) as w2 from part),
+    pairs as (select a.n as a, b.n as b,
+                case when a.w1 = b.w1 then a.w1 when a.w2 = b.w2 then a.w2 end as w,
+                case when a.w1 = b.w1 then a.w2 when a.w2 = b.w2 then a.w1
+                     else least(a.w1, a.w2) || ' ' || greatest(a.w1, a.w2) end as x,
+                case when a.w1 = b.w1 then b.w2 when a.w2 = b.w2 then b.w1
+                     else least(b.w1, b.w2) || ' ' || greatest(b.w1, b.w2) end as y
+              from names as a, names as b),
+    lens as (select *, length(x) as lx, length(y) as ly, length(w) as lw, {_lcs('x', 'y')} as m
+             from pairs),
+    scores as (select a, b, case when a = b then 100e0
+                 when w is null then 100e0 - 100e0*(lx + ly - 2*m)/(lx + ly)
+                 else greatest(100e0 - 100e0*(lx + ly - 2*m)/(2*(lw + 1) + lx + ly),
+                               100e0 - 100e0*(1 + lx)/(2*lw + 1 + lx),
+                               100e0 - 100e0*(1 + ly)/(2*lw + 1 + ly)) end as score
+               from lens)
+    select a as name, p_partkey as player_id, {sql_round('score', 6)} as score
+    from (select a, p_partkey, score, row_number() over (partition by a
+            order by score desc, p_partkey) as k
+          from scores join part on p_name = b where score >= 55) where k <= 4"""
+
+SQL["resolve_entities"] = f"""
+    with i as (select s_suppkey as key, s_name as name,
+                 date '2010-06-15' - cast(floor(abs(s_acctbal)) as integer) as a from supplier),
+    r as (select c_custkey as pid, c_name as y, c_mktsegment = 'MACHINERY' as clash,
+            date '2010-06-15' - cast(floor(abs(c_acctbal)) as integer) as b from customer),
+    s as (select key, name, pid, a, b, clash, length(name) + length(y) as total,
+                 {_lcs('name', 'y')} as m from i, r),
+    t as (select *, 100e0 - 100e0*(total - 2*m)/total as score from s),
+    k as (select *, row_number() over (partition by key order by score desc, pid) as nth from t),
+    c0 as (select *, floor(score) as ns, {REL} as rel, abs(a - b)/365.25e0 as gap from k
+           where (nth <= 4 and score >= 55) or (a = b and not (month(a) = 1 and day(a) = 1))),
+    c1 as (select *, rel is not null as strong from c0),
+    c as (select *, case when clash and not strong then 'reject'
+            when strong and not clash and ns >= 85 then 'auto'
+            when ns >= 92 and gap <= 1 and not clash then 'auto'
+            when ns >= 88 and strong and not clash then 'auto'
+            when gap > 2 then 'reject' when strong or ns >= 80 then 'review'
+            else 'reject' end as verdict,
+            least(100, ns + case rel when 'exact' then 18 when 'swapped' then 14 else 0 end)
+              as confidence from c1),
+    best as (select * from (select *, row_number() over (partition by key order by
+               case verdict when 'auto' then 3 when 'review' then 2 else 1 end desc,
+               confidence desc, ns desc, pid) as rn from c) where rn = 1)
+    select i.key, i.name, case when verdict = 'auto' then pid end as player_id,
+           pid as candidate_player_id, coalesce(verdict, 'no_match') as verdict,
+           cast(coalesce(confidence, 0) as integer) as confidence, cast(ns as integer)
+             as name_score, case when pid is not null then coalesce(rel = 'exact', false) end
+             as dob_exact
+    from i left join best on best.key = i.key"""

@@ -59,7 +59,7 @@ def _block_scores(lnames: list[str], rnames: list[str], floor: float, k: int | N
             sharing[i, holders.get(t, [])] = True
     li, ri = np.nonzero(maybe & ~sharing)
     both = np.array([len(x) for x in ljoin])[li] + np.array([len(x) for x in rjoin])[ri]
-    scores = 200.0 * lcs_pairs(ljoin, rjoin, li, ri) / np.maximum(both, 1)
+    scores = 100.0 - 100.0 * (both - 2 * lcs_pairs(ljoin, rjoin, li, ri)) / np.maximum(both, 1)
     si, sj = np.nonzero(sharing)
     shared = token_set_scores([lnames[i] for i in si], [rnames[j] for j in sj])
     li, ri = np.concatenate([li, si]), np.concatenate([ri, sj])
