@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, functions as F
 
+from .numbers import lookup
+
 # Words (case-sensitive) that mark a field event, where higher is better.
 FIELD_WORDS = ["Jump", "Vault", "Throw", "Put", "Discus", "Hammer", "Javelin"]
 
@@ -84,16 +88,15 @@ def bin_centre(label: Column) -> Column:
 
 def norm_base(event: Column) -> Column:
     """Norm-table base event of an event name, NULL when there is no norm."""
-    table = F.create_map(*[F.lit(x) for kv in NORM_EVENTS.items() for x in kv])
-    return F.try_element_at(table, F.trim(event))
+    return lookup(NORM_EVENTS, F.trim(event))
 
 
 def norm_variant(base: Column, age: Column) -> Column:
     """The implement or hurdle variant of the base event for an age; the base when age is NULL."""
-    steps = F.create_map(*[c for event, rows in IMPLEMENTS.items() for c in (
-        F.lit(event),
-        F.array(*[F.struct(F.lit(below).alias("below"), F.lit(f"{event} {suffix}".strip())
-                           .alias("name")) for below, suffix in rows]))])
+    steps = F.from_json(F.lit(json.dumps(
+        {event: [{"below": below, "name": f"{event} {suffix}".strip()} for below, suffix in rows]
+         for event, rows in IMPLEMENTS.items()})),
+        "map<string,array<struct<below:int,name:string>>>")
     fitting = F.filter(F.try_element_at(steps, base), lambda s: age < s["below"])
     return F.coalesce(F.get(fitting, F.lit(0))["name"], base)
 
@@ -107,14 +110,12 @@ def family_of(norm_event: Column) -> Column:
     variants = {b: b for b in NORM_EVENTS.values()}
     for base, steps in IMPLEMENTS.items():
         variants.update({f"{base} {suffix}".strip(): base for _, suffix in steps})
-    table = F.create_map(*[F.lit(x) for kv in variants.items() for x in kv])
-    return F.try_element_at(table, norm_event)
+    return lookup(variants, norm_event)
 
 
 def rebound_field(alias: Column) -> Column:
     """Stored field name of an alias; unknown aliases pass through."""
-    table = F.create_map(*[F.lit(x) for k, (raw, _) in REBOUND_FIELDS.items() for x in (k, raw)])
-    return F.coalesce(F.try_element_at(table, alias), alias)
+    return F.coalesce(lookup({k: raw for k, (raw, _) in REBOUND_FIELDS.items()}, alias), alias)
 
 
 def rebound_takes_min(alias: Column) -> Column:

@@ -22,6 +22,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def words(values: list[str]) -> Column:
+    """A constant array of texts, folded by Spark before execution. Built from one literal: each
+    literal of its own costs a call into the JVM whenever a plan is made."""
+    return F.split(F.lit("|".join(values)), r"\|")
+
+
+def lookup(table: dict, key: Column) -> Column:
+    """The value of a constant text-to-text table, NULL for other keys."""
+    pairs = "|".join(f"{k}~{v}" for k, v in table.items())
+    return F.try_element_at(F.str_to_map(F.lit(pairs), F.lit(r"\|"), F.lit("~")), key)
+
+
 def once(value: Column, use) -> Column:
     """``use(value)`` with the value computed a single time, for use within lambdas, where Spark
     does not share repeated subexpressions."""

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import events
-from ..functions.numbers import day_of, decimal_age, finite, num_of, round_py
+from ..functions.numbers import day_of, decimal_age, finite, lookup, num_of, round_py
 from ..plans.shapes import latest, running_min
 
 AGE_RANGE = (8, 40)
@@ -169,8 +169,8 @@ def norm_bands(norms: DataFrame, *, event_names: list[str] | None = None,
     """Percentile bands per event and age centre, with the age-correct implement at each age (the
     base event where that is missing). Rows without any value are dropped."""
     wanted = list(dict.fromkeys([*pct, *([elite] if elite is not None else [])]))
-    names = {c.lower(): c for c in norms.columns}
-    values = [(num_of(norms, names[f"p{p}"]) if f"p{p}" in names
+    there = {c.lower(): c for c in norms.columns}
+    values = [(num_of(norms, there[f"p{p}"]) if f"p{p}" in there
                else F.lit(None).cast("double")).alias(f"p{p}") for p in wanted]
     rows = norms.select(F.col("event").cast("string").alias("norm_event"),
                         events.bin_centre(F.col("age_bin")).alias("age"), *values)
@@ -183,9 +183,8 @@ def norm_bands(norms: DataFrame, *, event_names: list[str] | None = None,
     picked = latest(rows.where(F.col("_pref").isNotNull()), ["base", "age"],
                     [F.col("_pref"), *[F.col(c) for c in cols]], columns=cols, newest=False)
     picked = picked.where(F.coalesce(*[F.col(c) for c in cols]).isNotNull())
-    table = F.create_map(*[F.lit(x) for name, base in events.NORM_EVENTS.items()
-                           for x in (base, name)])
-    out = picked.select(F.try_element_at(table, F.col("base")).alias("event"), "age", *cols)
+    names = {base: name for name, base in events.NORM_EVENTS.items()}
+    out = picked.select(lookup(names, F.col("base")).alias("event"), "age", *cols)
     return out if event_names is None else out.where(F.col("event").isin(event_names))
 
 
