@@ -23,8 +23,8 @@ def sql_round(x: str, digits: int) -> str:
 
 
 def sql_sum(x: str) -> str:
-    """SQL for the order-independent total."""
-    return f"(cast(sum(cast(round_even(({x})*1e6, 0) as bigint)) as double)/1e6)"
+    """SQL for a plain total of doubles, compensated against the order of rows."""
+    return f"fsum(cast(({x}) as double))"
 
 
 def sql_mean(x: str) -> str:

@@ -60,12 +60,14 @@ def multi_query(spark, d):
     return retrieval.fuse_variants(keyed, k=K)
 
 
-def corpus_stats(spark, d):
-    return retrieval.corpus_stats(table(spark, d, "documents"))
+#: Characters of a chunk, to count the chunks of a document.
+CHUNK_CHARS = 1000
 
 
-def source_stats(spark, d):
-    return retrieval.source_stats(table(spark, d, "documents"), chunks="n_chars", posted="doc_id")
+def corpus_stats(spark, d):
+    """Documents, chunks and the highest number per source and in total."""
+    return retrieval.corpus_stats(table(spark, d, "documents"),
+                                  chunks=F.ceil(F.col("n_chars") / CHUNK_CHARS), posted="doc_id")
 
 
 def doc_reassembly(spark, d):
@@ -111,7 +113,7 @@ def scan_summary(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    bm25_topk, bm25_by_source, vector_topk, hybrid_rrf, multi_query, corpus_stats, source_stats,
+    bm25_topk, bm25_by_source, vector_topk, hybrid_rrf, multi_query, corpus_stats,
     doc_reassembly, leak_scan, word_scan, deny_list, scan_summary)}
 
 
@@ -203,14 +205,13 @@ SQL = {
                      {_tokens('text')}, lambda t: length(t) >= 6), ' ') from benchmark),
         {_bm25('select * from w', 'wording')}
         {_fused('select wording//10 as query_id, doc_id, rank from words')}""",
-    "corpus_stats": """
-        select source, count(*) as n_docs, cast(sum(n_chars) as bigint) as n_chars
+    "corpus_stats": f"""
+        select source, count(*) as n_docs,
+               cast(sum(ceil(n_chars/{CHUNK_CHARS}e0)) as bigint) as n_chunks,
+               max(doc_id) as latest, grouping(source) = 1 as is_total
         from documents group by rollup (source)""",
-    "source_stats": """
-        select source, count(*) as n_docs, cast(sum(n_chars) as bigint) as n_chunks,
-               max(doc_id) as latest from documents group by source""",
     "doc_reassembly": """
-        select conv_id, 0 as part, count(*) as n_chunks,
+        select conv_id, count(*) as n_chunks,
                string_agg('[' || role || '] ' || text, chr(10) order by turn) as text
         from conversations group by conv_id""",
     "leak_scan": f"with {TEXTS} {_scan(leakscan.PATTERNS)}",

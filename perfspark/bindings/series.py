@@ -224,8 +224,7 @@ def _rolled(keys: str) -> str:
                 f"range between interval {days - 1} day preceding and current row)")
 
     def mean(days: int) -> str:
-        return (f"cast(sum(cast(round_even(dailymean*1e6, 0) as bigint)) {frame(days)} as double)"
-                f"/1e6/count(dailymean) {frame(days)}")
+        return f"fsum(dailymean) {frame(days)}/count(dailymean) {frame(days)}"
 
     return f"""
         select {keys}, date, dailymean, {mean(7)} as acute, {mean(28)} as chronic
@@ -342,7 +341,8 @@ SQL = {
     "dense_series": f"""
         select u.user_id, {day_text('d')} as date, coalesce(load, 0e0) as load
         from (select distinct user_id from events
-              where cast(ts as date) between date '2024-01-30' - 13 and date '2024-01-30') as u
+              where value is not null
+                and cast(ts as date) between date '2024-01-30' - 28 and date '2024-01-30') as u
         cross join (select cast(unnest(generate_series(timestamp '2024-01-17',
                       timestamp '2024-01-30', interval 1 day)) as date) as d) as days
         left join (select user_id, cast(ts as date) as day, {sql_sum('value')} as load

@@ -59,9 +59,11 @@ def body_mass_index(mass: Column, stature: Column) -> Column:
 
 
 def skinfold_total(values: list[Column]) -> Column:
-    """Sum of the sites; NULL when one is missing. Added in fixed point: Spark may share a
-    prefix of two sums, which for doubles would make the last digit depend on the plan."""
-    return reduce(add, [v.cast("decimal(18,6)") for v in values]).cast("double")
+    """Sum of the sites from left to right; NULL when one is missing.
+
+    Folded over an array: Spark may share a prefix of two plain sums, which would make the last
+    digit depend on the plan."""
+    return F.aggregate(F.array(*values), F.lit(0.0), lambda total, v: total + v)
 
 
 def body_density(sum4: Column, age: Column) -> Column:
@@ -116,6 +118,7 @@ def somatotype(v: dict[str, Column]) -> Column:
 def somatotype_text(s: Column) -> Column:
     """``endo-meso-ecto`` with one decimal each."""
     def one(c: Column) -> Column:
-        return round_py(c, 1).cast("decimal(12,1)").cast("string")
+        shown = round_py(c, 1)
+        return F.coalesce(shown.try_cast("decimal(38,1)").cast("string"), shown.cast("string"))
 
     return F.when(s.isNotNull(), F.concat_ws("-", one(s["endo"]), one(s["meso"]), one(s["ecto"])))

@@ -12,10 +12,8 @@ NUMBER_TEXT = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 INTEGER_TEXT = r"^\s*[-+]?[0-9]+\s*$"
 DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
-#: Totals are added as whole millionths: the result does not depend on the order in which
-#: partitions arrive, so a retried task cannot change a last digit.
-UNIT = 1_000_000
-_LOW_BITS = 20
+#: Step of the coarse part of a total; see ``exact_sum``.
+GRID = float(2 ** 20)
 
 
 def _col(c: Column | str) -> Column:
@@ -100,21 +98,17 @@ def present(c: Column | str) -> Column:
     return F.when(s.cast("string") != "", s)
 
 
-def millionths(c: Column | str) -> Column:
-    """A double as a whole number of millionths (up to nine trillion in size)."""
-    return F.rint(_col(c).cast("double") * F.lit(float(UNIT))).cast("long")
+def exact_sum(c: Column | str, over: Column | None = None) -> Column:
+    """Total of a double column, a plain sum whose digits do not depend on the order of rows.
 
-
-def exact_sum(c: Column | str) -> Column:
-    """Order-independent total of a double column, as double.
-
-    High and low parts are added apart as longs, so that neither overflows over any number of
-    rows a group can have, and are put together once per group."""
-    units = millionths(c)
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
-    total = high * F.lit(1 << _LOW_BITS).cast("decimal(10,0)") + low.cast("decimal(20,0)")
-    return total.cast("double") / F.lit(float(UNIT))
+    Each value is split into the nearest multiple of 2**-20 and the rest, both without loss. The
+    multiples add up exactly in any order as long as totals stay below 2**33, the rests are so
+    small that their rounding is far below the last digit of the total. Beyond that it is a usual
+    floating sum: nothing is cut, capped or fails. ``over`` turns both sums into windows."""
+    x = _col(c).cast("double")
+    coarse = F.when(F.abs(x) < F.lit(1e15), F.rint(x * F.lit(GRID)) / F.lit(GRID)).otherwise(x)
+    parts = [F.sum(coarse), F.sum(x - coarse)]
+    return parts[0] + parts[1] if over is None else parts[0].over(over) + parts[1].over(over)
 
 
 def exact_mean(c: Column | str) -> Column:

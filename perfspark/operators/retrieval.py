@@ -152,32 +152,24 @@ def hits(ranked: DataFrame, docs: DataFrame, *, doc: str = "doc_id",
     return ranked.join(docs.select(doc, *columns), doc)
 
 
-def source_stats(docs: DataFrame, *, source: str = "source", chunks: str | None = None,
+def corpus_stats(docs: DataFrame, *, source: str = "source", chunks: Column | None = None,
                  posted: str | None = None) -> DataFrame:
-    """Documents, chunks and newest date per source."""
-    aggs = [F.count(F.lit(1)).alias("n_docs")]
-    if chunks:
-        aggs.append(F.sum(chunks).alias("n_chunks"))
-    if posted:
-        aggs.append(F.max(posted).alias("latest"))
-    return docs.groupBy(source).agg(*aggs)
-
-
-def corpus_stats(docs: DataFrame, **columns) -> DataFrame:
-    """Per-source statistics and the total (``source`` NULL) in one pass."""
-    aggs = [F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("n_chars")]
-    return docs.rollup(columns.get("source", "source")).agg(*aggs)
+    """Documents, chunks and newest date per source and, with a NULL source and ``is_total``, of
+    the whole corpus, in one pass. A document is one chunk unless ``chunks`` counts them."""
+    many = F.count(F.lit(1)) if chunks is None else F.sum(chunks)
+    newest = F.max(posted) if posted else F.lit(None).cast("date")
+    return docs.rollup(source).agg(
+        F.count(F.lit(1)).alias("n_docs"), many.cast("long").alias("n_chunks"),
+        newest.alias("latest"), (F.grouping(source) == 1).alias("is_total"))
 
 
 def reassemble(chunks: DataFrame, *, doc: str, position: str, line: Column,
-               separator: str = "\n", page: int = 10000) -> DataFrame:
-    """Chunks of a document joined in order.
+               separator: str = "\n") -> DataFrame:
+    """All chunks of each document joined in order: ``(doc, n_chunks, text)``, one row each.
 
-    A document comes back in parts of ``page`` positions (nearly always one), so that a document
-    with very many chunks is not gathered into one task."""
-    part = F.floor(F.col(position) / F.lit(page)).cast("long")
-    grouped = chunks.groupBy(doc, part.alias("part")).agg(
+    A document is one text, however many chunks it has, so its lines meet in one row."""
+    grouped = chunks.groupBy(doc).agg(
         F.array_sort(F.collect_list(F.struct(F.col(position).alias("at"), line.alias("line"))))
         .alias("_lines"), F.count(F.lit(1)).alias("n_chunks"))
     text = F.array_join(F.transform("_lines", lambda x: x["line"]), separator)
-    return grouped.select(doc, "part", "n_chunks", text.alias("text"))
+    return grouped.select(doc, "n_chunks", text.alias("text"))

@@ -83,10 +83,10 @@ def _any(df: DataFrame, *names: str) -> Column:
 def picker_rows(players: DataFrame, sports: dict[int, str] | None = None,
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """The picker shape of player rows; rows without a player id are dropped."""
-    rows = players.where(F.col("playerId").isNotNull())
-    sport = F.col("sportId").cast("int")
+    rows = players.where(to_int("playerId").isNotNull())
+    sport = to_int("sportId")
     return rows.select(
-        F.col("playerId").cast("int").alias("player_id"),
+        to_int("playerId").alias("player_id"),
         F.coalesce(_any(players, "fullName", "playerName", "name"), F.lit("")).alias("full_name"),
         (F.col("arabicName") if "arabicName" in players.columns
          else F.lit(None).cast("string")).alias("arabic_name"),
@@ -97,7 +97,7 @@ def picker_rows(players: DataFrame, sports: dict[int, str] | None = None,
          else F.lit(None).cast("boolean")).alias("is_active"), *keep)
 
 
-def search_players(players: DataFrame, text: str = "", *, limit: int | None = 20,
+def search_players(players: DataFrame, text: str = "", *, limit: int | None = None,
                    active_only: bool = True, sports: dict[int, str] | None = None) -> DataFrame:
     """Active players whose name or MRN contains the text, by name, first ``limit``."""
     hits = picker_rows(players, sports)
@@ -113,9 +113,8 @@ def search_players(players: DataFrame, text: str = "", *, limit: int | None = 20
 
 def link_roster(players: DataFrame) -> DataFrame:
     """Named players in the shape record linkage takes."""
-    rows = players.where(F.col("playerId").isNotNull() & (F.col("playerId") != 0)
-                         & present("fullName").isNotNull())
-    return rows.select(F.col("playerId").cast("int").alias("player_id"),
+    rows = players.where((to_int("playerId") != 0) & present("fullName").isNotNull())
+    return rows.select(to_int("playerId").alias("player_id"),
                        F.col("fullName").alias("full_name"), F.col("dateOfBirth").alias("dob"),
                        F.col("currentSportName").alias("sport"),
                        F.col("mrn").cast("string").alias("mrn"),
@@ -126,10 +125,10 @@ def context_rows(players: DataFrame, as_of: Column,
                  sports: dict[int, str] | None = None) -> DataFrame:
     """The context shape: birth date, age at ``as_of``, sex, sport, pathway flag."""
     born = to_day(F.substring_index(F.col("dateOfBirth").cast("string"), "T", 1))
-    sport = F.col("sportId").cast("int")
+    sport = to_int("sportId")
     pathway = F.col("pathway") if "pathway" in players.columns else F.lit(None).cast("string")
-    return players.where(F.col("playerId").isNotNull()).select(
-        F.col("playerId").cast("int").alias("player_id"), F.col("mrn").cast("string").alias("mrn"),
+    return players.where(to_int("playerId").isNotNull()).select(
+        to_int("playerId").alias("player_id"), F.col("mrn").cast("string").alias("mrn"),
         F.coalesce(present("fullName"), F.lit("")).alias("full_name"),
         (F.col("arabicName") if "arabicName" in players.columns
          else F.lit(None).cast("string")).alias("arabic_name"),
@@ -147,7 +146,7 @@ def context_rows(players: DataFrame, as_of: Column,
 def current_enrollment(periods: DataFrame, *, tie: list[str] | None = None) -> DataFrame:
     """One open period per athlete: a primary one first, else the latest start."""
     open_rows = periods.where(F.coalesce(F.col("endDate").cast("string"), F.lit("")) == "")
-    order = [F.coalesce(F.col("isPrimary").cast("boolean"), F.lit(False)),
+    order = [F.coalesce(F.col("isPrimary").cast("string").try_cast("boolean"), F.lit(False)),
              F.coalesce(F.col("startDate").cast("string"), F.lit("")),
              *[F.col(c) for c in (tie or [])]]
     return latest(open_rows, ["playerId"], order)
@@ -157,7 +156,7 @@ def athlete_cards(contexts: DataFrame, enrollment: DataFrame,
                   sports: dict[int, str] | None = None) -> DataFrame:
     """Context rows with sport, discipline, target event and coach of the current enrolment."""
     e = enrollment.select(
-        F.col("playerId").cast("int").alias("_pid"), F.col("sportId").cast("int").alias("_sid"),
+        to_int("playerId").alias("_pid"), to_int("sportId").alias("_sid"),
         present("sportName").alias("_sname"), F.col("disciplineId").alias("discipline_id"),
         flat_label("disciplineName").alias("discipline"),
         first_listed("targetEventNames").alias("target_event"),
@@ -188,7 +187,7 @@ def sport_roster(plans: DataFrame, plan_players: DataFrame, as_of: Column, *,
     kept = rows.select(F.col("trainingPlanId").alias("_plan"), day.alias("_day"),
                        F.col("SportId").alias("plan_sport_id"))
     on_plan = plan_players.where(
-        F.col("playerId").isNotNull() & (F.col("playerId") != 0)).join(
+        to_int("playerId") != 0).join(
         kept, plan_players["trainingPlanId"] == kept["_plan"])
     newest = latest(on_plan.drop("_plan"), ["plan_sport_id", "playerId"],
                     [F.col("_day"), F.col("trainingPlanId")],

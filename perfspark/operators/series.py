@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import events
-from ..functions.numbers import (UNIT, day_of, exact_mean, exact_sum, millionths, num_of,
-                                 round_py)
+from ..functions.numbers import day_of, exact_mean, exact_sum, num_of, round_py
 from ..functions.text import clock_slot
 from ..functions.zones import acwr_zone
 from ..plans.shapes import top_rows
@@ -79,18 +78,24 @@ def acute_chronic(df: DataFrame, *, keys: list[str], day: str = "day", value: st
 
     Both frames share one sort. The ratio is taken before rounding and is NULL when either mean
     is zero."""
-    daily = daily_mean(df, keys=keys, day=day, value=value)
+    return rolling_load(daily_mean(df, keys=keys, day=day, value=value), keys=keys,
+                        acute_days=acute_days, chronic_days=chronic_days)
+
+
+def rolling_load(daily: DataFrame, *, keys: list[str], acute_days: int = 7,
+                 chronic_days: int = 28, keep: list[str] | None = None) -> DataFrame:
+    """``acute_chronic`` over rows that are a ``dailymean`` per key and ``date`` already; ``keep``
+    passes further columns through."""
     order = W.partitionBy(*keys).orderBy(F.unix_date("date"))
 
     def trailing(days: int) -> Column:
         frame = order.rangeBetween(-(days - 1), 0)
-        total = F.sum(millionths("dailymean")).over(frame).cast("double") / F.lit(float(UNIT))
-        return total / F.count("dailymean").over(frame)
+        return exact_sum("dailymean", frame) / F.count("dailymean").over(frame)
 
     rolled = daily.withColumns({"acute": trailing(acute_days), "chronic": trailing(chronic_days)})
     both = (F.col("acute") != 0) & (F.col("chronic") != 0)
     return rolled.select(
-        *keys, "date", round_py("dailymean", 3).alias("dailymean"),
+        *keys, "date", *(keep or []), round_py("dailymean", 3).alias("dailymean"),
         round_py("acute", 3).alias("acute"), round_py("chronic", 3).alias("chronic"),
         round_py(F.when(both, F.col("acute") / F.col("chronic")), 3).alias("acwr"))
 
@@ -134,15 +139,20 @@ def squad_load(df: DataFrame, *, keys: list[str], day: str = "day",
 def squad_heatmap(ids: DataFrame, results: DataFrame, *, athlete: str = "vald_id",
                   day: str = "recorded_date", value: str = "value") -> DataFrame:
     """Session best next to load ratio and zone for each athlete of a squad and each of their
-    days; athletes without results keep one row."""
-    best = squad_metric(ids, results, athlete=athlete, day=day, value=value)
-    # The load is computed for the squad's athletes only and shares their key's shuffle.
+    days; athletes without results keep one row.
+
+    Best, count and mean come from one daily aggregate; the ratio is a window over these days."""
     keyed = results.withColumn("_id", F.upper(F.col(athlete).cast("string")))
-    squad = ids.select(F.upper(F.col(athlete).cast("string")).alias("_id")).distinct()
-    load = squad_load(keyed.join(squad, "_id", "left_semi"), keys=["_id"], day=day, value=value)
-    load = load.select("_id", F.col("date").alias("session_date"), "acwr", "zone")
-    left = best.withColumn("_id", F.upper(F.col(athlete).cast("string")))
-    return left.join(load, ["_id", "session_date"], "left").drop("_id")
+    asked = ids.select(F.col(athlete)).distinct().withColumn(
+        "_id", F.upper(F.col(athlete).cast("string")))
+    wanted = keyed.join(asked.select("_id").distinct(), "_id", "left_semi")
+    daily = (readable(wanted, day, value).groupBy("_id", F.col("_day").alias("date"))
+             .agg(F.max("_value").alias("value"), F.count(F.lit(1)).alias("n"),
+                  exact_mean("_value").alias("dailymean")))
+    load = rolling_load(daily, keys=["_id"], keep=["value", "n"])
+    load = load.withColumn("zone", acwr_zone(F.col("acwr"))).select(
+        "_id", F.col("date").alias("session_date"), "value", "n", "acwr", "zone")
+    return asked.join(load, "_id", "left").drop("_id")
 
 
 def latest_non_null(df: DataFrame, *, keys: list[str], order: list[Column],
@@ -230,12 +240,13 @@ def daily_load(df: DataFrame, *, keys: list[str], day: str = "day",
 
 
 def dense_days(df: DataFrame, as_of: Column, *, keys: list[str], value: str = "load",
-               days: int = 14, day: str = "date") -> DataFrame:
-    """One row per key and calendar day of the last ``days`` days, gaps filled with 0.
+               days: int = 14, window: int = 28, day: str = "date") -> DataFrame:
+    """One row per key and calendar day of the last ``days`` days, gaps filled with 0, for every
+    key with a row in the load window of the last ``window`` days.
 
     Input is one row per key and day. Sums are placed on the calendar within the aggregate, so
     that no calendar join is needed."""
-    inside = df.where(F.col(day).between(F.date_sub(as_of, days - 1), as_of))
+    inside = df.where(F.col(day).between(F.date_sub(as_of, window), as_of))
     slots = [F.coalesce(F.max(F.when(F.col(day) == F.date_sub(as_of, b), F.col(value))),
                         F.lit(0.0)) for b in range(days - 1, -1, -1)]
     dense = inside.groupBy(*keys).agg(F.array(*slots).alias("_slots"))

@@ -14,8 +14,9 @@ from ..functions.numbers import exact_sum, num_of, to_int
 from ..functions.text import product_label
 from ..session import cut
 
-#: Quantities are compared and subtracted in fixed point.
-EXACT = "decimal(28,6)"
+#: Running totals of requests are kept in fixed point, so that they do not depend on the plan. A
+#: quantity that it cannot hold is larger than any stock.
+EXACT = "decimal(38,15)"
 
 
 def active_products(products: DataFrame) -> DataFrame:
@@ -35,9 +36,8 @@ def on_hand(receipts: DataFrame, assignments: DataFrame) -> DataFrame:
     both = _total(receipts, "received").join(_total(assignments, "assigned"),
                                              "product_id", "full")
     got, gone = F.coalesce("received", F.lit(0.0)), F.coalesce("assigned", F.lit(0.0))
-    left = (got.cast(EXACT) - gone.cast(EXACT)).cast("double")
     return both.select("product_id", got.alias("received"), gone.alias("assigned"),
-                       left.alias("on_hand"))
+                       (got - gone).alias("on_hand"))
 
 
 def catalogue(products: DataFrame, receipts: DataFrame, assignments: DataFrame, *,
@@ -58,7 +58,10 @@ def issue_history(assignments: DataFrame, products: DataFrame, *,
         to_int("sams_player_id").isin(players))
     names = products.groupBy(to_int("id").alias("_pid")).agg(F.max("name").alias("product_name"))
     joined = rows.join(names, to_int("product_id") == F.col("_pid"), "left").drop("_pid")
-    return joined.orderBy(F.desc(F.coalesce(F.col("assigned_at").cast("string"), F.lit(""))))
+    # A player's assignments are a history; there is no use for one order over all players.
+    newest = F.desc(F.coalesce(F.col("assigned_at").cast("string"), F.lit("")))
+    return (joined.repartition("sams_player_id")
+            .sortWithinPartitions(F.col("sams_player_id"), newest))
 
 
 # --- guarded issue ---------------------------------------------------------------------------
@@ -94,14 +97,15 @@ def issue(requests: DataFrame, stock: DataFrame, *, order: str = "requested_at",
 
     ``chunk`` groups requests along ``order`` (default: its day). Ids must be unique integers."""
     rows = requests.withColumns({
-        "_pid": to_int("product_id"), "_qty": num_of(requests, "quantity", 0).cast(EXACT),
+        "_pid": to_int("product_id"), "_asked": num_of(requests, "quantity", 0),
+        "_qty": num_of(requests, "quantity", 0).try_cast(EXACT),
         "_rid": F.col(request_id).cast("long"),
         "_chunk": chunk if chunk is not None else F.to_date(order)})
     base = stock.select(F.col("product_id").alias("_spid"),
-                        F.col("on_hand").cast(EXACT).alias("_left"))
+                        F.col("on_hand").try_cast(EXACT).alias("_left"))
     rows = rows.join(base, F.col("_pid") == F.col("_spid"), "left").drop("_spid")
     rows = rows.withColumn("_left", F.coalesce("_left", F.lit(0).cast(EXACT)))
-    valid = F.col("_qty") > 0
+    valid = F.col("_asked") > 0
     if allow_negative:
         return _report(rows.withColumn("accepted", valid), requests)
 
@@ -125,25 +129,25 @@ def issue(requests: DataFrame, stock: DataFrame, *, order: str = "requested_at",
 
 def _narrow(pending: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(accepted, still contested)`` after one round of chunked prefix sums."""
-    sums = pending.groupBy("_pid", "_chunk").agg(F.sum("_qty").alias("_sum"))
+    sums = pending.groupBy("_pid", "_chunk").agg(F.try_sum("_qty").alias("_sum"))
     up_to = W.partitionBy("_pid").orderBy("_chunk").rowsBetween(W.unboundedPreceding, 0)
     sums = sums.select(F.col("_pid").alias("_p"), F.col("_chunk").alias("_c"),
-                       F.sum("_sum").over(up_to).alias("_upto"), "_sum")
+                       F.try_sum("_sum").over(up_to).alias("_upto"), "_sum")
     joined = pending.join(sums, (F.col("_pid") == F.col("_p"))
                           & F.col("_chunk").eqNullSafe(F.col("_c"))).drop("_p", "_c")
-    fits = F.col("_upto") <= F.col("_left")
+    fits = F.coalesce(F.col("_upto") <= F.col("_left"), F.lit(False))
     accepted = joined.where(fits)
     taken = (accepted.groupBy(F.col("_pid").alias("_p"))
-             .agg(F.sum("_qty").alias("_taken")))
+             .agg(F.sum("_qty").cast(EXACT).alias("_taken")))
     rest = joined.where(~fits).drop("_upto", "_sum").join(
         taken, F.col("_pid") == F.col("_p"), "left")
-    left = (F.col("_left") - F.coalesce("_taken", F.lit(0).cast("decimal(38,6)"))).cast(EXACT)
+    left = (F.col("_left") - F.coalesce("_taken", F.lit(0).cast(EXACT))).cast(EXACT)
     rest = rest.withColumn("_left", left).drop("_p", "_taken")
     return accepted, rest.where(F.col("_qty") <= F.col("_left"))
 
 
 def _report(rows: DataFrame, requests: DataFrame) -> DataFrame:
     reason = (F.when(F.col("accepted"), F.lit(None))
-              .when(F.col("_qty") <= 0, "quantity must be greater than zero")
+              .when(F.col("_asked") <= 0, "quantity must be greater than zero")
               .otherwise("not enough in stock"))
     return rows.select(*requests.columns, "accepted", reason.cast("string").alias("reason"))

@@ -39,12 +39,16 @@ def local_session(cpus: int | str = "*", app: str = "perfspark", **extra: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (single-machine tests) a temporary folder is set."""
+    Only where the session names none and runs on one machine (tests) a temporary folder is set;
+    on a cluster that would be another folder on every machine, so it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="perfspark-")
         spark.sparkContext.setCheckpointDir(named)
         return named

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 
 def query_table(df: DataFrame, *, where: str | Column | None = None, order_by: str | None = None,
-                desc: bool = False, limit: int | None = 100, offset: int = 0,
+                desc: bool = False, limit: int | None = None, offset: int = 0,
                 columns: list[str] | None = None, tie: list[str] | None = None) -> DataFrame:
     """Filter, one sort column, limit and offset over a table.
 

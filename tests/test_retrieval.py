@@ -78,14 +78,16 @@ def test_fusion(spark):
 
 
 def test_stats_and_reassembly(spark):
-    df = docs(spark).withColumn("n_chars", F.length("text"))
-    total = retrieval.corpus_stats(df).where("source is null").first()
-    assert total.n_docs == 6
-    assert {r.source: r.n_docs for r in retrieval.source_stats(df).collect()} == {"s0": 3, "s1": 3}
-    chunks = spark.createDataFrame([(1, i, str(i)) for i in range(25)][::-1], "d int, p int, t string")
-    parts = retrieval.reassemble(chunks, doc="d", position="p", line=F.col("t"), separator=",", page=10)
-    text = ",".join(r.text for r in parts.orderBy("part").collect())
-    assert text == ",".join(map(str, range(25)))
+    df = docs(spark)
+    got = retrieval.corpus_stats(df, chunks=F.lit(2), posted="doc_id").collect()
+    assert {r.source: (r.n_docs, r.n_chunks) for r in got} == {
+        "s0": (3, 6), "s1": (3, 6), None: (6, 12)}
+    assert [r.latest for r in got if r.is_total] == [df.agg(F.max("doc_id")).first()[0]]
+    n = 25_000
+    chunks = spark.range(n).select(F.lit(1).alias("d"), (n - 1 - F.col("id")).alias("p"))
+    whole = retrieval.reassemble(chunks, doc="d", position="p", line=F.col("p").cast("string"),
+                                 separator=",").collect()
+    assert [(r.n_chunks, r.text) for r in whole] == [(n, ",".join(map(str, range(n))))]
 
 
 def secret(*parts):
