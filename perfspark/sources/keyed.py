@@ -1,20 +1,18 @@
 """Keyed tables: idempotent upserts and replacement of a parent's children.
 
-A write never touches what is already there. It stages its rows as a new generation and commits
-it by appending one manifest line; readers keep the newest generation of each key. The cost of a
-write is that of its own rows, and ``compact`` folds the generations into one when reads get slow.
+A write never touches what is already there. It claims a number nobody else can get, stages its
+rows in a folder of that number and commits by creating one small file; readers keep the newest
+number of each key. All live folders are one scan. Every ``fold`` generations a write folds them
+into one whose rows keep their numbers, so neither plans nor listings grow, and a slower writer
+with a smaller number still finds its place.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.ids import META_COLUMNS
-from .versions import _exists
-
-GENERATIONS = "gen bigint, path string, kind string"
+from .versions import _exists, claim
 
 # Identity columns every ingest target starts with, and whether they may be NULL.
 META_HEAD = [("row_uid", T.StringType(), False), ("event_uuid", T.StringType(), False),
@@ -66,104 +64,122 @@ def split_keys(batch: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]
 class KeyedTable:
     """A table of generations under a shared directory."""
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str]):
-        self.spark, self.root, self.keys = spark, root.rstrip("/"), keys
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], fold: int = 16):
+        self.spark, self.root, self.keys, self.fold = spark, root.rstrip("/"), keys, fold
 
-    # -- commits
+    # -- commits: ``_commits/<number>`` or, for a folded generation, ``_commits/<number>-<folded
+    # numbers>``, so that a listing of names tells all there is to know.
 
-    def _log(self) -> list:
-        path = f"{self.root}/_generations"
+    def _live(self) -> list[int]:
+        """Committed generations that no other one has folded in."""
+        path = f"{self.root}/_commits"
         if not _exists(self.spark, path):
             return []
-        rows = self.spark.read.schema(GENERATIONS).json(path).collect()
-        return sorted(rows, key=lambda r: r["gen"])
-
-    def _stage(self, df: DataFrame, gen: int, kind: str) -> str:
-        path = f"{self.root}/{kind}-{gen:06d}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("errorifexists").parquet(path)
-        return path
-
-    def _commit(self, gen: int, path: str, kind: str) -> None:
-        line = self.spark.createDataFrame([(gen, path, kind)], GENERATIONS)
-        line.coalesce(1).write.mode("append").json(f"{self.root}/_generations")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        numbers, folded = set(), set()
+        for status in fs.listStatus(folder):
+            number, _, old = status.getPath().getName().partition("-")
+            numbers.add(int(number))
+            folded |= {int(x) for x in old.split("_") if x}
+        return sorted(numbers - folded)
+
+    def _claim(self) -> int:
+        live = self._live()
+        return claim(self.spark, f"{self.root}/_claims", live[-1] + 1 if live else 1)
+
+    def _stage(self, df: DataFrame, gen: int, kind: str = "rows") -> None:
+        numbered = df if "_gen" in df.columns else df.withColumn("_gen", F.lit(gen).cast("long"))
+        numbered.write.mode("overwrite").parquet(f"{self.root}/{kind}/{gen:012d}")
+
+    def _commit(self, gen: int, folded: list[int] | None = None) -> None:
+        name = f"{gen:012d}" + (f"-{'_'.join(map(str, folded))}" if folded else "")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits/{name}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.create(path, False).close()
+        if folded:  # the new commit is there: the names of the old ones say nothing more
+            for status in fs.listStatus(path.getParent()):
+                if int(status.getPath().getName().partition("-")[0]) in folded:
+                    fs.delete(status.getPath(), False)
+
+    def _stacked(self, live: list[int], kind: str = "rows") -> DataFrame:
+        """The generations as one scan; ``_gen`` is the number a row was written under."""
+        if not live:
+            raise LookupError(f"nothing written under {self.root}")
+        return self.spark.read.option("mergeSchema", True).parquet(
+            *[f"{self.root}/{kind}/{gen:012d}" for gen in live])
 
-    def _next(self) -> int:
-        log = self._log()
-        return log[-1]["gen"] + 1 if log else 1
+    def _write(self, rows: DataFrame) -> None:
+        gen = self._claim()
+        self._stage(rows, gen)
+        self._commit(gen)
+        self._fold_if_many()
 
-    def _live(self) -> list:
-        """Generations since the newest base."""
-        log = self._log()
-        bases = [r["gen"] for r in log if r["kind"] == "base"]
-        return [r for r in log if r["gen"] >= (bases[-1] if bases else 0)]
+    def _fold_if_many(self) -> None:
+        if len(self._live()) > self.fold:
+            self.compact()
 
     # -- upsert
 
     def upsert(self, batch: DataFrame) -> DataFrame:
         """Insert new keys and overwrite known ones. Returns the rejected rows."""
         good, bad = split_keys(batch, self.keys)
-        gen = self._next()
-        self._commit(gen, self._stage(good, gen, "rows"), "rows")
+        self._write(good)
         return bad
 
+    def _order(self) -> list[Column]:
+        return [F.col("_gen")]
+
+    def _current(self, live: list[int]) -> DataFrame:
+        return merge_latest(self._stacked(live), self.keys, self._order())
+
     def read(self) -> DataFrame:
         """The current rows."""
-        parts = [self.spark.read.parquet(r["path"]).withColumn("_gen", F.lit(r["gen"]))
-                 for r in self._live() if r["kind"] != "parents"]
-        if not parts:
-            raise LookupError(f"nothing written under {self.root}")
-        stacked = parts[0]
-        for p in parts[1:]:
-            stacked = stacked.unionByName(p, allowMissingColumns=True)
-        if len(parts) == 1:
-            return stacked.drop("_gen")
-        return merge_latest(stacked, self.keys, [F.col("_gen")]).drop("_gen")
+        return self._current(self._live()).drop("_gen")
 
     def compact(self) -> None:
-        """Fold all generations into a new base."""
-        gen = self._next()
-        self._commit(gen, self._stage(self.read(), gen, "base"), "base")
+        """Fold the live generations into one."""
+        live = self._live()
+        gen = self._claim()
+        self._stage(self._current(live), gen)
+        self._commit(gen, live)
 
 
 class ChildTable(KeyedTable):
     """Child rows owned by a parent key; a parent's children are replaced as a whole."""
 
-    def __init__(self, spark: SparkSession, root: str, parent: str):
-        super().__init__(spark, root, [parent])
+    def __init__(self, spark: SparkSession, root: str, parent: str, fold: int = 16):
+        super().__init__(spark, root, [parent], fold)
 
     def replace(self, rows: DataFrame, parents: DataFrame) -> None:
         """Replace the children of the listed parents. A parent listed without rows loses its
         children; when staging fails, the children there stay."""
-        gen, parent = self._next(), self.keys[0]
+        gen, parent = self._claim(), self.keys[0]
         listed = parents.select(parent).distinct()
-        staged = self._stage(rows.join(listed, parent, "left_semi"), gen, "rows")
-        marks = self._stage(listed, gen, "parents")
-        # Both lines are one append: the generation appears whole or not at all.
-        lines = self.spark.createDataFrame([(gen, staged, "rows"), (gen, marks, "parents")],
-                                           GENERATIONS)
-        lines.coalesce(1).write.mode("append").json(f"{self.root}/_generations")
+        self._stage(rows.join(listed, parent, "left_semi"), gen)
+        self._stage(listed, gen, "parents")
+        self._commit(gen)
+        self._fold_if_many()
 
-    def read(self) -> DataFrame:
+    def _marks(self, live: list[int]) -> DataFrame:
+        return self._stacked(live, "parents").groupBy(self.keys[0]).agg(
+            F.max("_gen").alias("_gen"))
+
+    def _current(self, live: list[int]) -> DataFrame:
         """Children of each parent's newest generation."""
+        return newest_generation(self._stacked(live), self._marks(live), self.keys[0])
+
+    def compact(self) -> None:
         live = self._live()
-        stacked, newest = None, None
-        for r in live:
-            part = self.spark.read.parquet(r["path"]).withColumn("_gen", F.lit(r["gen"]))
-            if r["kind"] == "parents":
-                newest = part if newest is None else newest.unionByName(part)
-            else:
-                stacked = part if stacked is None else stacked.unionByName(
-                    part, allowMissingColumns=True)
-        if stacked is None:
-            raise LookupError(f"nothing written under {self.root}")
-        return newest_generation(stacked, newest, self.keys[0]).drop("_gen")
+        gen = self._claim()
+        self._stage(self._current(live), gen)
+        self._stage(self._marks(live), gen, "parents")
+        self._commit(gen, live)
 
 
-def newest_generation(rows: DataFrame, marks: DataFrame | None, parent: str) -> DataFrame:
+def newest_generation(rows: DataFrame, marks: DataFrame, parent: str) -> DataFrame:
     """Rows that belong to their parent's last generation (``_gen``)."""
-    if marks is None:
-        return rows
-    last = marks.groupBy(parent).agg(F.max("_gen").alias("_last"))
+    last = marks.select(parent, F.col("_gen").alias("_last"))
     return (rows.join(last, parent, "left")
             .where(F.col("_last").isNull() | (F.col("_gen") >= F.col("_last"))).drop("_last"))
 

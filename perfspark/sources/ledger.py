@@ -7,9 +7,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.shapes import latest
-from .versions import _exists
+from .versions import _exists, claim
 
-LEDGER = "source_name string, sams_id int, decision string, decided_on string, seq bigint"
+LEDGER = ("source_name string, sams_id int, decision string, decided_on string, seq bigint, "
+          "batch bigint")
 # The decisions there are.
 DECISIONS = ("yes", "no", "drop")
 
@@ -34,15 +35,16 @@ class DecisionLedger:
 
     def record_all(self, decisions: DataFrame) -> None:
         """Append decisions; an unknown decision fails before anything is written. A ``seq``
-        column in the input orders decisions of one call on the same name."""
+        column in the input orders decisions of one call on the same name; calls are ordered by
+        a number that each claims for itself."""
         said = F.lower(F.trim("decision"))
         checked = F.when(said.isin(*DECISIONS), said).otherwise(
             F.raise_error(F.concat(F.lit("not a decision: "), F.coalesce("decision", F.lit("")))))
-        start = self.entries().agg(F.coalesce(F.max("seq"), F.lit(0)).alias("s")).first()["s"]
         order = F.col("seq") if "seq" in decisions.columns else F.lit(1)
         rows = decisions.select("source_name", F.col("sams_id").cast("int").alias("sams_id"),
                                 checked.alias("decision"), "decided_on",
-                                (order + start).cast("bigint").alias("seq"))
+                                order.cast("bigint").alias("seq"),
+                                F.lit(claim(self.spark, f"{self.path}-claims")).alias("batch"))
         rows.write.mode("append").csv(self.path, header=True)
 
     def decisions(self) -> DataFrame:
@@ -50,6 +52,6 @@ class DecisionLedger:
         return last_decisions(self.entries())
 
 
-def last_decisions(entries: DataFrame, seq: str = "seq") -> DataFrame:
-    """The decision with the highest sequence number per name."""
-    return latest(entries, ["source_name"], [F.col(seq)])
+def last_decisions(entries: DataFrame, order: tuple[str, ...] = ("batch", "seq")) -> DataFrame:
+    """The last decision per name."""
+    return latest(entries, ["source_name"], [F.col(c) for c in order])

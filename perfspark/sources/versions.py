@@ -25,6 +25,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def claim(spark: SparkSession, folder: str, first: int = 1) -> int:
+    """The least free number from ``first`` on, taken by creating its file exclusively: two
+    writers never get the same one."""
+    number = first
+    while True:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}")
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(path):
+            return number
+        number += 1
+
+
 class VersionedStore:
     """Datasets under one shared root, published by name."""
 

@@ -13,31 +13,24 @@ from ..functions.ids import uuid5
 from ..functions.numbers import exact_sum, num_of
 from ..operators.ingest import Rules, null_out_of_range
 from ..plans.shapes import latest
-from ..sources.keyed import KeyedTable, merge_latest
+from ..sources.keyed import KeyedTable
 
 
 class NewestTable(KeyedTable):
     """A keyed table in which the greatest order value of a key wins, whatever the order in which
     batches arrive."""
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str], order: list[str]):
-        super().__init__(spark, root, keys)
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], order: list[str],
+                 fold: int = 16):
+        super().__init__(spark, root, keys, fold)
         self.order = order
 
-    def read(self) -> DataFrame:
-        parts = [self.spark.read.parquet(r["path"]) for r in self._live()]
-        if not parts:
-            raise LookupError(f"nothing written under {self.root}")
-        stacked = parts[0]
-        for p in parts[1:]:
-            stacked = stacked.unionByName(p, allowMissingColumns=True)
-        return merge_latest(stacked, self.keys, [F.col(o) for o in self.order])
+    def _order(self) -> list[Column]:
+        return [F.col(o) for o in self.order]
 
     def add(self, rows: DataFrame) -> None:
         """Stage and commit one batch. Adding it again changes nothing that readers see."""
-        newest = latest(rows, self.keys, [F.col(o) for o in self.order])
-        gen = self._next()
-        self._commit(gen, self._stage(newest, gen, "rows"), "rows")
+        self._write(latest(rows, self.keys, self._order()))
 
 
 def ingest_stream(source: DataFrame, target: NewestTable, checkpoint: str, *,

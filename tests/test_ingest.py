@@ -160,3 +160,28 @@ def test_envelopes(spark):
     assert ok.count() == 1 and failed.first().error == "bad"
     with pytest.raises(Exception, match="bad"):
         envelopes.split_failures(fails, strict=True)[0].collect()
+
+
+def test_writers_never_share_a_number_and_plans_stay_small(spark, tmp_path):
+    root = str(tmp_path / "many")
+    a, b = (keyed.KeyedTable(spark, root, ["k"], fold=5) for _ in range(2))
+    first, second = a._claim(), b._claim()
+    assert first != second
+    b._stage(spark.createDataFrame([(1, "late")], KV), second)
+    b._commit(second)
+    for i in range(12):
+        a.upsert(spark.createDataFrame([(i, "new"), (100, str(i))], KV))
+        assert len(a._live()) <= 6
+    a._stage(spark.createDataFrame([(1, "early"), (200, "kept")], KV), first)
+    a._commit(first)
+    got = {r.k: r.v for r in a.read().collect()}
+    assert got == {**{i: "new" for i in range(12)}, 100: "11", 200: "kept"}
+    assert len(a.read()._jdf.queryExecution().toString()) < 20_000
+
+
+def test_ledger_calls_are_ordered_without_reading_them(spark, tmp_path):
+    a, b = (ledger.DecisionLedger(spark, str(tmp_path / "book")) for _ in range(2))
+    a.record("x", 1, "yes", "2026-01-01")
+    b.record("x", 2, "yes", "2026-01-01")
+    assert [r.batch for r in a.entries().orderBy("batch").collect()] == [1, 2]
+    assert a.decisions().first().sams_id == 2
