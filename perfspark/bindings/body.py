@@ -125,7 +125,7 @@ def _site(s: str) -> str:
 
 
 def _exact(sites: list[str]) -> str:
-    return "cast(" + " + ".join(f"cast({s} as decimal(18,6))" for s in sites) + " as double)"
+    return "(0e0 + " + " + ".join(sites) + ")"
 
 
 SUM8, SUM4 = _exact(fb.SKINFOLDS_8), _exact(fb.SKINFOLDS_4)

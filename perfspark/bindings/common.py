@@ -22,9 +22,12 @@ def sql_round(x: str, digits: int) -> str:
     return f"(({low}+case when {up} then 1e0 else 0e0 end)/{s})"
 
 
-def sql_sum(x: str) -> str:
-    """SQL for a plain total of doubles, compensated against the order of rows."""
-    return f"fsum(cast(({x}) as double))"
+def sql_sum(x: str, over: str = "") -> str:
+    """SQL for a plain total of doubles: multiples of 2**-20, which add up exactly in any order,
+    and the small rests."""
+    v = f"cast(({x}) as double)"
+    coarse = f"(round_even({v}*1048576e0, 0)/1048576e0)"
+    return f"(sum({coarse}) {over} + sum({v} - {coarse}) {over})"
 
 
 def sql_mean(x: str) -> str:

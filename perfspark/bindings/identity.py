@@ -37,16 +37,20 @@ def _pairs(spark, d) -> DataFrame:
         return F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]),
                                 F.col(c))
 
-    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(p, F.col("l_partkey") == F.col("p_partkey"))
-            .select(F.col("l_orderkey").alias("key"), "l_linenumber",
-                    F.col("p_partkey").alias("player_id"),
-                    F.concat(F.col("p_name"), F.lit(" Ali")).alias("full_name"),
-                    F.concat(F.lower("o_orderpriority"), F.lit(" widget Ali")).alias("name"),
-                    iso("o_orderdate").alias("dob"), iso("l_shipdate").alias("sams_dob"),
-                    label("o_orderpriority", SPORTS).alias("sport"),
-                    label("p_type", PART_SPORTS).alias("sams_sport"),
-                    (F.col("l_quantity") * 2).alias("_given")))
+    orders = identity.described(
+        o.select("o_orderkey", F.concat(F.lower("o_orderpriority"), F.lit(" widget Ali"))
+                 .alias("name"), iso("o_orderdate").alias("dob"),
+                 label("o_orderpriority", SPORTS).alias("sport")),
+        "a", name="name", dob="dob", sport="sport")
+    parts = identity.described(
+        p.select("p_partkey", F.concat(F.col("p_name"), F.lit(" Ali")).alias("full_name"),
+                 F.lit(None).cast("string").alias("_none"),
+                 label("p_type", PART_SPORTS).alias("sams_sport")),
+        "b", name="full_name", dob="_none", sport="sams_sport").drop("_none", "_born_b")
+    return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+            .withColumnsRenamed({"l_orderkey": "key", "p_partkey": "player_id"})
+            .withColumns({"_born_b": F.to_date("l_shipdate"), "_given": F.col("l_quantity") * 2}))
 
 
 def verdict(spark, d):

@@ -10,8 +10,10 @@ from ..operators import ingest
 from ..session import shared_dir
 from ..sources import envelopes, keyed, ledger as ledgers, tables
 from ..sources.versions import VersionedStore
+from ..functions.ids import sanitize_columns
 from ..functions.numbers import iso
-from .common import table
+from ..streaming.incremental import NewestTable, daily_stream, ingest_stream, keep_daily
+from .common import sql_sum, table
 
 RULES = {"l_quantity": (5, 45), "l_discount": (0.01, 0.09), "l_extendedprice": (2000, 80000)}
 
@@ -31,6 +33,15 @@ def validate_examples(spark, d):
                                  order=["l_orderkey", "l_linenumber", "l_partkey"])
 
 
+def range_report(spark, d):
+    """Both in one: counts with the offending examples."""
+    out = ingest.range_report(table(spark, d, "lineitem"), RULES,
+                              order=["l_orderkey", "l_linenumber", "l_partkey"])
+    return out.select("column", "n_checked", "n_out_of_range",
+                      F.size("examples").alias("n_examples"),
+                      F.try_element_at("examples", F.lit(1)).alias("first_example"))
+
+
 def validated_rows(spark, d):
     out = ingest.null_out_of_range(table(spark, d, "lineitem"), RULES)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -39,8 +50,26 @@ def validated_rows(spark, d):
 
 def column_profile(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    events = table(spark, d, "events").select("props", "value", "event_type")
-    return ingest.column_profile(docs).unionAll(ingest.column_profile(events))
+    return ingest.column_profile(docs).unionAll(ingest.column_profile(table(spark, d, "events")))
+
+
+def clean_columns(spark, d):
+    """Documents under the headings of a messy sheet."""
+    sheet = table(spark, d, "documents").select(
+        F.col("doc_id").alias("ID"), F.col("n_chars").alias("Height (cm)"),
+        F.col("lang").alias("5 Bound Standing"), F.col("source").alias("Tf / Tc"),
+        F.col("lang").alias("TF.TC"))
+    return sanitize_columns(sheet)
+
+
+def target_columns(spark, d):
+    """The table that profiled orders ask for, column by column."""
+    types = {r["column"]: r["sql_type"] for r in ingest.column_profile(
+        table(spark, d, "orders")).collect()}
+    fields = keyed.target_schema(types).fields
+    return spark.createDataFrame(
+        [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(fields)],
+        "position int, name string, type string, nullable boolean")
 
 
 def future_dates(spark, d):
@@ -149,8 +178,49 @@ def write_guard(spark, d):
     return failed.select("event_id", "error")
 
 
+def full_extract(spark, d):
+    """A landed table under its declared schema."""
+    schema = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").schema
+    return tables.read_table(spark, f"{d}/customer.parquet", schema)
+
+
+def headerless(spark, d):
+    """Orders exported without a header line and read back."""
+    path = _fresh(spark, "export")
+    table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                     "o_orderpriority").write.csv(path)
+    return tables.read_headerless(spark, path)
+
+
+# --- streams: over the files that are there, then read back -----------------------------------
+
+def _event_stream(spark, d) -> DataFrame:
+    schema = table(spark, d, "events").schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .parquet(d))
+
+
+def daily_stream_table(spark, d):
+    """Best, total and count per user, event and day, kept by a stream."""
+    keys = ["user_id", "event_type"]
+    target = NewestTable(spark, _fresh(spark, "daily"), [*keys, "date"], ["n"])
+    daily = daily_stream(_event_stream(spark, d), keys=keys, ts="ts", value="value")
+    keep_daily(daily, target, _fresh(spark, "daily-log")).awaitTermination()
+    return target.read().withColumn("date", iso("date"))
+
+
+def ingest_stream_table(spark, d):
+    """The newest event of each user and kind, range-checked on its way in."""
+    target = NewestTable(spark, _fresh(spark, "ingest"), ["row_uid"], ["ts", "event_id"])
+    rows = _event_stream(spark, d).select("event_id", "user_id", "event_type", "ts", "value")
+    ingest_stream(rows, target, _fresh(spark, "ingest-log"), natural_key=["user_id", "event_type"],
+                  rules={"value": (0, 80)}).awaitTermination()
+    return target.read().select("user_id", "event_type", "event_id", "value")
+
+
 QUERIES = {f.__name__: f for f in (
-    validate_report, validate_examples, validated_rows, column_profile, future_dates, upsert,
+    range_report, clean_columns, target_columns, full_extract, headerless, daily_stream_table,
+    ingest_stream_table, validate_report, validate_examples, validated_rows, column_profile, future_dates, upsert,
     replace_children, versioned_read, ledger, table_query, curated_view, sql_params,
     envelope_unwrap, write_guard)}
 
@@ -170,7 +240,15 @@ def _profile(source: str, column: str) -> str:
 
 
 PROFILED = [("documents", c) for c in ("doc_id", "text", "lang", "source", "n_chars")] + [
-    ("events", c) for c in ("props", "value", "event_type")]
+    ("events", c) for c in ("event_id", "user_id", "event_type", "ts", "value", "props")]
+ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+          "o_orderpriority")
+# The identity head of an ingest target.
+HEAD = [("row_uid", "string", False), ("event_uuid", "string", False),
+        ("group_uuid", "string", True), ("record_date", "date", True),
+        ("source_name", "string", True), ("entered_by", "string", True),
+        ("sams_id", "int", True), ("sams_name", "string", True),
+        ("match_verdict", "string", True), ("match_confidence", "int", True)]
 
 SQL = {
     "validate_report": " union all ".join(
@@ -180,6 +258,38 @@ SQL = {
         f"select '{c}' as \"column\", row_number() over (order by l_orderkey, l_linenumber, "
         f"l_partkey, {c}) as rank, {c} as example from lineitem where {_bad(c)}"
         for c in RULES) + ") where rank <= 5",
+    "range_report": " union all ".join(f"""
+        select '{c}' as "column", count({c}) as n_checked,
+               count(case when {_bad(c)} then 1 end) as n_out_of_range,
+               least(5, count(case when {_bad(c)} then 1 end)) as n_examples,
+               arg_min({c}, (l_orderkey, l_linenumber, l_partkey, {c}))
+                 filter ({_bad(c)}) as first_example from lineitem""" for c in RULES),
+    "clean_columns": """
+        select doc_id as id_x, n_chars as height_cm, lang as c_5_bound_standing,
+               source as tf_tc, lang as tf_tc_x from documents""",
+    "target_columns": f"""
+        with head as (select * from (values {", ".join(
+            f"({i}, '{n}', '{t}', {str(x).lower()})" for i, (n, t, x) in enumerate(HEAD))})
+              as h(position, name, type, nullable)),
+        profile as ({" union all ".join(
+            f"select {len(HEAD) + i} as position, * from ({_profile('orders', c)})"
+            for i, c in enumerate(ORDERS))})
+        select * from head union all
+        select position, "column", case when n_numeric/n_values >= 0.95 then 'double'
+                 else 'string' end, true from profile""",
+    "full_extract": "select c_custkey, c_name, c_nationkey from customer",
+    "headerless": """
+        select cast(o_orderkey as varchar) as col_0, cast(o_custkey as varchar) as col_1,
+               o_orderstatus as col_2, o_orderpriority as col_3 from orders""",
+    "daily_stream_table": f"""
+        select user_id, event_type, strftime(cast(ts as date), '%Y-%m-%d') as date,
+               max(value) as best, {sql_sum('value')} as load, count(*) as n
+        from events where value is not null group by user_id, event_type, cast(ts as date)""",
+    "ingest_stream_table": """
+        select user_id, event_type, event_id,
+               case when value between 0 and 80 then value end as value
+        from events qualify row_number() over (partition by user_id, event_type
+                                               order by ts desc, event_id desc) = 1""",
     "validated_rows": "select l_orderkey, l_linenumber, l_partkey, l_suppkey, " + ", ".join(
         f"case when {_bad(c)} then null else {c} end as {c}" for c in RULES) + " from lineitem",
     "column_profile": f"""

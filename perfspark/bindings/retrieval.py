@@ -83,13 +83,30 @@ def doc_reassembly(spark, d):
 LISTED = ["tion", "eaux", "://", "the ", "@", "<script>"]
 
 
+#: Invented values of every kind, in parts so that no file holds one whole, then an address with
+#: placeholder credentials; document ``n`` gets the line of number ``n`` modulo 16, if there is one.
+WOVEN = [("-----BEGIN RSA ", "PRIVATE KEY-----"), ("sk-", "ant-abcdefghijklmnop1234"),
+         ("sk-", "proj-abcdefghijklmnop1234"), ("gh", "p_abcdefghijklmnopqrstuvwxyz012345"),
+         ("AK", "IAABCDEFGHIJKLMNOP"), ("ey", "Jabcdefghijk.lmnopqrstuvw.xyzabcdefgh"),
+         ("db://root:", "hunter2@host/x"), ("db://user:", "password@host/x")]
+
+
 def leak_scan(spark, d):
-    """Documents and the raw web pages against the built-in detectors."""
-    return leakscan.scan(_texts(spark, d), doc="doc")
+    """Documents, with invented secrets woven in, and the raw web pages against the built-in
+    detectors."""
+    line = F.try_element_at(F.array(*[F.lit("".join(w)) for w in WOVEN]),
+                            (F.pmod("doc_id", F.lit(16)) + 1).cast("int"))
+    docs = table(spark, d, "documents").withColumn("text", F.concat(
+        F.lit("first line\n"), F.coalesce(line, F.lit("")), F.lit("\n"), F.col("text")))
+    return leakscan.scan(_with_pages(docs, spark, d), doc="doc")
 
 
 def _texts(spark, d) -> DataFrame:
-    return table(spark, d, "documents").select(
+    return _with_pages(table(spark, d, "documents"), spark, d)
+
+
+def _with_pages(docs: DataFrame, spark, d) -> DataFrame:
+    return docs.select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("doc"), "text").unionAll(
         table(spark, d, "pages").select(F.concat(F.lit("p"), F.col("page_id")),
                                         F.concat_ws("\n", "url", "html")))
@@ -164,13 +181,20 @@ def _fused(ranked: str, keys: str = "query_id") -> str:
 
 QUERY_TEXTS = "select item_id as query_id, text from benchmark"
 
-TEXTS = """
-    texts as (select 'd' || doc_id as doc, text from documents
+def _texts_sql(text: str = "text") -> str:
+    return f"""
+    texts as (select 'd' || doc_id as doc, {text} as text from documents
               union all select 'p' || page_id, url || chr(10) || html from pages),
     lines as (select doc, unnest(string_split(text, chr(10))) as line,
                      generate_subscripts(string_split(text, chr(10)), 1) as line_no from texts)"""
 
 
+TEXTS = _texts_sql()
+WOVEN_TEXT = ("'first line' || chr(10) || coalesce(case doc_id % 16 " + " ".join(
+    f"when {i} then '{a}' || '{b}'" for i, (a, b) in enumerate(WOVEN))
+    + " end, '') || chr(10) || text")
+
+
 def _scan(rules: list[tuple[str, str]]) -> str:
     def one(label: str, rule: str) -> str:
         text = rule.replace("'", "''")
@@ -214,7 +238,7 @@ SQL = {
         select conv_id, count(*) as n_chunks,
                string_agg('[' || role || '] ' || text, chr(10) order by turn) as text
         from conversations group by conv_id""",
-    "leak_scan": f"with {TEXTS} {_scan(leakscan.PATTERNS)}",
+    "leak_scan": f"with {_texts_sql(WOVEN_TEXT)} {_scan(leakscan.PATTERNS)}",
     "word_scan": f"with {TEXTS} {_scan(WORD_RULES)}",
     "deny_list": f"""
         with {TEXTS}

@@ -224,7 +224,7 @@ def _rolled(keys: str) -> str:
                 f"range between interval {days - 1} day preceding and current row)")
 
     def mean(days: int) -> str:
-        return f"fsum(dailymean) {frame(days)}/count(dailymean) {frame(days)}"
+        return f"{sql_sum('dailymean', frame(days))}/count(dailymean) {frame(days)}"
 
     return f"""
         select {keys}, date, dailymean, {mean(7)} as acute, {mean(28)} as chronic

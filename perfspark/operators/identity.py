@@ -178,19 +178,30 @@ def candidate_pool(inputs: DataFrame, roster: DataFrame,
     return pool.groupBy("key", "player_id").agg(F.max("local_score").alias("local_score"))
 
 
+def described(df: DataFrame, side: str, *, name: str, dob: str, sport: str) -> DataFrame:
+    """Adds what ``judge`` compares: tokens, birth date and sport of one side (``a`` or ``b``).
+
+    Derived once per record here rather than once per pair there."""
+    return df.withColumns({f"_tokens_{side}": linkage.name_tokens(F.col(name)),
+                           f"_born_{side}": to_day(dob),
+                           f"_sport_{side}": linkage.normal_sport(F.col(sport))})
+
+
 def judge(pairs: DataFrame, score: Column) -> DataFrame:
     """Adds relation, tokens, verdict and confidence to rows with both sides' name, birth date and
-    sport (``name``/``dob``/``sport`` against ``full_name``/``sams_dob``/``sams_sport``)."""
-    # Each step is a column of its own: dates are parsed and tokens compared once per pair.
-    rows = pairs.withColumns({
-        "name_score": score.cast("int"), "_a": to_day("dob"), "_b": to_day("sams_dob"),
-        "_shared": F.array_intersect(linkage.name_tokens(F.col("name")),
-                                     linkage.name_tokens(F.col("full_name"))),
-        "_s": linkage.normal_sport(F.col("sport")), "_t": linkage.normal_sport(F.col("sams_sport"))})
+    sport (``name``/``dob``/``sport`` against ``full_name``/``sams_dob``/``sams_sport``).
+
+    Sides that were ``described`` before they met are not derived again."""
+    for side, columns in (("a", {"name": "name", "dob": "dob", "sport": "sport"}),
+                          ("b", {"name": "full_name", "dob": "sams_dob", "sport": "sams_sport"})):
+        if f"_tokens_{side}" not in pairs.columns:
+            pairs = described(pairs, side, **columns)
+    rows = pairs.withColumns({"name_score": score.cast("int"),
+                              "_shared": F.array_intersect("_tokens_a", "_tokens_b")})
     rows = rows.withColumns({
-        "_dob": linkage.dob_relation(F.col("_a"), F.col("_b")),
+        "_dob": linkage.dob_relation(F.col("_born_a"), F.col("_born_b")),
         "_n": F.size(linkage.distinctive(F.col("_shared"))),
-        "sport_ok": F.col("_s") == F.col("_t")})
+        "sport_ok": F.col("_sport_a") == F.col("_sport_b")})
     r, gap, n = F.col("_dob")["rel"], F.col("_dob")["gap"], F.col("_n")
     return rows.withColumns({
         "verdict": linkage.verdict(F.col("name_score"), r, gap, n, F.col("sport_ok")),
@@ -199,7 +210,7 @@ def judge(pairs: DataFrame, score: Column) -> DataFrame:
         "dob_swapped": F.coalesce(r == "swapped", F.lit(False)),
         "dob_gap": round_py(gap, 2),
         "shared_tokens": F.array_join(F.array_sort("_shared"), " ")}).drop(
-        "_dob", "_shared", "_a", "_b", "_n", "_s", "_t")
+        "_dob", "_shared", "_n", *[f"_{x}_{s}" for x in ("tokens", "born", "sport") for s in "ab"])
 
 
 CANDIDATE_FIELDS = ["player_id", "sams_name", "sams_dob", "sams_sport", "name_score", "dob_exact",
@@ -237,7 +248,10 @@ def resolve_entities(inputs: DataFrame, roster: DataFrame,
         given = scores.groupBy(F.col("name_a").alias("name"), F.col("name_b").alias("full_name")) \
             .agg(F.max("score").cast("int").alias("_given"))
     pool = candidate_pool(inputs, roster, given)
-    pairs = pool.join(inputs.select("key", "name", "dob", "sport"), "key").join(people, "player_id")
+    left = described(inputs.select("key", "name", "dob", "sport"), "a", name="name", dob="dob",
+                     sport="sport")
+    right = described(people, "b", name="full_name", dob="sams_dob", sport="sams_sport")
+    pairs = pool.join(left, "key").join(right, "player_id")
     known = F.col("local_score")
     if given is not None:
         pairs = pairs.join(given, ["name", "full_name"], "left")
