@@ -48,7 +48,7 @@ THREATS = frozenset("kill murder hurt stab shoot strangle destroy punch töten u
 OTHER, TARGET, NEGATION, REPORT, THREAT, INSULT = range(6)
 NEGATED, REPORTED, ADDRESSED, UNADDRESSED_THREAT, THREAT_WEIGHT = 0.4, 0.6, 1.5, 0.0, 3.0
 REACH = 3
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 
 WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 SENTENCE = re.compile(r"[.!?;\n]+")
@@ -165,7 +165,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _count_candidates(batches: Iterator[pa.RecordBatch], names: frozenset[str]
                       ) -> Iterator[pa.RecordBatch]:
-    """``(feature, good, context)``: texts without the label, or one context of a toxic text."""
+    """``(feature, good, context)``: texts without the label, or the context in a toxic text."""
     for batch in batches:
         feature, good, context = [], [], []
         for text, label in zip(batch.column("text").to_pylist(),
@@ -177,11 +177,15 @@ def _count_candidates(batches: Iterator[pa.RecordBatch], names: frozenset[str]
                 good += [1] * len(hits)
                 context += [None] * len(hits)
                 continue
+            # One context a text, its first: copies of a text agree in it.
+            first = {}
             for i, word in enumerate(words):
                 for f in _features([word]) & names:
-                    feature.append(f)
-                    good.append(0)
-                    context.append(" ".join(words[max(0, i - 1):i + 2]))
+                    first.setdefault(f, i)
+            for f, i in first.items():
+                feature.append(f)
+                good.append(0)
+                context.append(" ".join(words[max(0, i - 1):i + 2]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(feature, pa.string()), pa.array(good, pa.int64()),
              pa.array(context, pa.string())], ["feature", "good", "context"])
@@ -204,7 +208,7 @@ def _curve(evidence: np.ndarray, toxic: np.ndarray, count: np.ndarray, ridge: fl
     return float(w[0]), float(max(w[1], 0.05))
 
 
-def fit(labelled: DataFrame, min_contexts: int = 8, purity: float = 0.9,
+def fit(labelled: DataFrame, min_contexts: int = 5, purity: float = 0.9,
         max_arcs: int = 20000) -> Grammar:
     """A grammar from ``(text, toxic)``; a bounded table. ``max_arcs`` bounds the arcs kept, the
     strongest first."""
