@@ -26,21 +26,26 @@ def tokens(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
 
 
+#: Stands once in every document's terms and carries its length; no word is empty.
+WHOLE = ""
+
+
 def _occurrences(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """``(doc, n_tokens, term)``, one row per token."""
+    """``(doc, n_tokens, term)``, one row per token and one ``WHOLE`` per document."""
     # The length is taken before the explosion, or every token's row would carry the whole array.
-    words = docs.select(doc, tokens(text).alias("_tokens")).withColumn("n_tokens",
-                                                                       F.size("_tokens"))
+    words = docs.select(doc, tokens(text).alias("_tokens")).select(
+        doc, F.size("_tokens").alias("n_tokens"),
+        F.concat(F.array(F.lit(WHOLE)), F.coalesce("_tokens", F.array().cast("array<string>")))
+        .alias("_tokens"))
     # The outer form keeps Spark from testing the token array in a filter of its own, which would
     # split every text again.
-    return words.select(doc, "n_tokens", F.explode_outer("_tokens").alias("term")).where(
-        F.col("term").isNotNull())
+    return words.select(doc, "n_tokens", F.explode_outer("_tokens").alias("term"))
 
 
 def term_index(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc, n_tokens, term, tf)``. Write it once and search it often."""
-    return _occurrences(docs, doc, text).groupBy(doc, "n_tokens", "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+    return _occurrences(docs, doc, text).where(F.col("term") != WHOLE).groupBy(
+        doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def corpus_size(docs: DataFrame, *, text: str = "text") -> DataFrame:
@@ -62,14 +67,24 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, *, k: int = 5, query: str = "
     # Placed by document once, what is left of the index is counted and later summed per query and
     # document without moving again. A document is one input row, so no place gets too much.
     if index is None:
-        kept = _occurrences(docs, doc, text).join(wanted, "term", "left_semi").repartition(doc)
+        whole = queries.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))
+        kept = (_occurrences(docs, doc, text).join(wanted.unionAll(whole), "term", "left_semi")
+                .repartition(doc))
         postings = kept.groupBy(doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
     else:
         postings = index.join(wanted, "term", "left_semi").repartition(doc)
-    # Counting through ``tf`` keeps this branch identical up to the shuffle, which is then reused
-    # and the texts are read once for both.
+    # Counting through ``tf`` and by condition keeps these branches identical up to the shuffle,
+    # which is then reused: texts are read once for postings, frequencies and corpus size.
     freq = postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
-    stats = size if size is not None else corpus_size(docs, text=text)
+    stats = size
+    if size is None and index is None:
+        one = (F.col("term") == WHOLE) & (F.col("tf") > 0)
+        stats = postings.agg(
+            F.count_if(one).alias("n_docs"),
+            (F.sum(F.when(one, F.greatest("n_tokens", F.lit(0)))) / F.count_if(one))
+            .alias("avg_tokens"))
+    elif size is None:
+        stats = corpus_size(docs, text=text)
     n_docs = stats.select(F.col("n_docs").cast("double")).scalar()
     avg = stats.select("avg_tokens").scalar()
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
