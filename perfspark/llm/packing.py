@@ -1,7 +1,8 @@
 """Packing documents into sequences by first-fit decreasing over a tournament tree.
 
-Documents are token ids with an end id. Each distinct word is tokenised once (the tokenizer drops
-white space, so a text's ids are those of its words in order). Documents go to groups by a seeded
+Documents are token ids with an end id. The tokenizer drops white space, so a text's ids are those
+of its words in order; each task keeps the ids of the words it has met, up to a bounded number,
+and so does not tokenise a word twice. Documents go to groups by a seeded
 hash of id and text; a group is packed by itself: whole sequences are cut off first, the tails are
 placed in falling length, each in the first sequence with room, found by walking a tournament tree
 of free capacities. Gaps that stay are closed by cutting up the emptiest sequences, and what
@@ -17,14 +18,17 @@ read.
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .chunks import encode, unsqueeze, with_words
+from .common import text_column
 
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "ids binary")
@@ -124,20 +128,89 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _word_ids(words: DataFrame, path: str) -> DataFrame:
-    """``(word, ids)`` of each distinct word; ids as little-endian unsigned 32-bit numbers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                own = batch.column("word").slice(lo, 4096)
-                found = tokenizer.encode_batch_fast([w.decode() for w in own.to_pylist()],
-                                                    add_special_tokens=False)
-                ids = [np.array(e.ids, "<u4").tobytes() for e in found]
-                yield pa.RecordBatch.from_arrays([own, pa.array(ids, pa.binary())],
-                                                 ["word", "ids"])
-
-    return words.select("word").distinct().mapInArrow(run, "word binary, ids binary")
+class Speller:
+    """Token ids of texts, word by word.
+
+    A word is letters, perhaps with one closing mark, or anything else. The tokenizer parts
+    letters from punctuation and lowers case, so the two parts are looked up each by itself and
+    letters in lower case; every other word goes to it whole. Past ``limit`` words it forgets."""
+
+    CLOSING = frozenset(".,;:!?")
+    #: Letters whose lower case depends on the library or on their neighbours.
+    ODD = re.compile("[\u03a3\u0130]")
+
+    def __init__(self, tokenizer, limit: int = 400_000):
+        self.tokenizer, self.limit = tokenizer, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers = Numbers()
+        self.parts: dict[str, bytes] = {"": b""}
+        self.sizes, self.starts = np.zeros(0, "int64"), np.zeros(0, "int64")
+        self.flat = np.zeros(0, "<u4")
+
+    def _part_ids(self, parts: list[str]) -> None:
+        """Learn parts that are new; plain letters need neither normalising nor splitting."""
+        rest, model = [], self.tokenizer.model
+        for part in parts:
+            if part.isascii() and part.isalpha():
+                self.parts[part] = array("I", [t.id for t in model.tokenize(part)]).tobytes()
+            else:
+                rest.append(part)
+        for part, found in zip(rest, self.tokenizer.encode_batch_fast(
+                rest, add_special_tokens=False), strict=True):
+            self.parts[part] = array("I", found.ids).tobytes()
+
+    def _learn(self) -> None:
+        """Ids of the words numbered since the last call."""
+        known, heads, tails = self.parts, [], []
+        for word in self.numbers.fresh:
+            head, tail = word.decode(), ""
+            if head[-1] in self.CLOSING:
+                head, tail = head[:-1], head[-1]
+            if not head.isalpha() or not (head.isascii() or not self.ODD.search(head)):
+                head, tail = head + tail, ""
+            else:
+                head = head.lower()
+            heads.append(head)
+            tails.append(tail)
+        self._part_ids([p for p in {*heads, *tails} if p not in known])
+        spelled = list(map(bytes.__add__, map(known.__getitem__, heads),
+                           map(known.__getitem__, tails)))
+        sizes = np.fromiter(map(len, spelled), "int64", len(spelled)) // 4
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        self.sizes, self.starts = np.append(self.sizes, sizes), np.append(self.starts, starts)
+        self.flat = np.append(self.flat, np.frombuffer(b"".join(spelled), "<u4"))
+        self.numbers.fresh.clear()
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        if len(self.numbers) > self.limit:
+            self.forget()
+        split = list(map(bytes.split, texts))
+        lengths = np.fromiter(map(len, split), "int64", len(split))
+        own = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), "int64",
+                          int(lengths.sum()))
+        if self.numbers.fresh:
+            self._learn()
+        n = self.sizes[own]
+        ends = np.cumsum(n)
+        at = np.repeat(self.starts[own] - (ends - n), n)
+        at += np.arange(len(at))
+        last = np.append(0, ends)[np.cumsum(lengths)]
+        return np.split(self.flat[at], last[:-1])
+
+
+class Numbers(dict):
+    """Numbers words in the order of their first use and lists those that are new."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
 
 
 def _narrow(ids: np.ndarray) -> bytes:
@@ -150,33 +223,21 @@ def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype("<u4")
 
 
-def _document_ids(own: pa.Table, chunk: dict, end_id: int) -> pa.Table:
-    spelled = own.column("ids").to_pylist()
-    flat = np.frombuffer(b"".join(spelled), "<u4")
-    sizes = np.array([len(s) // 4 for s in spelled], "int64")
-    starts = np.cumsum(sizes) - sizes
-    tokens, lengths = unsqueeze(chunk["tokens"]), np.array(chunk["lengths"], "int64")
-    ends = np.cumsum(lengths)
-    out = []
-    for lo, hi in zip(ends - lengths, ends):
-        own_words = tokens[lo:hi]
-        n = sizes[own_words]
-        before = np.cumsum(n) - n
-        at = np.repeat(starts[own_words] - before, n) + np.arange(int(n.sum()))
-        out.append(_narrow(np.append(flat[at], np.uint32(end_id))))
-    return pa.table({"doc_id": pa.array(chunk["doc_ids"], pa.int64()),
-                     "mark": pa.array(chunk["marks"], pa.int64()),
-                     "ids": pa.array(out, pa.binary())})
-
-
-def tokens_of(docs: DataFrame, tokenizer: str, end_id: int, mark) -> DataFrame:
+def tokens_of(docs: DataFrame, tokenizer: str, end_id: int, mark: Column) -> DataFrame:
     """``(doc_id, mark, ids)`` of each row; ``mark`` is any long."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = Speller(_tokenizer(tokenizer))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                ids = [_narrow(np.append(i, np.uint32(end_id)).astype("<u4"))
+                       for i in speller.ids(text_column(part))]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("mark"), pa.array(ids, pa.binary())],
+                    ["doc_id", "mark", "ids"])
+
     rows = docs.select(F.col("doc_id").cast("long"), mark.cast("long").alias("mark"), "text")
-    chunks, words = encode(rows, lower=False, end=False, word_class=lambda w: 0)
-    spelled = words.select("chunk", "local", "word").join(_word_ids(words, tokenizer), "word")
-    spelled = spelled.select("chunk", "local", "ids")
-    return with_words(spelled, chunks, lambda w, c: _document_ids(w, c, end_id),
-                      "doc_id long, mark long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, mark long, ids binary")
 
 
 def _pack_group(rows: pa.Table, capacity: int) -> pa.Table:
