@@ -1,15 +1,16 @@
-"""Substring deduplication: repeated paragraphs by MinHash banding, repeated sentences by hash.
+"""Substring deduplication: repeated paragraphs by MinHash banding, repeated clauses by hash.
 
-A text's units are its lines and, inside them, its sentences, so a passage that was put into the
-middle of another text is still seen by its sentences. Lines are compared by 5-word shingles: each
+A text's units are its lines and, inside them, its clauses, so a passage that was put into the
+middle of another text is still seen by its clauses. Lines are compared by 5-word shingles: each
 distinct line has MinHash values in bands (``rows`` values a band, bands enough that a pair at the
 threshold is missed at most once in several hundred), lines that share a band's value are joined,
 and every such pair is verified by its exact Jaccard similarity. Verified links form clusters by
-connected components. Sentences count as repeated when equal.
+connected components. Clauses count as repeated when equal.
 
-Repeated units that follow one another merge into spans; a span of at least ``min_words`` words is
-reported. In each cluster the first occurrence (least document, then position) is kept and the
-others are removals, so one copy of every passage survives.
+Repeated units that follow one another, with at most a few short clauses between them, make a run;
+runs of at least ``min_words`` words are reported, cut where kept text and removals meet. In each
+cluster the first occurrence (least document, then position) is kept and the others are removals,
+so one copy of every passage survives.
 
 Only hashes travel; the words of lines are read again for those lines alone that met in a band
 (a bitmap of fixed size keeps the others out, and the exact join decides). A line that very many
@@ -33,10 +34,12 @@ from ..session import cut
 from .common import chunk_pairs, components, forest, sorted_groups, whole_groups
 
 SHINGLE = 5
-LINE_WORDS, SENTENCE_WORDS = 10, 6
+LINE_WORDS, CLAUSE_WORDS = 10, 6
+#: Characters that clauses too short to be units can take up between two units of a run.
+GAP = 48
 BANDS, ROWS = 8, 3
 BITMAP = 1 << 24
-SENTENCE = re.compile(r"[^.!?]+[.!?]*")
+CLAUSE = re.compile(r"[^.,!?;:]+[.,!?;:]*")
 
 _RNG = np.random.default_rng(23)
 _MUL = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype="uint64") | np.uint64(1)
@@ -78,40 +81,50 @@ def band_hashes(shingles: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _units(text: str) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """``(kind, start, length, words)`` of each unit; kind 0 is a line, 1 a sentence of one."""
-    at = 0
+def _units(text: str) -> Iterator[tuple[int, int, int, int, list[bytes]]]:
+    """``(kind, start, length, words before, words)`` of each unit; kind 0 is a line, 1 a clause
+    of one."""
+    at = before = 0
     for line in text.split("\n"):
         words = line.lower().encode().split()
-        if len(words) >= SENTENCE_WORDS:
+        if len(words) >= CLAUSE_WORDS:
             whole = len(words) >= LINE_WORDS
             if whole:
-                yield 0, at, len(line), words
-            spots = list(SENTENCE.finditer(line))
+                yield 0, at, len(line), before, words
+            spots = list(CLAUSE.finditer(line))
             if len(spots) > 1 or not whole:
+                passed = before
                 for m in spots:
                     own = m.group().lower().encode().split()
-                    if len(own) >= SENTENCE_WORDS:
-                        yield 1, at + m.start(), m.end() - m.start(), own
+                    if len(own) >= CLAUSE_WORDS:
+                        yield 1, at + m.start(), m.end() - m.start(), passed, own
+                    passed += len(own)
         at += len(line) + 1
+        before += len(words)
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+UNITS = ("d long, kind int, start int, length int, at_word int, n_words int, unit long, "
+         "bands array<long>")
+UNIT_COLUMNS = [c.split()[0] for c in UNITS.split(", ")]
+
+
 def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 500):
             part = batch.slice(lo, 500)
             known = _Hashes()
-            doc, kind, start, length, n, unit, sets = [], [], [], [], [], [], []
+            doc, kind, start, length, at, n, unit, sets = [], [], [], [], [], [], [], []
             for d, text in zip(part.column("d").to_pylist(), part.column("text").to_pylist()):
-                for k, s, size, words in _units(text or ""):
+                for k, s, size, before, words in _units(text or ""):
                     doc.append(d)
                     kind.append(k)
                     start.append(s)
                     length.append(size)
+                    at.append(before)
                     n.append(len(words))
                     unit.append(_signed(xxhash.xxh64_intdigest(b" ".join(words))))
                     if not k:
@@ -120,9 +133,9 @@ def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc, pa.int64()), pa.array(kind, pa.int32()),
                  pa.array(start, pa.int32()), pa.array(length, pa.int32()),
-                 pa.array(n, pa.int32()), pa.array(unit, pa.int64()),
+                 pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(unit, pa.int64()),
                  pa.array([None if k else next(bands) for k in kind], pa.list_(pa.int64()))],
-                ["d", "kind", "start", "length", "n_words", "unit", "bands"])
+                UNIT_COLUMNS)
 
 
 def _bitmap(units: DataFrame) -> np.ndarray:
@@ -205,16 +218,16 @@ def line_clusters(docs: DataFrame, units: DataFrame, similarity: float = 0.8,
     return components(links)
 
 
-def repeated_passages(docs: DataFrame, similarity: float = 0.8, min_words: int = 16
+def repeated_passages(docs: DataFrame, similarity: float = 0.8, min_words: int = 30
                       ) -> DataFrame:
-    """``(doc_id, start, length, n_words, cluster_id, first_doc_id, kept)`` of every occurrence.
+    """``(doc_id, start, length, n_words, run_words, cluster_id, first_doc_id, kept)`` of every
+    occurrence.
 
     ``start`` and ``length`` count code points of the text; ``first_doc_id`` is the document whose
     occurrence is ``kept``. Documents without repeated passages have no row."""
     rows = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("d"), "text")
-    units = cut(rows.mapInArrow(_read_units, "d long, kind int, start int, length int, "
-                                             "n_words int, unit long, bands array<long>"))
+    units = cut(rows.mapInArrow(_read_units, UNITS))
     near = line_clusters(docs, units, similarity)
     by_unit = units.groupBy("unit").agg(
         F.min(F.struct("d", "start")).alias("first"), F.max("d").alias("last"))
@@ -233,27 +246,25 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, min_words: int =
 
 
 def _spans(hits: DataFrame, min_words: int) -> DataFrame:
-    """Repeated units of a document merged where they touch or overlap.
+    """Repeated units of a document as runs, cut into spans by whether they are kept.
 
-    Units are a document's own and few; the gap between two of one span is less than a unit."""
-    end = F.col("start") + F.col("length")
+    The windows hold a document's own repeated units."""
+    end, last_word = F.col("start") + F.col("length"), F.col("at_word") + F.col("n_words")
     order = W.partitionBy("d").orderBy("start", "kind", "length")
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    reach = F.max(end).over(before)
-    status = F.lag("kept").over(order)
-    rows = hits.withColumn("_new", F.coalesce(
-        (F.col("start") > reach + 2) | (F.col("kept") != status), F.lit(True)))
-    rows = rows.withColumn("_span", F.sum(F.col("_new").cast("int")).over(
-        order.rowsBetween(W.unboundedPreceding, 0)))
-    inner = F.coalesce(F.col("start") < F.max(F.when(F.col("kind") == 0, end)).over(
-        W.partitionBy("d", "_span").orderBy("start", "kind", "length")
-        .rowsBetween(W.unboundedPreceding, -1)), F.lit(False))
-    rows = rows.withColumn("_n", F.when(inner, 0).otherwise(F.col("n_words")))
-    spans = rows.groupBy("d", "_span").agg(
-        F.min("start").alias("start"), F.max(end).alias("_end"), F.sum("_n").alias("n_words"),
+    before, upto = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(
+        W.unboundedPreceding, 0)
+    far = F.coalesce(F.col("start") > F.max(end).over(before) + GAP, F.lit(True))
+    turned = F.coalesce(F.col("kept") != F.lag("kept").over(order), F.lit(True))
+    rows = hits.withColumns({"_far": far.cast("int"), "_cut": (far | turned).cast("int")})
+    rows = rows.withColumns({"_run": F.sum("_far").over(upto), "_span": F.sum("_cut").over(upto)})
+    run = W.partitionBy("d", "_run")
+    rows = rows.withColumn("run_words", F.max(last_word).over(run) - F.min("at_word").over(run))
+    spans = rows.where(F.col("run_words") >= min_words).groupBy("d", "_span").agg(
+        F.min("start").alias("start"), F.max(end).alias("_end"),
+        (F.max(last_word) - F.min("at_word")).alias("n_words"), F.max("run_words").alias("run_words"),
         F.min_by("cluster_id", F.struct("start", "kind")).alias("cluster_id"),
         F.min_by("first.d", F.struct("start", "kind")).alias("first_doc_id"),
         F.min("kept").alias("kept"))
-    return spans.where(F.col("n_words") >= min_words).select(
+    return spans.select(
         F.col("d").alias("doc_id"), "start", (F.col("_end") - F.col("start")).alias("length"),
-        "n_words", "cluster_id", "first_doc_id", "kept")
+        "n_words", "run_words", "cluster_id", "first_doc_id", "kept")

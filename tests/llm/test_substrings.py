@@ -35,7 +35,10 @@ def test_planted_passages_are_found_and_clean_texts_left_alone(spark):
         covered = sum(r.n_words for r in spans)
         assert covered >= 0.5 * len(planted[i].split())
         for r in spans:
-            assert texts[i][r.start:r.start + r.length].strip() in planted[i]
+            # A line that is the passage but for a few words of its host is near the others' line.
+            span = set(texts[i][r.start:r.start + r.length].split())
+            assert len(span & set(planted[i].split())) >= 0.75 * len(span)
+            assert r.run_words >= 30
             assert r.first_doc_id % 4 == i % 4 and r.kept == (r.first_doc_id == i)
     assert all(any(r.kept for r in got[i]) for i in range(4))
 
@@ -62,8 +65,7 @@ def test_links_against_brute_force(spark):
             lines.append(" ".join(own))
     frame = docs(spark, lines)
     units = frame.selectExpr("doc_id as d", "text").mapInArrow(
-        substrings._read_units, "d long, kind int, start int, length int, n_words int, unit long, "
-                                "bands array<long>").cache()
+        substrings._read_units, substrings.UNITS).cache()
     unit = {r.d: r.unit for r in units.where("kind = 0").collect()}
     for chunk in (256, 2):
         root = {r.node: r.root for r in substrings.line_clusters(frame, units, chunk=chunk
