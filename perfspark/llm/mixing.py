@@ -63,11 +63,12 @@ def close_budget(rest: int, lengths: np.ndarray, spare: np.ndarray) -> np.ndarra
     """How many of each length add up to ``rest`` exactly, or to the next sum below.
 
     Bounded knapsack over a bit set of reachable sums: a length with ``k`` spare documents enters
-    as 1, 2, 4 ... of them. The search ends at the first item that reaches ``rest``."""
+    as 1, 2, 4 ... of them. Lengths enter in a fixed random order, so none is preferred, and the
+    search ends at the first item that reaches ``rest``."""
     taken = np.zeros(len(lengths), "int64")
     full = (1 << (rest + 1)) - 1
     reach, trail = 1, []
-    for i in np.argsort(lengths, kind="stable"):
+    for i in np.random.default_rng(len(lengths)).permutation(len(lengths)):
         length, left, step = int(lengths[i]), int(spare[i]), 1
         if length <= 0 or length > rest:
             continue
@@ -90,18 +91,21 @@ def close_budget(rest: int, lengths: np.ndarray, spare: np.ndarray) -> np.ndarra
     return taken
 
 
-def fit(lengths: np.ndarray, counts: np.ndarray, target: float, slack: int = 4096
+def fit(lengths: np.ndarray, counts: np.ndarray, target: float, slack: int = 1 << 17
         ) -> tuple[int, np.ndarray]:
-    """``(rounds, extra)``: all documents ``rounds`` times, and ``extra`` more of each length."""
+    """``(rounds, extra)``: all documents ``rounds`` times, and ``extra`` more of each length.
+
+    The last ``slack`` words (all words of a small source) are left to the search."""
     total = int((lengths * counts).sum())
     if not total:
         return 0, np.zeros(len(lengths), "int64")
     goal = int(round(target))
     rounds, rest = divmod(goal, total)
-    extra = (counts.astype(object) * rest // total).astype("int64")
+    part = max(0, rest - slack)
+    extra = (counts.astype(object) * part // total).astype("int64")
     left = rest - int((lengths * extra).sum())
     spare = counts - extra
-    order = np.argsort(-(counts.astype(object) * rest % total).astype("float64"), kind="stable")
+    order = np.argsort(-(counts.astype(object) * part % total).astype("float64"), kind="stable")
     order = order[(spare[order] > 0) & (lengths[order] > 0)]
     more = order[np.cumsum(lengths[order]) <= left - slack]
     extra[more] += 1
