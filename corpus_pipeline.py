@@ -13,14 +13,24 @@ from perfspark.llm import linededup, mixing, packing, queries, simhash, toxicity
 from perfspark.session import shared_dir
 
 
+#: Bytes of an Arrow batch: whole rows with their texts go through Python here, in and out.
+BATCH_BYTES = 8 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar does not call toxic."""
+    _small_batches(spark)
     scored = toxicity.score(docs, queries.table(spark, sf_dir, "labels"))
     return scored.where("predicted = 0").select(*docs.columns)
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that ten documents or more share; ``n_chars`` follows the text."""
+    _small_batches(spark)
     kept = linededup.drop_common_lines(docs, min_docs=10)
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

@@ -8,7 +8,9 @@ holds one batch and one group at a time. Groups above a size are cut into chunks
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,30 @@ def drop_table(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``function`` for ``mapInArrow``, after which the worker returns its freed memory to the
+    system. Spark keeps workers for later tasks; what one task needed would else stay with them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that texts are Python objects and output a few at a time."""
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
 def text_column(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """Texts as UTF-8; null as empty."""
     return [b"" if v is None else v.encode() for v in batch.column(name).to_pylist()]

@@ -15,13 +15,14 @@ that are null need no care. Columns besides ``text`` pass through untouched, wha
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut
-from .common import drop_table, text_column
+from .common import drop_table, lean, slices, text_column
 
 #: ASCII white space, as in [\x20\x09-\x0D].
 BLANK = b" \t\n\x0b\x0c\r"
@@ -59,7 +60,7 @@ def line_hashes(docs: DataFrame, min_chars: int = 1) -> DataFrame:
                  *_halves(digests)], ["t1", "t2", "h1", "h2"])
 
     texts = docs.select("text").withColumns(_text_keys())
-    return texts.mapInArrow(hashes, "t1 long, t2 long, h1 long, h2 long")
+    return texts.mapInArrow(lean(hashes), "t1 long, t2 long, h1 long, h2 long")
 
 
 class LineRuns:
@@ -140,7 +141,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                            T.StructField("n_dropped", T.LongType())])
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             texts, counts, drops = [], [], []
             for text, lost in zip(text_column(batch), batch.column("_lost"), strict=True):
                 parts = text.split(b"\n")
@@ -159,5 +160,5 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                  pa.array(counts, pa.int64()), pa.array(drops, pa.int64())],
                 ["_row", "text", "n_lines", "n_dropped"])
 
-    out = met.select("_row", "text", "_lost").mapInArrow(rewrite, schema)
+    out = met.select("_row", "text", "_lost").mapInArrow(lean(rewrite), schema)
     return out.select(*[F.col("_row")[c].alias(c) for c in rest], "text", "n_lines", "n_dropped")

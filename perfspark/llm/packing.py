@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import text_column
+from .common import lean, text_column
 
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "ids binary")
@@ -139,7 +139,7 @@ class Speller:
     #: Letters whose lower case depends on the library or on their neighbours.
     ODD = re.compile("[\u03a3\u0130]")
 
-    def __init__(self, tokenizer, limit: int = 400_000):
+    def __init__(self, tokenizer, limit: int = 150_000):
         self.tokenizer, self.limit = tokenizer, limit
         self.forget()
 
@@ -157,9 +157,11 @@ class Speller:
                 self.parts[part] = array("I", [t.id for t in model.tokenize(part)]).tobytes()
             else:
                 rest.append(part)
-        for part, found in zip(rest, self.tokenizer.encode_batch_fast(
-                rest, add_special_tokens=False), strict=True):
-            self.parts[part] = array("I", found.ids).tobytes()
+        for lo in range(0, len(rest), 1024):  # an encoding holds far more than its ids
+            own = rest[lo:lo + 1024]
+            for part, found in zip(own, self.tokenizer.encode_batch_fast(
+                    own, add_special_tokens=False), strict=True):
+                self.parts[part] = array("I", found.ids).tobytes()
 
     def _learn(self) -> None:
         """Ids of the words numbered since the last call."""
@@ -237,7 +239,7 @@ def tokens_of(docs: DataFrame, tokenizer: str, end_id: int, mark: Column) -> Dat
                     ["doc_id", "mark", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long"), mark.cast("long").alias("mark"), "text")
-    return rows.mapInArrow(run, "doc_id long, mark long, ids binary")
+    return rows.mapInArrow(lean(run), "doc_id long, mark long, ids binary")
 
 
 def _pack_group(rows: pa.Table, capacity: int) -> pa.Table:

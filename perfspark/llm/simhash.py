@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
-from .common import (chunk_pairs, components, document_key, forest, sorted_groups, text_column,
+from .common import (chunk_pairs, components, document_key, forest, lean, sorted_groups, text_column,
                      whole_groups)
 
 SEED = 42
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
 
     k1, k2 = document_key()
     rows = docs.select(F.col("doc_id").cast("long"), k1.alias("k1"), k2.alias("k2"), "text")
-    return rows.mapInArrow(prints, "doc_id long, k1 long, k2 long, fp long")
+    return rows.mapInArrow(lean(prints), "doc_id long, k1 long, k2 long, fp long")
 
 
 def gray_rank(fp: Column) -> Column:

@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut
-from .common import held_out
+from .common import held_out, lean, slices
 
 # Word classes in the four languages of the corpus.
 TARGETS = frozenset("you your yours u ur yourself tu toi vous vos votre du dich dir euch ihr "
@@ -147,26 +148,22 @@ def _features(words: list[str]) -> set[str]:
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
-            bad, good = Counter(), Counter()
-            for text, label in zip(part.column("text").to_pylist(),
-                                   part.column("toxic").to_pylist(), strict=True):
-                (bad if label else good).update(_features(set(WORD.findall(
-                    (text or "").lower()))))
-            # A word that this part has in good texts only cannot help a candidate: it is left to
-            # the second count, which reads candidates alone.
-            names = list(bad)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(list(bad.values()), pa.int64())],
-                ["feature", "bad"])
+    """``(feature, bad)``: in how many texts with the label a feature occurs."""
+    for batch in chain.from_iterable(map(slices, batches)):
+        bad = Counter()
+        for text, label in zip(batch.column("text").to_pylist(),
+                               batch.column("toxic").to_pylist(), strict=True):
+            if label:
+                bad.update(_features(set(WORD.findall((text or "").lower()))))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(bad), pa.string()), pa.array(list(bad.values()), pa.int64())],
+            ["feature", "bad"])
 
 
 def _count_candidates(batches: Iterator[pa.RecordBatch], names: frozenset[str]
                       ) -> Iterator[pa.RecordBatch]:
     """``(feature, good, context)``: texts without the label, or the context in a toxic text."""
-    for batch in batches:
+    for batch in chain.from_iterable(map(slices, batches)):
         feature, good, context = [], [], []
         for text, label in zip(batch.column("text").to_pylist(),
                                batch.column("toxic").to_pylist(), strict=True):
@@ -218,7 +215,7 @@ def fit(labelled: DataFrame, min_contexts: int = 5, purity: float = 0.9,
     grammar = Grammar()
     if len(sizes) < 2:
         return grammar
-    bad = (rows.mapInArrow(_count_features, "feature string, bad long").groupBy("feature")
+    bad = (rows.mapInArrow(lean(_count_features), "feature string, bad long").groupBy("feature")
            .agg(F.sum("bad").alias("bad")).where(F.col("bad") >= min_contexts)
            .orderBy(F.desc("bad"), "feature").limit(20 * max_arcs))
     counts = {r.feature: r.bad for r in bad.collect()}
@@ -245,19 +242,19 @@ def fit(labelled: DataFrame, min_contexts: int = 5, purity: float = 0.9,
 
 
 def evidence(docs: DataFrame, grammar: Grammar, carry: list[str]) -> DataFrame:
-    """``carry`` columns of each row and its ``evidence``."""
+    """``carry`` columns of each row, which may include ``text``, and its ``evidence``."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arcs = grammar.arcs()
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             found = [grammar.evidence(t or "", arcs) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in carry], pa.array(found, pa.float64())],
                 [*carry, "evidence"])
 
-    rows = docs.select(*carry, "text")
+    rows = docs.select(*carry, *({"text"} - set(carry)))
     schema = T.StructType([*[rows.schema[c] for c in carry],
                            T.StructField("evidence", T.DoubleType())])
-    return rows.mapInArrow(read, schema)
+    return rows.mapInArrow(lean(read), schema)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = 20000
@@ -275,10 +272,13 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = 2000
           carry: list[str] | None = None) -> DataFrame:
     """``carry`` columns (all by default) of each row with ``score`` and ``predicted``."""
     grammar = fit(training_rows(docs, labels, folds, sample))
-    rest = [c for c in (carry or docs.columns) if c not in ("score", "predicted")]
+    kept = [c for c in (carry or docs.columns) if c not in ("score", "predicted")]
+    # A text goes through Python once, so it is not in the struct of the other columns as well.
+    rest = [c for c in kept if c != "text"]
     rows = docs.select(F.struct(*[F.col(c) for c in rest]).alias("_row"), "text")
     curve = 1 / (1 + F.exp(-F.greatest(F.lit(-60.0), F.least(
         F.lit(60.0), F.lit(grammar.bias) + F.lit(grammar.slope) * F.col("evidence")))))
-    return evidence(rows, grammar, ["_row"]).select(
-        *[F.col("_row")[c].alias(c) for c in rest], curve.alias("score"),
-        (curve >= 0.5).cast("int").alias("predicted"))
+    read = evidence(rows, grammar, ["_row", *(["text"] if "text" in kept else [])])
+    return read.select(
+        *[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in kept],
+        curve.alias("score"), (curve >= 0.5).cast("int").alias("predicted"))
