@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from perfspark.llm import linededup, mixing, packing, queries, simhash, toxicity
+from perfspark.llm import linededup, mixing, nearcopies, packing, queries, simhash, toxicity
 from perfspark.session import shared_dir
 
 
@@ -36,10 +36,19 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group whose fingerprints differ in at most 4 of 64 bits: copies and
+    the nearest copies, cheaply. It finds few pairs of similarity 0.8 to 0.9; those are left to
+    ``drop_near_copies``."""
     return simhash.one_of_each(docs, bits=4, words=4)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a Jaccard similarity of 0.8 or more of their five-word
+    shingles, verified exactly."""
+    _small_batches(spark)
+    return nearcopies.one_of_each(docs, similarity=0.8)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     mixed = mixing.mix(docs).where("repeats > 0")
@@ -59,6 +68,7 @@ STAGES = [
     ("toxicity", reject_toxic),
     ("line_dedup", drop_common_lines),
     ("simhash_near_dedup", one_of_each_group),
+    ("shingle_near_dedup", drop_near_copies),
     ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]

@@ -25,6 +25,18 @@ def document_key() -> list[Column]:
     return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]
 
 
+def first_of_each(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """``docs`` with the row of least id (null last) of each ``root`` of ``(doc_id, k1, k2, root)``."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2"))
+    stays = near.groupBy("root").agg(first.alias("f")).select(
+        F.col("f.k1").alias("_k1"), F.col("f.k2").alias("_k2"))
+    k1, k2 = document_key()
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
+                       k1.alias("_k1"), k2.alias("_k2"))
+    kept = rows.join(stays, ["_k1", "_k2"]).groupBy("_k1", "_k2").agg(F.first("_row").alias("r"))
+    return kept.select(*[F.col("r")[c].alias(c) for c in docs.columns])
+
+
 def held_out(doc_id: str, folds: int) -> Column:
     """Whether crc32 of the id as text leaves remainder 0; rows without an id are held out."""
     crc = F.crc32(F.col(doc_id).cast("string").cast("binary"))

@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
-from .common import (chunk_pairs, components, document_key, forest, lean, sorted_groups, text_column,
-                     whole_groups)
+from .common import (chunk_pairs, components, document_key, first_of_each, forest, lean,
+                     sorted_groups, text_column, whole_groups)
 
 SEED = 42
 
@@ -198,12 +198,4 @@ def one_of_each(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFrame:
     """``docs`` with one row of each component: one with the least id (ids that are null last).
 
     Texts move once, to meet the keys that stay; rows that repeat id and text count as one."""
-    near = near_duplicates(docs, bits, words)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2"))
-    stays = near.groupBy("root").agg(first.alias("f")).select(
-        F.col("f.k1").alias("_k1"), F.col("f.k2").alias("_k2"))
-    k1, k2 = document_key()
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
-                       k1.alias("_k1"), k2.alias("_k2"))
-    kept = rows.join(stays, ["_k1", "_k2"]).groupBy("_k1", "_k2").agg(F.first("_row").alias("r"))
-    return kept.select(*[F.col("r")[c].alias(c) for c in docs.columns])
+    return first_of_each(docs, near_duplicates(docs, bits, words))

@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+import corpus_pipeline as pipeline
+
+from helpers import docs
+from perfspark.llm import nearcopies
+
+
+def _pair(rng, edits, n=400):
+    base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    other = list(base)
+    for at in rng.sample(range(5, n - 5, 9), edits):
+        other[at] = f"e{rng.randrange(10**6)}"
+    return [" ".join(base), " ".join(other)]
+
+
+def _jaccard(a, b):
+    s, t = ({tuple(x.split()[i:i + 5]) for i in range(max(1, len(x.split()) - 4))}
+            for x in (a.lower(), b.lower()))
+    return len(s & t) / len(s | t)
+
+
+def test_planted_pairs_of_0_8_to_0_95_leave_the_pipeline(spark):
+    rng = random.Random(12)
+    edits = [2] * 20 + [4] * 20 + [6] * 20 + [8] * 20 + [10] * 20
+    pairs = [_pair(rng, e) for e in edits]
+    near = [_jaccard(*p) >= 0.8 for p in pairs]
+    assert near == [e <= 8 for e in edits] and min(map(lambda p: _jaccard(*p), pairs[60:80])) < 0.82
+    frame = docs(spark, [t for p in pairs for t in p])
+    for name, stage in pipeline.STAGES:
+        if name.endswith("near_dedup"):
+            frame = stage(spark, frame, "")
+    kept = {r.doc_id for r in frame.collect()}
+    assert all(2 * i in kept for i in range(len(pairs)))
+    assert sum(2 * i + 1 not in kept for i in range(80)) >= 78
+    assert all(2 * i + 1 in kept for i in range(80, 100))
+
+
+def test_components_against_brute_force(spark):
+    rng = random.Random(3)
+    texts = [t for c in range(4) for e in (1, 3, 9) for t in _pair(rng, e, 200)]
+    base = texts[0].split()
+    texts += [" ".join([*base[k:], *[f"x{i}" for i in range(k)]]) for k in range(0, 60, 15)]
+    texts += [None, "", "one two", "One  two", "one three"]
+    links = [(i, j) for i, j in combinations(range(len(texts)), 2)
+             if _jaccard(texts[i] or "", texts[j] or "") >= 0.8]
+    label = list(range(len(texts)))
+    for i, j in links * len(texts):
+        label[i] = label[j] = min(label[i], label[j])
+    got = {r.doc_id: r.root for r in nearcopies.near_copies(docs(spark, texts), chunk=3)
+           .collect()}
+    for i, j in combinations(range(len(texts)), 2):
+        assert (got[i] == got[j]) == (label[i] == label[j]), (i, j)
+
+
+def test_rows_without_id_repeated_rows_and_empty_tables(spark):
+    texts, ids = ["a b c d e f", "a b c d e f", None, "", "z"], [None, 4, 7, None, None]
+    got = nearcopies.one_of_each(docs(spark, texts, ids=ids, clash=True)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("4", "a b c d e f"), ("7", None),
+                                                          ("None", "z")]
+    assert nearcopies.one_of_each(docs(spark, [])).count() == 0
