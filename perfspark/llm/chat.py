@@ -10,8 +10,9 @@ Template, per turn: ``<|im_start|>`` role, line feed, text, ``<|im_end|>``, line
 texts ``<|`` is written ``<\\|`` and ``<\\`` is written ``<\\\\``, so no text can hold a control string,
 and taking one backslash after each ``<`` back restores it; roles write line feeds as ``<\\n``.
 
-Null texts and roles are empty; events of a null conversation form one. A null turn comes first.
-Events that agree in sequence are ordered by kind, role and text, so repeated rows give
+Null texts and roles are empty; events of a null conversation form one. A null turn of a log comes
+first. Plain rows (``messages``) are one turn each, also when they share a turn number or have
+none; null turns come last there, as in the SQL twin. Events of a log that agree in sequence are ordered by kind, role and text, so repeated rows give
 the same result on every run; a repeated message event repeats its text. Folding reduces per
 turn before conversations are put together; a conversation is one row, so its text must
 fit a row. Columns other than the named ones are not read.
@@ -54,8 +55,18 @@ def fold(events: DataFrame) -> DataFrame:
 
 
 def messages(conversations: DataFrame) -> DataFrame:
-    """Events of plain ``(conv_id, turn, role, text)`` rows: each row is one message."""
-    return conversations.select("conv_id", "turn", F.col("turn").alias("seq"),
+    """Events of plain ``(conv_id, turn, role, text)`` rows: each row is one message and opens its
+    own turn, a struct that sorts by turn (null last), role and a hash of the text.
+
+    System comes first in a turn, then user, other roles and assistant. The row's number tells
+    equal rows apart; which of them has which number changes nothing."""
+    role = F.coalesce("role", F.lit(""))
+    place = F.when(role == "system", 0).when(role == "user", 1).when(
+        role == "assistant", 3).otherwise(2)
+    turn = F.struct(F.col("turn").isNull().alias("none"), F.col("turn").alias("turn"),
+                    place.alias("place"), role.alias("role"), F.xxhash64("text").alias("text"),
+                    F.monotonically_increasing_id().alias("row"))
+    return conversations.select("conv_id", turn.alias("turn"), F.col("turn").alias("seq"),
                                 F.lit("message").alias("kind"), "role", "text")
 
 

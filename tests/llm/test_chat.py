@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import hashlib
 
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from perfspark.llm import chat
-from perfspark.llm.queries import PLANTED
+from perfspark.llm.queries import PLANTED, op4_chat_events
 
 EVENTS = "conv_id long, turn long, seq long, kind string, role string, text string"
 
@@ -69,3 +70,22 @@ def test_plan_has_no_python(spark):
                                "conv_id long, turn long, role string, text string")
     plan = chat.render(chat.fold(chat.messages(df)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_that_share_a_turn_or_have_none_stay_messages_of_their_own(spark, tmp_path):
+    rows = [(1, 0, "assistant", "yes"), (1, 0, "user", "no"), (1, 0, "user", "no"),
+            (1, None, "assistant", "b"), (1, None, "user", "a"), (1, None, None, None),
+            (2, None, "user", "x"), (2, None, "assistant", "y"), (2, 3, "user", "w"),
+            (None, None, "assistant", "z"), (None, 1, "assistant", "z")]
+    schema = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in op4_chat_events(spark, str(tmp_path)).collect()}
+    told = {1: ["user", "no", "user", "no", "assistant", "yes", "user", "a", "", "",
+                "assistant", "b"],
+            2: ["user", "w", "user", "x", "assistant", "y"], None: ["assistant", "z"] * 2}
+    loss = {1: "yesb", 2: "y", None: "zz"}
+    for conv, parts in told.items():
+        r, sha = got[conv], lambda t: hashlib.sha256(t.encode()).hexdigest()
+        assert (r.n_turns, r.loss_chars) == (len(parts) // 2, len(loss[conv]))
+        assert r.turns_sha256 == sha("".join(p + "\n" for p in parts))
+        assert r.loss_sha256 == sha(loss[conv])
