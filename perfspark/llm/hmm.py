@@ -233,41 +233,17 @@ def _e_step(batches: Iterator[pa.RecordBatch], m: Model) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["at", "n"])
 
 
-def _warm(batches: Iterator[pa.RecordBatch], m: Model, rounds: int) -> Iterator[pa.RecordBatch]:
-    """Counts after some rounds on one bounded sample, a start for the rounds on all rows."""
-    k = len(m.start)
-    for row in _rows(batches):
-        classes, lengths = _chunk_classes(row, {0})
-        own = np.cumsum(lengths) <= 400_000
-        classes, lengths = classes[:int(lengths[own].sum())], lengths[own]
-        counts = np.zeros(k + k * k + CLASSES * k)
-        for _ in range(rounds):
-            counts = expected_counts(m, classes, lengths)
-            m = Model.from_counts(counts, k)
-        some = np.nonzero(counts)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["at", "n"])
-
-
-def train(chunks: DataFrame, states: int = 6, rounds: int = 2, warm: int = 12, seed: int = 17
-          ) -> Model:
-    """A model by ``rounds`` of Baum-Welch over all training documents.
-
-    It starts from ``warm`` rounds on the training documents at the head of one chunk, at most
-    400,000 words; that start is all that the sample decides."""
+def train(chunks: DataFrame, states: int = 6, rounds: int = 14, seed: int = 17) -> Model:
+    """A model by ``rounds`` of Baum-Welch, each over all training documents, from a seeded random
+    start; neither the order of rows nor their place in files decides anything."""
     size = states + states * states + CLASSES * states
-
-    def gathered(counts: DataFrame) -> Model:
+    model = Model.random(states, seed)
+    for _ in range(rounds):
+        counts = chunks.mapInArrow(lambda b, m=model: _e_step(b, m), "at long, n double")
         total = np.zeros(size)
         for r in counts.groupBy("at").agg(F.sum("n").alias("n")).collect():
             total[r["at"]] = r["n"]
-        return Model.from_counts(total, states)
-
-    start = Model.random(states, seed)
-    one = chunks.orderBy(F.xxhash64("chunk")).limit(1)
-    model = gathered(one.mapInArrow(lambda b: _warm(b, start, warm), "at long, n double"))
-    for _ in range(rounds):
-        model = gathered(chunks.mapInArrow(lambda b, m=model: _e_step(b, m),
-                                           "at long, n double"))
+        model = Model.from_counts(total, states)
     return model
 
 
@@ -292,7 +268,7 @@ def _score_chunk(own: pa.Table, row: dict, m: Model, base: float, by_class: np.n
         "base_score": pa.array(words - lengths * base), "score": pa.array(latent + inside)})
 
 
-def score(docs: DataFrame, folds: int = 10, states: int = 6, rounds: int = 2) -> DataFrame:
+def score(docs: DataFrame, folds: int = 10, states: int = 6, rounds: int = 14) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row."""
     rows = docs.select(F.col("doc_id").cast("long"), held_out("doc_id", folds).cast("long")
                        .alias("mark"), "text")

@@ -123,3 +123,30 @@ def test_empty_table_and_nothing_to_train_on(spark):
     r = hmm.score(docs(spark, ["a b"], ids=[None])).first()
     assert (r.train_tokens, r.n_known, r.n_tokens) == (0, 0, 3)
     assert r.base_score == pytest.approx(0.0) and math.isfinite(r.score)
+
+
+def test_a_long_first_text_trains_states_apart(spark):
+    block = "a " * 50 + "b " * 50
+    texts = [block * 4001, *[block * 2] * 20]
+    ids = [i for i in range(100) if not _is_held(i)][:len(texts)]
+    got = hmm.score(docs(spark, texts, ids=ids), states=2).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        # A unigram gives log10(0.5) a word, states of their own nearly 0.
+        assert r.score > 0.5 * r.base_score
+
+
+def test_every_round_counts_every_chunk(spark):
+    texts = [prose(60, i, 200) for i in range(40)]
+    rows = docs(spark, texts).selectExpr("doc_id", "0L as mark", "text").repartition(4)
+    chunks, _ = hmm.encode(rows, lower=True, end=True, word_class=hmm.word_class)
+    chunks = chunks.cache()
+    m = hmm.Model.random(3, 17)
+    for _ in range(3):
+        total = sum(hmm.expected_counts(m, *hmm._chunk_classes(r.asDict(), {0}))
+                    for r in chunks.collect())
+        m = hmm.Model.from_counts(total, 3)
+    got = hmm.train(chunks, 3, rounds=3)
+    assert chunks.count() > 1
+    for name in ("start", "move", "emit"):
+        assert np.allclose(getattr(got, name), getattr(m, name), rtol=1e-5, atol=1e-9)
