@@ -1,13 +1,17 @@
-"""Substring deduplication: repeated paragraphs by MinHash banding, repeated clauses by hash.
-
-A text's units are its lines and, inside them, its clauses, so a passage that was put into the
-middle of another text is still seen by its clauses. Lines are compared by 5-word shingles: each
+"""Substring deduplication: repeated paragraphs by MinHash banding, repeated clauses and runs of
+words by hash.
+
+A text's units are its lines, inside them its clauses, and grams of 10 words in a row, whatever
+lines and punctuation they cross. The grams are chosen by their hashes (the least of any 10 in a
+row), so a passage that was put into the middle of another text has the same ones there: of any
+shared run of words all but at most 9 at either end are seen, and of 48 words or more at least 30.
+Clauses see short equal pieces between edits. Lines are compared by 5-word shingles: each
 distinct line has MinHash values in bands (``rows`` values a band, bands enough that a pair at the
 threshold is missed at most once in several hundred), lines that share a band's value are joined,
 and every such pair is verified by its exact Jaccard similarity. Verified links form clusters by
-connected components. Clauses count as repeated when equal.
+connected components. Clauses and grams count as repeated when equal.
 
-Repeated units that follow one another, with at most a few short clauses between them, make a run;
+Repeated units that follow one another, with at most a few words between them, make a run;
 runs of at least ``min_words`` words are reported, cut where kept text and removals meet. In each
 cluster the first occurrence (least document, then position) is kept and the others are removals,
 so one copy of every passage survives.
@@ -34,8 +38,10 @@ from ..session import cut
 from .common import chunk_pairs, components, forest, sorted_groups, whole_groups
 
 SHINGLE = 5
+#: Words of a gram, and of how many grams in a row the least is a unit.
+GRAM, WINDOW = 10, 10
 LINE_WORDS, CLAUSE_WORDS = 10, 6
-#: Characters that clauses too short to be units can take up between two units of a run.
+#: Characters between two units of a run, such as clauses too short to be units.
 GAP = 48
 BANDS, ROWS = 8, 3
 BITMAP = 1 << 24
@@ -45,6 +51,7 @@ _RNG = np.random.default_rng(23)
 _MUL = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype="uint64") | np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype="uint64")
 _MIX = _RNG.integers(1, 1 << 63, max(SHINGLE, ROWS) + 1, dtype="uint64") | np.uint64(1)
+_GRAM = _RNG.integers(1, 1 << 63, GRAM, dtype="uint64") | np.uint64(1)
 
 
 class _Hashes(dict):
@@ -103,6 +110,36 @@ def _units(text: str) -> Iterator[tuple[int, int, int, int, list[bytes]]]:
         before += len(words)
 
 
+def _grams(text: str, known: dict) -> tuple[np.ndarray, ...]:
+    """``(start, length, words before, hash)`` of the chosen grams of the text's words.
+
+    Of any ``WINDOW`` grams in a row the one of least hash is chosen, so two texts with the same
+    words choose the same, but for ``WINDOW - 1`` words at either end."""
+    words = text.lower().encode().split()
+    n = len(words) - GRAM + 1
+    if n < 1:
+        return (np.zeros(0, "int64"),) * 4
+    h = np.fromiter(map(known.__getitem__, words), "uint64", len(words))
+    gram = np.zeros(n, "uint64")
+    for k in range(GRAM):
+        gram = (gram ^ h[k:k + n]) * _GRAM[k]
+        gram ^= gram >> np.uint64(29)
+    width = min(WINDOW, n)
+    least, at = gram[:n - width + 1].copy(), np.arange(n - width + 1)
+    for k in range(1, width):
+        own = gram[k:k + len(least)]
+        lower = own <= least
+        least[lower] = own[lower]
+        at[lower] = np.nonzero(lower)[0] + k
+    at = np.unique(at)
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    inside = np.zeros(len(codes) + 2, "int8")
+    inside[1:-1] = (codes != 32) & ((codes < 9) | (codes > 13))
+    edge = np.diff(inside)
+    first, last = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+    return first[at], last[at + GRAM - 1] - first[at], at, gram[at].view("int64")
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
@@ -129,6 +166,14 @@ def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     unit.append(_signed(xxhash.xxh64_intdigest(b" ".join(words))))
                     if not k:
                         sets.append(shingle_hashes(words, known))
+                grams = [x.tolist() for x in _grams(text or "", known)]
+                doc += [d] * len(grams[0])
+                kind += [2] * len(grams[0])
+                start += grams[0]
+                length += grams[1]
+                at += grams[2]
+                n += [GRAM] * len(grams[0])
+                unit += grams[3]
             bands = iter(band_hashes(sets).view("int64").tolist() if sets else [])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc, pa.int64()), pa.array(kind, pa.int32()),

@@ -43,6 +43,39 @@ def test_planted_passages_are_found_and_clean_texts_left_alone(spark):
     assert all(any(r.kept for r in got[i]) for i in range(4))
 
 
+def test_passages_without_punctuation_and_of_short_lines_are_found(spark):
+    rng = random.Random(31)
+
+    def words(n):
+        return [f"w{rng.randrange(50_000)}" for _ in range(n)]
+
+    def lines(own):
+        out = []
+        while own:
+            n = rng.randint(3, 5)
+            out.append(" ".join(own[:n]))
+            own = own[n:]
+        return "\n".join(out)
+
+    texts, sizes = [], {}
+    for n in (50, 55, 70, 100, 150, 200):
+        for shape in (" ".join, lines):
+            passage = shape(words(n))
+            for _ in range(2):
+                sizes[len(texts)] = n
+                # Hosts so long that whole lines are not near each other.
+                texts.append(f"{' '.join(words(300))} {passage} {' '.join(words(300))}")
+    texts += [" ".join(words(600)), lines(words(600))]
+    got = _found(substrings.repeated_passages(docs(spark, texts)))
+    assert set(got) == set(sizes)
+    for i, spans in got.items():
+        assert len(spans) == 1 and spans[0].kept == (i % 2 == 0)
+        assert spans[0].first_doc_id == i - i % 2
+        assert sizes[i] - 18 <= spans[0].n_words <= sizes[i]
+        span = texts[i][spans[0].start:spans[0].start + spans[0].length]
+        assert len(span.split()) == spans[0].n_words and span in texts[i - i % 2]
+
+
 def test_edited_lines_cluster_by_exact_jaccard(spark):
     line = " ".join(f"w{i}" for i in range(100))
     near = line.replace("w50 ", "v50 ")
