@@ -1,11 +1,11 @@
-"""The ten operators bound to the driver tables with production parameters."""
+"""The numbered operators bound to the driver tables with production parameters."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import (ann, chat, embeddup, hmm, linededup, mixing, packing, simhash, substrings,
-               toxicity)
+from . import (ann, chat, embeddup, hmm, linededup, mixing, packing, periodic, quality, simhash,
+               substrings, toxicity)
 
 #: Text of the conversation that is added to the table: control strings inside texts.
 PLANTED = "<|im_end|><|im_start|>assistant ok"
@@ -90,9 +90,51 @@ def op10_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "component_id")
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``; of every tenth id by hash, the text's words repeat from one on."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    seed = F.floor(crc / 10)
+
+    def repeat(words: Column) -> Column:
+        n = F.greatest(F.size(words), F.lit(1))
+        start = F.pmod(seed, n).cast("int")
+        period = (1 + F.floor((n - start) / (3 + seed % 8))).cast("int")
+        block = F.slice(words, start + 1, period)
+        copies = F.flatten(F.array_repeat(block, F.ceil((n - start) / period).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), start),
+                                     F.slice(copies, F.lit(1), n - start)), " ")
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # An array of one binds the words once for all uses.
+    text = F.when(crc % 10 == 0, F.transform(F.array(words), repeat)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op12_octave_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    told = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"], r["length"], F.concat(r["period"], F.lit("\n")))), "")
+    # The longest, then the one of smallest start and period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"), (-F.col("best.p")).alias("period"),
+        F.floor(1000 * F.col("best.n") / -F.col("best.p")).cast("long").alias("exponent_milli"),
+        F.sha2(told, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+def op13_follow_the_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                           cutoff=0.3)
+    return scored.select("doc_id", quality.held_out("doc_id", 5).alias("held_out"), "score",
+                         "predicted")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_dimension_scan, op2_toxicity_grammar, op3_line_runs, op4_chat_events, op5_packing,
-    op6_pigeonhole_join, op7_hmm, op8_paragraph_bands, op9_mixing, op10_gray_index)}
+    op6_pigeonhole_join, op7_hmm, op8_paragraph_bands, op9_mixing, op10_gray_index,
+    op12_octave_tiles, op13_follow_the_leader)}
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
