@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import (ann, chat, embeddup, hmm, linededup, mixing, packing, periodic, quality, simhash,
-               substrings, toxicity)
+from . import (align, ann, chat, embeddup, hmm, linededup, mixing, packing, periodic, quality,
+               simhash, substrings, toxicity)
 
 #: Text of the conversation that is added to the table: control strings inside texts.
 PLANTED = "<|im_end|><|im_start|>assistant ok"
@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,13 @@ def op10_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "component_id")
 
 
+def op11_incidence_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align.align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
+                          tokenizer("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.withColumn("groups_sha256", digest).drop("groups")
+
+
 def with_periods(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)``; of every tenth id by hash, the text's words repeat from one on."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -134,7 +141,7 @@ def op13_follow_the_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_dimension_scan, op2_toxicity_grammar, op3_line_runs, op4_chat_events, op5_packing,
     op6_pigeonhole_join, op7_hmm, op8_paragraph_bands, op9_mixing, op10_gray_index,
-    op12_octave_tiles, op13_follow_the_leader)}
+    op11_incidence_links, op12_octave_tiles, op13_follow_the_leader)}
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
