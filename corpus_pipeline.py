@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from perfspark.llm import linededup, mixing, nearcopies, packing, queries, simhash, toxicity
+from perfspark.llm import linededup, mixing, packing, queries, simhash, toxicity
 from perfspark.session import shared_dir
 
 
@@ -36,21 +36,14 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints differ in at most 4 of 64 bits: copies and
-    the nearest copies, cheaply. It finds few pairs of similarity 0.8 to 0.9; those are left to
-    ``drop_near_copies``."""
+    """One document of each group linked by fingerprints that differ in at most 4 of 64 bits, the
+    one of least id (null last); rows equal in id and text count as one."""
     return simhash.one_of_each(docs, bits=4, words=4)
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 or more of their five-word
-    shingles, verified exactly."""
-    _small_batches(spark)
-    return nearcopies.one_of_each(docs, similarity=0.8)
-
-
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, twice at most; empty ones, of size 0, go. Sources
+    may be null; rows equal in id and text are taken or left together."""
     mixed = mixing.mix(docs).where("repeats > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))
     return mixed.select("row", times.alias("_time")).select(
@@ -58,7 +51,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences."""
+    """Pieces of training sequences. Null and empty texts are an end id alone; repeated rows are
+    packed as often as they stand there."""
     pieces = packing.pack_documents(docs, queries.tokenizer())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
@@ -68,7 +62,6 @@ STAGES = [
     ("toxicity", reject_toxic),
     ("line_dedup", drop_common_lines),
     ("simhash_near_dedup", one_of_each_group),
-    ("shingle_near_dedup", drop_near_copies),
     ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]
