@@ -12,6 +12,9 @@ NUMBER_TEXT = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 INTEGER_TEXT = r"^\s*[-+]?[0-9]+\s*$"
 DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
+#: Letters of an expression from which it is not written into a plan more than once.
+LONG = 400
+
 #: Step of the coarse part of a total; see ``exact_sum``.
 GRID = float(2 ** 20)
 
@@ -123,7 +126,13 @@ def round_py(c: Column | str, digits: int) -> Column:
     ``x * 10**digits`` is split into its rounded product and the exact product error
     (error-free transformation), so that ``2.675`` (stored as 2.67499...) rounds to 2.67 and
     ``0.125`` to 0.12. Values of 2**52 and above carry no fraction and are kept."""
-    x = _col(c).cast("double")
+    if isinstance(c, Column) and len(str(c)) > LONG:
+        # The value is used a dozen times: a long expression is computed once, not repeated.
+        return once(c.cast("double"), lambda x: _round_py(x, digits))
+    return _round_py(_col(c).cast("double"), digits)
+
+
+def _round_py(x: Column, digits: int) -> Column:
     scale = F.lit(float(10 ** digits))
     p = x * scale
     near = F.rint(p)

@@ -1,8 +1,8 @@
 """Token-set similarity of names.
 
 Set algebra on tokens plus a longest common subsequence (LCS) of what the two names do not
-share. The LCS has no Spark built-in; it runs Arrow-batched, bit-parallel over all pairs of a
-batch at once (one machine word per name, one numpy step per character).
+share. The LCS has no Spark built-in; both run Arrow-batched, the LCS bit-parallel over all pairs
+of a batch at once (one machine word per name, one numpy step per character).
 """
 
 from __future__ import annotations
@@ -111,46 +111,15 @@ def token_set_scores(a: list[str | None], b: list[str | None]) -> np.ndarray:
     return scores
 
 
-@F.pandas_udf(T.LongType())
-def _lcs(a: pd.Series, b: pd.Series) -> pd.Series:
-    """LCS length per row; 0 where either side is NULL."""
-    out = np.zeros(len(a), dtype=np.int64)
-    at = np.flatnonzero((a.notna() & b.notna()).to_numpy())
-    if len(at):
-        index = np.arange(len(at))
-        out[at] = lcs_pairs(a.iloc[at].tolist(), b.iloc[at].tolist(), index, index)
-    return pd.Series(out)
+@F.pandas_udf(T.DoubleType())
+def _scores(a: pd.Series, b: pd.Series) -> pd.Series:
+    sides = [c.astype(object).where(c.notna(), None).tolist() for c in (a, b)]
+    return pd.Series(token_set_scores(*sides))
 
 
 def token_set_ratio(a: Column | str, b: Column | str) -> Column:
     """Token-set similarity of two name columns, 0..100; rules as in ``token_set_scores``.
 
-    The set algebra is array functions; only the LCS of what is not shared runs in Arrow batches,
-    and only for pairs that the sets leave open."""
-    def tokens(c: Column | str) -> Column:
-        text = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
-        return F.array_distinct(F.filter(F.split(text, r"(?U)\s+"), lambda t: t != ""))
-
-    s, t = tokens(a), tokens(b)
-    common = F.array_intersect(s, t)
-    shared = F.size(common)
-    empty = (F.size(s) == 0) | (F.size(t) == 0)
-    inside = (shared > 0) & ((shared == F.size(s)) | (shared == F.size(t)))
-    undecided = ~empty & ~inside
-
-    def rest(x: Column, y: Column) -> Column:
-        return F.array_join(F.array_sort(F.array_except(x, y)), " ")
-
-    left, right = rest(s, t), rest(t, s)
-    lcs = _lcs(F.when(undecided, left), F.when(undecided, right))
-    x, y, c = F.length(left), F.length(right), F.length(F.array_join(common, " "))
-    gap = F.when(shared > 0, 1).otherwise(0)
-
-    def ratio(distance: Column, total: Column) -> Column:
-        return F.when(total == 0, 100.0).otherwise(
-            F.lit(100.0) - F.lit(100.0) * distance / F.nullif(total, F.lit(0)))
-
-    both = ratio(x + y - 2 * lcs, 2 * (c + gap) + x + y)
-    best = F.when(shared > 0, F.greatest(both, ratio(gap + x, 2 * c + gap + x),
-                                         ratio(gap + y, 2 * c + gap + y))).otherwise(both)
-    return F.when(empty, 0.0).when(inside, 100.0).otherwise(best)
+    One Arrow call per batch: as array functions the token sets would stand in the plan once per
+    use, and every use would split both names again."""
+    return _scores(*[F.col(c) if isinstance(c, str) else c for c in (a, b)])

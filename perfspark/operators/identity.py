@@ -2,12 +2,14 @@
 
 Candidates of a name are its four most similar roster names plus everyone with the same birth
 date. Both are found block against block (``plans.blocks``), so neither a popular name nor a
-popular date brings an unbounded group to one task. Distinct names are scored once.
+popular date brings an unbounded group to one task. Distinct names are scored once, and only in
+blocks whose letters, place by place, and tokens can hold a name similar enough.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import json
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -16,8 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import linkage
 from ..functions.numbers import present, round_py, to_day
 from ..functions.similarity import lcs_pairs, token_set_scores
-from ..plans.blocks import block_best, block_best_within
-from ..plans.shapes import latest
+from ..plans.blocks import Visits, block_best, block_best_within, bounded_best
+from ..plans.shapes import latest, top_rows
+from ..session import cut
 
 CANDIDATES = 4
 
@@ -42,13 +45,15 @@ def _letter_bound(left: list[str], right: list[str]) -> np.ndarray:
     return np.divide(200.0 * common, total, out=np.zeros(common.shape), where=total > 0)
 
 
-def _block_scores(lnames: list[str], rnames: list[str], floor: float, k: int | None = None):
-    """Pairs of a block that reach the floor; with ``k``, of each left name those no worse than
-    its ``k`` best. Pairs that cannot reach the floor by their letters are never compared; pairs
-    that share a token always are."""
+def _block_scores(lnames: list[str], rnames: list[str], floor: float | np.ndarray,
+                  k: int | None = None):
+    """Pairs of a block that reach the floor (one for all or one for each left name); with ``k``,
+    of each left name those no worse than its ``k`` best. Pairs that cannot reach the floor by
+    their letters are never compared; pairs that share a token always are."""
+    floor = np.broadcast_to(np.asarray(floor, dtype=float), len(lnames))
     ltok, rtok = [set(n.split()) for n in lnames], [set(n.split()) for n in rnames]
     ljoin, rjoin = [" ".join(sorted(t)) for t in ltok], [" ".join(sorted(t)) for t in rtok]
-    maybe = _letter_bound(ljoin, rjoin) >= floor
+    maybe = _letter_bound(ljoin, rjoin) >= floor[:, None] - 1e-9
     holders = defaultdict(list)
     for j, tokens in enumerate(rtok):
         for t in tokens:
@@ -64,40 +69,142 @@ def _block_scores(lnames: list[str], rnames: list[str], floor: float, k: int | N
     shared = token_set_scores([lnames[i] for i in si], [rnames[j] for j in sj])
     li, ri = np.concatenate([li, si]), np.concatenate([ri, sj])
     scores = np.concatenate([scores, shared])
+    least = floor[li]
     if k is not None and len(rnames) > k:
         grid = np.full(maybe.shape, -1.0)
         grid[li, ri] = scores
-        least = np.partition(grid, len(rnames) - k, axis=1)[:, len(rnames) - k]
-        floor = np.maximum(floor, least)[li]
-    keep = scores >= floor
+        least = np.maximum(
+            floor, np.partition(grid, len(rnames) - k, axis=1)[:, len(rnames) - k])[li]
+    keep = scores >= least
     return li[keep], ri[keep], scores[keep]
 
 
+def _joined(names: list[str]) -> list[str]:
+    return [" ".join(sorted(set(n.split()))) for n in names]
+
+
+def _block_summary(names: list[str]) -> str:
+    """What bounds the similarity to a block of names: the shortest length, the letters at each
+    place, the greatest count of each letter, and the tokens. Tokens are sorted and joined."""
+    places, most, tokens = [], Counter(), set()
+    for name in (joined := _joined(names)):
+        places += [set() for _ in range(len(name) - len(places))]
+        for letters, letter in zip(places, name):
+            letters.add(letter)
+        most |= Counter(name)
+        tokens |= set(name.split())
+    return json.dumps([min(map(len, joined)), ["".join(sorted(p)) for p in places], most,
+                       sorted(tokens)])
+
+
+def _common_in_order(names: list[str], places: list[list[str]]) -> np.ndarray:
+    """For each name and block, the most letters that the name can have in common, in order, with
+    any name that has one of the block's letters at each place."""
+    alphabet = {c: i for i, c in enumerate(sorted(set("".join(names))))}
+    size = np.array([len(n) for n in names])
+    masks = np.zeros((len(names), len(alphabet)), dtype=np.uint64)
+    for i, name in enumerate(names):
+        for j, letter in enumerate(name[:64]):
+            masks[i, alphabet[letter]] |= np.uint64(1 << j)
+    out = np.empty((len(names), len(places)), dtype=np.int32)
+    used = np.full(len(names), np.iinfo(np.uint64).max, dtype=np.uint64)
+    used[size < 64] = (np.uint64(1) << size[size < 64].astype(np.uint64)) - np.uint64(1)
+    for b, block in enumerate(places):
+        row = np.full(len(names), np.iinfo(np.uint64).max, dtype=np.uint64)
+        for letters in block:
+            at = [alphabet[c] for c in letters if c in alphabet]
+            if at:
+                hit = row & np.bitwise_or.reduce(masks[:, at], axis=1)
+                row = (row + hit) | (row - hit)
+        out[:, b] = np.bitwise_count(~row & used)
+    # Letters beyond a machine word count as common.
+    return out + np.maximum(size - 64, 0)[:, None].astype(np.int32)
+
+
+def _block_bound(names: list[str], told: list[str]) -> np.ndarray:
+    """For each name and summary, a similarity that no name of the block exceeds.
+
+    Names without a shared token are compared in order. Names with one are bounded by their
+    letters, and by their shared tokens alone compared with either side, which is most if they
+    share all tokens that the block knows with the shortest name there."""
+    blocks = [json.loads(t) for t in told]
+    shortest = np.array([b[0] for b in blocks], dtype=np.int32)
+    joined = _joined(names)
+    size = np.array([len(j) for j in joined], dtype=np.int32)
+    total = np.maximum(size[:, None] + shortest[None, :], 1)
+    limit = 200.0 * _common_in_order(joined, [b[1] for b in blocks]) / total
+    holders = defaultdict(list)
+    for at, b in enumerate(blocks):
+        for token in b[3]:
+            holders[token].append(at)
+    shared = np.zeros(limit.shape, dtype=np.int32)  # letters of shared tokens, with spaces
+    for i, name in enumerate(joined):
+        for token in name.split():
+            shared[i, holders.get(token, [])] += len(token) + 1
+    i, j = np.nonzero(shared)
+    if len(i):
+        common = np.zeros(limit.shape, dtype=np.int32)
+        for letter in sorted(set("".join(joined))):
+            most = np.array([b[2].get(letter, 0) for b in blocks], dtype=np.int32)
+            if most.any():
+                common += np.minimum.outer(
+                    np.array([n.count(letter) for n in joined], dtype=np.int32), most)
+        c = shared[i, j] - 1
+        alone = 200.0 * c / (c + np.minimum(np.maximum(size[i], c), np.maximum(shortest[j], c)))
+        limit[i, j] = np.maximum(200.0 * common[i, j] / total[i, j], alone)
+    return np.minimum(limit, 100.0)
+
+
+#: Up to so many pairs of names are compared block by block without planning.
+FEW_PAIRS = 1 << 22
+
+
+def _spelling(name: str) -> list[Column]:
+    """Sort order that brings names of one length and like beginnings together."""
+    joined = F.array_join(F.array_sort(F.split(F.trim(F.col(name)), r"\s+")), " ")
+    return [F.length(joined), joined, F.col(name)]
+
+
+def name_search(names: DataFrame, roster: DataFrame, k: int, floor: float,
+                block_rows: int = 64) -> tuple[DataFrame, Visits | None]:
+    """``(_name, _first, score, rank)``: of each name the ``k`` best of the roster's names, and
+    the blocks that names visited (None for a search so small that all meet all).
+
+    ``names`` has ``_name``, ``roster`` has ``_full`` and its number ``_first``, each once."""
+    names, roster = cut(names), cut(roster)
+    rows = names.count(), roster.count()
+    ids = {"left_id": "_name", "right_id": "_first", "k": k, "rows": rows}
+    if rows[0] * rows[1] <= FEW_PAIRS:
+        return block_best(names, roster, **ids, block_rows=(512, 4096), scorer=lambda left, right: (
+            _block_scores(left["_name"].tolist(), right["_full"].tolist(), floor, k))), None
+    return bounded_best(
+        names, roster, **ids, floor=floor, block_rows=block_rows,
+        order=_spelling("_full"),
+        summarise=lambda right: _block_summary(right["_full"].tolist()),
+        bound=lambda left, told: _block_bound(left["_name"].tolist(), told),
+        scorer=lambda left, right, least: _block_scores(
+            left["_name"].tolist(), right["_full"].tolist(), least, k))
+
+
 def similar_names(names: DataFrame, roster: DataFrame, *, name: str = "name",
                   full_name: str = "full_name", k: int = CANDIDATES,
                   floor: float = linkage.NAME_FLOOR) -> DataFrame:
     """The ``k`` roster entries most similar to each distinct name, at least at the floor:
-    ``(name, player_id, score)``. Equal scores go to the smaller player id."""
-    left = names.select(F.col(name).alias("_name")).where(F.col("_name") != "").distinct()
-    right = roster.select("player_id", F.col(full_name).alias("_full"))
+    ``(name, player_id, score)``. Equal scores go to the smaller player id.
 
-    def scorer(lpdf: pd.DataFrame, rpdf: pd.DataFrame):
-        # Roster entries of one name score alike; compare each distinct name once.
-        codes, distinct = pd.factorize(rpdf["_full"])
-        li, di, sc = _block_scores(lpdf["_name"].tolist(), list(distinct), floor, k)
-        order = np.argsort(codes, kind="stable")
-        starts = np.searchsorted(codes[order], np.arange(len(distinct) + 1))
-        ids = rpdf["player_id"].to_numpy()
-        first = [order[starts[d]:starts[d + 1]] for d in range(len(distinct))]
-        # Within one name the k smallest ids are enough.
-        first = [rows[np.argsort(ids[rows], kind="stable")][:k] for rows in first]
-        reps = np.array([len(first[d]) for d in di], dtype=int)
-        ri = np.concatenate([first[d] for d in di]) if len(di) else np.array([], dtype=int)
-        return np.repeat(li, reps), ri, np.repeat(sc, reps)
-
-    best = block_best(left, right, left_id="_name", right_id="player_id", scorer=scorer, k=k,
-                      block_rows=(512, 4096))
-    return best.select(F.col("_name").alias(name), "player_id", "score")
+    Roster entries of one name score alike: each distinct name is compared once, under its
+    smallest id, and stands for its ``k`` smallest."""
+    left = names.select(F.col(name).alias("_name")).where(F.col("_name") != "").distinct()
+    entries = roster.select("player_id", F.col(full_name).alias("_full")).where(
+        F.col("_full").isNotNull())
+    distinct = entries.groupBy("_full").agg(F.min("player_id").alias("_first"))
+    best, _ = name_search(left, distinct, k, floor)
+    few = top_rows(entries, ["_full"], [F.asc("player_id")], k).join(distinct, "_full")
+    found = best.select("_name", "_first", "score").join(
+        few.select("_first", "player_id"), "_first")
+    order = [F.desc("score"), F.asc("player_id")]
+    return top_rows(found, ["_name"], order, k).select(
+        F.col("_name").alias(name), "player_id", "score")
 
 
 def _dated(df: DataFrame, out: str) -> DataFrame:

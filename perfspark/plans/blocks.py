@@ -5,17 +5,22 @@ task that scores in numpy and lets only the ``k`` best per left row out; the lis
 ranked window. Nothing is collected or broadcast and no pair table ever exists. Work grows with
 rows(left) x rows(right), which exact matching under such a score cannot avoid, and is spread over
 blocks(left) x blocks(right) tasks.
+
+Where a block's summary bounds the score of every row in it, ``bounded_best`` visits only the block
+pairs that can still matter, and finds the same rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import cut
 from .shapes import top_rows
 
 #: ``scorer(left_block, right_block) -> (left_index, right_index, score)`` arrays.
@@ -99,3 +104,123 @@ def block_best_within(left: DataFrame, right: DataFrame, *, on: str, left_id: st
 
     keys = (on, "_lb", "_rb")
     return (lefted.groupBy(*keys).cogroup(righted.groupBy(*keys)).applyInPandas(best, schema))
+
+
+@dataclass
+class Visits:
+    """Left rows and right blocks that a search brought together, ``(left_id, _rb)``, first by
+    their bounds alone and then by what was found, and how many such pairs there are."""
+
+    first: DataFrame
+    more: DataFrame
+    pairs: int
+
+    def share(self) -> float:
+        return (self.first.count() + self.more.count()) / self.pairs
+
+
+#: Left rows and right summaries that meet in one planning task, and left rows in one visit.
+PLAN, VISIT = (4096, 512), 512
+
+
+def bounded_best(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str,
+                 order: list[Column], summarise: Callable[[pd.DataFrame], str],
+                 bound: Callable[[pd.DataFrame, list[str]], np.ndarray],
+                 scorer: Callable[[pd.DataFrame, pd.DataFrame, np.ndarray],
+                                  tuple[np.ndarray, np.ndarray, np.ndarray]],
+                 k: int, floor: float, rows: tuple[int, int], block_rows: int = 64,
+                 first: int = 2) -> tuple[DataFrame, Visits]:
+    """``(left_id, right_id, score, rank)``, the ``k`` best right rows of each left row with a
+    score of ``floor`` or more. Ties go to the smaller right id.
+
+    The right side is cut into blocks along ``order``. ``summarise`` tells of a block what
+    ``bound`` needs to give, for each left row and block, a score that no row of the block
+    exceeds. Each left row first visits the ``first`` blocks with the highest bounds, which sets
+    the least score that still matters to it. Then it visits the blocks whose bound is above
+    that, or equal with a smaller id in the block, and no others: nothing is lost. ``scorer`` gets
+    that least score for each left row. A block that very many rows visit is visited in parts. Ids
+    must be unique on their side; scores that differ do so by more than 1e-9."""
+    groups = _blocks(rows[0], PLAN[0])
+    blocks = _blocks(rows[1], block_rows)
+    chunks = _blocks(blocks, PLAN[1])
+    # Written, so that blocks stay what they are.
+    righted = cut(right.repartitionByRange(blocks, *order).withColumn("_rb", F.spark_partition_id()))
+    id_type = right.schema[right_id].dataType
+    told = cut(righted.groupBy("_rb").applyInPandas(
+        lambda pdf: pd.DataFrame({"_rb": pdf["_rb"].iloc[:1], "_id": [pdf[right_id].min()],
+                                  "_told": [summarise(pdf)]}),
+        T.StructType([T.StructField("_rb", T.IntegerType()), T.StructField("_id", id_type),
+                      T.StructField("_told", T.StringType())])))
+    key = left.schema[left_id]
+    pair_schema = T.StructType([key, T.StructField("_rb", T.IntegerType()),
+                                T.StructField("value", T.DoubleType())])
+    schema = T.StructType([key, right.schema[right_id], T.StructField("score", T.DoubleType())])
+
+    def plan(lefts: DataFrame, choose) -> DataFrame:
+        """Pairs of left rows and blocks that ``choose`` marks in a matrix of bounds."""
+        def pairs(lpdf: pd.DataFrame, mpdf: pd.DataFrame) -> pd.DataFrame:
+            if lpdf.empty or mpdf.empty:
+                return pd.DataFrame({f.name: [] for f in pair_schema})
+            limits = bound(lpdf, mpdf["_told"].tolist())
+            i, j = np.nonzero(choose(limits, lpdf, mpdf))
+            return pd.DataFrame({left_id: lpdf[left_id].to_numpy()[i],
+                                 "_rb": mpdf["_rb"].to_numpy()[j], "value": limits[i, j]})
+
+        spread = lefts.withColumns({
+            "_g": F.pmod(F.xxhash64(left_id), F.lit(groups)).cast("int"),
+            "_c": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))})
+        marked = told.withColumns({
+            "_c": F.floor(F.col("_rb") / PLAN[1]).cast("int"),
+            "_g": F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))})
+        return (spread.groupBy("_g", "_c").cogroup(marked.groupBy("_g", "_c"))
+                .applyInPandas(pairs, pair_schema))
+
+    def score(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        if lpdf.empty or rpdf.empty:
+            return pd.DataFrame({f.name: [] for f in schema})
+        li, ri, found = scorer(lpdf, rpdf, lpdf["_least"].to_numpy())
+        out = pd.DataFrame({left_id: lpdf[left_id].to_numpy()[li],
+                            right_id: rpdf[right_id].to_numpy()[ri], "score": found})
+        out = out.sort_values([left_id, "score", right_id], ascending=[True, False, True])
+        return out.groupby(left_id, sort=False).head(k)
+
+    def visit(lefts: DataFrame, pairs: DataFrame) -> DataFrame:
+        parts = pairs.groupBy("_rb").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(VISIT)).cast("int").alias("_parts"))
+        come = (lefts.join(pairs.select(left_id, "_rb"), left_id).join(parts, "_rb")
+                .withColumn("_part", F.pmod(F.xxhash64(left_id), F.col("_parts")).cast("int"))
+                .drop("_parts"))
+        # New names: both sides of the cogroup come from one count.
+        every = parts.select((F.col("_rb") + 0).alias("_rb"),
+                             F.sequence(F.lit(0), F.col("_parts") - 1).alias("_every"))
+        host = righted.join(every, "_rb").withColumn("_part", F.explode("_every")).drop("_every")
+        return (come.groupBy("_rb", "_part").cogroup(host.groupBy("_rb", "_part"))
+                .applyInPandas(score, schema))
+
+    def likely(limits: np.ndarray, lpdf: pd.DataFrame, mpdf: pd.DataFrame) -> np.ndarray:
+        marks = np.zeros(limits.shape, dtype=bool)
+        best = np.argsort(-limits, axis=1, kind="stable")[:, :first]
+        np.put_along_axis(marks, best, True, axis=1)
+        return marks
+
+    def open_still(limits: np.ndarray, lpdf: pd.DataFrame, mpdf: pd.DataFrame) -> np.ndarray:
+        least = lpdf["_least"].to_numpy()[:, None]
+        last = lpdf["_last"].to_numpy()
+        smaller = np.empty(limits.shape, dtype=bool)
+        for j, own in enumerate(mpdf["_id"]):
+            smaller[:, j] = [x is None or x != x or own < x for x in last]
+        return (limits > least + 1e-9) | ((limits >= least - 1e-9) & smaller)
+
+    ranked = [F.desc("value"), F.asc("_rb")]
+    early = cut(top_rows(plan(left, likely), [left_id], ranked, first).select(left_id, "_rb"))
+    found = cut(visit(left.withColumn("_least", F.lit(float(floor))), early))
+    kth = top_rows(found, [left_id], [F.desc("score"), F.asc(right_id)], k).where(
+        F.col("rank") == k).select(left_id, F.col("score").alias("_least"),
+                                   F.col(right_id).alias("_last"))
+    known = cut(left.join(kth, left_id, "left").withColumn(
+        "_least", F.coalesce("_least", F.lit(float(floor)))))
+    late = cut(plan(known, open_still).select(left_id, "_rb").join(
+        early, [left_id, "_rb"], "left_anti"))
+    best = top_rows(found.unionByName(visit(known, late)), [left_id],
+                    [F.desc("score"), F.asc(right_id)], k)
+    return best, Visits(early, late, rows[0] * blocks)

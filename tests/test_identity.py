@@ -96,9 +96,12 @@ def _brute(inputs, people):
     return pools
 
 
-@pytest.mark.parametrize(("seed", "outside"), [(1, False), (2, False), (3, True), (4, True)])
-def test_resolver_against_brute_force(spark, seed, outside, monkeypatch):
+@pytest.mark.parametrize(("seed", "outside", "planned"), [
+    (1, False, False), (2, False, True), (3, True, False), (4, True, True), (5, False, True)])
+def test_resolver_against_brute_force(spark, seed, outside, planned, monkeypatch):
     """Small blocks, many equal names and one birth date held by a third of the roster."""
+    if planned:
+        monkeypatch.setattr(identity, "FEW_PAIRS", 0)
     rng = random.Random(seed)
     words = ["ali", "omar", "noufal", "Saad", "Khalifa", "Samba", "fadeel", "Al-Sadi", "Zed", "Qi"]
 
@@ -135,6 +138,46 @@ def test_resolver_against_brute_force(spark, seed, outside, monkeypatch):
     assert got == want
 
 
+def test_planned_search_visits_few_blocks_and_loses_nothing(spark, monkeypatch):
+    """Names of many lengths and spellings; every score against all of them."""
+    monkeypatch.setattr(identity, "FEW_PAIRS", 0)
+    rng = random.Random(8)
+    stems = ["".join(rng.choice("aeiourstnlmkbd") for _ in range(rng.randint(2, 9))) for _ in range(90)]
+    people = sorted({" ".join(rng.sample(stems, rng.choice([1, 2, 2, 3]))) for _ in range(900)})
+    asked = people[::9] + [n[:-1] + "x" for n in people[::40]] + ["zzz", "ali " + stems[0]]
+    left = spark.createDataFrame([(n,) for n in asked], "_name string").distinct()
+    right = spark.createDataFrame([(n, i) for i, n in enumerate(people)], "_full string, _first int")
+    found, visits = identity.name_search(left, right, 4, 55, block_rows=16)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r._name, []).append((-round(r.score, 9), r._first))
+    for name in set(asked):
+        scores = token_set_scores([name] * len(people), people)
+        want = sorted((-round(s, 9), i) for i, s in enumerate(scores) if s >= 55)[:4]
+        assert sorted(got.get(name, [])) == want
+    asked, people = ([f"{kind}#{i:06d}" for i in range(n)]
+                     for kind, n in (("Supplier", 60), ("Customer", 2500)))
+    found, visits = identity.name_search(
+        spark.createDataFrame([(n,) for n in asked], "_name string"),
+        spark.createDataFrame([(n, i) for i, n in enumerate(people)], "_full string, _first int"),
+        4, 55, block_rows=16)
+    got = sorted((r._name, -round(r.score, 9), r._first) for r in found.collect())
+    want = [(n, *t) for n in asked for t in sorted(
+        (-round(s, 9), i) for i, s in enumerate(token_set_scores([n] * 2500, people)))[:4]]
+    assert got == want and visits.share() < 0.1
+
+
+def test_block_bound_holds(spark):
+    rng = random.Random(2)
+    words = ["ali", "omar", "al", "noufal", "a", "bo", "khalifa"]
+    names = [" ".join(rng.sample(words, rng.randint(1, 4))) for _ in range(40)]
+    for _ in range(20):
+        block = rng.sample(names, 5)
+        limit = identity._block_bound(names, [identity._block_summary(block)])[:, 0]
+        for name, bound in zip(names, limit, strict=True):
+            assert max(token_set_scores([name] * 5, block)) <= bound + 1e-9
+
+
 def test_ladder(spark):
     def frame(rows, schema):
         return spark.createDataFrame(rows, schema)
