@@ -91,26 +91,68 @@ def similar_names(spark, d):
     return out.select("name", "player_id", round_py("score", 6).alias("score"))
 
 
-def resolve_entities(spark, d):
-    """Suppliers linked to customers by name and a birth date that some of them share."""
-    def born(balance: str) -> Column:
-        return F.date_sub(F.lit("2010-06-15").cast("date"), F.floor(F.abs(balance)).cast("int"))
+def _born(balance: str) -> Column:
+    return F.date_sub(F.lit("2010-06-15").cast("date"), F.floor(F.abs(balance)).cast("int"))
+
+
+def _segment_sport() -> Column:
+    return F.when(F.col("c_mktsegment") == "MACHINERY", "Swimming").otherwise("Sprint")
 
+
+def _two_rosters(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Suppliers as inputs and customers as roster, with birth dates that some of them share."""
     inputs = table(spark, d, "supplier").select(
         F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
-        iso(born("s_acctbal")).alias("dob"), F.lit("Athletics").alias("sport"))
+        iso(_born("s_acctbal")).alias("dob"), F.lit("Athletics").alias("sport"))
     people = table(spark, d, "customer").select(
         F.col("c_custkey").alias("player_id"), F.col("c_name").alias("full_name"),
-        iso(born("c_acctbal")).alias("dob"),
-        F.when(F.col("c_mktsegment") == "MACHINERY", "Swimming").otherwise("Sprint")
-        .alias("sport"))
-    out = identity.resolve_entities(inputs, people)
+        iso(_born("c_acctbal")).alias("dob"), _segment_sport().alias("sport"))
+    return inputs, people
+
+
+def resolve_entities(spark, d):
+    """Suppliers linked to customers by name and a birth date that some of them share."""
+    out = identity.resolve_entities(*_two_rosters(spark, d))
+    return out.select("key", "name", "player_id", "candidate_player_id", "verdict", "confidence",
+                      "name_score", "dob_exact")
+
+
+def resolve_scored(spark, d):
+    """Suppliers linked to customers with the scores of an outside matcher, which knows the pairs
+    that traded."""
+    traded = table(spark, d, "lineitem").join(
+        table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
+        "l_suppkey", "o_custkey").agg(F.least(F.lit(100), 60 + 10 * F.count(F.lit(1))).alias("score"))
+    s, c = table(spark, d, "supplier"), table(spark, d, "customer")
+    scores = (traded.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+              .join(c, F.col("o_custkey") == F.col("c_custkey"))
+              .select(F.col("s_name").alias("name_a"), F.col("c_name").alias("name_b"), "score"))
+    out = identity.resolve_entities(*_two_rosters(spark, d), scores)
     return out.select("key", "name", "player_id", "candidate_player_id", "verdict", "confidence",
                       "name_score", "dob_exact")
 
 
 def ladder(spark, d):
     """Customers by the first evidence that holds: dropped segment, exact name, MRN, decision."""
+    return identity.resolve_ladder(**_evidence(spark, d)).select(
+        "name", "sams_id", "sams_name", "verdict", "confidence")
+
+
+def ladder_linked(spark, d):
+    """The same to its last step: names without such evidence are linked to the suppliers, and
+    every name is told."""
+    c, s = table(spark, d, "customer"), table(spark, d, "supplier")
+    people = s.select(F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("full_name"),
+                      iso(_born("s_acctbal")).alias("dob"), F.lit("Athletics").alias("sport"))
+    out = identity.resolve_ladder(
+        **_evidence(spark, d), roster=people,
+        dobs=c.select(F.col("c_name").alias("name"), iso(_born("c_acctbal")).alias("dob")),
+        sports=c.select(F.col("c_name").alias("name"), _segment_sport().alias("sport")))
+    return out.select("name", "sams_id", "sams_name", "verdict", "confidence",
+                      "candidate_player_id", "name_score", "dob_exact")
+
+
+def _evidence(spark, d) -> dict[str, DataFrame]:
     c, s = table(spark, d, "customer"), table(spark, d, "supplier")
     names = c.select(F.col("c_name").alias("name"))
     drops = c.where(F.col("c_acctbal") < 0).select(F.col("c_name").alias("name"))
@@ -125,9 +167,8 @@ def ladder(spark, d):
         F.col("c_name").alias("source_name"),
         F.when(F.col("c_mktsegment") == "FURNITURE", F.col("c_custkey")).alias("sams_id"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", "drop").otherwise("no").alias("decision"))
-    return identity.resolve_ladder(names, exact=exact, mrns=mrns, drops=drops, ledger=ledger,
-                                   identifiers=identifiers).select(
-        "name", "sams_id", "sams_name", "verdict", "confidence")
+    return {"names": names, "exact": exact, "mrns": mrns, "drops": drops, "ledger": ledger,
+            "identifiers": identifiers}
 
 
 def row_uid(spark, d):
@@ -240,7 +281,7 @@ def athletes_by_mrn(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     dob_relation, verdict, best_candidate, token_set, similar_names, name_tokens,
-    resolve_entities, ladder,
+    resolve_entities, resolve_scored, ladder, ladder_linked,
     row_uid, resolve_ids, mrn_lookup, current_enrollment, athlete_cards, sport_roster,
     search_players, lookup_either, athletes_by_mrn)}
 
@@ -439,32 +480,69 @@ SQL["similar_names"] = f"""
             order by score desc, p_partkey) as k
           from scores join part on p_name = b where score >= 55) where k <= 4"""
 
-SQL["resolve_entities"] = f"""
-    with i as (select s_suppkey as key, s_name as name,
-                 date '2010-06-15' - cast(floor(abs(s_acctbal)) as integer) as a from supplier),
-    r as (select c_custkey as pid, c_name as y, c_mktsegment = 'MACHINERY' as clash,
-            date '2010-06-15' - cast(floor(abs(c_acctbal)) as integer) as b from customer),
-    s as (select key, name, pid, a, b, clash, length(name) + length(y) as total,
-                 {_lcs('name', 'y')} as m from i, r),
+BORN = "date '2010-06-15' - cast(floor(abs({})) as integer)"
+
+#: Best candidate of each input ``i(key, name, a, sport)`` in the roster ``r(pid, y, b, sport)``,
+#: with scores from elsewhere in ``g(key, pid, gs)``.
+LINKED = f"""
+    s as (select key, name, pid, a, b, i.sport <> r.sport as clash,
+                 length(name) + length(y) as total, {_lcs('name', 'y')} as m from i, r),
     t as (select *, 100e0 - 100e0*(total - 2*m)/total as score from s),
     k as (select *, row_number() over (partition by key order by score desc, pid) as nth from t),
-    c0 as (select *, floor(score) as ns, {REL} as rel, abs(a - b)/365.25e0 as gap from k
+    c0 as (select k.*, coalesce(gs, floor(score)) as ns, {REL} as rel, abs(a - b)/365.25e0 as gap
+           from k left join g on g.key = k.key and g.pid = k.pid
            where (nth <= 4 and score >= 55) or (a = b and not (month(a) = 1 and day(a) = 1))),
     c1 as (select *, rel is not null as strong from c0),
     c as (select *, case when clash and not strong then 'reject'
             when strong and not clash and ns >= 85 then 'auto'
             when ns >= 92 and gap <= 1 and not clash then 'auto'
-            when ns >= 88 and strong and not clash then 'auto'
             when gap > 2 then 'reject' when strong or ns >= 80 then 'review'
             else 'reject' end as verdict,
             least(100, ns + case rel when 'exact' then 18 when 'swapped' then 14 else 0 end)
               as confidence from c1),
     best as (select * from (select *, row_number() over (partition by key order by
                case verdict when 'auto' then 3 when 'review' then 2 else 1 end desc,
-               confidence desc, ns desc, pid) as rn from c) where rn = 1)
+               confidence desc, ns desc, pid) as rn from c) where rn = 1)"""
+
+TOLD = """
+    case when pid is not null then coalesce(rel = 'exact', false) end as dob_exact"""
+
+ROSTERS = f"""
+    i as (select s_suppkey as key, s_name as name, {BORN.format('s_acctbal')} as a,
+                 'Athletics' as sport from supplier),
+    r as (select c_custkey as pid, c_name as y, {BORN.format('c_acctbal')} as b,
+                 case when c_mktsegment = 'MACHINERY' then 'Swimming' else 'Athletics' end as sport
+          from customer)"""
+
+RESOLVED = f"""
     select i.key, i.name, case when verdict = 'auto' then pid end as player_id,
            pid as candidate_player_id, coalesce(verdict, 'no_match') as verdict,
-           cast(coalesce(confidence, 0) as integer) as confidence, cast(ns as integer)
-             as name_score, case when pid is not null then coalesce(rel = 'exact', false) end
-             as dob_exact
+           cast(coalesce(confidence, 0) as integer) as confidence,
+           cast(ns as integer) as name_score, {TOLD}
     from i left join best on best.key = i.key"""
+
+SQL["resolve_entities"] = f"""
+    with {ROSTERS}, g as (select 0 as key, 0 as pid, 0 as gs where false), {LINKED} {RESOLVED}"""
+
+SQL["resolve_scored"] = f"""
+    with {ROSTERS},
+    g as (select l_suppkey as key, o_custkey as pid, least(100, 60 + 10*count(*)) as gs
+          from lineitem join orders on l_orderkey = o_orderkey group by all), {LINKED} {RESOLVED}"""
+
+SQL["ladder_linked"] = f"""
+    with known as ({SQL['ladder']}),
+    i as (select c_name as key, c_name as name, {BORN.format('c_acctbal')} as a,
+                 case when c_mktsegment = 'MACHINERY' then 'Swimming' else 'Athletics' end as sport
+          from customer where c_name not in (select name from known)),
+    r as (select s_suppkey as pid, s_name as y, {BORN.format('s_acctbal')} as b,
+                 'Athletics' as sport from supplier),
+    g as (select '' as key, 0 as pid, 0 as gs where false), {LINKED}
+    select name, cast(sams_id as integer) as sams_id, sams_name, verdict, confidence,
+           cast(null as integer) as candidate_player_id, cast(null as integer) as name_score,
+           cast(null as boolean) as dob_exact from known
+    union all
+    select i.name, case when verdict = 'auto' then cast(pid as integer) end,
+           case when verdict = 'auto' then s_name end, coalesce(verdict, 'no_match'),
+           cast(coalesce(confidence, 0) as integer), cast(pid as integer), cast(ns as integer),
+           {TOLD}
+    from i left join best on best.key = i.key left join supplier on s_suppkey = pid"""

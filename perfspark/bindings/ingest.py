@@ -179,9 +179,43 @@ def write_guard(spark, d):
 
 
 def full_extract(spark, d):
-    """A landed table under its declared schema."""
-    schema = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").schema
-    return tables.read_table(spark, f"{d}/customer.parquet", schema)
+    """A whole table, published and read back with a check that it is complete."""
+    store = VersionedStore(spark, _fresh(spark, "extract"), "bench")
+    store.publish(table(spark, d, "customer"), "customer", kind="parquet")
+    return store.read("customer", complete=True)
+
+
+def ingest_roundtrip(spark, d):
+    """A messy sheet of orders to the stored table and back: loaded, loaded again later, and
+    loaded once more with other heights for one status."""
+    def sheet(raised: int) -> DataFrame:
+        height = F.floor(F.col("o_totalprice") / 1000).cast("int") + F.when(
+            F.col("o_orderstatus") == "P", raised).otherwise(0)
+        rows = table(spark, d, "orders").join(table(spark, d, "customer"),
+                                              F.col("o_custkey") == F.col("c_custkey"))
+        return rows.select(
+            F.col("o_orderkey").alias("ID"), F.col("c_name").alias("Athlete Name"),
+            iso("o_orderdate").alias("Test Date"),
+            F.when(F.col("o_orderkey") % 50 == 0, "n/a").otherwise(height.cast("string"))
+            .alias("Height (cm)"))
+
+    people = table(spark, d, "customer")
+    evidence = {
+        "exact": people.where("c_nationkey < 10").select(
+            F.col("c_name").alias("name"), F.col("c_custkey").alias("sams_player_id"),
+            F.col("c_name").alias("sams_name")),
+        "ledger": people.where("c_nationkey >= 20").select(
+            F.col("c_name").alias("source_name"), F.lit(None).cast("int").alias("sams_id"),
+            F.lit("no").alias("decision"))}
+    target = keyed.KeyedTable(spark, _fresh(spark, "lane"), ["row_uid"])
+    for raised, day in ((0, "2024-01-01"), (0, "2024-02-01"), (3, "2024-03-01")):
+        made = ingest.ingest_lane(
+            sheet(raised), name_column="athlete_name", date_column="test_date",
+            natural_key=["id_x", "test_date"], rules={"height_cm": (50, 400)},
+            as_of=F.lit("2030-01-01").cast("timestamp"), entered_by="lane", **evidence)
+        ingest.load(made, target, F.lit(day).cast("date"))
+    return target.read().select("row_uid", "record_date", "source_name", "sams_id", "sams_name",
+                                "match_verdict", "height_cm", "created_at", "updated_at")
 
 
 def headerless(spark, d):
@@ -219,8 +253,8 @@ def ingest_stream_table(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    range_report, clean_columns, target_columns, full_extract, headerless, daily_stream_table,
-    ingest_stream_table, validate_report, validate_examples, validated_rows, column_profile, future_dates, upsert,
+    range_report, clean_columns, target_columns, full_extract, ingest_roundtrip, headerless,
+    daily_stream_table, ingest_stream_table, validate_report, validate_examples, validated_rows, column_profile, future_dates, upsert,
     replace_children, versioned_read, ledger, table_query, curated_view, sql_params,
     envelope_unwrap, write_guard)}
 
@@ -277,7 +311,25 @@ SQL = {
         select * from head union all
         select position, "column", case when n_numeric/n_values >= 0.95 then 'double'
                  else 'string' end, true from profile""",
-    "full_extract": "select c_custkey, c_name, c_nationkey from customer",
+    "full_extract": "select * from customer",
+    "ingest_roundtrip": """
+        select concat(h[1:8], '-', h[9:12], '-5', h[14:16], '-',
+                 substr('89ab', 1 + (strpos('0123456789abcdef', h[17]) - 1) % 4, 1), h[18:20], '-',
+                 h[21:32]) as row_uid, day as record_date, c_name as source_name,
+               case when known then cast(c_custkey as integer) end as sams_id,
+               case when known then c_name end as sams_name,
+               case when known then 'exact' when c_nationkey >= 20
+                    then 'manual_rejected' end as match_verdict,
+               now_is as height_cm, date '2024-01-01' as created_at,
+               case when was is distinct from now_is then date '2024-03-01'
+                    else date '2024-01-01' end as updated_at
+        from (select *, c_nationkey < 10 and c_custkey <> 0 as known, sha1(from_hex('6ba7b8119dad11d180b400c04fd430c8') || encode(
+                concat(o_orderkey, '|', strftime(day, '%Y-%m-%d')))) as h,
+                case when o_orderkey % 50 <> 0 and v between 50 and 400 then v end as was,
+                case when o_orderkey % 50 <> 0 and v + r between 50 and 400 then v + r end as now_is
+              from (select *, cast(o_orderdate as date) as day, floor(o_totalprice/1000) as v,
+                      case when o_orderstatus = 'P' then 3e0 else 0e0 end as r
+                    from orders join customer on o_custkey = c_custkey))""",
     "headerless": """
         select cast(o_orderkey as varchar) as col_0, cast(o_custkey as varchar) as col_1,
                o_orderstatus as col_2, o_orderpriority as col_3 from orders""",

@@ -35,21 +35,15 @@ def trial_result(m1: Column, m2: Column, m3: Column) -> Column:
             .otherwise(m1))
 
 
-def typed_sites(measurements: Column, sites: list[str], cell: str) -> Column:
-    """The named sites of the measurement JSON as a struct; a cell that is not of the type asked
-    for is NULL."""
-    return F.from_json(measurements, ", ".join(f"{s} {cell}" for s in sites))
-
-
-TRIALS = "struct<m1: string, m2: string, m3: string>"
-
-
-def cell_result(trials: Column, plain: Column) -> Column:
-    """Final result of a site that holds either trials or a plain number."""
-    numbers = F.transform(F.array(trials["m1"], trials["m2"], trials["m3"]), lambda m: to_num(m))
-    # A plain number is its own only trial.
-    cells = F.when(trials.isNotNull(), numbers).otherwise(F.array(to_num(plain)))
-    return once(cells, lambda v: trial_result(v[0], F.get(v, F.lit(1)), F.get(v, F.lit(2))))
+def cell_result(measurements: Column, site: str) -> Column:
+    """Final result of a site of a parsed measurement object, which holds either trials or a plain
+    number; a plain number is its own only trial."""
+    def number(path: str) -> Column:
+        return to_num(F.try_variant_get(measurements, path, "string"))
+
+    cells = F.array(F.coalesce(number(f"$.{site}.m1"), number(f"$.{site}")),
+                    number(f"$.{site}.m2"), number(f"$.{site}.m3"))
+    return once(cells, lambda v: trial_result(v[0], v[1], v[2]))
 
 
 def body_mass_index(mass: Column, stature: Column) -> Column:

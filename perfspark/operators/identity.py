@@ -156,7 +156,7 @@ def _block_bound(names: list[str], told: list[str]) -> np.ndarray:
 
 
 #: Up to so many pairs of names are compared block by block without planning.
-FEW_PAIRS = 1 << 22
+FEW_PAIRS = 1 << 25
 
 
 def _spelling(name: str) -> list[Column]:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.ids import sanitize_columns, uuid5
 from ..functions.numbers import num_of, to_num
 from ..plans.shapes import top_rows
+from ..sources.keyed import KeyedTable
 from .identity import resolve_ladder
 
 Rules = dict[str, tuple[float, float]]
@@ -154,3 +155,29 @@ def ingest_lane(df: DataFrame, *, name_column: str, date_column: str, natural_ke
     head = ["row_uid", "event_uuid", "group_uuid", "record_date", "source_name", "entered_by",
             "sams_id", "sams_name", "match_verdict", "match_confidence"]
     return Ingested(rows.select(*head, *data), types, report, future)
+
+
+def load(made: Ingested, target: KeyedTable, at: Column) -> DataFrame:
+    """Upsert ingested rows into ``target``, stamped; returns the rejected rows.
+
+    A new row is created and updated ``at``; a known one keeps its creation time and is updated
+    only if a value differs, so that loading the same data again changes nothing."""
+    try:
+        there = target.read()
+    except LookupError:
+        there = None
+    columns = made.rows.columns
+    if there is None:
+        stamped = made.rows.withColumns({"created_at": at, "updated_at": at})
+    else:
+        old = [F.col(c) if c in there.columns else F.lit(None).cast(made.rows.schema[c].dataType)
+               for c in columns]
+        known = there.select("row_uid", F.col("created_at").alias("_created"),
+                             F.col("updated_at").alias("_updated"),
+                             F.struct(*[o.alias(c) for o, c in zip(old, columns, strict=True)])
+                             .alias("_was"))
+        same = F.struct(*columns).eqNullSafe(F.col("_was"))
+        stamped = made.rows.join(known, "row_uid", "left").select(
+            *columns, F.coalesce("_created", at).alias("created_at"),
+            F.when(same, F.col("_updated")).otherwise(at).alias("updated_at"))
+    return target.upsert(stamped)

@@ -6,14 +6,16 @@ the lists are cut by a ranked window that Spark limits before the shuffle.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..plans.blocks import block_best
+from ..plans.blocks import Visits, block_best, bounded_best
 from ..plans.shapes import top_rows
+from ..session import cut
 
 # BM25 saturation and length weight, and the rank offset of the fusion.
 K1, B, RRF = 1.2, 0.75, 60
@@ -54,49 +56,81 @@ def corpus_size(docs: DataFrame, *, text: str = "text") -> DataFrame:
                     (F.sum(F.size(tokens(text))) / F.count(F.lit(1))).alias("avg_tokens"))
 
 
+#: Terms in more than this share of the documents are looked up for promising documents only.
+COMMON = 0.25
+#: Bands of document length per doubling; within a band a term's best contribution is tight.
+BANDS = 2
+#: Scores are added in billionths and shown in millionths; so much may change what is shown.
+SHOWN = 1000
+
+
 def bm25_topk(queries: DataFrame, docs: DataFrame, *, k: int = 5, query: str = "query_id",
               query_text: str = "text", doc: str = "doc_id", text: str = "text",
-              index: DataFrame | None = None, size: DataFrame | None = None) -> DataFrame:
+              index: DataFrame | None = None, size: DataFrame | None = None,
+              common: float = COMMON) -> DataFrame:
     """The ``k`` best documents per query: ``(query, doc, score, rank)``.
 
     Terms no query asks for leave the index before anything is joined. A query term counts once.
-    Ties go to the smaller document id. ``index`` and ``size`` take a stored index."""
-    asked = queries.select(F.col(query).alias(query),
-                           F.explode(F.array_distinct(tokens(query_text))).alias("term"))
-    wanted = asked.select("term").distinct()
-    # Placed by document once, what is left of the index is counted and later summed per query and
-    # document without moving again. A document is one input row, so no place gets too much.
+    Ties go to the smaller document id. ``index`` and ``size`` take a stored index.
+
+    Documents are first scored by a query's rarer terms alone; the ``k``-th best of these is a
+    score that the answer reaches. ``common`` terms have an upper bound per band of document
+    lengths, and only documents that could get there with them are looked up under them. Queries
+    that a document might answer by common terms alone are scored in full."""
+    # Written, so that Spark knows how small the queries are and does not sort postings for them.
+    asked = cut(queries.select(F.col(query).alias(query),
+                               F.explode(F.array_distinct(tokens(query_text))).alias("term")))
+    wanted = cut(asked.select("term").distinct())
+    whole = queries.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))
     if index is None:
-        whole = queries.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))
-        kept = (_occurrences(docs, doc, text).join(wanted.unionAll(whole), "term", "left_semi")
-                .repartition(doc))
-        postings = kept.groupBy(doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
+        kept = _occurrences(docs, doc, text).join(wanted.unionAll(whole), "term", "left_semi")
+        found = kept.groupBy(doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
     else:
-        postings = index.join(wanted, "term", "left_semi").repartition(doc)
-    # Counting through ``tf`` and by condition keeps these branches identical up to the shuffle,
-    # which is then reused: texts are read once for postings, frequencies and corpus size.
-    freq = postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
-    stats = size
+        found = index.join(wanted, "term", "left_semi")
+    # Texts are read once, for postings, frequencies and corpus size.
+    postings = cut(found)
+    freq = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if size is None and index is None:
-        one = (F.col("term") == WHOLE) & (F.col("tf") > 0)
-        stats = postings.agg(
-            F.count_if(one).alias("n_docs"),
-            (F.sum(F.when(one, F.greatest("n_tokens", F.lit(0)))) / F.count_if(one))
-            .alias("avg_tokens"))
+        size = postings.where(F.col("term") == WHOLE).agg(
+            F.count(F.lit(1)).alias("n_docs"),
+            (F.sum(F.greatest("n_tokens", F.lit(0))) / F.count(F.lit(1))).alias("avg_tokens"))
     elif size is None:
-        stats = corpus_size(docs, text=text)
-    n_docs = stats.select(F.col("n_docs").cast("double")).scalar()
-    avg = stats.select("avg_tokens").scalar()
+        size = corpus_size(docs, text=text)
+    told = size.first()
+    n_docs, avg = F.lit(float(told["n_docs"])), F.lit(told["avg_tokens"])
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = asked.join(freq, "term").withColumn("idf", idf)
     damp = K1 * (F.lit(1.0 - B) + F.lit(B) * F.col("n_tokens") / avg)
     part = F.col("idf") * (F.col("tf") * (K1 + 1.0)) / (F.col("tf") + damp)
-    scored = (postings.join(weights, "term")
-              .groupBy(query, doc)
-              .agg(F.sum(F.rint(part * 1e9).cast("long")).alias("_score")))
-    # Added as whole billionths (the order of rows cannot matter), shown to six decimals.
-    scored = scored.select(query, doc, (F.floor((F.col("_score") + 500) / F.lit(1000)) / 1e6)
-                           .alias("score"))
+    # Whole billionths: the order of rows cannot matter.
+    freq = cut(freq)
+    parts = (postings.where(F.col("term") != WHOLE).join(freq.withColumn("idf", idf), "term")
+             .select(doc, "term", (F.col("df") > n_docs * common).alias("common"),
+                     F.floor(F.log2(F.col("n_tokens") + 1) * BANDS).cast("int").alias("band"),
+                     F.rint(part * 1e9).cast("long").alias("part")))
+    parts = cut(parts)
+    rare, often = parts.where(~F.col("common")), parts.where("common")
+
+    def added(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.sum("part").alias("_score"))
+
+    partial = cut(added(asked.join(rare, "term"), query, doc, "band"))
+    best = top_rows(partial, [query], [F.desc("_score")], k).groupBy(query).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_score").alias("_least"))
+    tops = often.groupBy("term", "band").agg(F.max("part").alias("part"))
+    more = added(asked.join(tops, "term"), query, "band").withColumnRenamed("_score", "_more")
+    most = more.groupBy(query).agg(F.max("_more").alias("_most"))
+    # A score known to be reached, for queries that common terms alone cannot answer.
+    reached = best.where(F.col("_n") == k).join(most, query, "left").where(
+        F.coalesce("_most", F.lit(0)) + SHOWN < F.col("_least")).select(query, "_least")
+    reached = cut(reached)
+    closed = cut(partial.join(reached, query).join(more, [query, "band"], "left")
+                 .where(F.col("_score") + F.coalesce("_more", F.lit(0)) + SHOWN >= F.col("_least"))
+                 .select(query, doc, F.col("_score").alias("part")))
+    rest = (closed.select(query, doc).join(asked, query)
+            .join(often.select(doc, "term", "part"), [doc, "term"]).select(query, doc, "part"))
+    full = asked.join(reached, query, "left_anti").join(parts, "term").select(query, doc, "part")
+    scored = added(closed.unionByName(rest).unionByName(full), query, doc).select(
+        query, doc, (F.floor((F.col("_score") + SHOWN // 2) / F.lit(SHOWN)) / 1e6).alias("score"))
     return top_rows(scored, [query], [F.desc("score"), F.asc(doc)], k)
 
 
@@ -112,32 +146,98 @@ def _six_decimals(x: np.ndarray) -> np.ndarray:
     return np.sign(x) * np.floor((nine + 500.0) / 1000.0) / 1e6 + 0.0
 
 
-def vector_topk(queries: DataFrame, vectors: DataFrame, *, k: int = 5, query: str = "query_id",
-                query_vector: str = "embedding", doc: str = "vec_id",
-                vector: str = "embedding") -> DataFrame:
-    """The ``k`` nearest vectors per query by cosine, exact: ``(query, doc, score, rank)``.
-
-    Blocks of queries meet blocks of vectors as matrix products; each task lets out ``k`` rows per
-    query. Scores are kept to six decimals and ties go to the smaller id."""
+#: Up to so many pairs of vectors are compared block by block without planning.
+FEW_PAIRS = 1 << 25
+
+
+def _near_pivots(vectors: DataFrame, doc: str, pivots: int) -> DataFrame:
+    """Adds the nearest of at most ``pivots`` sampled vectors and the angle to it; the sample is
+    by least hash of the id and small enough to travel with the plan."""
+    sample = vectors.orderBy(F.xxhash64(doc), doc).limit(pivots).toPandas()
+    centres = _unit(sample["_v"])
+
+    def place(batches):
+        for pdf in batches:
+            cosine = _unit(pdf["_v"]) @ centres.T
+            best = cosine.argmax(axis=1)
+            angle = np.arccos(np.clip(cosine[np.arange(len(pdf)), best], -1, 1))
+            yield pdf.assign(_pivot=best.astype("int32"), _angle=angle)
+
+    schema = T.StructType([*vectors.schema, T.StructField("_pivot", T.IntegerType()),
+                           T.StructField("_angle", T.DoubleType())])
+    return vectors.mapInPandas(place, schema)
+
+
+def _ball(vectors: pd.Series) -> str:
+    """Centre and radius, as an angle, of a block, and whether it holds a zero vector."""
+    units = _unit(vectors)
+    real = units[np.any(units, axis=1)]
+    centre = real.sum(axis=0) if len(real) else units[0]
+    norm = np.linalg.norm(centre)
+    if norm:
+        centre = centre / norm
+    radius = float(np.arccos(np.clip((real @ centre).min(), -1, 1))) if norm and len(real) else 4.0
+    return json.dumps([centre.tolist(), radius, len(real) < len(units)])
+
+
+def _ball_bound(queries: pd.Series, told: list[str]) -> np.ndarray:
+    """The greatest rounded cosine that each query can have in each block, by the triangle
+    inequality of angles."""
+    balls, units = [json.loads(t) for t in told], _unit(queries)
+    centres = np.array([b[0] for b in balls])
+    angle = np.arccos(np.clip(units @ centres.T, -1, 1)) - np.array([b[1] for b in balls])
+    limit = np.cos(np.maximum(angle, 0.0)) + 1e-6
+    zero = np.array([b[2] for b in balls])
+    limit[:, zero] = np.maximum(limit[:, zero], 0.0)
+    limit[~np.any(units, axis=1)] = 1e-6
+    return limit
+
+
+def vector_search(queries: DataFrame, vectors: DataFrame, *, k: int = 5,
+                  query: str = "query_id", query_vector: str = "embedding", doc: str = "vec_id",
+                  vector: str = "embedding", block_rows: int = 256, pivots: int = 256
+                  ) -> tuple[DataFrame, Visits | None]:
+    """``vector_topk`` and the clusters that queries visited (None for a search so small that all
+    queries meet all vectors)."""
     left = queries.select(query, F.col(query_vector).alias("_q")).where(F.col("_q").isNotNull())
     right = vectors.select(doc, F.col(vector).alias("_v")).where(F.col("_v").isNotNull())
 
-    def scorer(q: pd.DataFrame, v: pd.DataFrame):
+    def scorer(q: pd.DataFrame, v: pd.DataFrame, least: np.ndarray | None = None):
         qs, vs = _unit(q["_q"]), _unit(v["_v"])
         ids = v[doc].to_numpy()
         take = min(k, len(v))
         li, ri, sc = [], [], []
         for i, row in enumerate(qs):
             scores = _six_decimals(vs @ row)
-            cut = np.partition(scores, len(scores) - take)[len(scores) - take]
-            near = np.flatnonzero(scores >= cut)
+            cutoff = np.partition(scores, len(scores) - take)[len(scores) - take]
+            near = np.flatnonzero(scores >= cutoff)
             near = near[np.lexsort((ids[near], -scores[near]))][:take]
             li.append(np.full(len(near), i))
             ri.append(near)
             sc.append(scores[near])
         return np.concatenate(li), np.concatenate(ri), np.concatenate(sc)
 
-    return block_best(left, right, left_id=query, right_id=doc, scorer=scorer, k=k)
+    rows = left.count(), right.count()
+    ids = {"left_id": query, "right_id": doc, "k": k, "rows": rows}
+    if rows[0] * rows[1] <= FEW_PAIRS:
+        return block_best(left, right, **ids, scorer=scorer), None
+    return bounded_best(
+        left, _near_pivots(right, doc, pivots), **ids, floor=-2.0, block_rows=block_rows,
+        order=[F.col("_pivot"), F.col("_angle"), F.col(doc)],
+        summarise=lambda pdf: _ball(pdf["_v"]),
+        bound=lambda pdf, told: _ball_bound(pdf["_q"], told), scorer=scorer)
+
+
+def vector_topk(queries: DataFrame, vectors: DataFrame, *, k: int = 5, query: str = "query_id",
+                query_vector: str = "embedding", doc: str = "vec_id",
+                vector: str = "embedding") -> DataFrame:
+    """The ``k`` nearest vectors per query by cosine, exact: ``(query, doc, score, rank)``.
+
+    Vectors lie in clusters around sampled ones. A query visits the clusters that its angle to
+    their centre, less their radius, allows to hold a better vector than the ``k`` it has. Scores
+    are kept to six decimals and ties go to the smaller id."""
+    return vector_search(queries, vectors, k=k, query=query, query_vector=query_vector, doc=doc,
+                         vector=vector)[0]
 
 
 def fuse(lists: list[DataFrame], *, k: int = 5, query: str = "query_id",

@@ -26,14 +26,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def claim(spark: SparkSession, folder: str, first: int = 1) -> int:
-    """The least free number from ``first`` on, taken by creating its file exclusively: two
-    writers never get the same one."""
-    number = first
-    while True:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}")
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(path):
-            return number
+    """The least number from ``first`` on that is above all taken ones, taken by creating its file
+    exclusively: two writers never get the same one.
+
+    One listing tells where to start, so only writers that meet try more than once. The store must
+    create files exclusively, as file systems do; not every object store does."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    taken = [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+    number = max([first, *[int(n) + 1 for n in taken if n.isdigit()]])
+    while not fs.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}")):
         number += 1
+    return number
 
 
 class VersionedStore:
@@ -68,8 +72,12 @@ class VersionedStore:
             return self.spark.createDataFrame([], MANIFEST)
         return self.spark.read.schema(MANIFEST).json(path)
 
-    def read(self, name: str, version: str | None = None, schema: str | None = None) -> DataFrame:
-        """The latest version, or the one named."""
+    def read(self, name: str, version: str | None = None, schema: str | None = None,
+             complete: bool = False) -> DataFrame:
+        """The latest version, or the one named.
+
+        ``complete`` counts what there is to read (from file footers, where a format has them) and
+        fails if it is not as many rows as were published."""
         rows = self.manifest().where(F.col("name") == full_name(name, self.owner))
         if version is not None:
             rows = rows.where(F.col("version") == version)
@@ -83,4 +91,7 @@ class VersionedStore:
             reader = reader.option("header", True)
             if schema is None:
                 reader = reader.option("inferSchema", True)
-        return reader.format(found[0]["kind"]).load(found[0]["path"])
+        rows = reader.format(found[0]["kind"]).load(found[0]["path"])
+        if complete and (n := rows.count()) != found[0]["rows"]:
+            raise ValueError(f"{n} of {found[0]['rows']} rows of {name} are there")
+        return rows

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -45,6 +46,23 @@ def test_bm25(spark):
         assert [(r.doc_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
 
 
+def test_bm25_by_rare_terms_first(spark):
+    """Shares that make all, some or no terms common give the same answers."""
+    rng = random.Random(4)
+    words = [f"w{min(int(rng.expovariate(0.25)), 40)}" for _ in range(9000)]
+    corpus = {i: " ".join(words[i * 30:i * 30 + rng.randint(0, 30)]) for i in range(300)}
+    asked = [" ".join(rng.sample([f"w{n}" for n in range(42)], rng.randint(1, 8)))
+             for _ in range(25)] + ["w0 w1", "w0", ""]
+    frame = spark.createDataFrame(list(corpus.items()), "doc_id int, text string")
+    want = {q: sorted(bm25(text, corpus).items(), key=lambda x: (-x[1], x[0]))[:4]
+            for q, text in enumerate(asked)}
+    for common in (0.0, 0.1, 0.5, 1.0):
+        got = retrieval.bm25_topk(queries(spark, *asked), frame, k=4, common=common).collect()
+        for q in want:
+            assert [(r.doc_id, r.score) for r in sorted(got, key=lambda r: r.rank)
+                    if r.query_id == q] == want[q]
+
+
 def test_bm25_from_a_stored_index_and_source(spark):
     index, size = retrieval.term_index(docs(spark)), retrieval.corpus_size(docs(spark))
     q = queries(spark, "fencing squad")
@@ -70,6 +88,28 @@ def test_vectors_against_brute_force(spark, monkeypatch):
         assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
 
 
+def test_clusters_are_skipped_and_nothing_is_lost(spark, monkeypatch):
+    """Vectors around few directions, zero vectors and copies; every query against all of them."""
+    monkeypatch.setattr(retrieval, "FEW_PAIRS", 0)
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(12, 16))[rng.integers(0, 12, 600)] + 0.02 * rng.normal(size=(600, 16))
+    m[50:60], m[300:303] = m[50], 0.0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)],
+                               "vec_id int, embedding array<double>")
+    asked = df.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
+    found, visits = retrieval.vector_search(asked, df, k=4, block_rows=20, pivots=30)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    unit = np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+    scores = retrieval._six_decimals(unit @ unit.T)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in range(0, 600, 10):
+        want = sorted(range(600), key=lambda j: (-scores[q, j], j))[:4]
+        assert [v for _, v in sorted(got[q])] == want
+    assert visits.share() < 0.5
+
+
 def test_fusion(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 20, 2)], "query_id int, doc_id int, rank int")
     b = spark.createDataFrame([(1, 20, 1), (1, 30, 2)], "query_id int, doc_id int, rank int")
