@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import events
 from ..functions.numbers import day_of, decimal_age, finite, lookup, num_of, round_py
 from ..plans.shapes import latest, running_min
+from ..session import cut
 
 AGE_RANGE = (8, 40)
 BAND_PERCENTILES = (10, 25, 50, 75, 90)
@@ -104,45 +105,64 @@ def norm_curves(norms: DataFrame) -> DataFrame:
         F.col("family").isNotNull() & F.col("age_centre").isNotNull())
 
 
-def norm_families(norms: DataFrame) -> DataFrame:
-    """One row per event family with all its age bands as an array.
-
-    The array is bounded by the age bins and implements of one event; bins listed twice keep one
-    row."""
-    curves = norm_curves(norms)
-    one = latest(curves, ["family", "event", "age_centre"], [F.col("n_points"), F.col("curve")],
-                 columns=["curve", "n_points"])
-    return one.groupBy("family").agg(
-        F.collect_list(F.struct("event", "age_centre", "curve", "n_points")).alias("bands"))
-
-
-def read_curve(rows: DataFrame, band: str, mark: str, out: str) -> DataFrame:
-    """Adds the percentile of ``mark`` on the curve of the struct column ``band``: linear between
-    points, the end value beyond the ends.
+def age_cells(norms: DataFrame) -> DataFrame:
+    """``(family, n_bands, cells)``: by norm event of a family, and under ``ALL`` for the whole of
+    it, sorted ages between which one band is the nearest, and these bands in the same order.
+
+    The age half way between two bands belongs to the lower one. Of bands listed twice one row is
+    kept, and of equal centres under ``ALL`` the event that sorts first. A family is bounded by
+    its age bins and implements."""
+    one = latest(norm_curves(norms), ["family", "event", "age_centre"],
+                 [F.col("n_points"), F.col("curve")], columns=["curve", "n_points"])
+    band = F.struct("age_centre", F.transform("curve", lambda x: x["mark"]).alias("marks"),
+                    F.transform("curve", lambda x: x["p"]).alias("ps"), "n_points")
+    every = one.groupBy("family", "age_centre").agg(
+        F.min_by(band, "event").alias("band"), F.count(F.lit(1)).alias("n")).select(
+        "family", F.lit(ALL).alias("event"), "band", "n")
+    both = one.select("family", "event", band.alias("band"), F.lit(0).alias("n")).unionByName(every)
+    lists = both.groupBy("family", "event").agg(
+        F.array_sort(F.collect_list("band")).alias("bands"), F.sum("n").alias("n"))
+    middles = F.transform(F.slice("bands", F.lit(2), F.greatest(F.size("bands") - 1, F.lit(0))),
+                          lambda b, i: (F.get(F.col("bands"), i)["age_centre"] + b["age_centre"]) / 2)
+    cell = F.struct(middles.alias("ages"), "bands")
+    return lists.groupBy("family").agg(
+        F.map_from_entries(F.collect_list(F.struct("event", cell))).alias("cells"),
+        F.sum("n").alias("n_bands"))
+
+
+#: Stands for all norm events of a family; no event has an empty name.
+ALL = ""
+
+
+def place_in(rows: DataFrame, values: str, x: Column, most: int, out: str) -> DataFrame:
+    """Adds how many of the sorted array ``values``, of ``most`` at most, are below ``x``: one
+    comparison per halving, each a column of its own, without a loop over the array."""
+    step = 1 << max(most, 1).bit_length()
+    rows = rows.withColumn(out, F.lit(0))
+    while step := step >> 1:
+        beyond = F.get(F.col(values), F.col(out) + (step - 1)) < x
+        rows = rows.withColumn(out, F.when(beyond, F.col(out) + step).otherwise(F.col(out)))
+    return rows
+
+
+def read_curve(rows: DataFrame, band: str, mark: str, out: str, most: int) -> DataFrame:
+    """Adds the percentile of ``mark`` on the curve of the struct column ``band``, of at most
+    ``most`` points: linear between points, the end value beyond the ends.
 
     Needs two points. Points with one common mark read as the lowest percentile. Each step is a
     column of its own, so that no step is repeated inside the next."""
-    curve, m = F.col(band)["curve"], F.col(mark)
-    rows = rows.withColumn("_below", F.size(F.filter(curve, lambda x: x["mark"] < F.col(mark))))
-    below, size = F.col("_below"), F.size(curve)
-    rows = rows.withColumns({"_lo": F.get(curve, below - 1), "_hi": F.get(curve, below)})
-    lo, hi = F.col("_lo"), F.col("_hi")
-    between = lo["p"] + (hi["p"] - lo["p"]) * (m - lo["mark"]) / (hi["mark"] - lo["mark"])
+    rows = rows.withColumns({"_marks": F.col(band)["marks"], "_ps": F.col(band)["ps"]})
+    rows = place_in(rows, "_marks", F.col(mark), most, "_below")
+    m, below, size = F.col(mark), F.col("_below"), F.size("_marks")
+    rows = rows.withColumns({"_lo": F.get("_marks", below - 1), "_hi": F.get("_marks", below),
+                             "_plo": F.get("_ps", below - 1), "_phi": F.get("_ps", below)})
+    lo, hi, plo, phi = (F.col(c) for c in ("_lo", "_hi", "_plo", "_phi"))
     value = (F.when((F.col(band)["n_points"] < 2) | m.isNull(), F.lit(None))
-             .when((size < 2) | (below == 0), F.get(curve, F.lit(0))["p"])
-             .when(below >= size, lo["p"]).otherwise(between))
+             .when((size < 2) | (below == 0), F.get(F.col("_ps"), F.lit(0)))
+             .when(below >= size, plo).otherwise(plo + (phi - plo) * (m - lo) / (hi - lo)))
     rows = rows.withColumn("_raw", value)
-    return rows.withColumn(out, round_py("_raw", 1)).drop("_below", "_lo", "_hi", "_raw")
-
-
-def nearest_band(bands: Column, variant: Column, age: Column) -> Column:
-    """The band of the age-correct implement nearest in age (lower centre on a tie); a band of
-    another implement only when that implement has none. Without an age, the only band."""
-    ranked = F.transform(bands, lambda b, i: F.struct(
-        (b["event"] != variant).alias("other"), F.abs(b["age_centre"] - age).alias("d"),
-        b["age_centre"].alias("centre"), i.alias("at")))
-    at = F.when(age.isNotNull(), F.array_min(ranked)["at"]).when(F.size(bands) == 1, F.lit(0))
-    return F.get(bands, at)
+    return rows.withColumn(out, round_py("_raw", 1)).drop(
+        "_marks", "_ps", "_below", "_lo", "_hi", "_plo", "_phi", "_raw")
 
 
 def percentile_of_mark(results: DataFrame, norms: DataFrame, *, event: str = "Event_standard",
@@ -150,18 +170,25 @@ def percentile_of_mark(results: DataFrame, norms: DataFrame, *, event: str = "Ev
                        out: str = "percentile") -> DataFrame:
     """Adds the percentile of each mark within its event's norms at its age, 0 to 100.
 
-    NULL when the event has no norm, the mark does not parse, or the age is missing and the event
-    has more than one band."""
-    families = norm_families(norms)
-    # Inside a lambda an expression is computed per band; what depends on the row alone is
-    # therefore made a column first.
+    The band is the one nearest in age of the age-correct implement (the lower one on a tie); of
+    another implement only when that implement has none. NULL when the event has no norm, the
+    mark does not parse, or the age is missing and the event has more than one band."""
+    # One short row per event family, and how far its arrays go.
+    cells = cut(age_cells(norms))
+    longest = cells.select(F.explode("cells").alias("event", "cell")).agg(
+        F.max(F.size("cell.ages"))).first()[0] or 0
     based = results.withColumns({"_base": events.norm_base(F.col(event)),
                                  "_pmark": num_of(results, mark), "_page": num_of(results, age)})
     based = based.withColumn("_variant", events.norm_variant(F.col("_base"), F.col("_page")))
-    joined = based.join(families, based["_base"] == families["family"], "left")
-    band = nearest_band(F.col("bands"), F.col("_variant"), F.col("_page"))
-    joined = joined.withColumn("_band", band)
-    return read_curve(joined, "_band", "_pmark", out).select(*results.columns, out)
+    joined = based.join(cells, based["_base"] == cells["family"], "left")
+    joined = joined.withColumn("_cell", F.coalesce(
+        F.try_element_at("cells", F.col("_variant")), F.try_element_at("cells", F.lit(ALL))))
+    joined = joined.withColumns({"_ages": F.col("_cell.ages"), "_bands": F.col("_cell.bands")})
+    joined = place_in(joined, "_ages", F.col("_page"), longest, "_at")
+    at = F.when(F.col("_page").isNotNull(), F.col("_at")).when(F.col("n_bands") == 1, F.lit(0))
+    joined = joined.withColumn("_band", F.get(F.col("_bands"), at))
+    return read_curve(joined, "_band", "_pmark", out, len(percentile_columns(norms))).select(
+        *results.columns, out)
 
 
 def norm_bands(norms: DataFrame, *, event_names: list[str] | None = None,
