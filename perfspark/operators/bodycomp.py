@@ -38,12 +38,15 @@ def body_composition(df: DataFrame, sites: dict[str, Column], age: Column) -> Da
 
 def anthro_sessions(records: DataFrame, *, dob: str = "date_of_birth",
                     date: str = "date_of_measure") -> DataFrame:
-    """One derived row per measurement session; measurement JSON is parsed once, to a variant."""
+    """One derived row per measurement session; measurement JSON is parsed
+    twice, as trials and as plain numbers."""
     wanted = list(dict.fromkeys([*body.SOMATOTYPE_SITES, *body.SKINFOLDS_8,
                                  "sittingHeight", "armSpan"]))
-    rows = records.withColumns({"_measured": F.try_parse_json("measurements"),
+    text = F.col("measurements")
+    rows = records.withColumns({"_trials": body.typed_sites(text, wanted, body.TRIALS),
+                                "_plain": body.typed_sites(text, wanted, "string"),
                                 "date": day_of(records, date)})
-    sites = {s: body.cell_result(F.col("_measured"), s) for s in wanted}
+    sites = {s: body.cell_result(F.col("_trials")[s], F.col("_plain")[s]) for s in wanted}
     age = age_at(day_of(records, dob), F.col("date"))
     out = body_composition(rows, sites, age)
     maturation = F.lit(None).cast("string")

@@ -171,7 +171,6 @@ def name_search(names: DataFrame, roster: DataFrame, k: int, floor: float,
     the blocks that names visited (None for a search so small that all meet all).
 
     ``names`` has ``_name``, ``roster`` has ``_full`` and its number ``_first``, each once."""
-    names, roster = cut(names), cut(roster)
     rows = names.count(), roster.count()
     ids = {"left_id": "_name", "right_id": "_first", "k": k, "rows": rows}
     if rows[0] * rows[1] <= FEW_PAIRS:
@@ -194,14 +193,14 @@ def similar_names(names: DataFrame, roster: DataFrame, *, name: str = "name",
 
     Roster entries of one name score alike: each distinct name is compared once, under its
     smallest id, and stands for its ``k`` smallest."""
-    left = names.select(F.col(name).alias("_name")).where(F.col("_name") != "").distinct()
+    left = cut(names.select(F.col(name).alias("_name")).where(F.col("_name") != "").distinct())
     entries = roster.select("player_id", F.col(full_name).alias("_full")).where(
         F.col("_full").isNotNull())
-    distinct = entries.groupBy("_full").agg(F.min("player_id").alias("_first"))
+    distinct = cut(entries.groupBy("_full").agg(F.min("player_id").alias("_first")))
     best, _ = name_search(left, distinct, k, floor)
-    few = top_rows(entries, ["_full"], [F.asc("player_id")], k).join(distinct, "_full")
-    found = best.select("_name", "_first", "score").join(
-        few.select("_first", "player_id"), "_first")
+    found = best.select("_name", "_first", "score").join(distinct, "_first")
+    few = top_rows(entries, ["_full"], [F.asc("player_id")], k).select("_full", "player_id")
+    found = found.join(few, "_full")
     order = [F.desc("score"), F.asc("player_id")]
     return top_rows(found, ["_name"], order, k).select(
         F.col("_name").alias(name), "player_id", "score")

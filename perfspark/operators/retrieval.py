@@ -64,6 +64,10 @@ BANDS = 2
 SHOWN = 1000
 
 
+#: Up to so many pairs of queries and documents, or of vectors, are scored without planning.
+FEW_PAIRS = 1 << 25
+
+
 def bm25_topk(queries: DataFrame, docs: DataFrame, *, k: int = 5, query: str = "query_id",
               query_text: str = "text", doc: str = "doc_id", text: str = "text",
               index: DataFrame | None = None, size: DataFrame | None = None,
@@ -71,12 +75,65 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, *, k: int = 5, query: str = "
     """The ``k`` best documents per query: ``(query, doc, score, rank)``.
 
     Terms no query asks for leave the index before anything is joined. A query term counts once.
-    Ties go to the smaller document id. ``index`` and ``size`` take a stored index.
+    Ties go to the smaller document id. ``index`` and ``size`` take a stored index. Few queries
+    over few documents are scored in one plan; else rarer terms come first (``_rare_first``). The
+    answers are the same."""
+    named = (query, query_text, doc, text, index, size)
+    if queries.count() * docs.count() <= FEW_PAIRS:
+        return _in_one(queries, docs, k, *named)
+    return _rare_first(queries, docs, k, common, *named)
+
+
+def _in_one(queries: DataFrame, docs: DataFrame, k: int, query: str, query_text: str, doc: str,
+            text: str, index: DataFrame | None, size: DataFrame | None) -> DataFrame:
+    """One row per query and document that share a term."""
+    asked = queries.select(F.col(query).alias(query),
+                           F.explode(F.array_distinct(tokens(query_text))).alias("term"))
+    wanted = asked.select("term").distinct()
+    # Placed by document once, what is left of the index is counted and later summed per query and
+    # document without moving again. A document is one input row, so no place gets too much.
+    if index is None:
+        whole = queries.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))
+        kept = (_occurrences(docs, doc, text).join(wanted.unionAll(whole), "term", "left_semi")
+                .repartition(doc))
+        postings = kept.groupBy(doc, "n_tokens", "term").agg(F.count(F.lit(1)).alias("tf"))
+    else:
+        postings = index.join(wanted, "term", "left_semi").repartition(doc)
+    # Counting through ``tf`` and by condition keeps these branches identical up to the shuffle,
+    # which is then reused: texts are read once for postings, frequencies and corpus size.
+    freq = postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    stats = size
+    if size is None and index is None:
+        one = (F.col("term") == WHOLE) & (F.col("tf") > 0)
+        stats = postings.agg(
+            F.count_if(one).alias("n_docs"),
+            (F.sum(F.when(one, F.greatest("n_tokens", F.lit(0)))) / F.count_if(one))
+            .alias("avg_tokens"))
+    elif size is None:
+        stats = corpus_size(docs, text=text)
+    n_docs = stats.select(F.col("n_docs").cast("double")).scalar()
+    avg = stats.select("avg_tokens").scalar()
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = asked.join(freq, "term").withColumn("idf", idf)
+    damp = K1 * (F.lit(1.0 - B) + F.lit(B) * F.col("n_tokens") / avg)
+    part = F.col("idf") * (F.col("tf") * (K1 + 1.0)) / (F.col("tf") + damp)
+    scored = (postings.join(weights, "term")
+              .groupBy(query, doc)
+              .agg(F.sum(F.rint(part * 1e9).cast("long")).alias("_score")))
+    # Added as whole billionths (the order of rows cannot matter), shown to six decimals.
+    scored = scored.select(query, doc, (F.floor((F.col("_score") + 500) / F.lit(1000)) / 1e6)
+                           .alias("score"))
+    return top_rows(scored, [query], [F.desc("score"), F.asc(doc)], k)
+
 
-    Documents are first scored by a query's rarer terms alone; the ``k``-th best of these is a
-    score that the answer reaches. ``common`` terms have an upper bound per band of document
-    lengths, and only documents that could get there with them are looked up under them. Queries
-    that a document might answer by common terms alone are scored in full."""
+def _rare_first(queries: DataFrame, docs: DataFrame, k: int, common: float, query: str,
+                query_text: str, doc: str, text: str, index: DataFrame | None,
+                size: DataFrame | None) -> DataFrame:
+    """Documents are first scored by a query's rarer terms alone; the ``k``-th best of these is a
+    score that the answer reaches. Terms in more than the share ``common`` of the documents have an
+    upper bound per band of document lengths, and only documents that could get there with them are
+    looked up under them. Queries that a document might answer by common terms alone are scored in
+    full."""
     # Written, so that Spark knows how small the queries are and does not sort postings for them.
     asked = cut(queries.select(F.col(query).alias(query),
                                F.explode(F.array_distinct(tokens(query_text))).alias("term")))
@@ -146,10 +203,6 @@ def _six_decimals(x: np.ndarray) -> np.ndarray:
     return np.sign(x) * np.floor((nine + 500.0) / 1000.0) / 1e6 + 0.0
 
 
-#: Up to so many pairs of vectors are compared block by block without planning.
-FEW_PAIRS = 1 << 25
-
-
 def _near_pivots(vectors: DataFrame, doc: str, pivots: int) -> DataFrame:
     """Adds the nearest of at most ``pivots`` sampled vectors and the angle to it; the sample is
     by least hash of the id and small enough to travel with the plan."""

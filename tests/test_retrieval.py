@@ -46,8 +46,9 @@ def test_bm25(spark):
         assert [(r.doc_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
 
 
-def test_bm25_by_rare_terms_first(spark):
+def test_bm25_by_rare_terms_first(spark, monkeypatch):
     """Shares that make all, some or no terms common give the same answers."""
+    monkeypatch.setattr(retrieval, "FEW_PAIRS", 0)
     rng = random.Random(4)
     words = [f"w{min(int(rng.expovariate(0.25)), 40)}" for _ in range(9000)]
     corpus = {i: " ".join(words[i * 30:i * 30 + rng.randint(0, 30)]) for i in range(300)}
@@ -56,7 +57,7 @@ def test_bm25_by_rare_terms_first(spark):
     frame = spark.createDataFrame(list(corpus.items()), "doc_id int, text string")
     want = {q: sorted(bm25(text, corpus).items(), key=lambda x: (-x[1], x[0]))[:4]
             for q, text in enumerate(asked)}
-    for common in (0.0, 0.1, 0.5, 1.0):
+    for common in (0.0, 0.2, 1.0):
         got = retrieval.bm25_topk(queries(spark, *asked), frame, k=4, common=common).collect()
         for q in want:
             assert [(r.doc_id, r.score) for r in sorted(got, key=lambda r: r.rank)
