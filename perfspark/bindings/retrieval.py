@@ -125,13 +125,20 @@ def deny_list(spark, d):
     return leakscan.deny_scan(_texts(spark, d), LISTED, doc="doc")
 
 
+def deny_table(spark, d):
+    """Documents against every longer word of the benchmark texts, as a list that is a table."""
+    words = table(spark, d, "benchmark").select(F.explode(retrieval.tokens("text")).alias("value"))
+    return leakscan.deny_table(table(spark, d, "documents"), words.where(F.length("value") >= 9))
+
+
 def scan_summary(spark, d):
     return leakscan.scan_summary(_texts(spark, d), word_scan(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (
     bm25_topk, bm25_by_source, vector_topk, hybrid_rrf, multi_query, corpus_stats,
-    doc_reassembly, leak_scan, word_scan, deny_list, scan_summary)}
+    doc_reassembly, leak_scan, word_scan, deny_list, deny_table,
+    scan_summary)}
 
 
 # --- SQL twins -------------------------------------------------------------------------------
@@ -245,6 +252,12 @@ SQL = {
         select doc, len(string_split(substr(text, 1, strpos(text, value) - 1), chr(10)))
                  as line_no, value
         from texts, (select unnest({LISTED!r}) as value) where strpos(text, value) > 0""",
+    "deny_table": f"""
+        with listed as (select distinct value from (select unnest({_tokens('text')}) as value
+                                                    from benchmark) where length(value) >= 9)
+        select doc_id, cast(len(string_split(substr(text, 1, strpos(text, value) - 1), chr(10)))
+                            as integer) as line_no, value
+        from documents, listed where strpos(text, value) > 0""",
     "scan_summary": f"""
         with {TEXTS}
         select (select count(*) from texts) as n_scanned, count(*) as n_findings,

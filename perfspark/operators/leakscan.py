@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from ..session import cut
 
 # Label and pattern of each detector.
 PATTERNS = [
@@ -83,6 +88,60 @@ def deny_scan(docs: DataFrame, values: list[str], *, doc: str = "doc_id",
     return present.select(doc, line.alias("line_no"), F.col("_h")["value"].alias("value"))
 
 
+#: Characters of listed values in one automaton.
+PART_CHARS = 1 << 24
+
+
+def deny_table(docs: DataFrame, listed: DataFrame, *, doc: str = "doc_id", text: str = "text",
+               value: str = "value", part_chars: int = PART_CHARS) -> DataFrame:
+    """``deny_scan`` for a list that is a table, of any length.
+
+    The list is dealt by hash into parts of about ``part_chars`` characters. Each part travels to
+    the tasks as one automaton, which finds all its values in one pass over a text; only values and
+    line numbers come out. A list of one part, as most are, reads the texts once."""
+    wanted = cut(listed.select(F.col(value).cast("string").alias("value"))
+                 .where(F.col("value") != "").distinct())
+    chars = wanted.agg(F.sum(F.length("value"))).first()[0] or 0
+    parts = max(1, -(-chars // part_chars))
+    key = T.StructField(doc, docs.schema[doc].dataType)
+    schema = T.StructType([key, T.StructField("line_no", T.IntegerType()),
+                           T.StructField("value", T.StringType())])
+    found = []
+    for part in range(parts):
+        own = wanted.where(F.pmod(F.xxhash64("value"), F.lit(parts)) == part)
+        shared = docs.sparkSession.sparkContext.broadcast(
+            own.toArrow().column("value").to_pylist())
+        found.append(docs.select(doc, text).mapInArrow(_finder(shared, doc, text), schema))
+    return reduce(lambda a, b: a.unionAll(b), found)
+
+
+def _finder(shared: Broadcast, doc: str, text: str
+            ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        for v in shared.value:
+            machine.add_word(v, v)
+        machine.make_automaton()
+        for batch in batches:
+            rows, lines, values = [], [], []
+            for row, body in enumerate(batch.column(text).to_pylist()):
+                first: dict[str, int] = {}
+                if body and len(machine):
+                    for end, v in machine.iter(body):
+                        first.setdefault(v, end)
+                for v, end in first.items():
+                    rows.append(row)
+                    lines.append(body.count("\n", 0, end - len(v) + 1) + 1)
+                    values.append(v)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(doc).take(pa.array(rows, pa.int64())), pa.array(lines, pa.int32()),
+                 pa.array(values, pa.string())], [doc, "line_no", "value"])
+
+    return find
+
+
 def parse_deny_list(lines: DataFrame, column: str = "value") -> DataFrame:
     """Deny-list lines without comments and blanks."""
     bare = F.trim(F.substring_index(F.col(column), "#", 1))

@@ -207,7 +207,7 @@ def _near_pivots(vectors: DataFrame, doc: str, pivots: int) -> DataFrame:
     """Adds the nearest of at most ``pivots`` sampled vectors and the angle to it; the sample is
     by least hash of the id and small enough to travel with the plan."""
     sample = vectors.orderBy(F.xxhash64(doc), doc).limit(pivots).toPandas()
-    centres = _unit(sample["_v"])
+    centres = _chained(_unit(sample["_v"]))
 
     def place(batches):
         for pdf in batches:
@@ -221,6 +221,18 @@ def _near_pivots(vectors: DataFrame, doc: str, pivots: int) -> DataFrame:
     return vectors.mapInPandas(place, schema)
 
 
+def _chained(units: np.ndarray) -> np.ndarray:
+    """The vectors in an order in which each is followed by its nearest among the rest, so that a
+    block that holds the end of one cluster and the start of the next stays narrow."""
+    rest, order = np.ones(len(units), dtype=bool), [0]
+    rest[0] = False
+    while rest.any():
+        cosine = np.where(rest, units @ units[order[-1]], -np.inf)
+        order.append(int(cosine.argmax()))
+        rest[order[-1]] = False
+    return units[order]
+
+
 def _ball(vectors: pd.Series) -> str:
     """Centre and radius, as an angle, of a block, and whether it holds a zero vector."""
     units = _unit(vectors)

@@ -98,7 +98,7 @@ def test_clusters_are_skipped_and_nothing_is_lost(spark, monkeypatch):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)],
                                "vec_id int, embedding array<double>")
     asked = df.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
-    found, visits = retrieval.vector_search(asked, df, k=4, block_rows=20, pivots=30)
+    found, visits = retrieval.vector_search(asked, df, k=4, block_rows=8, pivots=30)
     norm = np.linalg.norm(m, axis=1, keepdims=True)
     unit = np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
     scores = retrieval._six_decimals(unit @ unit.T)
@@ -158,6 +158,24 @@ def test_leak_scan(spark):
     assert "Exchange" not in plan
 
 
+def test_deny_table(spark):
+    """A long list in one part and in many; overlapping values, first lines, nulls and empties."""
+    rng = random.Random(3)
+    values = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(3, 9)))
+                     for _ in range(2000)}) + [f"host{i:05d}.example" for i in range(100_000)]
+    texts = {i: "\n".join("".join(rng.choice("abc ") for _ in range(40)) for _ in range(6))
+             for i in range(12)}
+    texts |= {50: "x\nsee host00077.example and\nhost00077.example", 51: "", 52: None}
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    listed = spark.createDataFrame([(v,) for v in [*values, "", None, "abc"]], "value string")
+    want = sorted((i, t[:t.index(v)].count("\n") + 1, v) for i, t in texts.items() if t
+                  for v in values if v in t)
+    for part_chars in (leakscan.PART_CHARS, 1 << 20):
+        got = leakscan.deny_table(df, listed, part_chars=part_chars)
+        assert sorted(map(tuple, got.collect())) == want
+    assert leakscan.deny_table(df, listed.limit(0)).count() == 0
+
+
 def test_deny_list(spark):
     df = spark.createDataFrame([(1, "a\nb secret.host\nsecret.host"), (2, "ok")], "doc_id int, text string")
     got = [tuple(r) for r in leakscan.deny_scan(df, ["secret.host", "10.0.0.1"]).collect()]
