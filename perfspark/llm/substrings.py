@@ -19,9 +19,10 @@ so one copy of every passage survives.
 Only hashes travel; the words of lines are read again for those lines alone that met in a band
 (a bitmap of fixed size keeps the others out, and the exact join decides). A line that very many
 documents share is one row after pre-aggregation; a band value with very many distinct lines is
-cut into chunks. Null and empty texts have no units. Texts of any length are read whole. Repeated
-rows with a null or equal id count as one document; columns other than ``doc_id`` and ``text`` are
-not read.
+cut into chunks. Null and empty texts have no units. Texts of any length are read whole. Rows with
+an equal id count as one document, and rows without an id are not read: a passage that repeats only
+inside one document, or only with such rows, has no row. Columns other than ``doc_id`` and ``text``
+are not read.
 """
 
 from __future__ import annotations
