@@ -79,6 +79,13 @@ def num_of(df: DataFrame, name: str, default: float | None = None) -> Column:
     return to_num(name, default)
 
 
+def int_of(df: DataFrame, name: str) -> Column:
+    """``to_int`` that leaves whole-number columns to a plain cast."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.col(name).try_cast("int")
+    return to_int(name)
+
+
 def day_of(df: DataFrame, name: str) -> Column:
     """``to_day`` that leaves date and timestamp columns to a plain cast."""
     kind = df.schema[name].dataType

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numbers import blank_to_null, day_of, iso, present, to_int, to_day, whole_years
+from ..functions.numbers import (blank_to_null, day_of, int_of, iso, present, to_day, to_int,
+                                 whole_years)
 from ..functions.text import first_listed, flat_label
 from ..plans.shapes import latest
 
@@ -83,10 +84,10 @@ def _any(df: DataFrame, *names: str) -> Column:
 def picker_rows(players: DataFrame, sports: dict[int, str] | None = None,
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """The picker shape of player rows; rows without a player id are dropped."""
-    rows = players.where(to_int("playerId").isNotNull())
-    sport = to_int("sportId")
+    rows = players.where(int_of(players, "playerId").isNotNull())
+    sport = int_of(players, "sportId")
     return rows.select(
-        to_int("playerId").alias("player_id"),
+        int_of(players, "playerId").alias("player_id"),
         F.coalesce(_any(players, "fullName", "playerName", "name"), F.lit("")).alias("full_name"),
         (F.col("arabicName") if "arabicName" in players.columns
          else F.lit(None).cast("string")).alias("arabic_name"),
@@ -113,8 +114,8 @@ def search_players(players: DataFrame, text: str = "", *, limit: int | None = No
 
 def link_roster(players: DataFrame) -> DataFrame:
     """Named players in the shape record linkage takes."""
-    rows = players.where((to_int("playerId") != 0) & present("fullName").isNotNull())
-    return rows.select(to_int("playerId").alias("player_id"),
+    rows = players.where((int_of(players, "playerId") != 0) & present("fullName").isNotNull())
+    return rows.select(int_of(players, "playerId").alias("player_id"),
                        F.col("fullName").alias("full_name"), F.col("dateOfBirth").alias("dob"),
                        F.col("currentSportName").alias("sport"),
                        F.col("mrn").cast("string").alias("mrn"),
@@ -125,10 +126,10 @@ def context_rows(players: DataFrame, as_of: Column,
                  sports: dict[int, str] | None = None) -> DataFrame:
     """The context shape: birth date, age at ``as_of``, sex, sport, pathway flag."""
     born = to_day(F.substring_index(F.col("dateOfBirth").cast("string"), "T", 1))
-    sport = to_int("sportId")
+    sport = int_of(players, "sportId")
     pathway = F.col("pathway") if "pathway" in players.columns else F.lit(None).cast("string")
-    return players.where(to_int("playerId").isNotNull()).select(
-        to_int("playerId").alias("player_id"), F.col("mrn").cast("string").alias("mrn"),
+    return players.where(int_of(players, "playerId").isNotNull()).select(
+        int_of(players, "playerId").alias("player_id"), F.col("mrn").cast("string").alias("mrn"),
         F.coalesce(present("fullName"), F.lit("")).alias("full_name"),
         (F.col("arabicName") if "arabicName" in players.columns
          else F.lit(None).cast("string")).alias("arabic_name"),
@@ -187,7 +188,7 @@ def sport_roster(plans: DataFrame, plan_players: DataFrame, as_of: Column, *,
     kept = rows.select(F.col("trainingPlanId").alias("_plan"), day.alias("_day"),
                        F.col("SportId").alias("plan_sport_id"))
     on_plan = plan_players.where(
-        to_int("playerId") != 0).join(
+        int_of(plan_players, "playerId") != 0).join(
         kept, plan_players["trainingPlanId"] == kept["_plan"])
     newest = latest(on_plan.drop("_plan"), ["plan_sport_id", "playerId"],
                     [F.col("_day"), F.col("trainingPlanId")],
