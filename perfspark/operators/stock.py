@@ -5,18 +5,15 @@ Stock is never stored; it is receipts minus assignments.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.numbers import exact_sum, num_of, to_int
 from ..functions.text import product_label
 from ..session import cut
 
 #: Running totals of requests are kept in fixed point, so that they do not depend on the plan. A
-#: quantity that it cannot hold is larger than any stock.
-EXACT = "decimal(38,15)"
+#: quantity that it cannot hold is larger than any stock. Differences keep all 15 places.
+EXACT = "decimal(36,15)"
 
 
 def active_products(products: DataFrame) -> DataFrame:
@@ -66,41 +63,32 @@ def issue_history(assignments: DataFrame, products: DataFrame, *,
 
 # --- guarded issue ---------------------------------------------------------------------------
 
-_FOLD = T.StructType([T.StructField("request_id", T.LongType()),
-                      T.StructField("accepted", T.BooleanType())])
-
-
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Greedy acceptance over rows numbered along each product; only the remaining stock is held."""
-    left = 0
-    for pdf in batches:
-        verdicts = []
-        for number, stock, qty in zip(pdf["_number"], pdf["_left"], pdf["_qty"], strict=True):
-            left = stock if number == 1 else left
-            ok = qty <= left
-            left = left - qty if ok else left
-            verdicts.append(ok)
-        yield pd.DataFrame({"request_id": pdf["_rid"], "accepted": verdicts})
+#: What is still open: product, id, order, chunk, quantity and the stock left for it.
+OPEN = ["_pid", "_rid", "_at", "_chunk", "_qty", "_left"]
 
 
 def issue(requests: DataFrame, stock: DataFrame, *, order: str = "requested_at",
           request_id: str = "request_id", allow_negative: bool = False,
-          rounds: int = 2, chunk: Column | None = None) -> DataFrame:
+          few: int = 512, chunk: Column | None = None) -> DataFrame:
     """Accept or reject issue requests in order, so that no product goes below zero.
 
-    A rejected request takes no stock, which makes acceptance sequential per product. Most
-    requests are settled without order: non-positive and larger-than-stock ones are rejected, and
-    every product whose remaining requests fit together accepts them all. What is still contested
-    is narrowed by ``rounds`` of chunked prefix sums - all requests before the chunk in which the
-    sum first exceeds the stock are accepted, and from there on everything above what is left is
-    rejected. Only the rest is walked in order, as a sorted stream with constant memory.
+    A rejected request takes no stock, which makes acceptance sequential per product. Non-positive
+    and larger-than-stock requests are rejected at once, and a product whose remaining requests fit
+    together accepts them all. Products with at most ``few`` requests left are folded in order.
+    The others go through rounds of prefix sums (``_halve``), each of which at least halves what a
+    product has left, so there are at most as many as the stock has binary digits.
 
-    ``chunk`` groups requests along ``order`` (default: its day). Ids must be unique integers."""
+    ``chunk`` groups requests along ``order`` (default: its day); a chunk is what one task sorts.
+    Ids must be unique integers. Quantities count in steps of 10**-15, a finer one as one step."""
+    step = F.lit(1e-15).cast(EXACT)
     rows = requests.withColumns({
         "_pid": to_int("product_id"), "_asked": num_of(requests, "quantity", 0),
-        "_qty": num_of(requests, "quantity", 0).try_cast(EXACT),
+        "_qty": F.greatest(num_of(requests, "quantity", 0).try_cast(EXACT), step),
         "_rid": F.col(request_id).cast("long"),
         "_chunk": chunk if chunk is not None else F.to_date(order)})
+    # A quantity too large for the type is null here and larger than any stock.
+    rows = rows.withColumn("_qty", F.when(
+        num_of(requests, "quantity", 0).try_cast(EXACT).isNotNull(), F.col("_qty")))
     base = stock.select(F.col("product_id").alias("_spid"),
                         F.col("on_hand").try_cast(EXACT).alias("_left"))
     rows = rows.join(base, F.col("_pid") == F.col("_spid"), "left").drop("_spid")
@@ -109,41 +97,88 @@ def issue(requests: DataFrame, stock: DataFrame, *, order: str = "requested_at",
     if allow_negative:
         return _report(rows.withColumn("accepted", valid), requests)
 
-    lean = rows.where(valid & (F.col("_qty") <= F.col("_left"))).select(
-        "_pid", "_rid", F.col(order).alias("_at"), "_chunk", "_qty", "_left")
-    yes, pending = [], lean
-    for _ in range(rounds):
-        accepted, pending = _narrow(cut(pending))
+    pending = cut(rows.where(valid & (F.col("_qty") <= F.col("_left"))).select(
+        "_pid", "_rid", F.col(order).alias("_at"), "_chunk", "_qty", "_left"))
+    yes = []
+    while True:
+        sizes = pending.groupBy(F.col("_pid").alias("_p")).agg(
+            F.count(F.lit(1)).alias("_n"), F.try_sum("_qty").alias("_sum"))
+        sized = pending.join(sizes, F.col("_pid") == F.col("_p")).drop("_p")
+        fits = F.coalesce(F.col("_sum") <= F.col("_left"), F.lit(False))
+        yes += [sized.where(fits).select("_rid"),
+                _fold(sized.where(~fits & (F.col("_n") <= few)))]
+        many = sized.where(~fits & (F.col("_n") > few)).select(*OPEN)
+        if many.isEmpty():
+            break
+        accepted, pending = _halve(many)
         yes.append(accepted)
-    # The window numbers the rows and, unlike a plain repartition, obliges Spark to bring a product
-    # together and in order whatever adaptive execution makes of the joins below.
-    along = W.partitionBy("_pid").orderBy("_at", "_rid")
-    walked = (pending.withColumn("_number", F.row_number().over(along))
-              .select("_number", "_rid", "_left", "_qty").mapInPandas(_fold, _FOLD)
-              .where("accepted").select(F.col("request_id").alias("_ok")))
-    for accepted in yes:
-        walked = walked.unionByName(accepted.select(F.col("_rid").alias("_ok")))
-    joined = rows.join(walked, rows["_rid"] == walked["_ok"], "left")
+    ok = yes[0]
+    for more in yes[1:]:
+        ok = ok.unionAll(more)
+    joined = rows.join(ok.select(F.col("_rid").alias("_ok")), rows["_rid"] == F.col("_ok"), "left")
     return _report(joined.withColumn("accepted", F.col("_ok").isNotNull()), requests)
 
 
-def _narrow(pending: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(accepted, still contested)`` after one round of chunked prefix sums."""
-    sums = pending.groupBy("_pid", "_chunk").agg(F.try_sum("_qty").alias("_sum"))
-    up_to = W.partitionBy("_pid").orderBy("_chunk").rowsBetween(W.unboundedPreceding, 0)
+def _fold(few: DataFrame) -> DataFrame:
+    """``_rid`` of what is accepted in order, for products with few requests."""
+    along = F.array_sort(F.collect_list(F.struct("_at", "_rid", "_qty")))
+    products = few.groupBy("_pid").agg(along.alias("asked"), F.first("_left").alias("have"))
+
+    def take(state: Column, ask: Column) -> Column:
+        rest = (state["rest"] - ask["_qty"]).cast(EXACT)
+        return F.when(ask["_qty"] <= state["rest"], F.struct(
+            rest.alias("rest"), F.concat(state["ok"], F.array(ask["_rid"])).alias("ok"))
+        ).otherwise(state)
+
+    start = F.struct(F.col("have").alias("rest"), F.array().cast("array<bigint>").alias("ok"))
+    return products.select(F.explode(F.aggregate("asked", start, take, lambda s: s["ok"]))
+                           .alias("_rid"))
+
+
+def _total_of(column: str, over: Column | None = None) -> Column:
+    """Sum of the non-null values, 0 without any; totals beyond the type are its greatest number."""
+    total, n = F.try_sum(column), F.count(column)
+    if over is not None:
+        total, n = total.over(over), n.over(over)
+    most = F.lit("9" * 21).cast(EXACT)
+    return F.when(n == 0, F.lit(0).cast(EXACT)).otherwise(
+        F.coalesce(F.least(total, most), most).cast(EXACT))
+
+
+def _halve(pending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(accepted _rid, still open)`` after each product's stock has at least halved.
+
+    Requests of at most half of what is left (small ones) are accepted as long as half is there,
+    and the first larger one that fits leaves less than half. So up to the first request that
+    takes the stock below half, large ones are rejected and small ones need only their prefix sum:
+    by chunks first, then inside each chunk."""
+    left, qty = F.col("_left"), F.col("_qty")
+    rows = cut(pending.withColumn("_small", F.when(qty <= left - qty, qty)))
+    sums = rows.groupBy("_pid", "_chunk").agg(_total_of("_small").alias("_sum"))
+    earlier = W.partitionBy("_pid").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select(F.col("_pid").alias("_p"), F.col("_chunk").alias("_c"),
-                       F.try_sum("_sum").over(up_to).alias("_upto"), "_sum")
-    joined = pending.join(sums, (F.col("_pid") == F.col("_p"))
-                          & F.col("_chunk").eqNullSafe(F.col("_c"))).drop("_p", "_c")
-    fits = F.coalesce(F.col("_upto") <= F.col("_left"), F.lit(False))
-    accepted = joined.where(fits)
-    taken = (accepted.groupBy(F.col("_pid").alias("_p"))
-             .agg(F.sum("_qty").cast(EXACT).alias("_taken")))
-    rest = joined.where(~fits).drop("_upto", "_sum").join(
-        taken, F.col("_pid") == F.col("_p"), "left")
-    left = (F.col("_left") - F.coalesce("_taken", F.lit(0).cast(EXACT))).cast(EXACT)
-    rest = rest.withColumn("_left", left).drop("_p", "_taken")
-    return accepted, rest.where(F.col("_qty") <= F.col("_left"))
+                       _total_of("_sum", earlier).alias("_base"))
+    inside = (W.partitionBy("_pid", "_chunk").orderBy("_at", "_rid")
+              .rowsBetween(W.unboundedPreceding, -1))
+    own = _total_of("_small", inside)
+    # What is there before each request, were no request before it the turning one.
+    there = rows.join(sums, (F.col("_pid") == F.col("_p")) & F.col("_chunk").eqNullSafe(
+        F.col("_c"))).withColumn("_there", ((left - F.col("_base")).try_cast(EXACT) - own)
+                                 .try_cast(EXACT))
+    after = F.col("_there") - qty
+    turns = (qty <= F.col("_there")) & (after < left - after)
+    place = F.struct("_chunk", "_at", "_rid")
+    there = cut(there.select(*OPEN, "_small", place.alias("_place"), turns.alias("_turns"),
+                             after.try_cast(EXACT).alias("_after")))
+    turn = there.where("_turns").groupBy(F.col("_pid").alias("_p")).agg(
+        F.min(F.struct("_place", "_after")).alias("_turn"))
+    met = there.join(turn, F.col("_pid") == F.col("_p"), "left")
+    at = F.col("_turn._place")
+    open_ = F.coalesce(F.col("_place") > at, F.lit(False))
+    taken = (F.col("_place") == at) | F.col("_small").isNotNull()
+    still = met.where(open_).withColumn("_left", F.col("_turn._after"))
+    return (met.where(~open_ & F.coalesce(taken, F.lit(False))).select("_rid"),
+            cut(still.where(F.col("_qty") <= F.col("_left")).select(*OPEN)))
 
 
 def _report(rows: DataFrame, requests: DataFrame) -> DataFrame:

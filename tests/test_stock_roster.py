@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -62,8 +63,25 @@ def test_issue_against_brute_force(spark):
         want[i] = 0 < q <= left[p]
         left[p] -= q if want[i] else 0
     base = spark.createDataFrame(list(have.items()), "product_id int, on_hand double")
-    for rounds in (0, 1, 3):
-        out = stock.issue(_requests(spark, rows), base, rounds=rounds)
+    for few in (512, 20, 0):
+        out = stock.issue(_requests(spark, rows), base, few=few)
+        assert {r.request_id: r.accepted for r in out.collect()} == want
+
+
+def test_issue_of_odd_quantities_and_times(spark):
+    """Requests without a time come first, quantities finer than the fixed point take a step of it
+    and ones beyond it are larger than any stock."""
+    rng = random.Random(5)
+    rows = [(1, rng.choice([1e-18, 0.1, 0.7, 3.3, 1e300]), rng.choice([None, *range(9)]))
+            for _ in range(120)]
+    left, want = Decimal(12), {}
+    for i in sorted(range(len(rows)), key=lambda i: (-1 if rows[i][2] is None else rows[i][2], i)):
+        q = max(Decimal(str(rows[i][1])), Decimal("1e-15"))
+        want[i] = q <= left
+        left -= q if want[i] else 0
+    base = spark.createDataFrame([(1, 12.0)], "product_id int, on_hand double")
+    for few in (512, 0):
+        out = stock.issue(_requests(spark, rows), base, few=few)
         assert {r.request_id: r.accepted for r in out.collect()} == want
 
 
