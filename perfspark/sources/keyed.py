@@ -2,9 +2,10 @@
 
 A write never touches what is already there. It claims a number nobody else can get, stages its
 rows in a folder of that number and commits by creating one small file; readers keep the newest
-number of each key. All live folders are one scan. Every ``fold`` generations a write folds them
-into one whose rows keep their numbers, so neither plans nor listings grow, and a slower writer
-with a smaller number still finds its place.
+number of each key. All live folders are one scan. Generations have levels: once a level holds more
+than ``fold`` of them, a write folds these into one of the next level, whose rows keep their
+numbers. So a row is rewritten once a level, as often as the logarithm of the number of writes,
+neither plans nor listings grow, and a slower writer with a smaller number still finds its place.
 """
 
 from __future__ import annotations
@@ -68,21 +69,24 @@ class KeyedTable:
         self.spark, self.root, self.keys, self.fold = spark, root.rstrip("/"), keys, fold
 
     # -- commits: ``_commits/<number>`` or, for a folded generation, ``_commits/<number>-<folded
-    # numbers>``, so that a listing of names tells all there is to know.
+    # numbers>-<level>``, so that a listing of names tells all there is to know.
 
-    def _live(self) -> list[int]:
-        """Committed generations that no other one has folded in."""
+    def _levels(self) -> dict[int, int]:
+        """Levels of the committed generations that no other one has folded in."""
         path = f"{self.root}/_commits"
         if not _exists(self.spark, path):
-            return []
+            return {}
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        numbers, folded = set(), set()
+        levels, folded = {}, set()
         for status in fs.listStatus(folder):
-            number, _, old = status.getPath().getName().partition("-")
-            numbers.add(int(number))
+            number, old, level = [*status.getPath().getName().split("-"), "", "0"][:3]
+            levels[int(number)] = int(level or 0)
             folded |= {int(x) for x in old.split("_") if x}
-        return sorted(numbers - folded)
+        return {n: levels[n] for n in sorted(levels) if n not in folded}
+
+    def _live(self) -> list[int]:
+        return list(self._levels())
 
     def _claim(self) -> int:
         live = self._live()
@@ -92,8 +96,8 @@ class KeyedTable:
         numbered = df if "_gen" in df.columns else df.withColumn("_gen", F.lit(gen).cast("long"))
         numbered.write.mode("overwrite").parquet(f"{self.root}/{kind}/{gen:012d}")
 
-    def _commit(self, gen: int, folded: list[int] | None = None) -> None:
-        name = f"{gen:012d}" + (f"-{'_'.join(map(str, folded))}" if folded else "")
+    def _commit(self, gen: int, folded: list[int] | None = None, level: int = 0) -> None:
+        name = f"{gen:012d}" + (f"-{'_'.join(map(str, folded))}-{level}" if folded else "")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits/{name}")
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         fs.create(path, False).close()
@@ -116,8 +120,14 @@ class KeyedTable:
         self._fold_if_many()
 
     def _fold_if_many(self) -> None:
-        if len(self._live()) > self.fold:
-            self.compact()
+        """Fold every level that holds more than ``fold`` generations, the lowest first."""
+        level, levels = 0, self._levels()
+        while levels and level <= max(levels.values()):
+            own = [n for n, at in levels.items() if at == level]
+            if len(own) > self.fold:
+                self._merge(own, level + 1)
+                levels = self._levels()
+            level += 1
 
     # -- upsert
 
@@ -138,11 +148,16 @@ class KeyedTable:
         return self._current(self._live()).drop("_gen")
 
     def compact(self) -> None:
-        """Fold the live generations into one."""
-        live = self._live()
+        """Fold all live generations into one."""
+        levels = self._levels()
+        self._merge(list(levels), max(levels.values(), default=0))
+
+    def _merge(self, some: list[int], level: int) -> None:
+        """Fold some generations into one. What is newest in any of them, by number or by the
+        order of the table, is all that can be newest over all."""
         gen = self._claim()
-        self._stage(self._current(live), gen)
-        self._commit(gen, live)
+        self._stage(self._current(some), gen)
+        self._commit(gen, some, level)
 
 
 class ChildTable(KeyedTable):
@@ -169,12 +184,11 @@ class ChildTable(KeyedTable):
         """Children of each parent's newest generation."""
         return newest_generation(self._stacked(live), self._marks(live), self.keys[0])
 
-    def compact(self) -> None:
-        live = self._live()
+    def _merge(self, some: list[int], level: int) -> None:
         gen = self._claim()
-        self._stage(self._current(live), gen)
-        self._stage(self._marks(live), gen, "parents")
-        self._commit(gen, live)
+        self._stage(self._current(some), gen)
+        self._stage(self._marks(some), gen, "parents")
+        self._commit(gen, some, level)
 
 
 def newest_generation(rows: DataFrame, marks: DataFrame, parent: str) -> DataFrame:

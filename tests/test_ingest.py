@@ -179,6 +179,42 @@ def test_writers_never_share_a_number_and_plans_stay_small(spark, tmp_path):
     assert len(a.read()._jdf.queryExecution().toString()) < 20_000
 
 
+def test_rows_are_rewritten_once_a_level(spark, tmp_path):
+    """Writes of one new key and one old one each; two levels of three."""
+    target = keyed.KeyedTable(spark, str(tmp_path / "levels"), ["k"], fold=2)
+    for i in range(18):
+        target.upsert(spark.createDataFrame([(i, f"new {i}"), (i // 2, f"by {i}")][:1 + (i > 1)], KV))
+    want = {}
+    for i in range(18):
+        want[i] = f"new {i}"
+        want[i // 2] = f"by {i}" if i > 1 else want[i // 2]
+    assert {r.k: r.v for r in target.read().collect()} == want
+    levels = sorted(target._levels().values())
+    assert levels == [2, 2]
+    written = spark.read.option("recursiveFileLookup", True).parquet(
+        str(tmp_path / "levels" / "rows")).count()
+    assert written <= 3 * (2 * 18 - 2)
+    target.compact()
+    assert {r.k: r.v for r in target.read().collect()} == want
+
+
+def test_children_through_levels(spark, tmp_path):
+    """Parents replaced again, emptied and left alone, in folded and open generations."""
+    target, want = keyed.ChildTable(spark, str(tmp_path / "c"), "k", fold=2), {}
+    for i in range(11):
+        listed, rows = [i % 4, 10 + i // 3], [(i % 4, f"{i}a"), (i % 4, f"{i}b")]
+        rows = rows if i % 5 else []
+        rows += [(10 + i // 3, f"{i}")]
+        target.replace(spark.createDataFrame(rows, KV),
+                       spark.createDataFrame([(p,) for p in listed], "k int"))
+        want.update({p: sorted(v for k, v in rows if k == p) for p in listed})
+    got = {}
+    for r in target.read().collect():
+        got.setdefault(r.k, []).append(r.v)
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v}
+    assert len(target._live()) < 6
+
+
 def test_ledger_calls_are_ordered_without_reading_them(spark, tmp_path):
     a, b = (ledger.DecisionLedger(spark, str(tmp_path / "book")) for _ in range(2))
     a.record("x", 1, "yes", "2026-01-01")
