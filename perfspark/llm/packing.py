@@ -9,9 +9,10 @@ of free capacities. Gaps that stay are closed by cutting up the emptiest sequenc
 remains of the last one becomes sequences whose lengths are powers of two, so nothing is padded.
 
 Groups hold a bounded number of documents, so memory does not grow with the table; a source or a
-set of copies with a third of all rows spreads over groups by id. Null and empty texts are the end
-id alone. Texts of any length are cut over as many sequences as they need. Repeated rows are packed
-as often as they stand there; ids may be null. Columns other than ``doc_id`` and ``text`` are not
+set of copies with a third of all rows spreads over groups by id. Rows equal in id and text that
+would overfill a group are counted, tokenised once and spread by the number of the copy. Null and
+empty texts are the end id alone. Texts of any length are cut over as many sequences as they need.
+Repeated rows are packed as often as they stand there; ids may be null. Columns other than ``doc_id`` and ``text`` are not
 read.
 """
 
@@ -265,8 +266,25 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end
 
     ``ids`` are a piece's token ids as little-endian unsigned 32-bit numbers; ``tokenizer`` is the
     path of its file, which every worker can read."""
-    groups = max(1, -(-docs.count() // group_rows))
-    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(groups))
-    tokens = tokens_of(docs, tokenizer, end_id, group).withColumnRenamed("mark", "group")
-    rows = tokens.withColumn("mark", F.xxhash64("ids"))
-    return rows.groupBy("group").applyInArrow(lambda t: _pack_group(t, capacity), PIECES)
+    per_id = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    size = per_id.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    groups = F.lit(max(1, -(-(size.rows or 0) // group_rows)))
+    rows, many = docs.select("doc_id", "text"), None
+    if (size.most or 0) > group_rows:
+        key = F.xxhash64("doc_id", "text").alias("k")
+        keyed = rows.select("*", key)
+        hot = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(
+            F.col("n") > group_rows).select("k")
+        rows = keyed.join(hot, "k", "left_anti").drop("k")
+        many = keyed.join(hot, "k", "left_semi").groupBy("doc_id", "text").agg(
+            F.count(F.lit(1)).alias("n"))
+    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), groups)
+    tokens = tokens_of(rows, tokenizer, end_id, group).withColumnRenamed("mark", "group")
+    if many is not None:
+        copies = tokens_of(many, tokenizer, end_id, F.col("n")).withColumn(
+            "copy", F.explode(F.sequence(F.lit(1), "mark")))
+        tokens = tokens.unionByName(copies.select(
+            "doc_id", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "ids", "copy"), groups)
+            .alias("group"), "ids"))
+    tokens = tokens.withColumn("mark", F.xxhash64("ids"))
+    return tokens.groupBy("group").applyInArrow(lambda t: _pack_group(t, capacity), PIECES)

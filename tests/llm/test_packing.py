@@ -65,6 +65,38 @@ def test_reruns_agree_and_empty_table(spark):
     assert packing.pack_documents(docs(spark, []), tokenizer()).count() == 0
 
 
+def test_equal_rows_spread_over_groups(spark):
+    """Half of the rows are one row: without an id, and longer than a sequence."""
+    twin = prose(2500, 7)
+    texts, ids = [twin] * 60 + [prose(40, i) for i in range(60)], [None] * 60 + [*range(60)]
+    out = packing.pack_documents(docs(spark, texts, ids=ids), tokenizer(), group_rows=8).collect()
+    want = _whole([twin])[0]
+    twins = [r for r in out if r.doc_id is None]
+    assert {r.doc_tokens for r in twins} == {len(want)}
+    assert sum(r.length for r in twins) == 60 * len(want)
+    per_group = defaultdict(int)
+    for r in twins:
+        per_group[r.sequence_id >> 32] += r.length
+        assert np.frombuffer(r.ids, "<u4").tolist() == want[r.start:r.start + r.length]
+    assert len(per_group) > 5 and max(per_group.values()) <= 16 * len(want)
+    assert {r.doc_id for r in out} == {None, *range(60)}
+
+
+def test_speller_agrees_with_the_tokenizer():
+    """Letters of every kind below and above the plain ones, upper and lower, with and without a
+    mark, learned twice where the words were forgotten."""
+    rng = random.Random(12)
+    letters = [c for c in map(chr, range(0x41, 0x600)) if c.isalpha()]
+    words = ["".join(rng.choices(letters[:rng.choice([52, 190, len(letters)])], k=rng.randint(1, 9)))
+             + rng.choice(["", "", ".", "!", "\u0301", "-x"]) for _ in range(6000)]
+    speller = packing.Speller(Tokenizer.from_file(tokenizer()), limit=2000)
+    texts = [" ".join(words[i:i + 20]) for i in range(0, len(words), 20)]
+    for lo in range(0, len(texts), 50):
+        own = texts[lo:lo + 50]
+        for text, ids in zip(own, speller.ids([x.encode() for x in own]), strict=True):
+            assert [*ids.tolist(), 1] == _whole([text])[0]
+
+
 def test_tree_places_like_a_plain_first_fit():
     rng = random.Random(2)
     for _ in range(30):
