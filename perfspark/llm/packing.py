@@ -139,8 +139,14 @@ class Speller:
     CLOSING = frozenset(".,;:!?")
     #: Letters whose lower case depends on the library or on their neighbours.
     ODD = re.compile("[\u03a3\u0130]")
-
-    def __init__(self, tokenizer, limit: int = 150_000):
+    #: Letters below this one are their own composed form.
+    PLAIN = "\u0250"
+    #: The tokenizer's model reads bytes as characters: printable ones of Latin-1 stand for
+    #: themselves, the others for the characters from U+0100 on.
+    OTHERS = [*range(0x21), *range(0x7f, 0xa1), 0xad]
+    BYTES = {byte: 0x100 + i for i, byte in enumerate(OTHERS)}
+
+    def __init__(self, tokenizer, limit: int = 400_000):
         self.tokenizer, self.limit = tokenizer, limit
         self.forget()
 
@@ -152,10 +158,12 @@ class Speller:
 
     def _part_ids(self, parts: list[str]) -> None:
         """Learn parts that are new; plain letters need neither normalising nor splitting."""
-        rest, model = [], self.tokenizer.model
+        rest, spell = [], self.tokenizer.model.tokenize
         for part in parts:
-            if part.isascii() and part.isalpha():
-                self.parts[part] = array("I", [t.id for t in model.tokenize(part)]).tobytes()
+            if part.isalpha() and max(part) < self.PLAIN and not self.ODD.search(part):
+                raw = part if part.isascii() else part.encode().decode("latin-1").translate(
+                    self.BYTES)
+                self.parts[part] = array("I", [t.id for t in spell(raw)]).tobytes()
             else:
                 rest.append(part)
         for lo in range(0, len(rest), 1024):  # an encoding holds far more than its ids
