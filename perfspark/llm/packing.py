@@ -1,8 +1,8 @@
 """Packing documents into sequences by first-fit decreasing over a tournament tree.
 
 Documents are token ids with an end id. The tokenizer drops white space, so a text's ids are those
-of its words in order; each task keeps the ids of the words it has met, up to a bounded number,
-and so does not tokenise a word twice. Documents go to groups by a seeded
+of its words in order; each worker keeps the ids of the words it has met, up to a bounded number
+and size, from one task to the next, and so seldom tokenises a word twice. Documents go to groups by a seeded
 hash of id and text; a group is packed by itself: whole sequences are cut off first, the tails are
 placed in falling length, each in the first sequence with room, found by walking a tournament tree
 of free capacities. Gaps that stay are closed by cutting up the emptiest sequences, and what
@@ -134,11 +134,13 @@ class Speller:
 
     A word is letters, perhaps with one closing mark, or anything else. The tokenizer parts
     letters from punctuation and lowers case, so the two parts are looked up each by itself and
-    letters in lower case; every other word goes to it whole. Past ``limit`` words it forgets."""
+    letters in lower case; every other word goes to it whole. Past ``limit`` words, or ``HELD``
+    bytes of words, it forgets."""
 
     CLOSING = frozenset(".,;:!?")
     #: Letters whose lower case depends on the library or on their neighbours.
     ODD = re.compile("[\u03a3\u0130]")
+    HELD = 1 << 25
     #: Letters below this one are their own composed form.
     PLAIN = "\u0250"
     #: The tokenizer's model reads bytes as characters: printable ones of Latin-1 stand for
@@ -151,7 +153,7 @@ class Speller:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers = Numbers()
+        self.numbers, self.held = Numbers(), 0
         self.parts: dict[str, bytes] = {"": b""}
         self.sizes, self.starts = np.zeros(0, "int64"), np.zeros(0, "int64")
         self.flat = np.zeros(0, "<u4")
@@ -192,10 +194,11 @@ class Speller:
         starts = len(self.flat) + np.cumsum(sizes) - sizes
         self.sizes, self.starts = np.append(self.sizes, sizes), np.append(self.starts, starts)
         self.flat = np.append(self.flat, np.frombuffer(b"".join(spelled), "<u4"))
+        self.held += sum(map(len, self.numbers.fresh))
         self.numbers.fresh.clear()
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.numbers) > self.limit:
+        if len(self.numbers) > self.limit or self.held > self.HELD:
             self.forget()
         split = list(map(bytes.split, texts))
         lengths = np.fromiter(map(len, split), "int64", len(split))
@@ -211,6 +214,12 @@ class Speller:
         return np.split(self.flat[at], last[:-1])
 
 
+@lru_cache(maxsize=1)
+def _speller(path: str) -> Speller:
+    """One a worker; Spark keeps workers for later tasks."""
+    return Speller(_tokenizer(path))
+
+
 class Numbers(dict):
     """Numbers words in the order of their first use and lists those that are new."""
 
@@ -237,7 +246,7 @@ def _wide(data: bytes) -> np.ndarray:
 def tokens_of(docs: DataFrame, tokenizer: str, end_id: int, mark: Column) -> DataFrame:
     """``(doc_id, mark, ids)`` of each row; ``mark`` is any long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = Speller(_tokenizer(tokenizer))
+        speller = _speller(tokenizer)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
