@@ -9,8 +9,9 @@ documents left per length. Which documents of a length are taken follows a seede
 
 Only lengths and hashes are shuffled for this; a source or length with a third of all rows is cut
 by hash before it is ranked. Decisions are one row per source and length. Null texts have no
-words; documents without words are taken 0 words. Rows that agree in id and text share one
-decision. An empty table gives an empty result.
+words; documents without words are taken 0 words. Rows that agree in id and text share a hash;
+where the last documents taken of a length are some of such rows, equal rows are counted and as many
+copies are taken as are due. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -145,15 +146,31 @@ def mix(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = WEIGHTS, shar
              .where("extra > before")
              .withColumn("here", F.least(F.col("extra") - F.col("before"), F.col("n"))))
     edge = parts.where("here < n").select(*key, "salt", "here")
-    rank = F.row_number().over(W.partitionBy(*key, "salt").orderBy("h"))
-    last = (salted.join(edge, [*key, "salt"]).withColumn("_r", rank).where("_r = here")
-            .select(*key, F.col("salt").alias("edge_salt"), F.col("h").alias("edge_h")))
+    upto = F.sum("n").over(W.partitionBy(*key, "salt").orderBy("h"))
+    last = (salted.join(edge, [*key, "salt"]).groupBy(*key, "salt", "here", "h")
+            .agg(F.count(F.lit(1)).alias("n")).withColumn("due", F.col("here") - upto + F.col("n"))
+            .where("due between 1 and n")
+            .select(*key, F.col("salt").alias("edge_salt"), F.col("h").alias("edge_h"), "due",
+                    (F.col("due") < F.col("n")).alias("some")))
     full = parts.where("here = n").groupBy(*key).agg(F.max("salt").alias("full_salt"))
-    chosen = fitted.join(full, key, "left").join(last, key, "left")
+    chosen = cut(fitted.join(full, key, "left").join(last, key, "left"))
     salt = F.pmod(F.shiftright("h", 32), F.lit(salts))
+    at_edge = F.coalesce((salt == F.col("edge_salt")) & (F.col("h") == F.col("edge_h"))
+                         & F.col("some"), F.lit(False))
     more = (F.coalesce(salt <= F.col("full_salt"), F.lit(False))
             | F.coalesce((salt == F.col("edge_salt")) & (F.col("h") <= F.col("edge_h")),
                          F.lit(False)))
-    return keyed.join(chosen, key).select(
-        "row", "size", "source_size", "target",
-        (F.col("rounds") + more.cast("long")).alias("repeats"))
+    met = keyed.join(chosen, key)
+    out = ["row", "size", "source_size", "target"]
+    if chosen.where("some").isEmpty():
+        return met.select(*out, (F.col("rounds") + more.cast("long")).alias("repeats"))
+    # Equal rows of which some are due: a row each of them with its count, numbered, then copied.
+    taken = F.sum("n").over(W.partitionBy(*key).orderBy(F.xxhash64("row"))
+                            .rowsBetween(W.unboundedPreceding, -1))
+    ties = (met.where(at_edge).groupBy("row", *key, "source_size", "target", "rounds", "due")
+            .agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(taken, F.lit(0)))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))))
+    due = (F.col("before") + F.col("copy") <= F.col("due")).cast("long")
+    return (met.where(~at_edge).select(*out, (F.col("rounds") + more.cast("long"))
+                                       .alias("repeats"))
+            .unionByName(ties.select(*out, (F.col("rounds") + due).alias("repeats"))))

@@ -68,6 +68,23 @@ def test_hot_length_is_cut_exactly(spark):
     assert abs(got - next(r.target for r in out if r.row.source == "a")) <= 3
 
 
+def test_equal_rows_meet_the_target(spark):
+    """Most rows of a source are one row, with an id or without; others differ in a column only."""
+    texts = ["same words here"] * 300 + ["x"] * 10 + ["other words"] * 100
+    sources = ["a"] * 300 + ["b"] * 10 + [None] * 100
+    frame = docs(spark, texts, sources, ids=[None] * 200 + [5] * 100 + [*range(10)] + [7] * 100)
+    out = mixing.mix(frame).collect()
+    assert len(out) == len(texts) and {r.repeats for r in out} <= {0, 1, 2}
+    taken, targets = defaultdict(int), {}
+    for r in out:
+        taken[r.row.source] += r.repeats * r.size
+        targets[r.row.source] = r.target
+    assert all(abs(taken[s] - targets[s]) <= 3 for s in targets)
+    again = mixing.mix(frame.repartition(7))
+    assert rows(again.select("row.doc_id", "size", "repeats"), "doc_id", "size", "repeats") == sorted(
+        ((r.row.doc_id, r.size, r.repeats) for r in out), key=repr)
+
+
 def test_knapsack_reaches_what_brute_force_reaches():
     rng = np.random.default_rng(1)
     for _ in range(40):
