@@ -20,9 +20,10 @@ Only hashes travel; the words of lines are read again for those lines alone that
 (a bitmap of fixed size keeps the others out, and the exact join decides). A line that very many
 documents share is one row after pre-aggregation; a band value with very many distinct lines is
 cut into chunks. Null and empty texts have no units. Texts of any length are read whole. Rows with
-an equal id count as one document, and rows without an id are not read: a passage that repeats only
-inside one document, or only with such rows, has no row. Columns other than ``doc_id`` and ``text``
-are not read.
+an equal id count as one document, and so do all rows without an id, which comes last; each of their
+texts has its own positions, and ``text_hash`` (``xxhash64`` of the text) tells which it is. Rows
+equal in id and text are reported once. A passage that repeats only inside one document has no row.
+Columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -145,7 +146,9 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-UNITS = ("d long, kind int, start int, length int, at_word int, n_words int, unit long, "
+#: Stands for a missing id, so that it is a document of its own and the last one.
+NO_ID = (1 << 63) - 1
+UNITS = ("d long, r long, kind int, start int, length int, at_word int, n_words int, unit long, "
          "bands array<long>")
 UNIT_COLUMNS = [c.split()[0] for c in UNITS.split(", ")]
 
@@ -155,7 +158,7 @@ def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, batch.num_rows, 500):
             part = batch.slice(lo, 500)
             known = _Hashes()
-            doc, kind, start, length, at, n, unit, sets = [], [], [], [], [], [], [], []
+            doc, row, kind, start, length, at, n, unit, sets = [], [], [], [], [], [], [], [], []
             for d, text in zip(part.column("d").to_pylist(), part.column("text").to_pylist()):
                 for k, s, size, before, words in _units(text or ""):
                     doc.append(d)
@@ -175,9 +178,11 @@ def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at += grams[2]
                 n += [GRAM] * len(grams[0])
                 unit += grams[3]
+                own = _signed(xxhash.xxh64_intdigest((text or "").encode(), seed=42))
+                row += [own] * (len(doc) - len(row))
             bands = iter(band_hashes(sets).view("int64").tolist() if sets else [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(kind, pa.int32()),
+                [pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(kind, pa.int32()),
                  pa.array(start, pa.int32()), pa.array(length, pa.int32()),
                  pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(unit, pa.int64()),
                  pa.array([None if k else next(bands) for k in kind], pa.list_(pa.int64()))],
@@ -266,17 +271,16 @@ def line_clusters(docs: DataFrame, units: DataFrame, similarity: float = 0.8,
 
 def repeated_passages(docs: DataFrame, similarity: float = 0.8, min_words: int = 30
                       ) -> DataFrame:
-    """``(doc_id, start, length, n_words, run_words, cluster_id, first_doc_id, kept)`` of every
-    occurrence.
+    """``(doc_id, start, length, n_words, run_words, cluster_id, first_doc_id, kept, text_hash)`` of
+    every occurrence.
 
     ``start`` and ``length`` count code points of the text; ``first_doc_id`` is the document whose
     occurrence is ``kept``. Documents without repeated passages have no row."""
-    rows = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("d"), "text")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), "text")
     units = cut(rows.mapInArrow(_read_units, UNITS))
     near = line_clusters(docs, units, similarity)
     by_unit = units.groupBy("unit").agg(
-        F.min(F.struct("d", "start")).alias("first"), F.max("d").alias("last"))
+        F.min(F.struct("d", "r", "start")).alias("first"), F.max("d").alias("last"))
     clustered = by_unit.join(near, F.col("unit") == F.col("node"), "left").withColumn(
         "cluster_id", F.coalesce("root", "unit"))
     wide = (clustered.where("root is not null").groupBy("cluster_id").agg(
@@ -287,30 +291,32 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, min_words: int =
                     "unit", "cluster_id", "first", "last"))
                 .where(F.col("first.d") != F.col("last")))
     hits = units.drop("bands").join(repeated, "unit").withColumn(
-        "kept", (F.col("d") == F.col("first.d")) & (F.col("start") == F.col("first.start")))
+        "kept", F.struct("d", "r", "start") == F.col("first"))
     return _spans(hits, min_words)
 
 
 def _spans(hits: DataFrame, min_words: int) -> DataFrame:
-    """Repeated units of a document as runs, cut into spans by whether they are kept.
+    """Repeated units of a text as runs, cut into spans by whether they are kept.
 
     The windows hold a document's own repeated units."""
     end, last_word = F.col("start") + F.col("length"), F.col("at_word") + F.col("n_words")
-    order = W.partitionBy("d").orderBy("start", "kind", "length")
+    order = W.partitionBy("d", "r").orderBy("start", "kind", "length")
     before, upto = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(
         W.unboundedPreceding, 0)
     far = F.coalesce(F.col("start") > F.max(end).over(before) + GAP, F.lit(True))
     turned = F.coalesce(F.col("kept") != F.lag("kept").over(order), F.lit(True))
     rows = hits.withColumns({"_far": far.cast("int"), "_cut": (far | turned).cast("int")})
     rows = rows.withColumns({"_run": F.sum("_far").over(upto), "_span": F.sum("_cut").over(upto)})
-    run = W.partitionBy("d", "_run")
+    run = W.partitionBy("d", "r", "_run")
     rows = rows.withColumn("run_words", F.max(last_word).over(run) - F.min("at_word").over(run))
-    spans = rows.where(F.col("run_words") >= min_words).groupBy("d", "_span").agg(
+    spans = rows.where(F.col("run_words") >= min_words).groupBy("d", "r", "_span").agg(
         F.min("start").alias("start"), F.max(end).alias("_end"),
         (F.max(last_word) - F.min("at_word")).alias("n_words"), F.max("run_words").alias("run_words"),
         F.min_by("cluster_id", F.struct("start", "kind")).alias("cluster_id"),
         F.min_by("first.d", F.struct("start", "kind")).alias("first_doc_id"),
         F.min("kept").alias("kept"))
+    none = F.lit(NO_ID)
     return spans.select(
-        F.col("d").alias("doc_id"), "start", (F.col("_end") - F.col("start")).alias("length"),
-        "n_words", "run_words", "cluster_id", "first_doc_id", "kept")
+        F.nullif("d", none).alias("doc_id"), "start",
+        (F.col("_end") - F.col("start")).alias("length"), "n_words", "run_words", "cluster_id",
+        F.nullif("first_doc_id", none).alias("first_doc_id"), "kept", F.col("r").alias("text_hash"))

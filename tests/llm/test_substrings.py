@@ -119,6 +119,30 @@ def test_edges(spark):
     assert substrings.repeated_passages(docs(spark, [])).count() == 0
 
 
+def test_texts_without_an_id_are_one_document(spark):
+    """A passage shared by a text without an id and document 3 is kept in the latter; one shared by
+    two texts without an id repeats inside one document. Texts of one id keep their positions."""
+    a, b, c = (prose(60, 70 + i, 50_000) for i in range(3))
+    pad = [prose(90, 80 + i, 50_000) for i in range(5)]
+    texts = [f"{pad[0]}\n{b}\n{a}", f"{a}\n{pad[1]}", f"{pad[2]}\n{b}", f"{pad[3]}\n{c}",
+             f"{c}\n{pad[4]}", f"{c}\n{pad[4]}", pad[0]]
+    ids = [None, 3, None, 5, 6, 6, 6]
+    out = substrings.repeated_passages(docs(spark, texts, ids=ids)).collect()
+    by_hash = {r.h: r.text for r in docs(spark, texts).selectExpr("xxhash64(text) as h", "text")
+               .collect()}
+    found = {}
+    for r in out:
+        found.setdefault((r.doc_id, r.text_hash), []).append(r)
+    spans = {(d, by_hash[h]): [(r.kept, r.first_doc_id) for r in sorted(v, key=lambda r: r.start)]
+             for (d, h), v in found.items()}
+    assert spans == {(None, texts[0]): [(False, 6), (False, 3)], (3, texts[1]): [(True, 3)],
+                     (5, texts[3]): [(True, 5)], (6, texts[4]): [(False, 5)],
+                     (6, texts[6]): [(True, 6)]}
+    for r in out:
+        shared = by_hash[r.text_hash][r.start:r.start + r.length]
+        assert sum(w in shared.split() for w in f"{a} {c} {pad[0]}".split()) >= 30
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(8)
     links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 180)]
