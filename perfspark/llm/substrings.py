@@ -16,8 +16,9 @@ runs of at least ``min_words`` words are reported, cut where kept text and remov
 cluster the first occurrence (least document, then position) is kept and the others are removals,
 so one copy of every passage survives.
 
-Only hashes travel; the words of lines are read again for those lines alone that met in a band
-(a bitmap of fixed size keeps the others out, and the exact join decides). A line that very many
+Only hashes travel, and where units lie only for those that repeat; the words of lines are read
+again for those lines alone that met in a band (each time a bitmap of fixed size keeps the others
+out, and the exact join decides). A line that very many
 documents share is one row after pre-aggregation; a band value with very many distinct lines is
 cut into chunks. Null and empty texts have no units. Texts of any length are read whole. Rows with
 an equal id count as one document, and so do all rows without an id, which comes last; each of their
@@ -32,6 +33,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -201,6 +203,18 @@ def _bitmap(units: DataFrame) -> np.ndarray:
     return out.view("uint64")
 
 
+def _marked(units: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """The units whose bit is set."""
+    wanted = units.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def marked(unit: pd.Series) -> pd.Series:
+        bit = unit.to_numpy() % BITMAP
+        return pd.Series(wanted.value[bit >> 6] >> (bit & 63).astype("uint64") & np.uint64(1) == 1)
+
+    return units.where(marked("unit"))
+
+
 def _lines_of(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     """``(unit, body)`` of the lines whose bit is set; a body is its words joined by spaces."""
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap)
@@ -278,7 +292,12 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, min_words: int =
     occurrence is ``kept``. Documents without repeated passages have no row."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), "text")
     units = cut(rows.mapInArrow(_read_units, UNITS))
-    near = line_clusters(docs, units, similarity)
+    near = cut(line_clusters(docs, units, similarity))
+    # Hashes alone travel until it is known which units repeat.
+    twice = units.groupBy("unit").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+    again = cut(twice.where("low < high").select("unit")
+                .unionAll(near.select(F.col("node").alias("unit"))).distinct())
+    units = cut(_marked(units.drop("bands"), _bitmap(again)).join(again, "unit", "left_semi"))
     by_unit = units.groupBy("unit").agg(
         F.min(F.struct("d", "r", "start")).alias("first"), F.max("d").alias("last"))
     clustered = by_unit.join(near, F.col("unit") == F.col("node"), "left").withColumn(
@@ -290,7 +309,7 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, min_words: int =
                 .unionByName(clustered.where("root is null").select(
                     "unit", "cluster_id", "first", "last"))
                 .where(F.col("first.d") != F.col("last")))
-    hits = units.drop("bands").join(repeated, "unit").withColumn(
+    hits = units.join(repeated, "unit").withColumn(
         "kept", F.struct("d", "r", "start") == F.col("first"))
     return _spans(hits, min_words)
 
