@@ -11,7 +11,7 @@ from operator import add
 
 from pyspark.sql import Column, functions as F
 
-from .numbers import once, round_py, to_num
+from .numbers import finite, once, round_py, to_num
 
 # Skinfold sites of the sum of eight and the sum of four.
 SKINFOLDS_8 = ["sf_triceps", "sf_subscapular", "sf_biceps", "sf_iliacCrest",
@@ -41,14 +41,20 @@ def typed_sites(measurements: Column, sites: list[str], cell: str) -> Column:
     return F.from_json(measurements, ", ".join(f"{s} {cell}" for s in sites))
 
 
-TRIALS = "struct<m1: string, m2: string, m3: string>"
+#: Trials of a site: as numbers, and as text for records that hold quoted values.
+NUMBERS = "struct<m1: double, m2: double, m3: double>"
+TEXTS = "struct<m1: string, m2: string, m3: string>"
 
+#: A quoted value somewhere in the JSON: a trial may be a number written as text.
+QUOTED = r""":\s*["']"""
 
-def cell_result(trials: Column, plain: Column) -> Column:
-    """Final result of a site that holds either trials or a plain number."""
-    numbers = F.transform(F.array(trials["m1"], trials["m2"], trials["m3"]), lambda m: to_num(m))
+
+def cell_result(numbers: Column, texts: Column, plain: Column) -> Column:
+    """Final result of a site that holds either trials (``numbers``, and ``texts`` where a record
+    has quoted values) or a plain number."""
+    trials = [F.coalesce(finite(numbers[m]), to_num(texts[m])) for m in ("m1", "m2", "m3")]
     # A plain number is its own only trial.
-    cells = F.when(trials.isNotNull(), numbers).otherwise(F.array(to_num(plain)))
+    cells = F.when(numbers.isNotNull(), F.array(*trials)).otherwise(F.array(to_num(plain)))
     return once(cells, lambda v: trial_result(v[0], F.get(v, F.lit(1)), F.get(v, F.lit(2))))
 
 
@@ -121,4 +127,6 @@ def somatotype_text(s: Column) -> Column:
         shown = round_py(c, 1)
         return F.coalesce(shown.try_cast("decimal(38,1)").cast("string"), shown.cast("string"))
 
-    return F.when(s.isNotNull(), F.concat_ws("-", one(s["endo"]), one(s["meso"]), one(s["ecto"])))
+    # One rounding rule over an array: written out three times it is too long to be compiled.
+    parts = F.transform(F.array(s["endo"], s["meso"], s["ecto"]), one)
+    return F.when(s.isNotNull(), F.array_join(parts, "-"))

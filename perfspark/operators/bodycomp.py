@@ -38,15 +38,18 @@ def body_composition(df: DataFrame, sites: dict[str, Column], age: Column) -> Da
 
 def anthro_sessions(records: DataFrame, *, dob: str = "date_of_birth",
                     date: str = "date_of_measure") -> DataFrame:
-    """One derived row per measurement session; measurement JSON is parsed
-    twice, as trials and as plain numbers."""
+    """One derived row per measurement session; measurement JSON is parsed twice, as trials and as
+    plain numbers, and a third time where it holds quoted values."""
     wanted = list(dict.fromkeys([*body.SOMATOTYPE_SITES, *body.SKINFOLDS_8,
                                  "sittingHeight", "armSpan"]))
     text = F.col("measurements")
-    rows = records.withColumns({"_trials": body.typed_sites(text, wanted, body.TRIALS),
+    texts = F.when(text.rlike(body.QUOTED), body.typed_sites(text, wanted, body.TEXTS))
+    rows = records.withColumns({"_numbers": body.typed_sites(text, wanted, body.NUMBERS),
+                                "_texts": texts,
                                 "_plain": body.typed_sites(text, wanted, "string"),
                                 "date": day_of(records, date)})
-    sites = {s: body.cell_result(F.col("_trials")[s], F.col("_plain")[s]) for s in wanted}
+    sites = {s: body.cell_result(F.col("_numbers")[s], F.col("_texts")[s], F.col("_plain")[s])
+             for s in wanted}
     age = age_at(day_of(records, dob), F.col("date"))
     out = body_composition(rows, sites, age)
     maturation = F.lit(None).cast("string")
@@ -62,8 +65,10 @@ def anthro_sessions(records: DataFrame, *, dob: str = "date_of_birth",
 
 def growth_series(sessions: DataFrame, *, key: str = "player_id") -> DataFrame:
     """Stature, mass and BMI of every session that has either of the first two, in long form."""
-    return sessions.where(F.col("stature").isNotNull() | F.col("body_mass").isNotNull()).select(
-        key, "date", "stature", "body_mass", "bmi")
+    # Rows of an array: a filter on plain columns would be moved below the parsing and repeat it.
+    rows = F.inline(F.array(F.struct("date", "stature", "body_mass", "bmi")))
+    return sessions.select(key, rows).where(
+        F.col("stature").isNotNull() | F.col("body_mass").isNotNull())
 
 
 def anthro_summary(sessions: DataFrame, *, key: str = "player_id",

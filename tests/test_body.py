@@ -60,6 +60,25 @@ def test_somatotype(spark):
     assert one(spark, {k: v for k, v in sites.items() if k != "g_calf"}).somatotype is None
 
 
+def test_trials_as_text_and_numbers(spark):
+    sites = {"bodyMass": {"m1": "70", "m2": 71.0, "m3": " 72 "}, "stature": "180.5",
+             "sittingHeight": {"m1": 90, "m2": "x"}, "armSpan": {"m1": True, "m2": 3}}
+    got = one(spark, sites)
+    assert (got.body_mass, got.stature, got.sitting_height, got.arm_span) == (71.0, 180.5, 90.0, None)
+    wild = one(spark, '{"bodyMass": {"m1": NaN, "m2": 1e999}, "stature": {"m1": \'170\'}}')
+    assert (wild.body_mass, wild.stature) == (None, 170.0)
+
+
+def test_growth_parses_below_no_filter(spark):
+    """Measurements are parsed once for all that is asked of them, not again by a pushed filter."""
+    rows = record(spark, (1, "2008-01-01", "2024-09-17", {"bodyMass": 50, "stature": 167.5}, None))
+    growth = bodycomp.growth_series(bodycomp.anthro_sessions(rows))
+    plan = growth._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x.split("(")[0] and "from_json" in x]
+    assert not [x for x in plan.splitlines() if " Filter " in f" {x.lstrip(':+- ')}" and "from_json" in x]
+    assert growth.count() == 1
+
+
 def test_ages(spark):
     df = spark.createDataFrame([("2000-06-02", "2018-06-01"), ("2000-06-01", "2018-06-01"),
                                 ("2018-01-01", "2000-01-01"), ("x", "2000-01-01")], "a string, b string")
