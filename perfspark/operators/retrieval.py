@@ -64,7 +64,7 @@ BANDS = 2
 SHOWN = 1000
 
 
-#: Up to so many pairs of queries and documents, or of vectors, are scored without planning.
+#: Up to so many pairs of queries and documents are scored without planning.
 FEW_PAIRS = 1 << 25
 
 
@@ -203,6 +203,42 @@ def _six_decimals(x: np.ndarray) -> np.ndarray:
     return np.sign(x) * np.floor((nine + 500.0) / 1000.0) / 1e6 + 0.0
 
 
+#: Up to so many times ``FEW_PAIRS`` (2**40) vectors meet block by block, as products of matrices;
+#: without clusters among them planning visits every block anyway and moves the queries to each.
+DENSE_TIMES = 1 << 15
+#: Most rows of a side's block, and blocks that a smaller side is cut into.
+DENSE_ROWS, DENSE_BLOCKS = 1 << 15, 12
+#: Cells of one product of matrices.
+CELLS = 1 << 21
+#: Scores differ by less than this from what they are rounded to.
+ROUNDED = 2e-6
+
+
+def _nearest(qs: np.ndarray, vs: np.ndarray, ids: np.ndarray, k: int
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(query, vector, score)`` of the ``k`` nearest of a block's unit vectors; ties go to the
+    smaller id."""
+    take = min(k, len(vs))
+    groups = max(take, min(256, len(vs)))
+    edges = np.arange(groups) * len(vs) // groups
+    li, ri, sc = [], [], []
+    rows = max(1, CELLS // len(vs))
+    for lo in range(0, len(qs), rows):
+        raw = qs[lo:lo + rows] @ vs.T
+        # Of the best of each group, the k-th is a score that the k nearest reach.
+        tops = np.maximum.reduceat(raw, edges, axis=1)
+        reached = np.partition(tops, groups - take, axis=1)[:, groups - take]
+        i, j = np.nonzero(raw >= reached[:, None] - ROUNDED)
+        score = _six_decimals(raw[i, j])
+        order = np.lexsort((ids[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        near = np.arange(len(i)) - np.searchsorted(i, i) < take
+        li.append(i[near] + lo)
+        ri.append(j[near])
+        sc.append(score[near])
+    return np.concatenate(li), np.concatenate(ri), np.concatenate(sc)
+
+
 def _near_pivots(vectors: DataFrame, doc: str, pivots: int) -> DataFrame:
     """Adds the nearest of at most ``pivots`` sampled vectors and the angle to it; the sample is
     by least hash of the id and small enough to travel with the plan."""
@@ -268,24 +304,14 @@ def vector_search(queries: DataFrame, vectors: DataFrame, *, k: int = 5,
     right = vectors.select(doc, F.col(vector).alias("_v")).where(F.col("_v").isNotNull())
 
     def scorer(q: pd.DataFrame, v: pd.DataFrame, least: np.ndarray | None = None):
-        qs, vs = _unit(q["_q"]), _unit(v["_v"])
-        ids = v[doc].to_numpy()
-        take = min(k, len(v))
-        li, ri, sc = [], [], []
-        for i, row in enumerate(qs):
-            scores = _six_decimals(vs @ row)
-            cutoff = np.partition(scores, len(scores) - take)[len(scores) - take]
-            near = np.flatnonzero(scores >= cutoff)
-            near = near[np.lexsort((ids[near], -scores[near]))][:take]
-            li.append(np.full(len(near), i))
-            ri.append(near)
-            sc.append(scores[near])
-        return np.concatenate(li), np.concatenate(ri), np.concatenate(sc)
+        return _nearest(_unit(q["_q"]), _unit(v["_v"]), v[doc].to_numpy(), k)
 
     rows = left.count(), right.count()
     ids = {"left_id": query, "right_id": doc, "k": k, "rows": rows}
-    if rows[0] * rows[1] <= FEW_PAIRS:
-        return block_best(left, right, **ids, scorer=scorer), None
+    if rows[0] * rows[1] <= FEW_PAIRS * DENSE_TIMES:
+        sizes = tuple(min(DENSE_ROWS, max(least, n // DENSE_BLOCKS))
+                      for n, least in zip(rows, (1024, 8192), strict=True))
+        return block_best(left, right, **ids, scorer=scorer, block_rows=sizes), None
     return bounded_best(
         left, _near_pivots(right, doc, pivots), **ids, floor=-2.0, block_rows=block_rows,
         order=[F.col("_pivot"), F.col("_angle"), F.col(doc)],

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from perfspark.operators import leakscan, retrieval
@@ -74,6 +75,25 @@ def test_bm25_from_a_stored_index_and_source(spark):
     assert {r.source for r in ranked.collect()} == {"s1"}
 
 
+def test_vectors_meet_as_products_of_matrices(spark, monkeypatch):
+    """Searches above ``FEW_PAIRS`` need no plan; rows come in slices, groups and ties count."""
+    monkeypatch.setattr(retrieval, "FEW_PAIRS", 1)
+    monkeypatch.setattr(retrieval, "CELLS", 700)
+    rng = np.random.default_rng(3)
+    base = np.round(rng.normal(size=(40, 4)), 1)
+    vectors = np.concatenate([base, base, np.zeros((5, 4)), rng.normal(size=(35, 4))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)],
+                               "vec_id long, embedding array<double>")
+    found, visits = retrieval.vector_search(df.withColumnRenamed("vec_id", "query_id"), df, k=4)
+    assert visits is None
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()}
+    units = retrieval._unit(pd.Series(list(vectors)))
+    for i, row in enumerate(units):
+        scores = retrieval._six_decimals(units @ row)
+        want = sorted(range(len(scores)), key=lambda j: (-scores[j], j))[:4]
+        assert [got[i, r + 1] for r in range(4)] == [(j, scores[j]) for j in want]
+
+
 def test_vectors_against_brute_force(spark, monkeypatch):
     from perfspark.plans import blocks
     monkeypatch.setattr(blocks, "_blocks", lambda rows, size: max(1, rows // 13))
