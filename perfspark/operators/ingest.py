@@ -157,11 +157,14 @@ def ingest_lane(df: DataFrame, *, name_column: str, date_column: str, natural_ke
     return Ingested(rows.select(*head, *data), types, report, future)
 
 
+STAMPS = ("created_at", "updated_at")
+
+
 def load(made: Ingested, target: KeyedTable, at: Column) -> DataFrame:
     """Upsert ingested rows into ``target``, stamped; returns the rejected rows.
 
     A new row is created and updated ``at``; a known one keeps its creation time and is updated
-    only if a value differs, so that loading the same data again changes nothing."""
+    only if a value differs, so that loading the same data again changes and writes nothing."""
     try:
         there = target.read()
     except LookupError:
@@ -179,5 +182,10 @@ def load(made: Ingested, target: KeyedTable, at: Column) -> DataFrame:
         same = F.struct(*columns).eqNullSafe(F.col("_was"))
         stamped = made.rows.join(known, "row_uid", "left").select(
             *columns, F.coalesce("_created", at).alias("created_at"),
-            F.when(same, F.col("_updated")).otherwise(at).alias("updated_at"))
+            F.when(same, F.col("_updated")).otherwise(at).alias("updated_at"),
+            (same & F.col("_created").isNotNull()).alias("_stands"))
+        stored = {f.name: f.dataType for f in there.schema if f.name not in STAMPS}
+        if stored == {f.name: f.dataType for f in made.rows.schema}:
+            return target.upsert(stamped, stands="_stands")
+        stamped = stamped.drop("_stands")
     return target.upsert(stamped)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.ids import META_COLUMNS
+from ..session import cut
 from .versions import _exists, claim
 
 # Identity columns every ingest target starts with, and whether they may be NULL.
@@ -54,7 +55,8 @@ def split_keys(batch: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]
     for k in keys:
         whole = whole & F.col(k).isNotNull()
     counts = batch.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = counts.where(F.col("_n") > 1).select(*keys)
+    # Written, so that Spark knows how few they are and does not move the batch to meet them.
+    repeated = cut(counts.where(F.col("_n") > 1).select(*keys))
     good = batch.where(whole).join(repeated, keys, "left_anti")
     bad = (batch.where(~whole).withColumn("reject_reason", F.lit("null key"))
            .unionByName(batch.where(whole).join(repeated, keys, "left_semi")
@@ -131,9 +133,14 @@ class KeyedTable:
 
     # -- upsert
 
-    def upsert(self, batch: DataFrame) -> DataFrame:
-        """Insert new keys and overwrite known ones. Returns the rejected rows."""
+    def upsert(self, batch: DataFrame, stands: str | None = None) -> DataFrame:
+        """Insert new keys and overwrite known ones. Returns the rejected rows.
+
+        ``stands`` names a column of the batch that is true for rows which the table holds as they
+        are: their keys are checked like all others, but they are not written again."""
         good, bad = split_keys(batch, self.keys)
+        if stands is not None:
+            good, bad = good.where(~F.col(stands)).drop(stands), bad.drop(stands)
         self._write(good)
         return bad
 

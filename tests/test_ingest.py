@@ -55,6 +55,26 @@ def test_lane_end_to_end_and_idempotent(spark, tmp_path):
 KV = "k int, v string"
 
 
+def test_unchanged_rows_are_checked_but_not_written_again(spark, tmp_path):
+    target = keyed.KeyedTable(spark, str(tmp_path / "t"), ["row_uid"])
+
+    def load(day, *rows):
+        frame = spark.createDataFrame(rows, "row_uid string, v double")
+        made = ingest.Ingested(frame, {}, None, None)
+        return ingest.load(made, target, F.lit(day).cast("date")).collect()
+
+    assert load("2024-01-01", ("a", 1.0), ("b", None), ("c", 3.0)) == []
+    assert load("2024-02-01", ("a", 1.0), ("b", None), ("c", 3.0)) == []
+    rejected = load("2024-03-01", ("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", 3.0), ("d", None))
+    assert sorted((r.row_uid, r.v, r.reject_reason) for r in rejected) == [
+        ("a", 1.0, "duplicate key in batch"), ("a", 2.0, "duplicate key in batch")]
+    sizes = [target._stacked([n]).count() for n in target._live()]
+    assert sizes == [3, 0, 2]
+    got = {r.row_uid: (r.v, str(r.created_at), str(r.updated_at)) for r in target.read().collect()}
+    assert got == {"a": (1.0, "2024-01-01", "2024-01-01"), "b": (5.0, "2024-01-01", "2024-03-01"),
+                   "c": (3.0, "2024-01-01", "2024-01-01"), "d": (None, "2024-03-01", "2024-03-01")}
+
+
 def test_upsert_rejects_and_compacts(spark, tmp_path):
     target = keyed.KeyedTable(spark, str(tmp_path / "kv"), ["k"])
     target.upsert(spark.createDataFrame([(1, "a"), (2, "b")], KV))
