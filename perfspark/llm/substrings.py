@@ -39,7 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import cut
-from .common import chunk_pairs, components, forest, sorted_groups, whole_groups
+from .common import (chunk_pairs, components, drop_table, forest, sorted_groups,
+                     whole_groups)
 
 SHINGLE = 5
 #: Words of a gram, and of how many grams in a row the least is a unit.
@@ -75,13 +76,11 @@ def shingle_hashes(words: list[bytes], known: dict) -> np.ndarray:
     return out
 
 
-def band_hashes(shingles: list[np.ndarray]) -> np.ndarray:
-    """``BANDS`` values per set of shingles."""
-    flat = np.concatenate(shingles)
-    starts = np.cumsum([0, *[len(s) for s in shingles[:-1]]])
-    out = np.zeros((len(shingles), BANDS), "uint64")
+def band_hashes(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``BANDS`` values per set of shingles; the sets lie one behind the other in ``flat``."""
+    out = np.zeros((len(starts), BANDS), "uint64")
     for b in range(BANDS):
-        value = np.full(len(shingles), b + 1, "uint64")
+        value = np.full(len(starts), b + 1, "uint64")
         for r in range(ROWS):
             i = b * ROWS + r
             mixed = flat * _MUL[i] + _ADD[i]
@@ -114,34 +113,68 @@ def _units(text: str) -> Iterator[tuple[int, int, int, int, list[bytes]]]:
         before += len(words)
 
 
-def _grams(text: str, known: dict) -> tuple[np.ndarray, ...]:
-    """``(start, length, words before, hash)`` of the chosen grams of the text's words.
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``starts[i], starts[i] + 1 ...``, ``counts[i]`` of them, for every ``i``."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+
+
+def _shingles(h: np.ndarray, starts: np.ndarray, counts: np.ndarray
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of lines of at least ``SHINGLE`` words that lie in the word hashes ``h``, and
+    where those of each line begin."""
+    counts = counts - SHINGLE + 1
+    at = _spread(starts, counts)
+    out = np.zeros(len(at), "uint64")
+    for k in range(SHINGLE):
+        out = (out ^ h[at + k]) * _MIX[k]
+        out ^= out >> np.uint64(29)
+    return out, np.cumsum(counts) - counts
+
+
+def _least(gram: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of any ``width`` in a row stands, the last one of equals."""
+    least, at = gram[:len(gram) - width + 1].copy(), np.arange(len(gram) - width + 1)
+    for k in range(1, width):
+        own = gram[k:k + len(least)]
+        lower = own <= least
+        np.copyto(least, own, where=lower)
+        at[lower] = np.flatnonzero(lower) + k
+    return at
+
+
+def _grams(texts: list[str], h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(text, start, length, words before, hash)`` of the chosen grams of each text's words;
+    ``h`` are the hashes of all words, ``sizes`` their number by text.
 
     Of any ``WINDOW`` grams in a row the one of least hash is chosen, so two texts with the same
     words choose the same, but for ``WINDOW - 1`` words at either end."""
-    words = text.lower().encode().split()
-    n = len(words) - GRAM + 1
-    if n < 1:
-        return (np.zeros(0, "int64"),) * 4
-    h = np.fromiter(map(known.__getitem__, words), "uint64", len(words))
-    gram = np.zeros(n, "uint64")
+    first_word = np.cumsum(sizes) - sizes
+    many = np.maximum(sizes - GRAM + 1, 0)
+    if not many.any():
+        return (np.zeros(0, "int64"),) * 5
+    # Grams and windows that reach into the next text are made, and left out below.
+    gram = np.zeros(len(h) - GRAM + 1, "uint64")
     for k in range(GRAM):
-        gram = (gram ^ h[k:k + n]) * _GRAM[k]
+        gram = (gram ^ h[k:k + len(gram)]) * _GRAM[k]
         gram ^= gram >> np.uint64(29)
-    width = min(WINDOW, n)
-    least, at = gram[:n - width + 1].copy(), np.arange(n - width + 1)
-    for k in range(1, width):
-        own = gram[k:k + len(least)]
-        lower = own <= least
-        least[lower] = own[lower]
-        at[lower] = np.nonzero(lower)[0] + k
-    at = np.unique(at)
-    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    inside = np.zeros(len(codes) + 2, "int8")
-    inside[1:-1] = (codes != 32) & ((codes < 9) | (codes > 13))
-    edge = np.diff(inside)
-    first, last = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
-    return first[at], last[at + GRAM - 1] - first[at], at, gram[at].view("int64")
+    chosen = []
+    full = many >= WINDOW
+    if full.any():
+        at = _least(gram, WINDOW)
+        chosen.append(at[_spread(first_word[full], many[full] - WINDOW + 1)])
+    for i in np.flatnonzero((many > 0) & ~full):
+        chosen.append(first_word[i] + _least(gram[first_word[i]:first_word[i] + many[i]], many[i]))
+    at = np.unique(np.concatenate(chosen))
+    codes = np.frombuffer("\n".join(texts).encode("utf-32-le"), "<u4")
+    inside = np.zeros(len(codes) + 2, bool)
+    inside[1:-1] = (codes != 32) & (codes - np.uint32(9) > 4)
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    first, last = edge[::2], edge[1::2]
+    text = np.searchsorted(first_word + sizes, at, "right")
+    begin = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
+    return (text, first[at] - begin[text], last[at + GRAM - 1] - first[at], at - first_word[text],
+            gram[at].view("int64"))
 
 
 def _signed(value: int) -> int:
@@ -155,40 +188,67 @@ UNITS = ("d long, r long, kind int, start int, length int, at_word int, n_words
 UNIT_COLUMNS = [c.split()[0] for c in UNITS.split(", ")]
 
 
+#: Words of texts that are hashed together.
+WORDS = 200_000
+
+
 def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 500):
             part = batch.slice(lo, 500)
             known = _Hashes()
-            doc, row, kind, start, length, at, n, unit, sets = [], [], [], [], [], [], [], [], []
+            docs, texts, hashes, size = [], [], [], 0
             for d, text in zip(part.column("d").to_pylist(), part.column("text").to_pylist()):
-                for k, s, size, before, words in _units(text or ""):
-                    doc.append(d)
-                    kind.append(k)
-                    start.append(s)
-                    length.append(size)
-                    at.append(before)
-                    n.append(len(words))
-                    unit.append(_signed(xxhash.xxh64_intdigest(b" ".join(words))))
-                    if not k:
-                        sets.append(shingle_hashes(words, known))
-                grams = [x.tolist() for x in _grams(text or "", known)]
-                doc += [d] * len(grams[0])
-                kind += [2] * len(grams[0])
-                start += grams[0]
-                length += grams[1]
-                at += grams[2]
-                n += [GRAM] * len(grams[0])
-                unit += grams[3]
-                own = _signed(xxhash.xxh64_intdigest((text or "").encode(), seed=42))
-                row += [own] * (len(doc) - len(row))
-            bands = iter(band_hashes(sets).view("int64").tolist() if sets else [])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(kind, pa.int32()),
-                 pa.array(start, pa.int32()), pa.array(length, pa.int32()),
-                 pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(unit, pa.int64()),
-                 pa.array([None if k else next(bands) for k in kind], pa.list_(pa.int64()))],
-                UNIT_COLUMNS)
+                words = (text or "").lower().encode().split()
+                docs.append(d)
+                texts.append(text or "")
+                hashes.append(np.fromiter(map(known.__getitem__, words), "uint64", len(words)))
+                size += len(words)
+                if size >= WORDS:
+                    yield from _text_units(docs, texts, hashes)
+                    docs, texts, hashes, size = [], [], [], 0
+            if docs:
+                yield from _text_units(docs, texts, hashes)
+
+
+def _text_units(docs: list[int], texts: list[str], hashes: list[np.ndarray]
+                ) -> Iterator[pa.RecordBatch]:
+    """Lines and clauses of the texts, then their grams. Numpy calls cover all texts at once."""
+    sizes = np.array([len(h) for h in hashes], "int64")
+    flat = np.concatenate(hashes)
+    first_word = (np.cumsum(sizes) - sizes).tolist()
+    own = [_signed(xxhash.xxh64_intdigest(t.encode(), seed=42)) for t in texts]
+    doc, row, kind, start, length, at, n, unit, lines = [], [], [], [], [], [], [], [], []
+    for i, text in enumerate(texts):
+        for k, s, size, before, words in _units(text):
+            doc.append(docs[i])
+            row.append(own[i])
+            kind.append(k)
+            start.append(s)
+            length.append(size)
+            at.append(before)
+            n.append(len(words))
+            unit.append(_signed(xxhash.xxh64_intdigest(b" ".join(words))))
+            if not k:
+                lines.append((first_word[i] + before, len(words)))
+    bands = iter(())
+    if lines:
+        starts, counts = np.array(lines, "int64").T
+        bands = iter(band_hashes(*_shingles(flat, starts, counts)).view("int64").tolist())
+    yield _unit_batch(doc, row, kind, start, length, at, n, unit,
+                      [None if k else next(bands) for k in kind])
+    text, start, length, at, unit = _grams(texts, flat, sizes)
+    many = len(text)
+    yield _unit_batch(np.array(docs, "int64")[text], np.array(own, "int64")[text],
+                      np.full(many, 2), start, length, at, np.full(many, GRAM), unit,
+                      pa.nulls(many, pa.list_(pa.int64())))
+
+
+def _unit_batch(*columns) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.int64(), pa.list_(pa.int64())]
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c, kind)
+         for c, kind in zip(columns, kinds, strict=True)], UNIT_COLUMNS)
 
 
 def _bitmap(units: DataFrame) -> np.ndarray:
@@ -291,13 +351,14 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, min_words: int =
     ``start`` and ``length`` count code points of the text; ``first_doc_id`` is the document whose
     occurrence is ``kept``. Documents without repeated passages have no row."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), "text")
-    units = cut(rows.mapInArrow(_read_units, UNITS))
-    near = cut(line_clusters(docs, units, similarity))
+    every = cut(rows.mapInArrow(_read_units, UNITS))
+    near = cut(line_clusters(docs, every, similarity))
     # Hashes alone travel until it is known which units repeat.
-    twice = units.groupBy("unit").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+    twice = every.groupBy("unit").agg(F.min("d").alias("low"), F.max("d").alias("high"))
     again = cut(twice.where("low < high").select("unit")
                 .unionAll(near.select(F.col("node").alias("unit"))).distinct())
-    units = cut(_marked(units.drop("bands"), _bitmap(again)).join(again, "unit", "left_semi"))
+    units = cut(_marked(every.drop("bands"), _bitmap(again)).join(again, "unit", "left_semi"))
+    drop_table(every)
     by_unit = units.groupBy("unit").agg(
         F.min(F.struct("d", "r", "start")).alias("first"), F.max("d").alias("last"))
     clustered = by_unit.join(near, F.col("unit") == F.col("node"), "left").withColumn(

@@ -5,6 +5,7 @@ import random
 import numpy as np
 
 from helpers import docs, prose
+import pyarrow as pa
 from perfspark.llm import substrings
 from perfspark.llm.common import components
 
@@ -156,3 +157,20 @@ def test_components_of_chains_and_stars(spark):
                                               ).collect()}
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: label[x] for x in linked}
+
+
+def test_texts_hashed_together_have_the_units_of_each_alone(monkeypatch):
+    texts = [prose(60, 1), "", None, "a b c", "w " * 12, "w " * 18, "É ü\n" * 30, prose(12, 2),
+             "one, two three four five six seven. " * 4 + "\n" + prose(25, 3)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)],
+                                       ["d", "text"])
+
+    def units():
+        return [b for b in substrings._read_units(iter([batch]))]
+
+    together = units()
+    monkeypatch.setattr(substrings, "WORDS", 0)
+    alone = units()
+    assert len(together) < len(alone)
+    assert sorted(str(r) for b in together for r in b.to_pylist()) == sorted(
+        str(r) for b in alone for r in b.to_pylist())
