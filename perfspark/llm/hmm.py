@@ -27,7 +27,12 @@ from .chunks import encode, unsqueeze, with_words
 from .common import held_out
 
 CLASSES = 2048
-SEGMENT = 256
+#: Longer texts are cut: transfer matrices cost as many times more as there are states.
+SEGMENT = 1024
+#: Weights are scaled each so many steps; with far more they could leave the range of numbers.
+RESCALE = 8
+#: Words whose states are added up by class at once.
+COUNTED = 1 << 14
 ADD = 0.1
 
 
@@ -64,7 +69,10 @@ def split_counts(counts: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarra
 
 
 class Segments:
-    """The segments of a chunk's documents, longest first, and their order in each document."""
+    """The segments of a chunk's documents, longest first, and their order in each document.
+
+    ``symbols`` has the classes step by step: those of all segments at their first word, then at
+    their second and so on; step ``t`` has ``active[t]`` of them from ``at[t]`` on."""
 
     def __init__(self, classes: np.ndarray, lengths: np.ndarray):
         per_doc = -(-lengths // SEGMENT)
@@ -75,41 +83,68 @@ class Segments:
         self.size = np.minimum(SEGMENT, lengths[self.doc] - self.rank * SEGMENT)
         order = np.argsort(-self.size, kind="stable")
         self.doc, self.rank, self.size = self.doc[order], self.rank[order], self.size[order]
-        self.begin = begin[order]
-        self.classes, self.docs = classes, len(lengths)
-        self.active = len(order) - np.searchsorted(self.size[::-1], np.arange(SEGMENT), "right")
-        self.steps = int(self.size[0]) if len(order) else 0
-
-    def symbols(self, t: int, rows: np.ndarray | slice) -> np.ndarray:
-        return self.classes[self.begin[rows] + t]
+        self.more = per_doc[self.doc] > 1
+        self.docs = len(lengths)
+        self._lay(classes, begin[order])
+
+    def _lay(self, classes: np.ndarray, begin: np.ndarray) -> None:
+        self.classes, self.begin = classes, begin
+        self.steps = int(self.size[0]) if len(begin) else 0
+        self.active = len(begin) - np.searchsorted(self.size[::-1], np.arange(self.steps), "right")
+        ends = np.cumsum(self.active)
+        self.at = ends - self.active
+        self.symbols = np.empty(int(self.active.sum()), classes.dtype)
+        place = begin.copy()
+        for t, (at, n) in enumerate(zip(self.at.tolist(), self.active.tolist())):
+            np.take(classes, place[:n], out=self.symbols[at:at + n], mode="clip")
+            place += 1
+
+    def only(self, which: np.ndarray) -> Segments:
+        """Some of the segments, given by number in rising order."""
+        part = Segments.__new__(Segments)
+        part.docs = self.docs
+        part.doc, part.rank, part.size = self.doc[which], self.rank[which], self.size[which]
+        part.more = self.more[which]
+        part._lay(self.classes, self.begin[which])
+        return part
 
     def by_rank(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``(segments, their predecessors)`` for rank 0, 1 ...; rank 0 has none."""
+        """``(segments, their predecessors)`` for rank 0, 1 ...; rank 0 has none. Segments of a
+        document that has no other are left out."""
         at = np.full(self.docs, -1)
-        for rank in range(int(self.rank.max(initial=-1)) + 1):
-            own = np.nonzero(self.rank == rank)[0]
+        some = np.nonzero(self.more)[0]
+        some = some[np.argsort(self.rank[some], kind="stable")]
+        cuts = np.nonzero(np.diff(self.rank[some]))[0] + 1
+        for own in np.split(some, cuts) if len(some) else ():
             yield own, at[self.doc[own]]
             at[self.doc[own]] = own
 
 
 def _forward(m: Model, s: Segments, begin: np.ndarray, keep: np.ndarray | None = None
-             ) -> tuple[np.ndarray, np.ndarray]:
-    """Last state weights and log likelihood of each segment from its ``begin`` weights (rank 0
-    starts by ``m.start``); ``keep`` takes the weights after each step."""
-    a, log = begin.copy(), np.zeros(len(begin))
-    first = s.rank == 0
+             ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Last state weights, log of the scale so far and scales of each ``RESCALE``th step, for
+    segments that start with ``begin`` weights (rank 0 by ``m.start``). ``keep`` takes the weights
+    after each step, step by step."""
+    k, log, scales = len(m.start), np.zeros(len(begin)), []
+    end, first, ones = np.empty_like(begin), s.rank == 0, np.ones(k)
+    spare, emitted = np.empty((2, len(begin), k)), np.empty((len(begin), k))
+    active, starts, last = [*s.active.tolist(), 0], s.at.tolist(), begin
     for t in range(s.steps):
-        n = s.active[t]
-        now = a[:n] @ m.move
+        n, at, e = active[t], starts[t], emitted[:active[t]]
+        now = spare[t % 2, :n] if keep is None else keep[at:at + n]
+        np.matmul(last[:n], m.move, out=now)
         if t == 0:
-            now[first[:n]] = m.start
-        now *= m.emit[s.symbols(t, slice(0, n))]
-        total = now.sum(axis=1)
-        a[:n] = now / total[:, None]
-        log[:n] += np.log(total)
-        if keep is not None:
-            keep[:n, t] = a[:n]
-    return a, log
+            now[first] = m.start
+        np.take(m.emit, s.symbols[at:at + n], axis=0, out=e, mode="clip")
+        now *= e
+        if t % RESCALE == RESCALE - 1:
+            total = now @ ones
+            now /= total[:, None]
+            log[:n] += np.log(total)
+            scales.append(total)
+        end[active[t + 1]:n] = now[active[t + 1]:]
+        last = now
+    return end, log, scales
 
 
 def _transfers(m: Model, s: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,36 +153,35 @@ def _transfers(m: Model, s: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarra
     k = len(m.start)
     x = np.broadcast_to(np.eye(k), (len(later), k, k)).copy()
     log = np.zeros(len(later))
-    size = s.size[later]
-    for t in range(int(size.max(initial=0))):
-        n = int(np.searchsorted(-size, -t, "left"))
-        x[:n] = (x[:n].reshape(-1, k) @ m.move).reshape(n, k, k)
-        x[:n] *= m.emit[s.symbols(t, later[:n])][:, None, :]
-        if t % 8 == 7:
+    place = np.full(len(s.rank), -1)
+    place[later] = np.arange(len(later))
+    if not len(later):
+        return x, log, place
+    own = s.only(later)
+    moved, emitted = np.empty((2, len(later) * k, k))
+    for t, (at, n) in enumerate(zip(own.at.tolist(), own.active.tolist())):
+        now, e = moved[:n * k], emitted[:n * k]
+        np.matmul(x[:n].reshape(-1, k), m.move, out=now)
+        np.take(m.emit, np.repeat(own.symbols[at:at + n], k), axis=0, out=e, mode="clip")
+        np.multiply(now, e, out=x[:n].reshape(-1, k))
+        if t % RESCALE == RESCALE - 1:
             top = x[:n].max(axis=(1, 2))
             x[:n] /= top[:, None, None]
             log[:n] += np.log(top)
-    place = np.full(len(s.rank), -1)
-    place[later] = np.arange(len(later))
     return x, log, place
 
 
-def _chain(m: Model, s: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
-    """Begin weights of every segment and each document's log likelihood."""
+def _chain(m: Model, s: Segments, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
+    """Begin weights of every segment, and each document's log likelihood as far as its first
+    segment is among ``heads``; those that others follow have to be."""
     k = len(m.start)
     begin, end = np.zeros((len(s.rank), k)), np.zeros((len(s.rank), k))
-    firsts = np.nonzero(s.rank == 0)[0]
     total = np.zeros(s.docs)
-    if not len(firsts):
-        return begin, end, total, (np.zeros((0, k, k)), np.zeros(0), s.rank)
-    head = Segments.__new__(Segments)
-    head.__dict__.update(s.__dict__)
-    head.doc, head.rank, head.size = s.doc[firsts], s.rank[firsts], s.size[firsts]
-    head.begin = s.begin[firsts]
-    head.active = len(firsts) - np.searchsorted(head.size[::-1], np.arange(SEGMENT), "right")
-    head.steps = int(head.size[0])
-    end[firsts], log = _forward(m, head, begin[firsts])
-    total[s.doc[firsts]] += log
+    if len(heads):
+        last, log, _ = _forward(m, s.only(heads), begin[heads])
+        size = last.sum(axis=1)
+        end[heads] = last / size[:, None]
+        total[s.doc[heads]] += log + np.log(size)
     transfers = _transfers(m, s)
     x, scale, place = transfers
     for rank, (own, before) in enumerate(s.by_rank()):
@@ -157,55 +191,58 @@ def _chain(m: Model, s: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray, t
             size = out.sum(axis=1)
             end[own] = out / size[:, None]
             total[s.doc[own]] += np.log(size) + scale[place[own]]
-    return begin, end, total, transfers
+    return begin, total, transfers
 
 
 def log_likelihood(m: Model, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log likelihood of each document's classes."""
-    return _chain(m, Segments(classes, lengths))[2]
+    s = Segments(classes, lengths)
+    return _chain(m, s, np.nonzero(s.rank == 0)[0])[1]
 
 
 def expected_counts(m: Model, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Baum-Welch counts of all documents: starts, moves, and emissions by class and state."""
+    """Baum-Welch counts of all documents: starts, moves, and emissions by class and state.
+
+    The weights that come back from a segment's end are scaled so that, times those that came
+    forward, they add up to one at its last step; then they do so at every step."""
     k = len(m.start)
     s = Segments(classes, lengths)
     if not len(s.rank):
         return np.zeros(k + k * k + CLASSES * k)
-    begin, _, _, (x, _, place) = _chain(m, s)
+    begin, _, (x, _, place) = _chain(m, s, np.nonzero((s.rank == 0) & s.more)[0])
     last = np.ones((len(s.rank), k))
     for own, before in reversed(list(s.by_rank())):
         some = before >= 0
         if some.any():
             back = np.einsum("nkj,nj->nk", x[place[own[some]]], last[own[some]])
             last[before[some]] = back / back.sum(axis=1, keepdims=True)
-    weights = np.zeros((len(s.rank), s.steps, k), "float32")
-    _forward(m, s, begin, weights)
-    start, move = np.zeros(k), np.zeros((k, k))
-    beta, first = last, s.rank == 0
+    weights = np.empty((len(s.symbols), k))
+    end, _, scales = _forward(m, s, begin, weights)
+    start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, CLASSES))
+    beta, first = last / (end * last).sum(axis=1, keepdims=True), s.rank == 0
+    emitted, back = np.empty_like(beta), np.ascontiguousarray(m.move.T)
+    active, starts, done = s.active.tolist(), s.at.tolist(), len(weights)
     for t in range(s.steps - 1, -1, -1):
-        n = s.active[t]
-        symbols = s.symbols(t, slice(0, n))
-        state = weights[:n, t] * beta[:n]
-        state /= state.sum(axis=1, keepdims=True)
-        ahead = m.emit[symbols] * beta[:n]
-        prior = weights[:n, t - 1] if t else begin[:n]
-        inner = np.ones(n, bool) if t else ~first[:n]
-        if not t:
-            start += state[first[:n]].sum(axis=0)
-        p, w = prior[inner], ahead[inner]
-        norm = ((p @ m.move) * w).sum(axis=1)
-        move += (p / norm[:, None]).T @ w
-        weights[:n, t] = state
-        before = ahead @ m.move.T
-        beta[:n] = before / before.sum(axis=1, keepdims=True)
+        n, at = active[t], starts[t]
+        ahead, own = emitted[:n], beta[:n]
+        np.take(m.emit, s.symbols[at:at + n], axis=0, out=ahead, mode="clip")
+        ahead *= own
+        if t % RESCALE == RESCALE - 1:
+            ahead /= scales[t // RESCALE][:, None]
+        weights[at:at + n] *= own
+        if t:
+            # Weights of the step before: those of the step at hand are products already.
+            move += weights[starts[t - 1]:starts[t - 1] + n].T @ ahead
+            np.matmul(ahead, back, out=own)
+        else:
+            start += weights[:n][first].sum(axis=0)
+            move += begin[~first].T @ ahead[~first]
+        if done - at >= COUNTED or not t:  # while they are at hand
+            for j in range(k):
+                emit[j] += np.bincount(s.symbols[at:done], weights[at:done, j], CLASSES)
+            done = at
     move *= m.move
-    emit = np.zeros((CLASSES, k))
-    at = s.begin[:, None] + np.arange(s.steps)
-    inside = np.arange(s.steps) < s.size[:, None]
-    symbols = classes[at[inside]]
-    for j in range(k):
-        emit[:, j] = np.bincount(symbols, weights[:, :, j][inside], CLASSES)
-    return np.concatenate([start, move.ravel(), emit.ravel()])
+    return np.concatenate([start, move.ravel(), emit.T.ravel()])
 
 
 def _chunk_classes(row: dict, marks: set[int] | None) -> tuple[np.ndarray, np.ndarray]:

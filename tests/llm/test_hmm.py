@@ -69,6 +69,21 @@ def test_expected_counts_against_plain_forward_backward():
     assert np.allclose(emit, e, atol=1e-3)
 
 
+def test_texts_of_a_thousand_words_need_no_transfers_and_counts_add_up():
+    rng = np.random.default_rng(11)
+    lengths = np.array([1000, 300, 7, 1, 260])
+    classes = rng.integers(0, hmm.CLASSES, lengths.sum())
+    m = _model(seed=2)
+    x, _, _ = hmm._transfers(m, hmm.Segments(classes, lengths))
+    assert not len(x)
+    for sizes in (lengths, np.array([len(classes)]), np.array([5, len(classes) - 5])):
+        start, move, emit = hmm.split_counts(hmm.expected_counts(m, classes, sizes), 3)
+        assert start.sum() == pytest.approx(len(sizes), rel=1e-11)
+        assert move.sum() == pytest.approx(len(classes) - len(sizes), rel=1e-11)
+        assert np.allclose(emit.sum(axis=1), np.bincount(classes, minlength=hmm.CLASSES),
+                           rtol=1e-11, atol=1e-11)
+
+
 def test_rounds_raise_the_likelihood():
     rng = np.random.default_rng(7)
     lengths = np.full(40, 50)
