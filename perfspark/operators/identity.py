@@ -211,14 +211,14 @@ def _dated(df: DataFrame, out: str) -> DataFrame:
 
 
 def born_together(inputs: DataFrame, roster: DataFrame,
-                  given: DataFrame | None = None) -> DataFrame:
+                  apart: DataFrame | None = None) -> DataFrame:
     """Roster entries with an input's exact, trusted birth date that can be its best candidate:
     ``(key, player_id, score)``.
 
     Among equal birth dates only the sport (agreeing or in conflict), a shared distinctive token
     and the name score decide, and within each of the four classes a higher score is never worse.
-    One entry per class and block is therefore enough, however many share the date. Name pairs in
-    ``given`` (``name``, ``full_name``) are left out: their score comes from elsewhere."""
+    One entry per class and block is therefore enough, however many share the date. Pairs in
+    ``apart`` (of ``_given_dobs``) are left out: their score comes from elsewhere."""
     def described(df: DataFrame, name: str) -> list[Column]:
         return [linkage.distinctive(linkage.name_tokens(F.col(name))).alias("_tokens"),
                 linkage.normal_sport(F.col("sport")).alias("_sport"), F.col(name).alias("_n")]
@@ -226,11 +226,10 @@ def born_together(inputs: DataFrame, roster: DataFrame,
     dated = _dated(inputs, "_dob").where(~linkage.is_placeholder(F.col("_dob")))
     left = dated.select("_dob", "key", *described(inputs, "name"),
                         F.lit(None).cast("string").alias("_skip"))
-    if given is not None:
-        # Pairs to leave out travel with their input into its blocks.
-        left = left.unionByName(
-            dated.join(given.select("name", F.col("full_name").alias("_skip")), "name")
-            .select("_dob", "key", "_skip"), allowMissingColumns=True)
+    if apart is not None:
+        # They travel with their input into its blocks.
+        left = left.unionByName(apart.select("_dob", "key", F.col("full_name").alias("_skip")),
+                                allowMissingColumns=True)
     right = _dated(roster, "_dob").select("_dob", "player_id", *described(roster, "full_name"))
 
     def scorer(lpdf: pd.DataFrame, rpdf: pd.DataFrame):
@@ -260,13 +259,14 @@ def born_together(inputs: DataFrame, roster: DataFrame,
 
 
 def _given_dobs(inputs: DataFrame, roster: DataFrame, given: DataFrame) -> DataFrame:
-    """``(key, player_id)`` of equal, trusted birth dates among the name pairs scored elsewhere.
-    Of entries alike in name, birth date and sport the smallest id stands for all."""
+    """``(key, _dob, full_name, player_id)`` of equal, trusted birth dates among the name pairs
+    scored elsewhere. Of entries alike in name, birth date and sport the smallest id stands for
+    all."""
     dated = _dated(inputs, "_dob").where(~linkage.is_placeholder(F.col("_dob")))
     entries = _dated(roster, "_dob").groupBy("full_name", "_dob", "sport").agg(
         F.min("player_id").alias("player_id"))
     return (dated.select("key", "name", "_dob").join(given.select("name", "full_name"), "name")
-            .join(entries, ["full_name", "_dob"]).select("key", "player_id"))
+            .join(entries, ["full_name", "_dob"]).select("key", "_dob", "full_name", "player_id"))
 
 
 def candidate_pool(inputs: DataFrame, roster: DataFrame,
@@ -275,12 +275,14 @@ def candidate_pool(inputs: DataFrame, roster: DataFrame,
     Pairs known only through ``given`` have no local score."""
     by_name = inputs.join(similar_names(inputs, roster), "name").select(
         "key", "player_id", F.floor("score").cast("int").alias("local_score"))
-    by_dob = born_together(inputs, roster, given).select(
+    # Only given pairs born together can meet by birth date: few, however many are given.
+    apart = None if given is None else cut(_given_dobs(inputs, roster, given))
+    by_dob = born_together(inputs, roster, apart).select(
         "key", "player_id", F.col("score").cast("int").alias("local_score"))
     pool = by_name.unionByName(by_dob)
-    if given is not None:
-        pool = pool.unionByName(_given_dobs(inputs, roster, given).withColumn(
-            "local_score", F.lit(None).cast("int")))
+    if apart is not None:
+        pool = pool.unionByName(apart.select(
+            "key", "player_id", F.lit(None).cast("int").alias("local_score")))
     return pool.groupBy("key", "player_id").agg(F.max("local_score").alias("local_score"))
 
 
@@ -351,8 +353,10 @@ def resolve_entities(inputs: DataFrame, roster: DataFrame,
           for c in ("mrn", "photo_url")])
     given = None
     if scores is not None:
-        given = scores.groupBy(F.col("name_a").alias("name"), F.col("name_b").alias("full_name")) \
-            .agg(F.max("score").cast("int").alias("_given"))
+        # Written: read for birth dates and for scores, and an outside matcher may be costly.
+        given = cut(scores.groupBy(F.col("name_a").alias("name"), F.col("name_b")
+                                   .alias("full_name")).agg(F.max("score").cast("int")
+                                                            .alias("_given")))
     pool = candidate_pool(inputs, roster, given)
     left = described(inputs.select("key", "name", "dob", "sport"), "a", name="name", dob="dob",
                      sport="sport")

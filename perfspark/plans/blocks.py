@@ -123,6 +123,29 @@ class Visits:
 PLAN, VISIT = (4096, 512), 512
 
 
+#: Blocks that one task cuts and one file holds.
+HELD = 256
+
+
+def _numbered(df: DataFrame, order: list[Column], rows: int, size: int) -> tuple[DataFrame, int]:
+    """``df`` with a block number ``_rb``, ``size`` rows of one range of ``order`` to a block at
+    most, and how many blocks there are. A task sorts many blocks' rows and cuts them in turn."""
+    row = F.monotonically_increasing_id()
+    # Written, so that blocks stay what they are.
+    laid = cut(df.repartitionByRange(_blocks(rows, size * HELD), *order)
+               .sortWithinPartitions(*order)
+               .withColumn("_range", F.shiftright(row, 33))
+               .withColumn("_at", row.bitwiseAND(F.lit((1 << 33) - 1))))
+    held = {r["_range"]: r["count"] for r in laid.groupBy("_range").count().collect()}
+    before, blocks = [], 0
+    for part in range(max(held, default=0) + 1):
+        before.append(blocks)
+        blocks += -(-held.get(part, 0) // size)
+    first = F.array(*map(F.lit, before))[F.col("_range").cast("int")]
+    numbered = laid.withColumn("_rb", (first + F.floor(F.col("_at") / size)).cast("int"))
+    return numbered.drop("_range", "_at"), max(1, blocks)
+
+
 def bounded_best(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str,
                  order: list[Column], summarise: Callable[[pd.DataFrame], str],
                  bound: Callable[[pd.DataFrame, list[str]], np.ndarray],
@@ -141,10 +164,8 @@ def bounded_best(left: DataFrame, right: DataFrame, *, left_id: str, right_id: s
     that least score for each left row. A block that very many rows visit is visited in parts. Ids
     must be unique on their side; scores that differ do so by more than 1e-9."""
     groups = _blocks(rows[0], PLAN[0])
-    blocks = _blocks(rows[1], block_rows)
+    righted, blocks = _numbered(right, order, rows[1], block_rows)
     chunks = _blocks(blocks, PLAN[1])
-    # Written, so that blocks stay what they are.
-    righted = cut(right.repartitionByRange(blocks, *order).withColumn("_rb", F.spark_partition_id()))
     id_type = right.schema[right_id].dataType
     told = cut(righted.groupBy("_rb").applyInPandas(
         lambda pdf: pd.DataFrame({"_rb": pdf["_rb"].iloc[:1], "_id": [pdf[right_id].min()],

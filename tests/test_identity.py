@@ -11,6 +11,7 @@ from perfspark.functions.ids import sanitize_columns, split_bad_ids, uuid5
 from perfspark.functions.numbers import to_day
 from perfspark.functions.similarity import token_set_ratio, token_set_scores
 from perfspark.operators import identity
+from perfspark.plans.blocks import _numbered
 
 ROSTER = "player_id int, full_name string, dob string, sport string"
 PEOPLE = [(2893, "Mohamed Noufal", "2005-08-14", "Athletics"),
@@ -212,3 +213,31 @@ def test_uuid5_and_columns(spark):
     ids = spark.createDataFrame([("abcd-1234",), ("x'; --",)], "i string")
     good, bad = split_bad_ids(ids, "i")
     assert [r.i for r in good.collect()] == ["ABCD-1234"] and bad.count() == 1
+
+
+def test_only_given_pairs_born_together_travel_to_birth_dates(spark, monkeypatch):
+    inputs = spark.createDataFrame([(i, f"Ann {i}", f"2001-02-{1 + i:02}", None) for i in range(5)],
+                                   "key long, name string, dob string, sport string")
+    roster = spark.createDataFrame([(i, f"Bea {i}", f"2001-02-{1 + i:02}", None) for i in range(9)],
+                                   "player_id long, full_name string, dob string, sport string")
+    given = spark.createDataFrame([(f"Ann {i}", f"Bea {j}", 90) for i in range(5) for j in range(9)],
+                                  "name string, full_name string, _given int")
+    lefts, within = [], identity.block_best_within
+    monkeypatch.setattr(identity, "block_best_within",
+                        lambda left, right, **more: lefts.append(left) or within(left, right, **more))
+    pool = identity.candidate_pool(inputs, roster, given).collect()
+    assert lefts[0].count() == 5 + 5
+    assert {(r.key, r.player_id) for r in pool if r.local_score is None} == {
+        (i, i) for i in range(5)}
+
+
+def test_blocks_are_cut_many_to_a_task(spark):
+    rows = spark.range(3000).selectExpr("id", "(id * 7919) % 3001 as at")
+    numbered, blocks = _numbered(rows, [F.col("at")], 3000, 8)
+    assert len(numbered.inputFiles()) <= 2
+    spans = sorted((r.lo, r.hi, r.n, r._rb) for r in numbered.groupBy("_rb").agg(
+        F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").alias("n")).collect())
+    assert sum(s[2] for s in spans) == 3000 and max(s[2] for s in spans) == 8
+    assert [s[3] for s in spans] == list(range(blocks)) and blocks <= 376
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert _numbered(rows.limit(0), [F.col("at")], 0, 8)[0].count() == 0
