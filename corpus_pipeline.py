@@ -16,6 +16,9 @@ from perfspark.session import shared_dir
 #: Bytes of an Arrow batch: whole rows with their texts go through Python here, in and out.
 BATCH_BYTES = 8 << 20
 
+#: Words whose ids a worker keeps while packing; those of earlier stages are still in memory then.
+PACKING_WORDS = 100_000
+
 
 def _small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -53,7 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences. Null and empty texts are an end id alone; repeated rows are
     packed as often as they stand there."""
-    pieces = packing.pack_documents(docs, queries.tokenizer())
+    pieces = packing.pack_documents(docs, queries.tokenizer(), words=PACKING_WORDS)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
 

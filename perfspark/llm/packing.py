@@ -34,6 +34,9 @@ from .common import lean, text_column
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "ids binary")
 
+#: Words whose ids a worker keeps.
+WORDS = 400_000
+
 
 class TournamentTree:
     """Free capacities of bins; finds the first bin with enough room in log time."""
@@ -148,7 +151,7 @@ class Speller:
     OTHERS = [*range(0x21), *range(0x7f, 0xa1), 0xad]
     BYTES = {byte: 0x100 + i for i, byte in enumerate(OTHERS)}
 
-    def __init__(self, tokenizer, limit: int = 400_000):
+    def __init__(self, tokenizer, limit: int = WORDS):
         self.tokenizer, self.limit = tokenizer, limit
         self.forget()
 
@@ -215,9 +218,9 @@ class Speller:
 
 
 @lru_cache(maxsize=1)
-def _speller(path: str) -> Speller:
+def _speller(path: str, limit: int = WORDS) -> Speller:
     """One a worker; Spark keeps workers for later tasks."""
-    return Speller(_tokenizer(path))
+    return Speller(_tokenizer(path), limit)
 
 
 class Numbers(dict):
@@ -243,10 +246,11 @@ def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype("<u4")
 
 
-def tokens_of(docs: DataFrame, tokenizer: str, end_id: int, mark: Column) -> DataFrame:
+def tokens_of(docs: DataFrame, tokenizer: str, end_id: int, mark: Column,
+              words: int = WORDS) -> DataFrame:
     """``(doc_id, mark, ids)`` of each row; ``mark`` is any long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = _speller(tokenizer)
+        speller = _speller(tokenizer, words)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
@@ -278,11 +282,12 @@ def _pack_group(rows: pa.Table, capacity: int) -> pa.Table:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 1,
-                   seed: int = 3, group_rows: int = 1024) -> DataFrame:
+                   seed: int = 3, group_rows: int = 1024, words: int = WORDS) -> DataFrame:
     """Pieces ``(doc_id, start, length, doc_tokens, sequence_id, offset, ids)``.
 
     ``ids`` are a piece's token ids as little-endian unsigned 32-bit numbers; ``tokenizer`` is the
-    path of its file, which every worker can read."""
+    path of its file, which every worker can read. A worker keeps the ids of ``words`` words:
+    fewer take less memory and more time."""
     per_id = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     size = per_id.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
     groups = F.lit(max(1, -(-(size.rows or 0) // group_rows)))
@@ -296,9 +301,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end
         many = keyed.join(hot, "k", "left_semi").groupBy("doc_id", "text").agg(
             F.count(F.lit(1)).alias("n"))
     group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), groups)
-    tokens = tokens_of(rows, tokenizer, end_id, group).withColumnRenamed("mark", "group")
+    tokens = tokens_of(rows, tokenizer, end_id, group, words).withColumnRenamed("mark", "group")
     if many is not None:
-        copies = tokens_of(many, tokenizer, end_id, F.col("n")).withColumn(
+        copies = tokens_of(many, tokenizer, end_id, F.col("n"), words).withColumn(
             "copy", F.explode(F.sequence(F.lit(1), "mark")))
         tokens = tokens.unionByName(copies.select(
             "doc_id", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "ids", "copy"), groups)

@@ -124,3 +124,15 @@ def test_pack_covers_every_position_once():
                 seen[doc] += range(start, start + length)
         assert {d: sorted(x) for d, x in seen.items()} == {
             d: list(range(n)) for d, n in enumerate(lengths)}
+
+
+def test_fewer_kept_words_give_the_same_pieces(spark, monkeypatch):
+    rows = docs(spark, [prose(400, i, 120) for i in range(40)])
+    path = tokenizer()
+    whole = sorted(map(tuple, packing.pack_documents(rows, path).collect()))
+    assert sorted(map(tuple, packing.pack_documents(rows, path, words=50).collect())) == whole
+    speller = packing.Speller(packing._tokenizer(path), 50)
+    for i in range(8):
+        speller.ids([prose(400, i, 120).encode()])
+        assert len(speller.numbers) <= 50 + 120
+    assert packing._speller(path, 50).limit == 50
