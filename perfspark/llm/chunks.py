@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
-from .common import text_column
+from .common import lean, slices, text_column
 
 SCHEMA = ("kind int, chunk long, doc_ids array<long>, marks array<long>, lengths array<long>, "
           "tokens binary, classes binary, local int, word binary, n long, class int")
@@ -33,14 +33,15 @@ class Numbers(dict):
         return number
 
 
-def squeeze(numbers: np.ndarray) -> bytes:
-    planes = numbers.astype("<u4").view("u1").reshape(-1, 4).T
+def squeeze(numbers: np.ndarray, width: int = 4) -> bytes:
+    """Numbers of up to ``width`` (4 or 2) bytes."""
+    planes = numbers.astype(f"<u{width}").view("u1").reshape(-1, width).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def unsqueeze(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+def unsqueeze(data: bytes, width: int = 4) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel()
 
 
 def encode(docs: DataFrame, *, lower: bool, end: bool, word_class: Callable[[bytes], int],
@@ -85,7 +86,7 @@ def encode(docs: DataFrame, *, lower: bool, end: bool, word_class: Callable[[byt
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
         ids, marks, parts, seen, size, spelled = [], [], [], Numbers(), 0, 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for doc_id, mark, text in zip(batch.column("doc_id").to_pylist(),
                                           batch.column("mark").to_pylist(), text_column(batch),
                                           strict=True):
@@ -105,7 +106,7 @@ def encode(docs: DataFrame, *, lower: bool, end: bool, word_class: Callable[[byt
         if parts:
             yield from flush(base, ids, marks, parts, seen)
 
-    rows = docs.select("doc_id", "mark", "text").mapInArrow(run, SCHEMA)
+    rows = docs.select("doc_id", "mark", "text").mapInArrow(lean(run), SCHEMA)
     table = cut(rows)
     chunks = table.where("kind = 0").select("chunk", "doc_ids", "marks", "lengths", "tokens",
                                             "classes")

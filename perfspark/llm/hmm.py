@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
-from .chunks import encode, unsqueeze, with_words
-from .common import held_out
+from .chunks import encode, squeeze, unsqueeze, with_words
+from .common import drop_table, held_out, lean
 
 CLASSES = 2048
 #: Longer texts are cut: transfer matrices cost as many times more as there are states.
@@ -74,7 +74,8 @@ class Segments:
     ``symbols`` has the classes step by step: those of all segments at their first word, then at
     their second and so on; step ``t`` has ``active[t]`` of them from ``at[t]`` on."""
 
-    def __init__(self, classes: np.ndarray, lengths: np.ndarray):
+    def __init__(self, classes: np.ndarray, lengths: np.ndarray, laid: bool = False):
+        """``classes`` document by document or, if ``laid``, step by step."""
         per_doc = -(-lengths // SEGMENT)
         self.doc = np.repeat(np.arange(len(lengths)), per_doc)
         first = np.cumsum(per_doc) - per_doc
@@ -85,27 +86,32 @@ class Segments:
         self.doc, self.rank, self.size = self.doc[order], self.rank[order], self.size[order]
         self.more = per_doc[self.doc] > 1
         self.docs = len(lengths)
-        self._lay(classes, begin[order])
-
-    def _lay(self, classes: np.ndarray, begin: np.ndarray) -> None:
-        self.classes, self.begin = classes, begin
-        self.steps = int(self.size[0]) if len(begin) else 0
-        self.active = len(begin) - np.searchsorted(self.size[::-1], np.arange(self.steps), "right")
-        ends = np.cumsum(self.active)
-        self.at = ends - self.active
+        self._steps()
+        if laid:
+            self.symbols = classes
+            return
         self.symbols = np.empty(int(self.active.sum()), classes.dtype)
-        place = begin.copy()
-        for t, (at, n) in enumerate(zip(self.at.tolist(), self.active.tolist())):
+        place = begin[order]
+        for at, n in zip(self.at.tolist(), self.active.tolist()):
             np.take(classes, place[:n], out=self.symbols[at:at + n], mode="clip")
             place += 1
 
+    def _steps(self) -> None:
+        self.steps = int(self.size[0]) if len(self.size) else 0
+        self.active = len(self.size) - np.searchsorted(self.size[::-1], np.arange(self.steps),
+                                                       "right")
+        self.at = np.cumsum(self.active) - self.active
+
     def only(self, which: np.ndarray) -> Segments:
         """Some of the segments, given by number in rising order."""
         part = Segments.__new__(Segments)
         part.docs = self.docs
         part.doc, part.rank, part.size = self.doc[which], self.rank[which], self.size[which]
         part.more = self.more[which]
-        part._lay(self.classes, self.begin[which])
+        part._steps()
+        part.symbols = np.empty(int(part.active.sum()), self.symbols.dtype)
+        for at, n, own in zip(part.at.tolist(), part.active.tolist(), self.at.tolist()):
+            np.take(self.symbols[own:], which[:n], out=part.symbols[at:at + n], mode="clip")
         return part
 
     def by_rank(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -200,13 +206,15 @@ def log_likelihood(m: Model, classes: np.ndarray, lengths: np.ndarray) -> np.nda
     return _chain(m, s, np.nonzero(s.rank == 0)[0])[1]
 
 
-def expected_counts(m: Model, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Baum-Welch counts of all documents: starts, moves, and emissions by class and state.
+def expected_counts(m: Model, classes: np.ndarray, lengths: np.ndarray, laid: bool = False
+                    ) -> np.ndarray:
+    """Baum-Welch counts of all documents: starts, moves, and emissions by class and state. With
+    ``laid`` classes are in the order of ``Segments.symbols``.
 
     The weights that come back from a segment's end are scaled so that, times those that came
     forward, they add up to one at its last step; then they do so at every step."""
     k = len(m.start)
-    s = Segments(classes, lengths)
+    s = Segments(classes, lengths, laid)
     if not len(s.rank):
         return np.zeros(k + k * k + CLASSES * k)
     begin, _, (x, _, place) = _chain(m, s, np.nonzero((s.rank == 0) & s.more)[0])
@@ -221,6 +229,7 @@ def expected_counts(m: Model, classes: np.ndarray, lengths: np.ndarray) -> np.nd
     start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, CLASSES))
     beta, first = last / (end * last).sum(axis=1, keepdims=True), s.rank == 0
     emitted, back = np.empty_like(beta), np.ascontiguousarray(m.move.T)
+    both, filled = np.empty((COUNTED + len(beta), k)), COUNTED + len(beta)
     active, starts, done = s.active.tolist(), s.at.tolist(), len(weights)
     for t in range(s.steps - 1, -1, -1):
         n, at = active[t], starts[t]
@@ -229,25 +238,26 @@ def expected_counts(m: Model, classes: np.ndarray, lengths: np.ndarray) -> np.nd
         ahead *= own
         if t % RESCALE == RESCALE - 1:
             ahead /= scales[t // RESCALE][:, None]
-        weights[at:at + n] *= own
+        np.multiply(weights[at:at + n], own, out=both[filled - n:filled])
+        filled -= n
         if t:
-            # Weights of the step before: those of the step at hand are products already.
             move += weights[starts[t - 1]:starts[t - 1] + n].T @ ahead
             np.matmul(ahead, back, out=own)
         else:
-            start += weights[:n][first].sum(axis=0)
+            start += both[filled:filled + n][first].sum(axis=0)
             move += begin[~first].T @ ahead[~first]
         if done - at >= COUNTED or not t:  # while they are at hand
+            symbols = s.symbols[at:done].astype("int64")
             for j in range(k):
-                emit[j] += np.bincount(s.symbols[at:done], weights[at:done, j], CLASSES)
-            done = at
+                emit[j] += np.bincount(symbols, both[filled:, j], CLASSES)
+            done, filled = at, len(both)
     move *= m.move
     return np.concatenate([start, move.ravel(), emit.T.ravel()])
 
 
 def _chunk_classes(row: dict, marks: set[int] | None) -> tuple[np.ndarray, np.ndarray]:
     """Class of every word of the chunk's documents with these marks, and their lengths."""
-    classes = np.frombuffer(row["classes"], "<u2")[unsqueeze(row["tokens"])].astype("int64")
+    classes = np.frombuffer(row["classes"], "<u2")[unsqueeze(row["tokens"])]
     lengths = np.array(row["lengths"], "int64")
     if marks is None:
         return classes, lengths
@@ -261,10 +271,21 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
+def _training_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes of each chunk's training documents, step by step, and the documents' lengths."""
+    for row in _rows(batches):
+        classes, lengths = _chunk_classes(row, {0})
+        yield pa.RecordBatch.from_pylist([{
+            "training": squeeze(Segments(classes, lengths).symbols, 2),
+            "lengths": lengths.astype("<i8").tobytes()}])
+
+
 def _e_step(batches: Iterator[pa.RecordBatch], m: Model) -> Iterator[pa.RecordBatch]:
     total = 0.0
     for row in _rows(batches):
-        total = total + expected_counts(m, *_chunk_classes(row, {0}))
+        classes = unsqueeze(row["training"], 2)
+        lengths = np.frombuffer(row["lengths"], "<i8")
+        total = total + expected_counts(m, classes, lengths, laid=True)
     if np.ndim(total):
         some = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["at", "n"])
@@ -275,12 +296,15 @@ def train(chunks: DataFrame, states: int = 6, rounds: int = 14, seed: int = 17)
     start; neither the order of rows nor their place in files decides anything."""
     size = states + states * states + CLASSES * states
     model = Model.random(states, seed)
+    # Rounds read classes alone, of training documents alone.
+    training = cut(chunks.mapInArrow(lean(_training_classes), "training binary, lengths binary"))
     for _ in range(rounds):
-        counts = chunks.mapInArrow(lambda b, m=model: _e_step(b, m), "at long, n double")
+        counts = training.mapInArrow(lambda b, m=model: _e_step(b, m), "at long, n double")
         total = np.zeros(size)
         for r in counts.groupBy("at").agg(F.sum("n").alias("n")).collect():
             total[r["at"]] = r["n"]
         model = Model.from_counts(total, states)
+    drop_table(training)
     return model
 
 
@@ -288,7 +312,7 @@ def _score_chunk(own: pa.Table, row: dict, m: Model, base: float, by_class: np.n
                  ) -> pa.Table:
     counts = own.column("c").to_numpy()
     tokens, lengths = unsqueeze(row["tokens"]), np.array(row["lengths"], "int64")
-    classes = np.frombuffer(row["classes"], "<u2")[tokens].astype("int64")
+    classes = np.frombuffer(row["classes"], "<u2")[tokens]
     starts = np.cumsum(lengths) - lengths
 
     def per_doc(values: np.ndarray) -> np.ndarray:
@@ -320,8 +344,9 @@ def score(docs: DataFrame, folds: int = 10, states: int = 6, rounds: int = 14) -
         whole[r["class"]] = np.log10(r.n + ADD * (r.v + 1))
     base = float(np.log10(n + ADD * (v + 1)))
     model = train(chunks, states, rounds)
-    counted = (words.select("chunk", "local", "word").join(counts.select("word", "c"), "word",
-                                                           "left")
+    # A hash join: words of all chunks need no sort.
+    counted = (words.select("chunk", "local", "word")
+               .join(counts.select("word", "c").hint("shuffle_hash"), "word", "left")
                .select("chunk", "local", F.coalesce("c", F.lit(0)).alias("c")))
     out = with_words(counted, chunks, lambda w, c: _score_chunk(w, c, model, base, whole),
                      "doc_id long, held_out boolean, n_tokens long, n_known long, "

@@ -6,10 +6,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from helpers import docs, prose
-from perfspark.llm import hmm
+from perfspark.llm import chunks, hmm
 
 
 def _plain_log_likelihood(m, classes):
@@ -84,6 +85,28 @@ def test_texts_of_a_thousand_words_need_no_transfers_and_counts_add_up():
                            rtol=1e-11, atol=1e-11)
 
 
+def test_rounds_read_the_classes_of_training_documents_alone():
+    rng = np.random.default_rng(5)
+    classes = rng.integers(0, hmm.CLASSES, 300).astype("<u2")
+    lengths, marks = [3, hmm.SEGMENT + 70, 1, 40, 2 * hmm.SEGMENT + 1], [0, 0, 1, 1, 0]
+    tokens = rng.integers(0, 300, sum(lengths))
+    chunk = {"tokens": chunks.squeeze(tokens), "classes": classes.tobytes(),
+             "lengths": lengths, "marks": marks}
+    rows = pa.RecordBatch.from_pylist([chunk, {**chunk, "marks": [1] * 5}])
+    out = list(hmm._training_classes(iter([rows])))
+    assert [b.schema.names for b in out] == [["training", "lengths"]] * 2
+    sizes = [len(chunks.unsqueeze(b.column(0)[0].as_py(), 2)) for b in out]
+    own = np.repeat(np.array(marks) == 0, lengths)
+    assert sizes == [own.sum(), 0]
+    m = _model(seed=6)
+    got = next(hmm._e_step(iter(out), m))
+    total = np.zeros(3 + 9 + 3 * hmm.CLASSES)
+    total[got.column(0).to_numpy()] = got.column(1).to_numpy()
+    plain = hmm.expected_counts(m, classes[tokens][own],
+                                np.array([n for n, x in zip(lengths, marks) if not x]))
+    assert np.allclose(total, plain, rtol=1e-12)
+
+
 def test_rounds_raise_the_likelihood():
     rng = np.random.default_rng(7)
     lengths = np.full(40, 50)
