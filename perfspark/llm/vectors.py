@@ -9,23 +9,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 
-def usable(df: DataFrame, vec: str = "embedding", uid: str = "vec_id") -> DataFrame:
+def usable(df: DataFrame, vec: str = "embedding", uid: str = "vec_id",
+           kind: str = "float64") -> DataFrame:
     """``(vec_id, dim, vec)`` of vectors that are not null, empty or zero and hold only finite
-    numbers; ``vec`` is their doubles as bytes."""
+    numbers; ``vec`` is their numbers as bytes, doubles or of another ``kind``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, dims, out = [], [], []
-            for i, v in zip(batch.column("vec_id"), batch.column("vec"), strict=True):
-                if not v.is_valid or v.values is None or v.values.null_count:
-                    continue
-                x = v.values.to_numpy(zero_copy_only=False).astype("float64")
-                if x.size and np.isfinite(x).all() and x.any():
-                    ids.append(i.as_py())
-                    dims.append(x.size)
-                    out.append(x.tobytes())
+            lists = batch.column("vec")
+            size = lists.value_lengths().fill_null(0).to_numpy().astype("int64")
+            x = lists.flatten().to_numpy(zero_copy_only=False).astype("float64")
+            ends = np.cumsum(size)
+
+            def count(marks: np.ndarray) -> np.ndarray:
+                before = np.concatenate([[0], np.cumsum(marks)])
+                return before[ends] - before[ends - size]
+
+            ok = (size > 0) & (count(~np.isfinite(x)) == 0) & (count(x != 0) > 0)
+            data = x[np.repeat(ok, size)].astype(kind)
+            starts = np.concatenate([[0], np.cumsum(size[ok])]) * data.itemsize
+            vecs = pa.Array.from_buffers(pa.binary(), int(ok.sum()), [
+                None, pa.py_buffer(starts.astype("int32")), pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()),
-                 pa.array(out, pa.binary())], ["vec_id", "dim", "vec"])
+                [batch.column("vec_id").filter(pa.array(ok)), pa.array(size[ok].astype("int32")),
+                 vecs], ["vec_id", "dim", "vec"])
 
     typed = df.select(F.col(uid).cast("long").alias("vec_id"), F.col(vec).alias("vec"))
     return typed.mapInArrow(rows, "vec_id long, dim int, vec binary")

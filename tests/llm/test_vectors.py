@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from perfspark.llm import ann, embeddup
@@ -55,6 +56,38 @@ def test_links_against_brute_force(spark, dim, chunk, grid):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
 
 
+@pytest.mark.parametrize("spread", [0.02, 0.12])
+def test_close_pairs_of_chunks_tile_by_tile(spread, monkeypatch):
+    """Few and many candidates, tiles that are left out and one of a single row."""
+    monkeypatch.setattr(embeddup, "TILE", (16, 32))
+    x = _clustered(161, 64, 5, spread)
+    x = x[np.argsort(np.arange(161) % 8)]
+    parts = [embeddup._Chunk(pa.py_buffer(v.tobytes()), 64, "float32", 16, 0.95)
+             for v in (x[:80], x[80:])]
+    got = set()
+    for a, b, i, j in ((0, 0, 0, 0), (0, 1, 0, 80), (1, 1, 80, 80)):
+        for s, t in embeddup._close(parts[a], parts[b], a == b, 0.95, 16):
+            pairs = list(zip((s + i).tolist(), (t + j).tolist()))
+            assert not got & set(pairs) and len(set(pairs)) == len(pairs)
+            got |= set(pairs)
+    u = x.astype("float64")
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    assert got == set(zip(*(v.tolist() for v in np.nonzero(np.triu(u @ u.T >= 0.95, 1)))))
+
+
+def test_vectors_are_not_copied_for_each_pair_of_chunks(spark, monkeypatch):
+    plans, cut = [], embeddup.cut
+    monkeypatch.setattr(embeddup, "cut", lambda df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    x = _clustered(150, 16, 9)
+    x[100:] = x[3]
+    found = embeddup.near_duplicates(_frame(spark, x.tolist()), chunk=16)
+    assert found.where("n_links >= 50").count() == 51
+    met = [p for p in plans if "CartesianProduct" in p]
+    assert len(met) == 1 and not any("Generate" in p or "Expand" in p for p in plans)
+    assert met[0].count("Exchange") == 1 and "BroadcastExchange" not in met[0]
+
+
 def test_links_of_null_and_repeated_ids(spark):
     frame = _frame(spark, [[1, 0], [1, 0], [1, 0.01], [0, 1]], [None, 5, 5, 9])
     got = sorted(embeddup.near_duplicates(frame).select("vec_id", "n_links", "component_id")
