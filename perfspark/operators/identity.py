@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -25,58 +26,34 @@ from ..session import cut
 CANDIDATES = 4
 
 
-def _letter_bound(left: list[str], right: list[str]) -> np.ndarray:
-    """Upper bound of the similarity of names that share no token: their common letters."""
-    letters = {c: i for i, c in enumerate(sorted(set("".join(left)) | set("".join(right))))}
-
-    def counts(names: list[str]) -> np.ndarray:
-        out = np.zeros((len(names), len(letters) or 1), dtype=np.int16)
-        for i, name in enumerate(names):
-            for c in name:
-                out[i, letters[c]] += 1
-        return out
-
-    a, b = counts(left), counts(right)
-    common = np.zeros((len(left), len(right)), dtype=np.int32)
-    for j in range(a.shape[1]):
-        if a[:, j].any() and b[:, j].any():
-            common += np.minimum.outer(a[:, j], b[:, j])
-    total = a.sum(axis=1, dtype=np.int32)[:, None] + b.sum(axis=1, dtype=np.int32)[None, :]
-    return np.divide(200.0 * common, total, out=np.zeros(common.shape), where=total > 0)
-
-
 def _block_scores(lnames: list[str], rnames: list[str], floor: float | np.ndarray,
                   k: int | None = None):
     """Pairs of a block that reach the floor (one for all or one for each left name); with ``k``,
-    of each left name those no worse than its ``k`` best. Pairs that cannot reach the floor by
-    their letters are never compared; pairs that share a token always are."""
+    of each left name those no worse than its ``k`` best. Names that share no token are compared
+    by their letters in order, all at once."""
     floor = np.broadcast_to(np.asarray(floor, dtype=float), len(lnames))
     ltok, rtok = [set(n.split()) for n in lnames], [set(n.split()) for n in rnames]
     ljoin, rjoin = [" ".join(sorted(t)) for t in ltok], [" ".join(sorted(t)) for t in rtok]
-    maybe = _letter_bound(ljoin, rjoin) >= floor[:, None] - 1e-9
+    both = (np.array([len(x) for x in ljoin], dtype=np.int64)[:, None]
+            + np.array([len(x) for x in rjoin], dtype=np.int64)[None, :])
+    grid = 100.0 - 100.0 * (both - 2 * _common(ljoin, rjoin)) / np.maximum(both, 1)
+    grid[(both == 0) & (floor[:, None] > 1e-9)] = -1.0  # names without a token
     holders = defaultdict(list)
     for j, tokens in enumerate(rtok):
         for t in tokens:
             holders[t].append(j)
-    sharing = np.zeros(maybe.shape, dtype=bool)
+    sharing = np.zeros(grid.shape, dtype=bool)
     for i, tokens in enumerate(ltok):
         for t in tokens:
-            sharing[i, holders.get(t, [])] = True
-    li, ri = np.nonzero(maybe & ~sharing)
-    both = np.array([len(x) for x in ljoin])[li] + np.array([len(x) for x in rjoin])[ri]
-    scores = 100.0 - 100.0 * (both - 2 * lcs_pairs(ljoin, rjoin, li, ri)) / np.maximum(both, 1)
+            if t in holders:
+                sharing[i, holders[t]] = True
     si, sj = np.nonzero(sharing)
-    shared = token_set_scores([lnames[i] for i in si], [rnames[j] for j in sj])
-    li, ri = np.concatenate([li, si]), np.concatenate([ri, sj])
-    scores = np.concatenate([scores, shared])
-    least = floor[li]
+    grid[si, sj] = token_set_scores([lnames[i] for i in si], [rnames[j] for j in sj])
+    least = floor
     if k is not None and len(rnames) > k:
-        grid = np.full(maybe.shape, -1.0)
-        grid[li, ri] = scores
-        least = np.maximum(
-            floor, np.partition(grid, len(rnames) - k, axis=1)[:, len(rnames) - k])[li]
-    keep = scores >= least
-    return li[keep], ri[keep], scores[keep]
+        least = np.maximum(floor, np.partition(grid, len(rnames) - k, axis=1)[:, len(rnames) - k])
+    li, ri = np.nonzero(grid >= least[:, None])
+    return li, ri, grid[li, ri]
 
 
 def _joined(names: list[str]) -> list[str]:
@@ -97,28 +74,65 @@ def _block_summary(names: list[str]) -> str:
                        sorted(tokens)])
 
 
-def _common_in_order(names: list[str], places: list[list[str]]) -> np.ndarray:
-    """For each name and block, the most letters that the name can have in common, in order, with
-    any name that has one of the block's letters at each place."""
+#: Sets of letters whose places in all names are kept at a time.
+EITHER = 256
+
+
+def _in_order(names: list[str], places: Iterable[Sequence[str]]) -> Iterator[np.ndarray]:
+    """For each of ``places``, the most letters that each name's first 64 can have in common, in
+    order, with any text that has one of the letters given at each place.
+
+    What begins like the one before is taken up where it differs: give them sorted."""
     alphabet = {c: i for i, c in enumerate(sorted(set("".join(names))))}
-    size = np.array([len(n) for n in names])
-    masks = np.zeros((len(names), len(alphabet)), dtype=np.uint64)
+    size = np.array([len(n) for n in names], dtype=np.int64)
+    masks = np.zeros((len(alphabet), len(names)), dtype=np.uint64)
     for i, name in enumerate(names):
+        bits: dict[str, int] = {}
         for j, letter in enumerate(name[:64]):
-            masks[i, alphabet[letter]] |= np.uint64(1 << j)
-    out = np.empty((len(names), len(places)), dtype=np.int32)
+            bits[letter] = bits.get(letter, 0) | 1 << j
+        for letter, bit in bits.items():
+            masks[alphabet[letter], i] = bit
     used = np.full(len(names), np.iinfo(np.uint64).max, dtype=np.uint64)
     used[size < 64] = (np.uint64(1) << size[size < 64].astype(np.uint64)) - np.uint64(1)
-    for b, block in enumerate(places):
-        row = np.full(len(names), np.iinfo(np.uint64).max, dtype=np.uint64)
-        for letters in block:
+    either: dict[str, np.ndarray | None] = {}
+
+    def mask(letters: str) -> np.ndarray | None:
+        if letters not in either:
+            if len(either) >= EITHER:
+                either.clear()
             at = [alphabet[c] for c in letters if c in alphabet]
-            if at:
-                hit = row & np.bitwise_or.reduce(masks[:, at], axis=1)
+            either[letters] = np.bitwise_or.reduce(masks[at], axis=0) if at else None
+        return either[letters]
+
+    path: list[str] = []
+    rows = [np.full(len(names), np.iinfo(np.uint64).max, dtype=np.uint64)]
+    for letters_at in places:
+        same = next((k for k, (x, y) in enumerate(zip(path, letters_at)) if x != y),
+                    min(len(path), len(letters_at)))
+        del path[same:], rows[same + 1:]
+        for letters in letters_at[same:]:
+            row, hit = rows[-1], mask(letters)
+            if hit is not None:
+                hit = row & hit
                 row = (row + hit) | (row - hit)
-        out[:, b] = np.bitwise_count(~row & used)
-    # Letters beyond a machine word count as common.
-    return out + np.maximum(size - 64, 0)[:, None].astype(np.int32)
+            path.append(letters)
+            rows.append(row)
+        yield np.bitwise_count(~rows[-1] & used)
+
+
+def _common(left: list[str], right: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of each name of ``left`` and each of ``right``."""
+    if len(left) < len(right):
+        return _common(right, left).T
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    order = sorted(range(len(right)), key=right.__getitem__)
+    for j, common in zip(order, _in_order(left, [right[j] for j in order])):
+        out[:, j] = common
+    long = np.flatnonzero([len(x) > 64 for x in left])
+    if len(long):
+        li, ri = np.repeat(long, len(right)), np.tile(np.arange(len(right)), len(long))
+        out[li, ri] = lcs_pairs(left, right, li, ri)
+    return out
 
 
 def _block_bound(names: list[str], told: list[str]) -> np.ndarray:
@@ -131,27 +145,35 @@ def _block_bound(names: list[str], told: list[str]) -> np.ndarray:
     shortest = np.array([b[0] for b in blocks], dtype=np.int32)
     joined = _joined(names)
     size = np.array([len(j) for j in joined], dtype=np.int32)
-    total = np.maximum(size[:, None] + shortest[None, :], 1)
-    limit = 200.0 * _common_in_order(joined, [b[1] for b in blocks]) / total
+    # A block to a row while it is filled, which stays in the cache. Letters beyond a machine word
+    # count as common.
+    limit, beyond = np.empty((len(blocks), len(joined))), np.maximum(size - 64, 0)
+    for row, least, common in zip(limit, shortest.tolist(),
+                                  _in_order(joined, [b[1] for b in blocks])):
+        np.divide(200.0 * (common + beyond), np.maximum(size + least, 1), out=row)
+    limit = limit.T
     holders = defaultdict(list)
     for at, b in enumerate(blocks):
         for token in b[3]:
             holders[token].append(at)
+    meet = [(i, holders[token], len(token) + 1) for i, name in enumerate(joined)
+            for token in name.split() if token in holders]
+    if not meet:
+        return np.minimum(limit, 100.0, out=limit)
     shared = np.zeros(limit.shape, dtype=np.int32)  # letters of shared tokens, with spaces
-    for i, name in enumerate(joined):
-        for token in name.split():
-            shared[i, holders.get(token, [])] += len(token) + 1
+    for i, at, letters in meet:
+        shared[i, at] += letters
     i, j = np.nonzero(shared)
-    if len(i):
-        common = np.zeros(limit.shape, dtype=np.int32)
-        for letter in sorted(set("".join(joined))):
-            most = np.array([b[2].get(letter, 0) for b in blocks], dtype=np.int32)
-            if most.any():
-                common += np.minimum.outer(
-                    np.array([n.count(letter) for n in joined], dtype=np.int32), most)
-        c = shared[i, j] - 1
-        alone = 200.0 * c / (c + np.minimum(np.maximum(size[i], c), np.maximum(shortest[j], c)))
-        limit[i, j] = np.maximum(200.0 * common[i, j] / total[i, j], alone)
+    common = np.zeros(limit.shape, dtype=np.int32)
+    for letter in sorted(set("".join(joined))):
+        most = np.array([b[2].get(letter, 0) for b in blocks], dtype=np.int32)
+        if most.any():
+            common += np.minimum.outer(
+                np.array([n.count(letter) for n in joined], dtype=np.int32), most)
+    c = shared[i, j] - 1
+    alone = 200.0 * c / (c + np.minimum(np.maximum(size[i], c), np.maximum(shortest[j], c)))
+    total = np.maximum(size[i] + shortest[j], 1)
+    limit[i, j] = np.maximum(200.0 * common[i, j] / total, alone)
     return np.minimum(limit, 100.0)
 
 
@@ -265,8 +287,11 @@ def _given_dobs(inputs: DataFrame, roster: DataFrame, given: DataFrame) -> DataF
     dated = _dated(inputs, "_dob").where(~linkage.is_placeholder(F.col("_dob")))
     entries = _dated(roster, "_dob").groupBy("full_name", "_dob", "sport").agg(
         F.min("player_id").alias("player_id"))
-    return (dated.select("key", "name", "_dob").join(given.select("name", "full_name"), "name")
-            .join(entries, ["full_name", "_dob"]).select("key", "_dob", "full_name", "player_id"))
+    # Inputs alike in name and birth date meet the given pairs once.
+    met = (dated.select("name", "_dob").distinct()
+           .join(given.select("name", "full_name"), "name").join(entries, ["full_name", "_dob"]))
+    return dated.select("key", "name", "_dob").join(met, ["name", "_dob"]).select(
+        "key", "_dob", "full_name", "player_id")
 
 
 def candidate_pool(inputs: DataFrame, roster: DataFrame,
@@ -358,13 +383,18 @@ def resolve_entities(inputs: DataFrame, roster: DataFrame,
                                    .alias("full_name")).agg(F.max("score").cast("int")
                                                             .alias("_given")))
     pool = candidate_pool(inputs, roster, given)
+    if given is not None:
+        pool = cut(pool)
     left = described(inputs.select("key", "name", "dob", "sport"), "a", name="name", dob="dob",
                      sport="sport")
     right = described(people, "b", name="full_name", dob="sams_dob", sport="sams_sport")
     pairs = pool.join(left, "key").join(right, "player_id")
     known = F.col("local_score")
     if given is not None:
-        pairs = pairs.join(given, ["name", "full_name"], "left")
+        # Candidates are few beside the given pairs, which stream past them unsorted.
+        asked = pairs.select("name", "full_name").distinct()
+        told = given.join(asked.hint("shuffle_hash"), ["name", "full_name"])
+        pairs = pairs.join(told, ["name", "full_name"], "left")
         known = F.coalesce("_given", known)
     judged = judge(pairs, known)
     best = best_candidates(judged)

@@ -119,8 +119,9 @@ class Visits:
         return (self.first.count() + self.more.count()) / self.pairs
 
 
-#: Left rows and right summaries that meet in one planning task, and left rows in one visit.
-PLAN, VISIT = (4096, 512), 512
+#: Left rows and right summaries that meet in one planning task; blocks that are visited together
+#: and visits to them in one task.
+PLAN, NEAR, VISIT = (4096, 512), 16, 4096
 
 
 #: Blocks that one task cuts and one file holds.
@@ -167,11 +168,15 @@ def bounded_best(left: DataFrame, right: DataFrame, *, left_id: str, right_id: s
     righted, blocks = _numbered(right, order, rows[1], block_rows)
     chunks = _blocks(blocks, PLAN[1])
     id_type = right.schema[right_id].dataType
-    told = cut(righted.groupBy("_rb").applyInPandas(
-        lambda pdf: pd.DataFrame({"_rb": pdf["_rb"].iloc[:1], "_id": [pdf[right_id].min()],
-                                  "_told": [summarise(pdf)]}),
-        T.StructType([T.StructField("_rb", T.IntegerType()), T.StructField("_id", id_type),
-                      T.StructField("_told", T.StringType())])))
+
+    def tell(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = pdf.groupby("_rb")
+        return pd.DataFrame([(rb, part[right_id].min(), summarise(part)) for rb, part in parts],
+                            columns=["_rb", "_id", "_told"])
+
+    told = cut(righted.groupBy(F.floor(F.col("_rb") / NEAR)).applyInPandas(
+        tell, T.StructType([T.StructField("_rb", T.IntegerType()), T.StructField("_id", id_type),
+                            T.StructField("_told", T.StringType())])))
     key = left.schema[left_id]
     pair_schema = T.StructType([key, T.StructField("_rb", T.IntegerType()),
                                 T.StructField("value", T.DoubleType())])
@@ -182,8 +187,10 @@ def bounded_best(left: DataFrame, right: DataFrame, *, left_id: str, right_id: s
         def pairs(lpdf: pd.DataFrame, mpdf: pd.DataFrame) -> pd.DataFrame:
             if lpdf.empty or mpdf.empty:
                 return pd.DataFrame({f.name: [] for f in pair_schema})
+            # Neighbours one after another: what bounds them is much alike.
+            mpdf = mpdf.sort_values("_rb")
             limits = bound(lpdf, mpdf["_told"].tolist())
-            i, j = np.nonzero(choose(limits, lpdf, mpdf))
+            j, i = np.nonzero(choose(limits, lpdf, mpdf).T)
             return pd.DataFrame({left_id: lpdf[left_id].to_numpy()[i],
                                  "_rb": mpdf["_rb"].to_numpy()[j], "value": limits[i, j]})
 
@@ -199,38 +206,48 @@ def bounded_best(left: DataFrame, right: DataFrame, *, left_id: str, right_id: s
     def score(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         if lpdf.empty or rpdf.empty:
             return pd.DataFrame({f.name: [] for f in schema})
-        li, ri, found = scorer(lpdf, rpdf, lpdf["_least"].to_numpy())
-        out = pd.DataFrame({left_id: lpdf[left_id].to_numpy()[li],
-                            right_id: rpdf[right_id].to_numpy()[ri], "score": found})
+        hosts, found = dict(list(rpdf.groupby("_rb"))), []
+        for rb, come in lpdf.groupby("_rb"):
+            li, ri, points = scorer(come, hosts[rb], come["_least"].to_numpy())
+            found.append(pd.DataFrame({left_id: come[left_id].to_numpy()[li],
+                                       right_id: hosts[rb][right_id].to_numpy()[ri],
+                                       "score": points}))
+        out = pd.concat(found, ignore_index=True)
         out = out.sort_values([left_id, "score", right_id], ascending=[True, False, True])
         return out.groupby(left_id, sort=False).head(k)
 
     def visit(lefts: DataFrame, pairs: DataFrame) -> DataFrame:
-        parts = pairs.groupBy("_rb").agg(
+        near = F.floor(F.col("_rb") / NEAR).cast("int").alias("_near")
+        parts = pairs.groupBy(near).agg(
             F.ceil(F.count(F.lit(1)) / F.lit(VISIT)).cast("int").alias("_parts"))
-        come = (lefts.join(pairs.select(left_id, "_rb"), left_id).join(parts, "_rb")
+        come = (lefts.join(pairs.select(left_id, "_rb", near), left_id).join(parts, "_near")
                 .withColumn("_part", F.pmod(F.xxhash64(left_id), F.col("_parts")).cast("int"))
                 .drop("_parts"))
         # New names: both sides of the cogroup come from one count.
-        every = parts.select((F.col("_rb") + 0).alias("_rb"),
+        every = parts.select((F.col("_near") + 0).alias("_near"),
                              F.sequence(F.lit(0), F.col("_parts") - 1).alias("_every"))
-        host = righted.join(every, "_rb").withColumn("_part", F.explode("_every")).drop("_every")
-        return (come.groupBy("_rb", "_part").cogroup(host.groupBy("_rb", "_part"))
+        host = (righted.withColumn("_near", near).join(every, "_near")
+                .withColumn("_part", F.explode("_every")).drop("_every"))
+        return (come.groupBy("_near", "_part").cogroup(host.groupBy("_near", "_part"))
                 .applyInPandas(score, schema))
 
     def likely(limits: np.ndarray, lpdf: pd.DataFrame, mpdf: pd.DataFrame) -> np.ndarray:
-        marks = np.zeros(limits.shape, dtype=bool)
-        best = np.argsort(-limits, axis=1, kind="stable")[:, :first]
-        np.put_along_axis(marks, best, True, axis=1)
+        marks = np.zeros_like(limits, dtype=bool)
+        left_over, every = limits.copy(order="K"), np.arange(len(limits))
+        for _ in range(min(first, limits.shape[1])):
+            best = left_over.argmax(axis=1)
+            marks[every, best], left_over[every, best] = True, -np.inf
         return marks
 
     def open_still(limits: np.ndarray, lpdf: pd.DataFrame, mpdf: pd.DataFrame) -> np.ndarray:
         least = lpdf["_least"].to_numpy()[:, None]
-        last = lpdf["_last"].to_numpy()
-        smaller = np.empty(limits.shape, dtype=bool)
-        for j, own in enumerate(mpdf["_id"]):
-            smaller[:, j] = [x is None or x != x or own < x for x in last]
-        return (limits > least + 1e-9) | ((limits >= least - 1e-9) & smaller)
+        marks = limits > least + 1e-9
+        # Equal bounds are few beside those below: only there the ids decide.
+        j, i = np.nonzero(((limits >= least - 1e-9) & ~marks).T)
+        last, own = lpdf["_last"].tolist(), mpdf["_id"].tolist()
+        marks[i, j] = [last[a] is None or last[a] != last[a] or own[b] < last[a]
+                       for a, b in zip(i.tolist(), j.tolist())]
+        return marks
 
     ranked = [F.desc("value"), F.asc("_rb")]
     early = cut(top_rows(plan(left, likely), [left_id], ranked, first).select(left_id, "_rb"))

@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import random
+import types
 import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from perfspark.functions import linkage
 from perfspark.functions.ids import sanitize_columns, split_bad_ids, uuid5
 from perfspark.functions.numbers import to_day
-from perfspark.functions.similarity import token_set_ratio, token_set_scores
+from perfspark.functions.similarity import lcs_pairs, token_set_ratio, token_set_scores
 from perfspark.operators import identity
 from perfspark.plans.blocks import _numbered
 
@@ -241,3 +243,54 @@ def test_blocks_are_cut_many_to_a_task(spark):
     assert [s[3] for s in spans] == list(range(blocks)) and blocks <= 376
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
     assert _numbered(rows.limit(0), [F.col("at")], 0, 8)[0].count() == 0
+
+
+def test_common_letters_of_all_pairs_of_a_block():
+    rng = random.Random(6)
+    names = ["", "a", "x" * 64, "ab" * 40, *(
+        "".join(rng.choice("abcde ") for _ in range(rng.randint(0, 90))) for _ in range(30)),
+        *(f"Customer#{i:06d}" for i in range(20))]
+    for left, right in ((names, names[::3]), (names[::3], names), (names, []), ([], names)):
+        i, j = (k.ravel() for k in np.indices((len(left), len(right))))
+        want = lcs_pairs(left, right, i, j).reshape(len(left), len(right))
+        assert (identity._common(left, right) == want).all()
+
+
+def test_names_without_a_token_match_only_without_a_floor():
+    for floor, want in ((0.0, [(0, 0, 100.0), (0, 1, 0.0)]), (55.0, [])):
+        found = identity._block_scores([" "], ["  ", "ali"], floor)
+        assert list(zip(*(x.tolist() for x in found))) == want
+
+
+def test_places_alike_are_looked_up_once_for_many_blocks(monkeypatch):
+    """Blocks of numbered names: their beginnings and their sets of digits are much alike."""
+    told = [identity._block_summary([f"Customer#{i:06d}" for i in range(b, b + 64)])
+            for b in range(0, 6400, 64)]
+    lookups = []
+
+    class Counted(types.ModuleType):
+        bitwise_or = types.SimpleNamespace(
+            reduce=lambda *a, **k: lookups.append(1) or np.bitwise_or.reduce(*a, **k))
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+    names = [f"Supplier#{i:06d}" for i in range(50)]
+    want = identity._block_bound(names, told)
+    monkeypatch.setattr(identity, "np", Counted("np"))
+    assert (identity._block_bound(names, told) == want).all()
+    assert 0 < len(lookups) < 200
+
+
+def test_inputs_alike_meet_given_pairs_once(spark):
+    inputs = spark.createDataFrame([(i, "Ann", "2001-02-03", None) for i in range(20)],
+                                   "key long, name string, dob string, sport string")
+    roster = spark.createDataFrame([(i, f"Bea {i % 3}", "2001-02-03", None) for i in range(9)],
+                                   "player_id long, full_name string, dob string, sport string")
+    given = spark.createDataFrame([("Ann", f"Bea {j}") for j in range(3)],
+                                  "name string, full_name string")
+    met = identity._given_dobs(inputs, roster, given)
+    assert sorted((r.key, r.full_name, r.player_id) for r in met.collect()) == [
+        (i, f"Bea {j}", j) for i in range(20) for j in range(3)]
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [name" in plan
