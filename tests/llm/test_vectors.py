@@ -88,6 +88,19 @@ def test_vectors_are_not_copied_for_each_pair_of_chunks(spark, monkeypatch):
     assert met[0].count("Exchange") == 1 and "BroadcastExchange" not in met[0]
 
 
+def test_vectors_of_other_lengths_meet_their_own(spark):
+    """Lengths change inside a chunk's run, and doubles are not shortened to floats."""
+    rng = np.random.default_rng(12)
+    vectors = [(rng.normal(size=dim) * 1e-300 if i % 2 else rng.normal(size=dim)).tolist()
+               for i, dim in enumerate([2, 3, 5, 8] * 12)]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddup.near_duplicates(frame, 0.8, chunk=7).collect()}
+    units = [np.array(v) / np.abs(v).max() for v in vectors]
+    units = [u / np.linalg.norm(u) for u in units]
+    assert got == {i: sum(len(u) == len(v) and j != i and float(u @ v) >= 0.8
+                          for j, v in enumerate(units)) for i, u in enumerate(units)}
+
+
 def test_links_of_null_and_repeated_ids(spark):
     frame = _frame(spark, [[1, 0], [1, 0], [1, 0.01], [0, 1]], [None, 5, 5, 9])
     got = sorted(embeddup.near_duplicates(frame).select("vec_id", "n_links", "component_id")
